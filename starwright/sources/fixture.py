@@ -2,12 +2,14 @@
 
 Every role keeps the keys and relationships of a normalised sales database, so the source
 models run unchanged.  Rows without a person, a store, an address, a subcategory, a ship
-date or a salesperson occur on purpose.  ``snapshot`` picks a state of the source: ``plain``
+date or a salesperson occur on purpose.  A snapshot picks a state of the source: ``plain``
 is the data as given; ``first`` and ``second`` are two states of a changing source.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,210 +17,235 @@ from starwright.sources.readers import parquet_table, select_as
 
 PLAIN, FIRST, SECOND = "plain", "first", "second"
 
+# Columns of the given tables that are in use.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,"
+    " c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
+    " p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,"
+    " l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
+    " value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+
 # Modification times of the rows the second state adds or alters.
 _LATER = "TIMESTAMP_NTZ '2024-06-01 00:00:00'"
 _LATEST = "TIMESTAMP_NTZ '2024-06-02 00:00:00'"
 
 
+def given_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    return parquet_table(spark, directory, name, TABLES[name])
+
+
 def _day_in_2023(key: str, days: int = 365) -> str:
     return f"CAST(date_add(DATE '2023-01-01', CAST({key} % {days} AS INT)) AS TIMESTAMP_NTZ)"
 
 
-def _changed(snapshot: str, condition: str, later: str, base: str) -> str:
-    """``later`` for the rows the second state alters, else ``base``."""
-    return f"CASE WHEN {condition} THEN {later} ELSE {base} END" if snapshot == SECOND else base
+def _touched(key: str) -> str:
+    return f"{key} % 7 = 0 OR {key} % 11 = 0"
+
+
+class SourceTables(Mapping[str, DataFrame]):
+    """Source tables by role, each built when it is first asked for."""
+
+    ROLES = (
+        "customer", "person", "store", "entity_address", "address", "state", "country",
+        "product", "product_subcategory", "product_category", "sales_person", "employee",
+        "territory", "special_offer", "ship_method", "order_header", "order_detail",
+    )
+
+    def __init__(self, spark: SparkSession, directory: str, snapshot: str = PLAIN):
+        self.spark, self.directory, self.snapshot = spark, directory, snapshot
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, role: str) -> DataFrame:
+        if role not in self.ROLES:
+            raise KeyError(role)
+        if role not in self._built:
+            self._built[role] = getattr(self, f"_{role}")()
+        return self._built[role]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.ROLES)
 
+    def __len__(self) -> int:
+        return len(self.ROLES)
 
-def _known(df: DataFrame, key: str, snapshot: str) -> DataFrame:
-    """The first state lacks every eleventh key."""
-    return df.where(F.col(key) % 11 != 0) if snapshot == FIRST else df
+    # --- helpers --------------------------------------------------------------------
 
+    def _given(self, name: str) -> DataFrame:
+        return given_table(self.spark, self.directory, name)
 
-def source_tables(
-    spark: SparkSession, directory: str, snapshot: str = PLAIN
-) -> dict[str, DataFrame]:
-    def read(name: str) -> DataFrame:
-        return parquet_table(spark, directory, name)
+    def _second(self, condition: str, later: str, base: str) -> str:
+        """``later`` for the rows the second state alters, else ``base``."""
+        if self.snapshot != SECOND:
+            return base
+        return f"CASE WHEN {condition} THEN {later} ELSE {base} END"
 
-    def altered(key: str) -> str:
-        return f"{key} % 7 = 0 OR {key} % 11 = 0"
+    def _modified(self, key: str, base: str) -> str:
+        return self._second(_touched(key), _LATER, base)
 
-    customer, part, supplier = read("customer"), read("part"), read("supplier")
-    orders, nation, region = read("orders"), read("nation"), read("region")
-    lineitem = read("lineitem")
-    if snapshot == FIRST:
-        orders = orders.where("o_orderkey % 5 <> 0")
-        lineitem = lineitem.where("l_orderkey % 5 <> 0")
+    def _known(self, df: DataFrame, key: str) -> DataFrame:
+        """The first state lacks every eleventh key."""
+        return df.where(F.col(key) % 11 != 0) if self.snapshot == FIRST else df
 
-    segment = _changed(snapshot, "c_custkey % 7 = 0", "'BUILDING'", "c_mktsegment")
-    people = select_as(
-        customer,
-        entity_id="c_custkey * 2",
-        first_name="split_part(c_name, '#', 1)",
-        last_name="CASE WHEN c_custkey % 10 <> 0 THEN split_part(c_name, '#', 2) END",
-    ).unionByName(
-        select_as(
-            supplier,
+    def _orders_so_far(self, name: str, key: str) -> DataFrame:
+        """The first state lacks every fifth order."""
+        rows = self._given(name)
+        return rows.where(F.col(key) % 5 != 0) if self.snapshot == FIRST else rows
+
+    # --- customers and people -------------------------------------------------------
+
+    def _customer(self) -> DataFrame:
+        segment = self._second("c_custkey % 7 = 0", "'BUILDING'", "c_mktsegment")
+        return select_as(
+            self._known(self._given("customer"), "c_custkey"),
+            customer_id="c_custkey",
+            person_id=f"CASE WHEN {segment} NOT IN ('MACHINERY', 'FURNITURE')"
+            " THEN c_custkey * 2 END",
+            store_id=f"CASE WHEN {segment} IN ('MACHINERY', 'BUILDING') THEN c_custkey * 2 END",
+            modified_at=self._modified("c_custkey", _day_in_2023("c_custkey")),
+        )
+
+    def _person(self) -> DataFrame:
+        buyers = select_as(
+            self._given("customer"),
+            entity_id="c_custkey * 2",
+            first_name="split_part(c_name, '#', 1)",
+            last_name="CASE WHEN c_custkey % 10 <> 0 THEN split_part(c_name, '#', 2) END",
+        )
+        sellers = select_as(
+            self._given("supplier"),
             entity_id="s_suppkey * 2 + 1",
             first_name="split_part(s_name, '#', 1)",
             last_name="split_part(s_name, '#', 2)",
         )
-    )
-    # Zero, one or two addresses per customer.
-    addresses = customer.select(
-        "c_custkey",
-        "c_nationkey",
-        F.posexplode(F.array_repeat(F.lit(1), (F.col("c_custkey") % 3).cast("int"))),
-    )
-    line = select_as(
-        lineitem,
-        order_id="l_orderkey",
-        order_line_id="l_orderkey * 10 + l_linenumber",
-        line_number="l_linenumber",
-        product_id="l_partkey",
-        employee_id="CASE WHEN l_suppkey % 10 <> 0 THEN l_suppkey * 2 + 1 END",
-        ship_method_id="CASE l_linestatus WHEN 'O' THEN 1L ELSE 2L END",
-        quantity=_changed(
-            snapshot, "l_orderkey % 5 = 1", "CAST(l_quantity AS INT) + 1",
-            "CAST(l_quantity AS INT)",
-        ),
-        # Price per unit from whole cents, half up, so that no double is rounded.
-        unit_price="""
-            CAST((CAST(round(l_extendedprice * 100) AS BIGINT) * 200 + CAST(l_quantity AS BIGINT))
-                 div (2 * CAST(l_quantity AS BIGINT)) AS DECIMAL(12,0))
-            * CAST(0.0001 AS DECIMAL(4,4))
-        """,
-        unit_price_discount="CAST(l_discount AS DECIMAL(6,4))",
-        line_total="""
-            CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2)))
-                 AS DECIMAL(14,4))
-        """,
-        line_tax="""
-            CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2)))
-            * CAST(l_tax AS DECIMAL(3,2))
-        """,
-        ship_date="CASE WHEN l_returnflag <> 'N' THEN l_shipdate END",
-        modified_at=_changed(snapshot, "l_orderkey % 5 = 1", _LATEST, "l_shipdate"),
-    )
-    # Header amounts and territory come from aggregates on the join key, which lets
-    # Catalyst drop the join for queries that read neither.
-    line_sums = line.groupBy("order_id").agg(
-        F.sum("line_total").cast("decimal(14,4)").alias("subtotal"),
-        F.sum("line_tax").cast("decimal(14,4)").alias("header_tax"),
-    )
-    home = customer.groupBy(F.col("c_custkey").alias("customer_id")).agg(
-        F.max("c_nationkey").cast("long").alias("territory_id")
-    )
-    header = (
-        select_as(
-            orders,
-            order_id="o_orderkey",
-            order_number="concat('SO', o_orderkey)",
-            order_date="o_orderdate",
-            due_date="date_add(CAST(o_orderdate AS DATE), 30)",
-            customer_id="o_custkey",
-            special_offer_id="CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
-            header_freight="""
-                CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.05 AS DECIMAL(3,2))
-                     AS DECIMAL(14,4))
-            """,
-            modified_at=_changed(snapshot, "o_orderkey % 5 = 0", _LATER, "o_orderdate"),
+        return buyers.unionByName(sellers)
+
+    def _store(self) -> DataFrame:
+        return select_as(
+            self._given("customer"),
+            entity_id="c_custkey * 2",
+            store_name="concat('Store ', c_name)",
         )
-        .join(home, "customer_id", "left")
-        .join(line_sums, "order_id", "left")
-    )
-    return {
-        "customer": select_as(
-            _known(customer, "c_custkey", snapshot),
-            customer_id="c_custkey",
-            person_id=f"CASE WHEN {segment} NOT IN ('MACHINERY', 'FURNITURE')"
-            " THEN c_custkey * 2 END",
-            store_id=f"CASE WHEN {segment} IN ('MACHINERY', 'BUILDING') THEN c_custkey * 2 END",
-            modified_at=_changed(
-                snapshot, altered("c_custkey"), _LATER, _day_in_2023("c_custkey")
-            ),
-        ),
-        "person": people,
-        "store": select_as(
-            customer, entity_id="c_custkey * 2", store_name="concat('Store ', c_name)"
-        ),
-        "entity_address": select_as(
-            addresses, entity_id="c_custkey * 2", address_id="c_custkey * 2 + pos"
-        ),
-        "address": select_as(
-            addresses,
+
+    def _address_rows(self) -> DataFrame:
+        """Zero, one or two addresses per customer."""
+        copies = F.array_repeat(F.lit(1), (F.col("c_custkey") % 3).cast("int"))
+        return self._given("customer").select("c_custkey", "c_nationkey", F.posexplode(copies))
+
+    def _entity_address(self) -> DataFrame:
+        return select_as(
+            self._address_rows(), entity_id="c_custkey * 2", address_id="c_custkey * 2 + pos"
+        )
+
+    def _address(self) -> DataFrame:
+        return select_as(
+            self._address_rows(),
             address_id="c_custkey * 2 + pos",
             city="concat('City ', (c_custkey * 2 + pos) % 97)",
             postal_code="lpad(CAST((c_custkey * 2 + pos) % 100000 AS STRING), 5, '0')",
             state_id="(c_nationkey + pos) % 25",
-        ),
-        "state": select_as(
-            nation,
+        )
+
+    def _state(self) -> DataFrame:
+        return select_as(
+            self._given("nation"),
             state_id="n_nationkey",
             state_province="n_name",
             country_code="CAST(n_regionkey AS STRING)",
-        ),
-        "country": select_as(
-            region, country_code="CAST(r_regionkey AS STRING)", country_region="r_name"
-        ),
-        "product": select_as(
-            _known(part, "p_partkey", snapshot),
+        )
+
+    def _country(self) -> DataFrame:
+        return select_as(
+            self._given("region"),
+            country_code="CAST(r_regionkey AS STRING)",
+            country_region="r_name",
+        )
+
+    def _sales_person(self) -> DataFrame:
+        return select_as(
+            self._known(self._given("supplier"), "s_suppkey"),
+            entity_id="s_suppkey * 2 + 1",
+            modified_at=_day_in_2023("s_suppkey", 180),
+        )
+
+    def _employee(self) -> DataFrame:
+        return select_as(
+            self._given("supplier"),
+            entity_id="s_suppkey * 2 + 1",
+            job_title=self._second(
+                "s_suppkey % 7 = 0",
+                "'Sales Director'",
+                "concat('Sales Representative ', s_nationkey % 3)",
+            ),
+            modified_at=self._modified("s_suppkey", _day_in_2023("s_suppkey * 7", 180)),
+        )
+
+    # --- products -------------------------------------------------------------------
+
+    def _product(self) -> DataFrame:
+        raised = self._second("p_partkey % 7 = 0", "1.10", "1.00")
+        return select_as(
+            self._known(self._given("part"), "p_partkey"),
             product_id="p_partkey",
             product_name="p_name",
             product_number="concat('P-', lpad(CAST(p_partkey AS STRING), 9, '0'))",
             color="split_part(p_name, ' ', 1)",
             size="CAST(p_size AS STRING)",
             subcategory_id="CASE WHEN p_size < 50 THEN concat(p_brand, '/', p_type) END",
-            standard_cost="CAST(CAST(p_retailprice AS DECIMAL(12,2)) * "
-            + _changed(snapshot, "p_partkey % 7 = 0", "1.10", "1.00")
-            + " AS DECIMAL(12,4))",
+            standard_cost=f"CAST(CAST(p_retailprice AS DECIMAL(12,2)) * {raised}"
+            " AS DECIMAL(12,4))",
             list_price="CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 1.25 AS DECIMAL(12,4))",
-            modified_at=_changed(
-                snapshot, altered("p_partkey"), _LATER, _day_in_2023("p_partkey")
-            ),
-        ),
-        "product_subcategory": select_as(
-            part.select("p_brand", "p_type").distinct(),
+            modified_at=self._modified("p_partkey", _day_in_2023("p_partkey")),
+        )
+
+    def _product_subcategory(self) -> DataFrame:
+        return select_as(
+            self._given("part").select("p_brand", "p_type").distinct(),
             subcategory_id="concat(p_brand, '/', p_type)",
             subcategory_name="p_brand",
             category_id="p_type",
-        ),
-        "product_category": select_as(
-            part.select("p_type").distinct(), category_id="p_type", category_name="p_type"
-        ),
-        "sales_person": select_as(
-            _known(supplier, "s_suppkey", snapshot),
-            entity_id="s_suppkey * 2 + 1",
-            modified_at=_day_in_2023("s_suppkey", 180),
-        ),
-        "employee": select_as(
-            supplier,
-            entity_id="s_suppkey * 2 + 1",
-            job_title=_changed(
-                snapshot, "s_suppkey % 7 = 0", "'Sales Director'",
-                "concat('Sales Representative ', s_nationkey % 3)",
-            ),
-            modified_at=_changed(
-                snapshot, altered("s_suppkey"), _LATER, _day_in_2023("s_suppkey * 7", 180)
+        )
+
+    def _product_category(self) -> DataFrame:
+        return select_as(
+            self._given("part").select("p_type").distinct(),
+            category_id="p_type",
+            category_name="p_type",
+        )
+
+    # --- territories, offers, shipping ----------------------------------------------
+
+    def _territory(self) -> DataFrame:
+        nation, region = self._given("nation"), self._given("region")
+        return select_as(
+            self._known(nation, "n_nationkey").join(
+                region, nation.n_regionkey == region.r_regionkey, "left"
             ),
-        ),
-        "territory": select_as(
-            _known(nation.join(region, nation.n_regionkey == region.r_regionkey, "left"),
-                   "n_nationkey", snapshot),
             territory_id="CAST(n_nationkey AS BIGINT)",
-            territory_name=_changed(
-                snapshot, "n_nationkey % 7 = 0", "concat(n_name, ' renamed')", "n_name"
+            territory_name=self._second(
+                "n_nationkey % 7 = 0", "concat(n_name, ' renamed')", "n_name"
             ),
             country_code="CAST(n_regionkey AS STRING)",
             territory_group="r_name",
-            modified_at=_changed(
-                snapshot, altered("n_nationkey"), _LATER, _day_in_2023("n_nationkey")
-            ),
-        ),
-        "special_offer": select_as(
-            orders.groupBy("o_orderpriority").agg(
-                F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
-            ),
+            modified_at=self._modified("n_nationkey", _day_in_2023("n_nationkey")),
+        )
+
+    def _special_offer(self) -> DataFrame:
+        spans = self._given("orders").groupBy("o_orderpriority").agg(
+            F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
+        )
+        return select_as(
+            spans,
             special_offer_id="CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
             description="substr(o_orderpriority, 3)",
             discount_pct="CAST(CAST(substr(o_orderpriority, 1, 1) AS INT)"
@@ -228,15 +255,80 @@ def source_tables(
             start_date="CAST(first_order AS DATE)",
             end_date="CAST(last_order AS DATE)",
             modified_at="last_order",
-        ),
-        "ship_method": select_as(
-            lineitem.groupBy("l_linestatus").agg(F.max("l_shipdate").alias("last_shipped")),
+        )
+
+    def _ship_method(self) -> DataFrame:
+        last = self._given("lineitem").groupBy("l_linestatus").agg(
+            F.max("l_shipdate").alias("last_shipped")
+        )
+        return select_as(
+            last,
             ship_method_id="CASE l_linestatus WHEN 'O' THEN 1L ELSE 2L END",
             method_name="concat('Method ', l_linestatus)",
             ship_base="CASE l_linestatus WHEN 'O' THEN 3.99 ELSE 8.99 END",
             ship_rate="CASE l_linestatus WHEN 'O' THEN 0.99 ELSE 1.49 END",
             modified_at="last_shipped",
-        ),
-        "order_header": header,
-        "order_detail": line.drop("line_tax"),
-    }
+        )
+
+    # --- orders ---------------------------------------------------------------------
+
+    def _lines(self) -> DataFrame:
+        return select_as(
+            self._orders_so_far("lineitem", "l_orderkey"),
+            order_id="l_orderkey",
+            order_line_id="l_orderkey * 10 + l_linenumber",
+            line_number="l_linenumber",
+            product_id="l_partkey",
+            employee_id="CASE WHEN l_suppkey % 10 <> 0 THEN l_suppkey * 2 + 1 END",
+            ship_method_id="CASE l_linestatus WHEN 'O' THEN 1L ELSE 2L END",
+            quantity=self._second(
+                "l_orderkey % 5 = 1", "CAST(l_quantity AS INT) + 1", "CAST(l_quantity AS INT)"
+            ),
+            # Price per unit from whole cents, half up, so that no double is rounded.
+            unit_price="""
+                CAST((CAST(round(l_extendedprice * 100) AS BIGINT) * 200
+                      + CAST(l_quantity AS BIGINT))
+                     div (2 * CAST(l_quantity AS BIGINT)) AS DECIMAL(12,0))
+                * CAST(0.0001 AS DECIMAL(4,4))
+            """,
+            unit_price_discount="CAST(l_discount AS DECIMAL(6,4))",
+            line_total="""
+                CAST(CAST(l_extendedprice AS DECIMAL(12,2))
+                     * (1 - CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(14,4))
+            """,
+            line_tax="""
+                CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2)))
+                * CAST(l_tax AS DECIMAL(3,2))
+            """,
+            ship_date="CASE WHEN l_returnflag <> 'N' THEN l_shipdate END",
+            modified_at=self._second("l_orderkey % 5 = 1", _LATEST, "l_shipdate"),
+        )
+
+    def _order_detail(self) -> DataFrame:
+        return self._lines().drop("line_tax")
+
+    def _order_header(self) -> DataFrame:
+        """Header amounts and territory come from aggregates on the join key, which lets
+        Catalyst drop the join for queries that read neither."""
+        sums = self._lines().groupBy("order_id").agg(
+            F.sum("line_total").cast("decimal(14,4)").alias("subtotal"),
+            F.sum("line_tax").cast("decimal(14,4)").alias("header_tax"),
+        )
+        home = self._given("customer").groupBy(F.col("c_custkey").alias("customer_id")).agg(
+            F.max("c_nationkey").cast("long").alias("territory_id")
+        )
+        header = select_as(
+            self._orders_so_far("orders", "o_orderkey"),
+            order_id="o_orderkey",
+            order_number="concat('SO', o_orderkey)",
+            order_date="o_orderdate",
+            due_date="date_add(CAST(o_orderdate AS DATE), 30)",
+            customer_id="o_custkey",
+            special_offer_id="CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
+            header_freight="""
+                CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.05 AS DECIMAL(3,2))
+                     AS DECIMAL(14,4))
+            """,
+            modified_at=self._second("o_orderkey % 5 = 0", _LATER, "o_orderdate"),
+        )
+        return header.join(home, "customer_id", "left").join(sums, "order_id", "left")

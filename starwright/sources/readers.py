@@ -6,10 +6,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def parquet_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+def parquet_table(
+    spark: SparkSession, directory: str, name: str, columns: T.StructType | str | None = None
+) -> DataFrame:
+    """One Parquet table; a declared schema spares the job that would infer it."""
+    reader = spark.read if columns is None else spark.read.schema(columns)
+    return reader.parquet(f"{directory}/{name}.parquet")
 
 
 def jdbc_tables(

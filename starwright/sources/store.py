@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from starwright.operators.dedup import pick_first
 from starwright.schemas import empty_frame, schema
 
 WHOLE = "whole"
@@ -22,17 +23,27 @@ LOGS = ("ctrl.publication", "ctrl.watermark", "ctrl.step_log")
 
 
 class TableStore:
+    """Tables under one root folder, written by one load at a time.
+
+    The publication log, one row per replaced part, is read when the store is opened and
+    followed while it writes; ``refresh`` picks up what another load has published.
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         for log in LOGS:
             self._frame([], log).write.mode("ignore").parquet(self._path(log))
+        self.refresh()
 
     def _path(self, *names: str) -> str:
         return "/".join((self.root, *names))
 
     def _frame(self, rows: list[tuple], table: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema(table)).coalesce(1)
+        columns = schema(table)
+        records = [dict(zip(columns.names, row)) for row in rows]
+        table = pa.Table.from_pylist(records, schema=to_arrow_schema(columns))
+        return self.spark.createDataFrame(table, columns)
 
     # --- append-only control tables -------------------------------------------------
 
@@ -45,17 +56,31 @@ class TableStore:
 
     # --- tables ---------------------------------------------------------------------
 
-    def _publications(self, table: str) -> DataFrame:
-        return self.read_log("ctrl.publication").where(F.col("table_name") == table)
+    def refresh(self) -> None:
+        self._live: dict[str, dict[str, str]] = {}
+        self._versions: dict[str, int] = {}
+        for row in self.read_log("ctrl.publication").orderBy("version").collect():
+            self._follow(*row)
+
+    def _follow(self, table: str, part: str, version: int, path: str | None) -> None:
+        self._versions[table] = version
+        parts = self._live.setdefault(table, {})
+        parts.pop(part, None)
+        if path is not None:
+            parts[part] = path
+
+    def _publish(self, rows: list[tuple]) -> None:
+        self.append("ctrl.publication", rows)
+        for row in rows:
+            self._follow(*row)
 
     def version(self, table: str) -> int:
         """Number of the latest publication, 0 before the first."""
-        return self._publications(table).agg(F.max("version")).first()[0] or 0
+        return self._versions.get(table, 0)
 
     def live_parts(self, table: str) -> dict[str, str]:
-        """Folder of each part: as many rows as the table has parts, not data."""
-        latest = pick_first(self._publications(table), ["part"], [F.col("version").desc()])
-        return {r.part: r.path for r in latest.collect() if r.path is not None}
+        """Folder of each part of a table."""
+        return self._live.get(table, {})
 
     def read(
         self, table: str, parts: Iterable[str] | None = None, extra: T.StructType | None = None
@@ -73,7 +98,7 @@ class TableStore:
         version = self.version(table) + 1
         path = self._path(table, f"v{version}")
         df.write.mode("overwrite").parquet(path)
-        self.append("ctrl.publication", [(table, WHOLE, version, path)])
+        self._publish([(table, WHOLE, version, path)])
 
     def replace_parts(
         self, table: str, df: DataFrame, part: Column, replaced: Iterable[str]
@@ -91,10 +116,9 @@ class TableStore:
         ).partitionBy("part").parquet(path)
         written = self.spark.read.schema(rows.schema).parquet(path)
         present = {r.part for r in written.select("part").distinct().collect()}
-        self.append(
-            "ctrl.publication",
+        self._publish(
             [
                 (table, p, version, f"{path}/part={p}" if p in present else None)
                 for p in sorted(set(replaced) | present)
-            ],
+            ]
         )
