@@ -158,8 +158,6 @@ def _sources(s: str) -> dict[str, str]:
                    CAST(l_discount AS DECIMAL(6,4)) AS unit_price_discount,
                    CAST(CAST(l_extendedprice AS DECIMAL(12,2))
                         * (1 - CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(14,4)) AS line_total,
-                   CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2)))
-                        * CAST(l_tax AS DECIMAL(3,2)) AS line_tax,
                    CASE WHEN l_returnflag <> 'N' THEN l_shipdate END AS ship_date,
                    {second("l_orderkey % 5 = 1", "TIMESTAMP '2024-06-02 00:00:00'",
                            "l_shipdate")} AS modified_at
@@ -168,17 +166,16 @@ def _sources(s: str) -> dict[str, str]:
             SELECT o_orderkey AS order_id, 'SO' || CAST(o_orderkey AS VARCHAR) AS order_number,
                    CAST(o_orderdate AS DATE) AS order_date,
                    CAST(o_orderdate AS DATE) + 30 AS due_date, o_custkey AS customer_id,
-                   CAST(c_nationkey AS BIGINT) AS territory_id,
+                   o_custkey % 25 AS territory_id,
                    CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS special_offer_id,
+                   CAST(o_totalprice AS DECIMAL(14,4)) AS subtotal,
+                   CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.08 AS DECIMAL(3,2))
+                        AS DECIMAL(14,4)) AS header_tax,
                    CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.05 AS DECIMAL(3,2))
                         AS DECIMAL(14,4)) AS header_freight,
-                   subtotal, header_tax,
                    {second("o_orderkey % 5 = 0", "TIMESTAMP '2024-06-01 00:00:00'",
                            "o_orderdate")} AS modified_at
-            FROM orders LEFT JOIN customer ON c_custkey = o_custkey
-            LEFT JOIN (SELECT order_id, CAST(sum(line_total) AS DECIMAL(14,4)) AS subtotal,
-                              CAST(sum(line_tax) AS DECIMAL(14,4)) AS header_tax
-                       FROM src_detail{s} GROUP BY order_id) t ON t.order_id = o_orderkey
+            FROM orders
             {so_far('o_orderkey')}""",
         "stg_customer": f"""
             SELECT customer_id, customer_name, store_name, customer_type, city, state_province,

@@ -1,10 +1,10 @@
 """Surrogate-key lookups.
 
 Each lookup is a left join with a dimension reduced to one row per business key, so it
-never multiplies fact rows.  The reduction is an aggregate on the join key: Catalyst then
-knows the key is unique and drops a lookup whose result nobody reads.  No broadcast is
-forced; dimensions are scans of written tables, so the broadcast threshold checks their
-true size, and beyond it adaptive execution splits skewed join partitions.
+never multiplies fact rows.  The reduced side is written first.  Its true size then decides
+between a broadcast, under the session's threshold, and a shuffle; and as a plain scan it
+lets adaptive execution split the partitions of a hot or missing key, which it does not do
+for a side that ends in an aggregate.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwright.operators.keys import UNKNOWN_KEY
+from starwright.session import materialize
 
 
 def one_row_per_key(
@@ -44,8 +45,7 @@ def lookup_current(
     Works for both dimension types; type 1 tables have no version column.
     """
     side = one_row_per_key(dim, business_key, key, attributes)
-    side = side.withColumnRenamed(business_key, "_bk")
-    joined = df.join(side, F.col(business_key) == F.col("_bk"), "left").drop("_bk")
+    joined = df.join(materialize(side, f"lookup-{key}"), business_key, "left")
     return joined.withColumn(key, F.coalesce(key, F.lit(UNKNOWN_KEY).cast("long")))
 
 
@@ -74,12 +74,12 @@ def lookup_as_of(
     )
     resolved = (
         pairs.join(versions, in_force)
-        .groupBy(F.col(business_key).alias("_bk"), F.col(day).alias("_day"))
+        .groupBy(business_key, day)
         .agg(
             F.max(key).alias(key),
             *[F.max_by(a, key).alias(name) for a, name in attributes.items()],
         )
     )
-    same_pair = (F.col(business_key) == F.col("_bk")) & (F.col(day) == F.col("_day"))
-    joined = df.join(resolved, same_pair, "left").drop("_bk", "_day")
+    side = materialize(resolved, f"as-of-{key}")
+    joined = df.join(side, [business_key, day], "left")
     return joined.withColumn(key, F.coalesce(key, F.lit(UNKNOWN_KEY).cast("long")))

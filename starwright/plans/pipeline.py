@@ -10,22 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.functions.scalars import month_of_key
-from starwright.operators.calendar import calendar_for, missing_days
+from starwright.functions.scalars import date_key, month_of_key
+from starwright.operators.calendar import calendar_between, missing_days
 from starwright.operators.fact import existing_keys, fact_upsert, resolve_fact
-from starwright.operators.keys import dense_numbers, last_key, seed_unknown, stamp_rows
+from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
 from starwright.operators.scd import scd1_upsert, scd2_apply, scd2_changes
-from starwright.operators.shaping import next_watermark
+from starwright.operators.shaping import date_range, next_watermark
 from starwright.plans.control import Control, now
 from starwright.plans.model import (
     DATE_ROLES,
     DIMENSIONS,
-    FACT_KEY,
     FACT_STAGING,
     FACT_TABLE,
     DimensionSpec,
 )
-from starwright.session import materialize
+from starwright.session import materialize, together
 from starwright.sources.extracts import SOURCES, Tables, mark_column
 from starwright.sources.store import TableStore
 
@@ -57,9 +56,10 @@ def _current_part(spec: DimensionSpec) -> list[str] | None:
 
 def seed_dimensions(store: TableStore, dimensions: Sequence[DimensionSpec]) -> None:
     """Give every dimension its unknown member; existing rows win."""
-    for spec in dimensions:
-        if store.live_parts(spec.table):
-            continue
+    fresh = {spec.name: spec for spec in dimensions if not store.live_parts(spec.table)}
+
+    def seed(name: str) -> None:
+        spec = fresh[name]
         seeded = seed_unknown(
             store.read(spec.table), spec.table, spec.key, spec.business_key, spec.unknown
         )
@@ -68,6 +68,8 @@ def seed_dimensions(store: TableStore, dimensions: Sequence[DimensionSpec]) -> N
         else:
             store.replace(spec.table, seeded)
 
+    together(seed, list(fresh))
+
 
 def extract(
     store: TableStore, control: Control, tables: Tables, name: str,
@@ -114,53 +116,57 @@ def load_dimension(store: TableStore, spec: DimensionSpec, load_date: str) -> in
 
 def extend_calendar(store: TableStore, staged: DataFrame) -> int:
     """Insert the days the staged dates span; gives the number of days checked."""
-    needed = materialize(calendar_for(staged, list(DATE_ROLES)), "calendar")
+    span = date_range(staged, list(DATE_ROLES)).first()
+    if span.first_day is None:
+        return 0
+    needed = calendar_between(store.spark, str(span.first_day), str(span.last_day))
     calendar = store.read(CALENDAR)
     missing = missing_days(calendar, needed)
     if not missing.isEmpty():
         store.replace(CALENDAR, calendar.unionByName(missing))
-    return needed.count()
+    return (span.last_day - span.first_day).days + 1
 
 
 def load_fact(
     store: TableStore,
     dimensions: Sequence[DimensionSpec],
+    rows: int,
     loaded_at: datetime,
     as_of: bool = False,
 ) -> int:
-    """Upsert the staged order lines, rewriting only the order months they touch.
+    """Upsert the ``rows`` staged order lines, rewriting only the order months they touch.
 
     A line may move to another month, so the month of its old row counts as touched too;
-    finding old rows reads three narrow columns of the fact.
+    finding old rows reads three narrow columns of the fact.  As with a sequence in an
+    upsert, rows that turn out to exist use up a number as well.
     """
-    stamped = store.read(FACT_STAGING, extra=_STAMP)
-    staged = dense_numbers(stamped, "row_number", F.lit(0))
-    extend_calendar(store, store.read(FACT_STAGING))
+    staged = store.read(FACT_STAGING)
+    extend_calendar(store, staged)
     # Lines take current versions, so a load without ``as_of`` leaves closed history alone.
     dims = {
         spec.name: store.read(spec.table, None if as_of else _current_part(spec))
         for spec in dimensions
     }
-    incoming = resolve_fact(staged, dims, as_of)
-    fact = store.read(FACT_TABLE)
-    known = materialize(existing_keys(fact, store.read(FACT_STAGING)), "known-keys")
+    numbered = dense_numbers(
+        store.read(FACT_STAGING, extra=_STAMP), "row_number", F.lit(0)
+    )
+    incoming = resolve_fact(numbered, dims, as_of)
+    known = materialize(existing_keys(store.read(FACT_TABLE), staged), "known-keys")
     month = month_of_key(F.col("order_date_key"))
-    months = [
-        str(r.month)
-        for r in known.select(month.alias("month"))
-        .union(incoming.select(month.alias("month")))
-        .distinct()
-        .collect()
-    ]
+    touched = known.select("order_date_key").union(
+        staged.select(date_key(F.col("order_date")).alias("order_date_key"))
+    )
+    months = [str(r.month) for r in touched.select(month.alias("month")).distinct().collect()]
+    start = store.last_key(FACT_TABLE)
     merged = fact_upsert(
         store.read(FACT_TABLE, months),
         incoming,
         F.lit(loaded_at).cast("timestamp_ntz"),
-        start=last_key(fact, FACT_KEY),
+        start=start,
         known=known,
     )
-    store.replace_parts(FACT_TABLE, merged, month.cast("string"), months)
-    return stamped.count()
+    store.replace_parts(FACT_TABLE, merged, month.cast("string"), months, start + rows)
+    return rows
 
 
 def run(
@@ -185,25 +191,33 @@ def run(
     started = now()
     try:
         seed_dimensions(store, dimensions)
-        names = [spec.name for spec in dimensions] + (["order_line"] if with_fact else [])
-        batches = {
-            n: extract(store, control, tables, n, full_load, lookback) for n in names
-        }
-        report.staged = {n: b.rows for n, b in batches.items()}
-        loaders = {
-            spec.name: lambda spec=spec: load_dimension(store, spec, load_date)
-            for spec in dimensions
-        }
-        loaders["order_line"] = lambda: load_fact(
-            store, dimensions, loaded_at or started, as_of
-        )
-        for name, batch in batches.items():
-            if not batch.rows:
-                continue
+        by_name = {spec.name: spec for spec in dimensions}
+        sources = [*by_name, *(["order_line"] if with_fact else [])]
+
+        def stage(name: str) -> Batch:
+            return extract(store, control, tables, name, full_load, lookback)
+
+        batches = together(stage, sources)
+        report.staged = {name: batch.rows for name, batch in batches.items()}
+
+        def load(name: str) -> int:
+            batch = batches[name]
             step = "load_fact_sales" if name == "order_line" else f"load_dim_{name}"
             with control.step(step) as outcome:
-                outcome["rows"] = report.applied[name] = loaders[name]()
+                if name == "order_line":
+                    applied = load_fact(
+                        store, dimensions, batch.rows, loaded_at or started, as_of
+                    )
+                else:
+                    applied = load_dimension(store, by_name[name], load_date)
+                outcome["rows"] = applied
                 control.advance(name, batch.watermark, batch.started, batch.rows)
+            return applied
+
+        filled = [name for name in sources if batches[name].rows]
+        report.applied = together(load, [n for n in filled if n in by_name])
+        if "order_line" in filled:
+            report.applied["order_line"] = load("order_line")
     except Exception as error:
         control.log("run", started, "ERROR", 0, str(error))
         raise

@@ -11,7 +11,7 @@ from starwright.operators.keys import seed_unknown
 from starwright.operators.scd import scd1_upsert, scd2_merge
 from starwright.plans.model import BY_NAME, DimensionSpec
 from starwright.schemas import empty_frame, schema
-from starwright.session import materialize
+from starwright.session import materialize, together
 from starwright.sources.extracts import SOURCES, Tables
 
 
@@ -49,5 +49,5 @@ def load_star(
     spark, tables: Tables, names: Iterable[str], load_date: str
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The fact and the named dimensions."""
-    dims = {name: load_dimension(spark, tables, name, load_date) for name in names}
+    dims = together(lambda n: load_dimension(spark, tables, n, load_date), list(names))
     return load_fact(tables, dims), dims

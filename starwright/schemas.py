@@ -114,7 +114,7 @@ DECLARATIONS: dict[str, str] = {
     """,
     "ctrl.publication": """
         table_name STRING NOT NULL, part STRING NOT NULL, version BIGINT NOT NULL,
-        path STRING
+        path STRING, last_key BIGINT
     """,
 }
 

@@ -10,9 +10,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
+CONCURRENT_STEPS = 4
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -59,3 +66,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(work: Callable[[str], T], names: Sequence[str]) -> dict[str, T]:
+    """Run independent steps at the same time, so that small ones do not idle the cluster."""
+    with ThreadPoolExecutor(max_workers=CONCURRENT_STEPS) as pool:
+        return dict(zip(names, pool.map(work, names)))

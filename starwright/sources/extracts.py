@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starwright.functions.scalars import allocate_share, full_name, later_of
 from starwright.operators.dedup import keep_latest, lowest_per_key
+from starwright.operators.joins import left_join_sparse
 from starwright.operators.shaping import changed_since, conform_to_schema, is_changed_since
 from starwright.plans.model import DIMENSIONS, FACT_STAGING, LINE_TIE_BREAK, NATURAL_KEY
 from starwright.schemas import OPEN_START
@@ -60,7 +61,7 @@ def customers(tables: Tables, watermark: Column) -> DataFrame:
         changed_since(tables["customer"], ["modified_at"], watermark)
         .join(person, "person_id", "left")
         .join(store, "store_id", "left")
-        .join(address_of, "person_id", "left")
+        .transform(left_join_sparse, address_of, "person_id", "customer_id")
         .join(place, "address_id", "left")
         .select(
             "customer_id",

@@ -13,6 +13,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starwright.session import materialize
 from starwright.sources.readers import parquet_table, select_as
 
 PLAIN, FIRST, SECOND = "plain", "first", "second"
@@ -209,19 +210,23 @@ class SourceTables(Mapping[str, DataFrame]):
         )
 
     def _product_subcategory(self) -> DataFrame:
-        return select_as(
+        """Written, as is the category: a stored table has a known size, so its join is a
+        broadcast if it may be one."""
+        rows = select_as(
             self._given("part").select("p_brand", "p_type").distinct(),
             subcategory_id="concat(p_brand, '/', p_type)",
             subcategory_name="p_brand",
             category_id="p_type",
         )
+        return materialize(rows, "subcategory")
 
     def _product_category(self) -> DataFrame:
-        return select_as(
+        rows = select_as(
             self._given("part").select("p_type").distinct(),
             category_id="p_type",
             category_name="p_type",
         )
+        return materialize(rows, "category")
 
     # --- territories, offers, shipping ----------------------------------------------
 
@@ -272,7 +277,7 @@ class SourceTables(Mapping[str, DataFrame]):
 
     # --- orders ---------------------------------------------------------------------
 
-    def _lines(self) -> DataFrame:
+    def _order_detail(self) -> DataFrame:
         return select_as(
             self._orders_so_far("lineitem", "l_orderkey"),
             order_id="l_orderkey",
@@ -296,39 +301,24 @@ class SourceTables(Mapping[str, DataFrame]):
                 CAST(CAST(l_extendedprice AS DECIMAL(12,2))
                      * (1 - CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(14,4))
             """,
-            line_tax="""
-                CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2)))
-                * CAST(l_tax AS DECIMAL(3,2))
-            """,
             ship_date="CASE WHEN l_returnflag <> 'N' THEN l_shipdate END",
             modified_at=self._second("l_orderkey % 5 = 1", _LATEST, "l_shipdate"),
         )
 
-    def _order_detail(self) -> DataFrame:
-        return self._lines().drop("line_tax")
-
     def _order_header(self) -> DataFrame:
-        """Header amounts and territory come from aggregates on the join key, which lets
-        Catalyst drop the join for queries that read neither."""
-        sums = self._lines().groupBy("order_id").agg(
-            F.sum("line_total").cast("decimal(14,4)").alias("subtotal"),
-            F.sum("line_tax").cast("decimal(14,4)").alias("header_tax"),
-        )
-        home = self._given("customer").groupBy(F.col("c_custkey").alias("customer_id")).agg(
-            F.max("c_nationkey").cast("long").alias("territory_id")
-        )
-        header = select_as(
+        return select_as(
             self._orders_so_far("orders", "o_orderkey"),
             order_id="o_orderkey",
             order_number="concat('SO', o_orderkey)",
             order_date="o_orderdate",
             due_date="date_add(CAST(o_orderdate AS DATE), 30)",
             customer_id="o_custkey",
+            territory_id="o_custkey % 25",
             special_offer_id="CAST(substr(o_orderpriority, 1, 1) AS BIGINT)",
-            header_freight="""
-                CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.05 AS DECIMAL(3,2))
-                     AS DECIMAL(14,4))
-            """,
+            subtotal="CAST(o_totalprice AS DECIMAL(14,4))",
+            header_tax="CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.08 AS DECIMAL(3,2))"
+            " AS DECIMAL(14,4))",
+            header_freight="CAST(CAST(o_totalprice AS DECIMAL(12,2))"
+            " * CAST(0.05 AS DECIMAL(3,2)) AS DECIMAL(14,4))",
             modified_at=self._second("o_orderkey % 5 = 0", _LATER, "o_orderdate"),
         )
-        return header.join(home, "customer_id", "left").join(sums, "order_id", "left")

@@ -9,6 +9,7 @@ reads it.  Only the parts a batch touches are rewritten.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from threading import Lock
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,12 +27,14 @@ class TableStore:
     """Tables under one root folder, written by one load at a time.
 
     The publication log, one row per replaced part, is read when the store is opened and
-    followed while it writes; ``refresh`` picks up what another load has published.
+    followed while it writes; ``refresh`` picks up what another load has published.  Threads
+    of that load may publish different tables at the same time.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._appending = Lock()
         for log in LOGS:
             self._frame([], log).write.mode("ignore").parquet(self._path(log))
         self.refresh()
@@ -49,7 +52,8 @@ class TableStore:
 
     def append(self, log: str, rows: list[tuple]) -> None:
         """Add a few control rows; the commit of the write makes them visible at once."""
-        self._frame(rows, log).write.mode("append").parquet(self._path(log))
+        with self._appending:
+            self._frame(rows, log).write.mode("append").parquet(self._path(log))
 
     def read_log(self, log: str) -> DataFrame:
         return self.spark.read.schema(schema(log)).parquet(self._path(log))
@@ -59,11 +63,16 @@ class TableStore:
     def refresh(self) -> None:
         self._live: dict[str, dict[str, str]] = {}
         self._versions: dict[str, int] = {}
+        self._last_keys: dict[str, int] = {}
         for row in self.read_log("ctrl.publication").orderBy("version").collect():
             self._follow(*row)
 
-    def _follow(self, table: str, part: str, version: int, path: str | None) -> None:
+    def _follow(
+        self, table: str, part: str, version: int, path: str | None, last_key: int | None
+    ) -> None:
         self._versions[table] = version
+        if last_key is not None:
+            self._last_keys[table] = last_key
         parts = self._live.setdefault(table, {})
         parts.pop(part, None)
         if path is not None:
@@ -78,6 +87,10 @@ class TableStore:
         """Number of the latest publication, 0 before the first."""
         return self._versions.get(table, 0)
 
+    def last_key(self, table: str) -> int:
+        """Highest surrogate key handed out so far, as noted by the publisher."""
+        return self._last_keys.get(table, 0)
+
     def live_parts(self, table: str) -> dict[str, str]:
         """Folder of each part of a table."""
         return self._live.get(table, {})
@@ -98,10 +111,15 @@ class TableStore:
         version = self.version(table) + 1
         path = self._path(table, f"v{version}")
         df.write.mode("overwrite").parquet(path)
-        self._publish([(table, WHOLE, version, path)])
+        self._publish([(table, WHOLE, version, path, None)])
 
     def replace_parts(
-        self, table: str, df: DataFrame, part: Column, replaced: Iterable[str]
+        self,
+        table: str,
+        df: DataFrame,
+        part: Column,
+        replaced: Iterable[str],
+        last_key: int | None = None,
     ) -> None:
         """Publish new versions of the ``replaced`` parts; other parts stay as they are.
 
@@ -118,7 +136,7 @@ class TableStore:
         present = {r.part for r in written.select("part").distinct().collect()}
         self._publish(
             [
-                (table, p, version, f"{path}/part={p}" if p in present else None)
+                (table, p, version, f"{path}/part={p}" if p in present else None, last_key)
                 for p in sorted(set(replaced) | present)
             ]
         )
