@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from starwright.functions.calendar import fiscal_quarter, fiscal_year
 from starwright.functions.scalars import (
+    MONEY,
     date_key,
     date_or_null,
     later_of,
@@ -22,6 +23,7 @@ from starwright.operators.calendar import calendar_for, insert_missing_days
 from starwright.operators.dedup import keep_latest
 from starwright.operators.fact import fact_upsert, resolve_fact
 from starwright.operators.keys import (
+    UNKNOWN_KEY,
     dense_numbers,
     last_key,
     number_in_order,
@@ -336,7 +338,7 @@ def _(spark, directory):
 def _(spark, directory):
     events = given_table(spark, directory, "events")
     versions = _replayed(events)
-    numbered = number_in_order(versions, ["user_id", "valid_from"], "version_key", F.lit(0))
+    numbered = number_in_order(versions, ["user_id", "valid_from"], "version_key", 0)
     asked = events.select("event_id", "user_id", F.to_date("ts").alias("event_day"))
     return lookup_as_of(
         asked, numbered, "user_id", "event_day", "version_key", {"event_type": "type_in_force"}
@@ -389,7 +391,7 @@ def _(spark, directory):
     known = given_table(spark, directory, "customer").select(
         F.col("c_custkey").alias("customer_id")
     )
-    return number_in_order(known, ["customer_id"], "customer_key", F.lit(100))
+    return number_in_order(known, ["customer_id"], "customer_key", 100)
 
 
 # --- merges ---------------------------------------------------------------------------
@@ -489,11 +491,13 @@ def _(spark, directory):
 
 @query("fact_upsert")
 def _(spark, directory):
-    unknown = {spec.name: seeded_dimension(spark, spec) for spec in DIMENSIONS}
+    unknown = {spec.key: F.lit(UNKNOWN_KEY).cast("long") for spec in DIMENSIONS}
+    no_cost = {"standard_cost": F.lit(0).cast(MONEY)}
 
     def upsert(fact: DataFrame, staged: DataFrame, day: str) -> DataFrame:
         written = materialize(stamp_rows(staged), "staged-lines")
-        incoming = resolve_fact(dense_numbers(written, "row_number", F.lit(0)), unknown)
+        numbered = dense_numbers(written, "row_number", 0)
+        incoming = resolve_fact(numbered, {}).withColumns(unknown | no_cost)
         merged = fact_upsert(fact, incoming, mark_column(day), start=last_key(fact, FACT_KEY))
         return materialize(merged, "fact")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starwright.functions.scalars import MONEY, date_key, discount_amount
-from starwright.operators.lookup import lookup_as_of, lookup_current
+from starwright.operators.lookup import join_side, lookup_as_of, lookup_side
 from starwright.plans.model import (
     BY_NAME,
     DATE_ROLES,
@@ -17,6 +17,7 @@ from starwright.plans.model import (
     NATURAL_KEY,
 )
 from starwright.schemas import schema
+from starwright.session import together
 
 
 def resolve_fact(
@@ -37,14 +38,21 @@ def resolve_fact(
             "source_modified_at": F.col("modified_at"),
         }
     )
-    for name, dim in dims.items():
-        spec = BY_NAME[name]
-        if as_of and spec.scd_type == 2:
+    specs = {name: BY_NAME[name] for name in dims}
+    versioned = [n for n, s in specs.items() if as_of and s.scd_type == 2]
+
+    def side(name: str) -> DataFrame:
+        spec = specs[name]
+        return lookup_side(dims[name], spec.business_key, spec.key, spec.fact_attributes)
+
+    sides = together(side, [name for name in dims if name not in versioned])
+    for name, spec in specs.items():
+        if name in versioned:
             fact = lookup_as_of(
-                fact, dim, spec.business_key, "order_date", spec.key, spec.fact_attributes
+                fact, dims[name], spec.business_key, "order_date", spec.key, spec.fact_attributes
             )
         else:
-            fact = lookup_current(fact, dim, spec.business_key, spec.key, spec.fact_attributes)
+            fact = join_side(fact, sides[name], spec.business_key, spec.key)
         for attribute in spec.fact_attributes.values():
             fact = fact.withColumn(
                 attribute, F.coalesce(F.col(attribute), F.lit(0)).cast(MONEY)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwright.operators.shaping import conform_to_schema
@@ -22,25 +22,23 @@ def stamp_rows(df: DataFrame, column: str = "row_stamp") -> DataFrame:
 
 
 def dense_numbers(
-    stamped: DataFrame, number: str, start: Column, column: str = "row_stamp"
+    stamped: DataFrame, number: str, start: int, column: str = "row_stamp"
 ) -> DataFrame:
     """Turn the stamps of a *written* frame into consecutive numbers after ``start``.
 
-    Only one count per partition is gathered and broadcast, so no task sees all rows.
+    Only one count per partition comes to the driver; the numbers themselves are a
+    projection, without a shuffle or a window over all rows.
     """
     part = F.shiftright(column, _ROW_BITS)
     position = F.col(column) - F.shiftleft(part, _ROW_BITS)
-    counts = stamped.groupBy(part.alias("_part")).agg((F.max(position) + 1).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_part").alias("_offset_part"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
-    )
-    return (
-        stamped.join(F.broadcast(offsets), part == F.col("_offset_part"), "left")
-        .withColumn(number, (start + F.col("_offset") + position + 1).cast("long"))
-        .drop("_offset", "_offset_part", column)
-    )
+    counts = stamped.groupBy(part.alias("part")).agg((F.max(position) + 1).alias("rows"))
+    offsets, used = [], start
+    sizes = {r.part: r.rows for r in counts.collect()}
+    for partition in range(max(sizes, default=-1) + 1):
+        offsets.append(used)
+        used += sizes.get(partition, 0)
+    before = F.element_at(F.lit(offsets or [start]), (part + 1).cast("int"))
+    return stamped.withColumn(number, (before + position + 1).cast("long")).drop(column)
 
 
 def stage_in_order(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
@@ -50,7 +48,7 @@ def stage_in_order(df: DataFrame, order: Sequence[str], label: str) -> DataFrame
 
 
 def number_in_order(
-    df: DataFrame, order: Sequence[str], number: str, start: Column, label: str = "numbered"
+    df: DataFrame, order: Sequence[str], number: str, start: int, label: str = "numbered"
 ) -> DataFrame:
     """Consecutive numbers in the order of ``order``, as ``row_number`` without a partition.
 
@@ -69,9 +67,10 @@ def unknown_member(
     reference: DataFrame, table: str, key: str, business_key: str, labels: dict[str, str]
 ) -> DataFrame:
     """The ``-1`` row of a dimension, all other columns at their defaults."""
-    values = {key: UNKNOWN_KEY, business_key: UNKNOWN_KEY, **labels}
+    values = {key: f"{UNKNOWN_KEY}", business_key: f"{UNKNOWN_KEY}"}
+    values |= {column: f"'{label}'" for column, label in labels.items()}
     one_row = reference.sparkSession.range(1)
-    row = one_row.select([F.lit(v).alias(c) for c, v in values.items()])
+    row = one_row.selectExpr(*[f"{v} AS {c}" for c, v in values.items()])
     return conform_to_schema(row, table)
 
 

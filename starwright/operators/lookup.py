@@ -33,6 +33,19 @@ def one_row_per_key(
     )
 
 
+def lookup_side(
+    dim: DataFrame, business_key: str, key: str, attributes: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The reduced dimension as a written table."""
+    return materialize(one_row_per_key(dim, business_key, key, attributes), f"lookup-{key}")
+
+
+def join_side(df: DataFrame, side: DataFrame, business_key: str, key: str) -> DataFrame:
+    """Add the columns of a lookup side; a key that is missing becomes ``-1``."""
+    joined = df.join(side, business_key, "left")
+    return joined.withColumn(key, F.coalesce(key, F.lit(UNKNOWN_KEY).cast("long")))
+
+
 def lookup_current(
     df: DataFrame,
     dim: DataFrame,
@@ -44,9 +57,7 @@ def lookup_current(
 
     Works for both dimension types; type 1 tables have no version column.
     """
-    side = one_row_per_key(dim, business_key, key, attributes)
-    joined = df.join(materialize(side, f"lookup-{key}"), business_key, "left")
-    return joined.withColumn(key, F.coalesce(key, F.lit(UNKNOWN_KEY).cast("long")))
+    return join_side(df, lookup_side(dim, business_key, key, attributes), business_key, key)
 
 
 def lookup_as_of(

@@ -38,7 +38,7 @@ def scd1_upsert(
     fresh = staged.join(dim.select(business_key), business_key, "left_anti").select(
         business_key, *attributes
     )
-    inserted = number_in_order(fresh, [business_key], key, F.lit(last_key(dim, key)), "scd1")
+    inserted = number_in_order(fresh, [business_key], key, last_key(dim, key), "scd1")
     return kept.unionByName(inserted).select(*dim.columns)
 
 
@@ -102,7 +102,7 @@ def scd2_changes(
         .withColumn("_in_place", F.col("action") == SAME_DAY)
     )
     written = stage_in_order(delta, ["_in_place", business_key], "scd2-changes")
-    return dense_numbers(written, "new_key", F.lit(last_key(dim, key))).drop("_in_place")
+    return dense_numbers(written, "new_key", last_key(dim, key)).drop("_in_place")
 
 
 def scd2_apply(

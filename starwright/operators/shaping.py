@@ -18,11 +18,10 @@ def conform_to_schema(df: DataFrame, table: str) -> DataFrame:
     Values are cast (decimals round half up, timestamps lose their time in a DATE column).
     A column that is absent takes its default; a NULL that is present stays NULL.
     """
-    return df.select(
-        [
-            (F.col(f.name) if f.name in df.columns else default_of(table, f.name))
-            .cast(f.dataType)
-            .alias(f.name)
+    return df.selectExpr(
+        *[
+            f"CAST({f.name if f.name in df.columns else default_of(table, f.name)}"
+            f" AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema(table)
         ]
     )

@@ -148,7 +148,7 @@ def load_fact(
         for spec in dimensions
     }
     numbered = dense_numbers(
-        store.read(FACT_STAGING, extra=_STAMP), "row_number", F.lit(0)
+        store.read(FACT_STAGING, extra=_STAMP), "row_number", 0
     )
     incoming = resolve_fact(numbered, dims, as_of)
     known = materialize(existing_keys(store.read(FACT_TABLE), staged), "known-keys")
@@ -192,7 +192,8 @@ def run(
     try:
         seed_dimensions(store, dimensions)
         by_name = {spec.name: spec for spec in dimensions}
-        sources = [*by_name, *(["order_line"] if with_fact else [])]
+        # The longest extract starts first.
+        sources = [*(["order_line"] if with_fact else []), *by_name]
 
         def stage(name: str) -> Batch:
             return extract(store, control, tables, name, full_load, lookback)

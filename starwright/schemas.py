@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _VALIDITY = """
@@ -162,11 +161,12 @@ def schema(table: str) -> T.StructType:
     )
 
 
-def default_of(table: str, column: str) -> Column:
-    return F.expr(DEFAULTS.get(table, {}).get(column, "NULL"))
+def default_of(table: str, column: str) -> str:
+    """SQL expression of a column's default."""
+    return DEFAULTS.get(table, {}).get(column, "NULL")
 
 
 def empty_frame(spark: SparkSession, columns: T.StructType) -> DataFrame:
     """No rows; a literal plan, so the optimiser removes every join with it."""
-    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns]
-    return spark.range(1).where(F.lit(False)).select(none)
+    none = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in columns]
+    return spark.range(1).where("false").selectExpr(*none)

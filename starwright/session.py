@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 
-CONCURRENT_STEPS = 4
+CONCURRENT_STEPS = 8
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -32,6 +32,8 @@ def build_session(app_name: str, cores: str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        # Months of a fact are listed by the driver, not by a job of their own.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "512")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

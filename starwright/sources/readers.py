@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -40,4 +39,4 @@ def jdbc_tables(
 
 def select_as(df: DataFrame, **columns: str) -> DataFrame:
     """Projection by SQL expressions: ``new_name="expression"``."""
-    return df.select(*[F.expr(e).alias(n) for n, e in columns.items()])
+    return df.selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])

@@ -34,7 +34,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._appending = Lock()
+        self._appending = {log: Lock() for log in LOGS}
         for log in LOGS:
             self._frame([], log).write.mode("ignore").parquet(self._path(log))
         self.refresh()
@@ -52,7 +52,7 @@ class TableStore:
 
     def append(self, log: str, rows: list[tuple]) -> None:
         """Add a few control rows; the commit of the write makes them visible at once."""
-        with self._appending:
+        with self._appending[log]:
             self._frame(rows, log).write.mode("append").parquet(self._path(log))
 
     def read_log(self, log: str) -> DataFrame:
