@@ -21,7 +21,7 @@ from starwright.functions.scalars import (
 from starwright.operators import quality
 from starwright.operators.calendar import calendar_for, insert_missing_days
 from starwright.operators.dedup import keep_latest
-from starwright.operators.fact import fact_upsert, resolve_fact
+from starwright.operators.fact import existing_keys, fact_upsert, resolve_fact
 from starwright.operators.keys import (
     UNKNOWN_KEY,
     dense_numbers,
@@ -498,7 +498,9 @@ def _(spark, directory):
         written = materialize(stamp_rows(staged), "staged-lines")
         numbered = dense_numbers(written, "row_number", 0)
         incoming = resolve_fact(numbered, {}).withColumns(unknown | no_cost)
-        merged = fact_upsert(fact, incoming, mark_column(day), start=last_key(fact, FACT_KEY))
+        known = materialize(existing_keys(fact, written), "known-keys")
+        start = last_key(fact, FACT_KEY)
+        merged = fact_upsert(fact, incoming, mark_column(day), start=start, known=known)
         return materialize(merged, "fact")
 
     first = upsert(

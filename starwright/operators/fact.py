@@ -78,8 +78,8 @@ def fact_upsert(
     """``fact`` after inserting or overwriting the rows of ``incoming`` by natural key.
 
     A row that exists keeps its surrogate key; a new one takes ``start + number``.
-    ``known`` may pass the keys of all rows to be overwritten, when ``fact`` holds only the
-    partitions that the batch touches.
+    ``known`` may pass the keys of the rows to be overwritten, when ``fact`` holds only the
+    partitions that the batch touches, or when they have been written already.
     """
     columns = schema(FACT_TABLE).fieldNames()
     known = existing_keys(fact, incoming) if known is None else known
@@ -89,7 +89,7 @@ def fact_upsert(
         .withColumn(FACT_KEY, F.coalesce("_key", F.lit(start) + F.col(number)).cast("long"))
         .withColumn("loaded_at", loaded_at)
     )
-    untouched = fact.join(incoming.select(NATURAL_KEY), NATURAL_KEY, "left_anti")
+    untouched = fact.join(known.select(NATURAL_KEY), NATURAL_KEY, "left_anti")
     return untouched.select(columns).unionByName(written.select(columns))
 
 

@@ -37,29 +37,48 @@ def later_changes():
             "territory": territory}
 
 
-def test_two_loads(spark, store):
+def test_life_of_a_warehouse(spark, store):
     first = load(spark, store)
     assert first.applied == {"customer": 4, "product": 2, "salesperson": 2, "territory": 1,
                              "promotion": 1, "ship_method": 1, "order_line": 4}
+    assert_clean(store)
+    assert_indicators(spark, store)
     keys = dict(content(store.read(FACT_TABLE), "order_line_id", "sale_key"))
-    second = load(spark, store, SECOND_DAY, later_changes())
-    assert second.staged == {"customer": 1, "product": 0, "salesperson": 0, "territory": 1,
-                             "promotion": 0, "ship_method": 0, "order_line": 2}
+    before = {s.table: content(store.read(s.table)) for s in DIMENSIONS}
+    fact = content(store.read(FACT_TABLE).drop("loaded_at"))
+
+    # Nothing new: staging is emptied, nothing is loaded.
+    version = store.version(FACT_TABLE)
+    idle = load(spark, store, SECOND_DAY)
+    assert idle.applied == {} and set(idle.staged.values()) == {0}
+    assert store.version(FACT_TABLE) == version
+    assert store.read("stg.customer").isEmpty()
+
+    # A full reload changes nothing but the load time.
+    load(spark, store, SECOND_DAY, full_load=True)
+    assert {s.table: content(store.read(s.table)) for s in DIMENSIONS} == before
+    assert content(store.read(FACT_TABLE).drop("loaded_at")) == fact
+
+    # Changes: new versions, an overwritten name, a line that moves to another month.
+    third_day = datetime(2024, 1, 22)
+    changed = load(spark, store, third_day, later_changes())
+    assert changed.staged == {"customer": 1, "product": 0, "salesperson": 0, "territory": 1,
+                              "promotion": 0, "ship_method": 0, "order_line": 2}
     fact = store.read(FACT_TABLE)
     assert dict(content(fact, "order_line_id", "sale_key")) == keys
-    rows = content(fact, "order_line_id", "quantity", "order_date_key", "customer_key",
-                   "loaded_at")
-    assert rows == [
-        (11, 2, 20240105, 1, FIRST_DAY),
-        (12, 7, 20240105, 5, SECOND_DAY),
-        (21, 1, 20240105, -1, FIRST_DAY),
-        (31, 1, 20240501, 2, SECOND_DAY),
+    assert content(fact, "order_line_id", "quantity", "order_date_key", "customer_key",
+                   "loaded_at") == [
+        (11, 2, 20240105, 1, SECOND_DAY),
+        (12, 7, 20240105, 5, third_day),
+        (21, 1, 20240105, -1, SECOND_DAY),
+        (31, 1, 20240501, 2, third_day),
     ]
     # The month the order left is empty now, so it is no longer a part of the table.
     assert sorted(store.live_parts(FACT_TABLE)) == ["202401", "202405"]
     assert content(store.read("dw.dim_territory"), "territory_key", "territory_name") == [
         (-1, "Desconhecido"), (1, "Far North"),
     ]
+    assert sorted(store.live_parts("dw.dim_customer")) == ["closed-3", "current"]
     assert_clean(store)
 
 
@@ -81,22 +100,29 @@ def assert_clean(store):
     assert quality.duplicate_keys(fact, ["sale_key"]).isEmpty()
 
 
-def test_full_reload_changes_nothing_but_the_load_time(spark, store):
-    load(spark, store)
-    before = {s.table: content(store.read(s.table)) for s in DIMENSIONS}
-    fact = content(store.read(FACT_TABLE).drop("loaded_at"))
-    load(spark, store, SECOND_DAY, full_load=True)
-    assert {s.table: content(store.read(s.table)) for s in DIMENSIONS} == before
-    assert content(store.read(FACT_TABLE).drop("loaded_at")) == fact
-
-
-def test_nothing_new_loads_nothing(spark, store):
-    load(spark, store)
-    version = store.version(FACT_TABLE)
-    report = load(spark, store, SECOND_DAY)
-    assert report.applied == {} and set(report.staged.values()) == {0}
-    assert store.version(FACT_TABLE) == version
-    assert store.read("stg.customer").isEmpty()
+def assert_indicators(spark, store):
+    """The stored star and the lazy one give the same indicators."""
+    source = tables(spark)
+    fact, dims = load_star(spark, source, BY_NAME, FIRST_DAY.date().isoformat())
+    stored, days = store.read(FACT_TABLE), store.read("dw.dim_date")
+    territory = store.read("dw.dim_territory")
+    for indicator, name in (
+        (kpis.margin_by_category, "product"), (kpis.top_products, "product"),
+        (kpis.sales_by_territory, "territory"), (kpis.salesperson_performance, "salesperson"),
+    ):
+        dim = store.read(BY_NAME[name].table)
+        assert content(indicator(stored, dim)) == content(indicator(fact, dims[name]))
+    for indicator in (kpis.revenue_by_month, kpis.average_ticket, kpis.items_by_quarter,
+                      kpis.discount_rate, kpis.month_over_month_growth):
+        assert content(indicator(stored, days)) == content(indicator(fact, days))
+    assert content(kpis.lead_time_by_territory(stored, days, territory)) == [("North", 3.0)]
+    # March follows January: growth compares with the previous month that has sales.
+    assert content(kpis.month_over_month_growth(stored, days), "month_number", "growth_pct") == [
+        (1, None), (3, Decimal("-85.51")),
+    ]
+    free = stored.withColumn("line_total", F.lit(0).cast("decimal(14,4)"))
+    margins = kpis.margin_by_category(free, store.read("dw.dim_product"))
+    assert {r.margin_pct for r in margins.collect()} == {None}
 
 
 def test_a_crash_before_the_mark_is_absorbed(spark, store, monkeypatch):
@@ -136,35 +162,6 @@ def test_versions_in_force_instead_of_current(spark, store):
     assert costs[0] == (11, Decimal("2.0000")) and costs[3] == (31, Decimal("9.0000"))
 
 
-def test_indicators_agree_on_stored_and_lazy_star(spark, store):
-    load(spark, store)
-    source = tables(spark)
-    fact, dims = load_star(spark, source, BY_NAME, FIRST_DAY.date().isoformat())
-    stored, days = store.read(FACT_TABLE), store.read("dw.dim_date")
-    territory = store.read("dw.dim_territory")
-    for indicator, name in (
-        (kpis.margin_by_category, "product"), (kpis.top_products, "product"),
-        (kpis.sales_by_territory, "territory"), (kpis.salesperson_performance, "salesperson"),
-    ):
-        dim = store.read(BY_NAME[name].table)
-        assert content(indicator(stored, dim)) == content(indicator(fact, dims[name]))
-    for indicator in (kpis.revenue_by_month, kpis.average_ticket, kpis.items_by_quarter,
-                      kpis.discount_rate, kpis.month_over_month_growth):
-        assert content(indicator(stored, days)) == content(indicator(fact, days))
-    assert content(kpis.lead_time_by_territory(stored, days, territory)) == [("North", 3.0)]
-    # March follows January: growth compares with the previous month that has sales.
-    assert content(kpis.month_over_month_growth(stored, days), "month_number", "growth_pct") == [
-        (1, None), (3, Decimal("-85.51")),
-    ]
-
-
-def test_zero_revenue_has_no_margin(spark, store):
-    load(spark, store)
-    free = store.read(FACT_TABLE).withColumn("line_total", F.lit(0).cast("decimal(14,4)"))
-    margins = kpis.margin_by_category(free, store.read("dw.dim_product"))
-    assert {r.margin_pct for r in margins.collect()} == {None}
-
-
 def test_failed_step_is_logged_and_raised(spark, store, monkeypatch):
     monkeypatch.setattr(pipeline, "next_watermark", lambda df: 1 / 0)
     with pytest.raises(ZeroDivisionError):
