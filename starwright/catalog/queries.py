@@ -53,7 +53,7 @@ from starwright.plans.model import (
 from starwright.plans.pipeline import run
 from starwright.plans.star import load_dimension, load_fact, load_star, merge_dimension
 from starwright.plans.star import seeded_dimension
-from starwright.schemas import empty_frame, schema
+from starwright.schemas import OPEN_START, empty_frame, schema
 from starwright.session import materialize, scratch_path
 from starwright.sources.extracts import SOURCES, customers, first_address, mark_column
 from starwright.sources.extracts import order_lines
@@ -127,7 +127,7 @@ _register_sources()
 
 @query("schema_rename_guarded")
 def _(spark, directory):
-    old = customers(SourceTables(spark, directory), mark_column("1900-01-01")).select(
+    old = customers(SourceTables(spark, directory), OPEN_START).select(
         "customer_id", F.col("customer_name").alias("person_name")
     )
     renamed = rename_guarded(old, "person_name", "customer_name")
@@ -203,7 +203,7 @@ def _(spark, directory):
 @query("incremental_filter_multi")
 def _(spark, directory):
     tables = SourceTables(spark, directory)
-    return order_lines(tables, mark_column("2000-06-01 00:00:00")).select(
+    return order_lines(tables, "2000-06-01 00:00:00").select(
         "order_line_id", "product_id", "employee_id", "modified_at"
     )
 
@@ -507,7 +507,7 @@ def _(spark, directory):
         empty_frame(spark, schema(FACT_TABLE)), _lines(spark, directory, FIRST), DAY_ONE
     )
     changed = SOURCES["order_line"].staged(
-        SourceTables(spark, directory, SECOND), mark_column(DAY_ONE)
+        SourceTables(spark, directory, SECOND), DAY_ONE
     )
     second = upsert(first, changed, DAY_TWO)
     kept = first.select(NATURAL_KEY, F.col(FACT_KEY).alias("old_key"))

@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key, or NULL, holds much of the data."""
+"""Joins that stay small for a small batch, and balanced when one key, or NULL, is hot."""
 
 from __future__ import annotations
 
@@ -22,3 +22,12 @@ def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str
     # Zero written as a function of the key, or the optimiser folds the column away.
     zero = F.pmod(F.col(key).cast("long"), F.lit(1).cast("long"))
     return salted.join(right.withColumn("_spread", zero), [key, "_spread"], "left").drop("_spread")
+
+
+def members_used(big: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Rows of a large table whose key occurs in a batch.
+
+    The batch is a written table, so a small one is broadcast and the large table is
+    filtered where it is scanned instead of being shuffled.
+    """
+    return big.join(batch.select(key).distinct(), key, "left_semi").select(*big.columns)

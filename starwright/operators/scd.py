@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starwright.functions.scalars import row_hash
 from starwright.operators.dedup import pick_first
+from starwright.operators.joins import members_used
 from starwright.operators.keys import last_key, dense_numbers, number_in_order, stage_in_order
 from starwright.schemas import OPEN_END
 
@@ -35,9 +36,8 @@ def scd1_upsert(
         business_key,
         *[F.when(F.col("_hit"), F.col(f"_{a}")).otherwise(F.col(a)).alias(a) for a in attributes],
     )
-    fresh = staged.join(dim.select(business_key), business_key, "left_anti").select(
-        business_key, *attributes
-    )
+    known = members_used(dim, staged, business_key).select(business_key)
+    fresh = staged.join(known, business_key, "left_anti").select(business_key, *attributes)
     inserted = number_in_order(fresh, [business_key], key, last_key(dim, key), "scd1")
     return kept.unionByName(inserted).select(*dim.columns)
 
@@ -62,7 +62,7 @@ def scd2_classify(
 
     A seeded row has no hash, so hashes are compared null-safely.
     """
-    current = dim.where("is_current").select(
+    current = members_used(dim.where("is_current"), staged, business_key).select(
         F.col(business_key).alias("_bk"),
         F.col(key),
         F.col("row_hash").alias("_old_hash"),

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from starwright.functions.scalars import date_key, month_of_key
 from starwright.operators.calendar import calendar_between, missing_days
 from starwright.operators.fact import existing_keys, fact_upsert, resolve_fact
+from starwright.operators.joins import members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
 from starwright.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starwright.operators.shaping import date_range, next_watermark
@@ -25,7 +26,7 @@ from starwright.plans.model import (
     DimensionSpec,
 )
 from starwright.session import materialize, together
-from starwright.sources.extracts import SOURCES, Tables, mark_column
+from starwright.sources.extracts import SOURCES, Tables
 from starwright.sources.store import TableStore
 
 CALENDAR = "dw.dim_date"
@@ -82,8 +83,7 @@ def extract(
     """
     source = SOURCES[name]
     with control.step(f"extract_{name}") as outcome:
-        mark = mark_column(control.watermark(name, full_load, lookback))
-        staged = source.staged(tables, mark)
+        staged = source.staged(tables, control.watermark(name, full_load, lookback))
         if source.staging == FACT_STAGING:
             staged = stamp_rows(staged)
         store.replace(source.staging, staged)
@@ -144,7 +144,11 @@ def load_fact(
     extend_calendar(store, staged)
     # Lines take current versions, so a load without ``as_of`` leaves closed history alone.
     dims = {
-        spec.name: store.read(spec.table, None if as_of else _current_part(spec))
+        spec.name: members_used(
+            store.read(spec.table, None if as_of else _current_part(spec)),
+            staged,
+            spec.business_key,
+        )
         for spec in dimensions
     }
     numbered = dense_numbers(

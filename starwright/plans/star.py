@@ -24,7 +24,11 @@ def seeded_dimension(spark, spec: DimensionSpec) -> DataFrame:
 def merge_dimension(
     dim: DataFrame, staged: DataFrame, spec: DimensionSpec, load_date: str
 ) -> DataFrame:
-    """The dimension after one batch, by its history type."""
+    """The dimension after one batch, by its history type.
+
+    The batch is staged first, since a merge reads it more than once.
+    """
+    staged = materialize(staged, f"staged-{spec.name}")
     if spec.scd_type == 2:
         return scd2_merge(dim, staged, spec.business_key, spec.key, spec.attributes, load_date)
     return scd1_upsert(dim, staged, spec.business_key, spec.key, spec.attributes)

@@ -1,7 +1,7 @@
 """The seven source models: from normalised order-processing tables to staging rows.
 
-Each model takes the source tables by role and a watermark column, and returns a lazy
-frame.  A filter on the root table is applied before the joins, so it reaches the scan.
+Each model takes the source tables by role and a watermark, and returns a frame.  A filter
+on the root table is applied before the joins, so it reaches the scan.
 """
 
 from __future__ import annotations
@@ -19,15 +19,17 @@ from starwright.operators.joins import left_join_sparse
 from starwright.operators.shaping import changed_since, conform_to_schema, is_changed_since
 from starwright.plans.model import DIMENSIONS, FACT_STAGING, LINE_TIE_BREAK, NATURAL_KEY
 from starwright.schemas import OPEN_START
+from starwright.session import materialize
 
 Tables = Mapping[str, DataFrame]
+Moment = datetime | str
 
 # Labels of a customer without a name, and the customer types.
 UNNAMED_CUSTOMER = "Cliente desconhecido"
 STORE_CUSTOMER, PERSON_CUSTOMER = "Store", "Individual"
 
 
-def mark_column(moment: datetime | str) -> Column:
+def mark_column(moment: Moment) -> Column:
     """A watermark as a literal, so that it can be pushed down to the source."""
     return F.lit(str(moment)).cast("timestamp_ntz")
 
@@ -40,7 +42,7 @@ def first_address(entity_address: DataFrame) -> DataFrame:
     return lowest_per_key(entity_address, "entity_id", "address_id")
 
 
-def customers(tables: Tables, watermark: Column) -> DataFrame:
+def customers(tables: Tables, since: Moment) -> DataFrame:
     """Customer with name, type and first address; stores without a person have none."""
     person = tables["person"].select(
         F.col("entity_id").alias("person_id"),
@@ -58,7 +60,7 @@ def customers(tables: Tables, watermark: Column) -> DataFrame:
     )
     is_store = F.col("store_id").isNotNull()
     return (
-        changed_since(tables["customer"], ["modified_at"], watermark)
+        changed_since(tables["customer"], ["modified_at"], mark_column(since))
         .join(person, "person_id", "left")
         .join(store, "store_id", "left")
         .transform(left_join_sparse, address_of, "person_id", "customer_id")
@@ -79,12 +81,12 @@ def customers(tables: Tables, watermark: Column) -> DataFrame:
     )
 
 
-def products(tables: Tables, watermark: Column) -> DataFrame:
+def products(tables: Tables, since: Moment) -> DataFrame:
     """Product with its subcategory and category flattened in."""
     category = tables["product_category"]
     subcategory = tables["product_subcategory"].join(category, "category_id", "left")
     return (
-        changed_since(tables["product"], ["modified_at"], watermark)
+        changed_since(tables["product"], ["modified_at"], mark_column(since))
         .join(
             subcategory.select("subcategory_id", "subcategory_name", "category_name"),
             "subcategory_id",
@@ -94,13 +96,13 @@ def products(tables: Tables, watermark: Column) -> DataFrame:
     )
 
 
-def salespeople(tables: Tables, watermark: Column) -> DataFrame:
+def salespeople(tables: Tables, since: Moment) -> DataFrame:
     """Salesperson, changed when either the sales or the employee row changed."""
     seller, employee = tables["sales_person"].alias("s"), tables["employee"].alias("e")
     marks = [F.col("s.modified_at"), F.col("e.modified_at")]
     return (
         seller.join(employee, F.col("s.entity_id") == F.col("e.entity_id"))
-        .where(is_changed_since(marks, watermark))
+        .where(is_changed_since(marks, mark_column(since)))
         .join(tables["person"].alias("p"), F.col("s.entity_id") == F.col("p.entity_id"))
         .select(
             F.col("s.entity_id").alias("employee_id"),
@@ -111,53 +113,67 @@ def salespeople(tables: Tables, watermark: Column) -> DataFrame:
     )
 
 
-def territories(tables: Tables, watermark: Column) -> DataFrame:
-    return changed_since(tables["territory"], ["modified_at"], watermark)
+def territories(tables: Tables, since: Moment) -> DataFrame:
+    return changed_since(tables["territory"], ["modified_at"], mark_column(since))
 
 
-def promotions(tables: Tables, watermark: Column) -> DataFrame:
-    return changed_since(tables["special_offer"], ["modified_at"], watermark)
+def promotions(tables: Tables, since: Moment) -> DataFrame:
+    return changed_since(tables["special_offer"], ["modified_at"], mark_column(since))
 
 
-def ship_methods(tables: Tables, watermark: Column) -> DataFrame:
-    return changed_since(tables["ship_method"], ["modified_at"], watermark)
+def ship_methods(tables: Tables, since: Moment) -> DataFrame:
+    return changed_since(tables["ship_method"], ["modified_at"], mark_column(since))
 
 
-def order_lines(tables: Tables, watermark: Column) -> DataFrame:
+def _changed_lines(detail: DataFrame, header: DataFrame, since: Moment) -> DataFrame:
+    """Lines joined to their headers, where either row changed after the mark.
+
+    The condition spans both tables, so it cannot be pushed below one join.  A load from the
+    origin joins everything and filters.  An incremental one writes the two small sets of
+    changed rows, whose filters do reach the scans, and joins each with the other table: a
+    small set is broadcast, and neither large table is shuffled.
+    """
+    mark = mark_column(since)
+    marks = [F.col("line_modified_at"), F.col("header_modified_at")]
+    if str(since)[:10] == OPEN_START:
+        return detail.join(header, "order_id").where(is_changed_since(marks, mark))
+    new_lines = materialize(detail.where(marks[0] > mark), "changed-lines")
+    new_headers = materialize(header.where(marks[1] > mark), "changed-headers")
+    older_line = ~F.coalesce(marks[0] > mark, F.lit(False))
+    return new_lines.join(header, "order_id").unionByName(
+        detail.where(older_line).join(new_headers, "order_id")
+    )
+
+
+def order_lines(tables: Tables, since: Moment) -> DataFrame:
     """Order line with its header; tax and freight are shared out by line total.
 
-    A descriptive column may live on the line or on the header.  A line qualifies when
-    either row changed, a condition no engine can push below the join.
+    A descriptive column may live on the line or on the header.
     """
     detail = tables["order_detail"].withColumnRenamed("modified_at", "line_modified_at")
     header = tables["order_header"].withColumnRenamed("modified_at", "header_modified_at")
-    marks = [F.col("line_modified_at"), F.col("header_modified_at")]
 
     def share(amount: str) -> Column:
         return allocate_share(F.col(amount), F.col("line_total"), F.col("subtotal"))
 
-    return (
-        detail.join(header, "order_id")
-        .where(is_changed_since(marks, watermark))
-        .select(
-            "order_line_id",
-            "order_number",
-            "line_number",
-            *[F.col(c).cast("date").alias(c) for c in ("order_date", "ship_date", "due_date")],
-            "customer_id",
-            "product_id",
-            "employee_id",
-            "territory_id",
-            "special_offer_id",
-            "ship_method_id",
-            "quantity",
-            "unit_price",
-            "unit_price_discount",
-            "line_total",
-            share("header_tax").alias("tax_amount"),
-            share("header_freight").alias("freight"),
-            later_of(*marks).alias("modified_at"),
-        )
+    return _changed_lines(detail, header, since).select(
+        "order_line_id",
+        "order_number",
+        "line_number",
+        *[F.col(c).cast("date").alias(c) for c in ("order_date", "ship_date", "due_date")],
+        "customer_id",
+        "product_id",
+        "employee_id",
+        "territory_id",
+        "special_offer_id",
+        "ship_method_id",
+        "quantity",
+        "unit_price",
+        "unit_price_discount",
+        "line_total",
+        share("header_tax").alias("tax_amount"),
+        share("header_freight").alias("freight"),
+        later_of(F.col("line_modified_at"), F.col("header_modified_at")).alias("modified_at"),
     )
 
 
@@ -167,14 +183,19 @@ class SourceSpec:
 
     staging: str
     business_key: str
-    model: Callable[[Tables, Column], DataFrame]
+    model: Callable[[Tables, Moment], DataFrame]
     tie_break: tuple[str, ...] = ()
 
-    def staged(self, tables: Tables, watermark: Column | None = None) -> DataFrame:
-        """Typed rows changed after the watermark, the latest of each business key."""
-        watermark = mark_column(OPEN_START) if watermark is None else watermark
-        rows = conform_to_schema(self.model(tables, watermark), self.staging)
-        return keep_latest(rows, [self.business_key], tie_break=self.tie_break)
+    def staged(self, tables: Tables, since: Moment = OPEN_START) -> DataFrame:
+        """Typed rows changed after the watermark, the latest of each business key.
+
+        The named columns decide between copies with the same time, then all others, so the
+        choice is the same in every run.
+        """
+        rows = conform_to_schema(self.model(tables, since), self.staging)
+        named = (self.business_key, "modified_at", *self.tie_break)
+        ties = (*self.tie_break, *[c for c in rows.columns if c not in named])
+        return keep_latest(rows, [self.business_key], tie_break=ties)
 
 
 _MODELS = {

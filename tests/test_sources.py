@@ -2,15 +2,15 @@ from datetime import datetime
 from decimal import Decimal
 
 from starwright.operators.dedup import keep_latest
-from starwright.sources.extracts import SOURCES, mark_column
+from starwright.schemas import OPEN_START
+from starwright.sources.extracts import SOURCES
 from tests.tiny import NEW, OLD, ROWS, content, frame, tables
 
 BETWEEN = datetime(2024, 1, 15)
 
 
 def staged(spark, name, watermark=None, **changes):
-    mark = None if watermark is None else mark_column(watermark)
-    return SOURCES[name].staged(tables(spark, **changes), mark)
+    return SOURCES[name].staged(tables(spark, **changes), watermark or OPEN_START)
 
 
 def test_customer_names_types_and_first_address(spark):
@@ -43,6 +43,17 @@ def test_order_line_changes_with_its_header(spark):
     assert content(lines, "order_line_id", "modified_at") == [(11, NEW), (12, NEW)]
 
 
+def test_line_and_header_may_both_change(spark):
+    header = [row[:-1] + (NEW if row[0] < 3 else None,) for row in ROWS["order_header"]]
+    detail = [row[:-1] + (NEW if row[1] in (12, 31) else None,) for row in ROWS["order_detail"]]
+    changes = {"order_header": header, "order_detail": detail}
+    # Later of the two: a missing line time gives the header's, a missing header time none.
+    expected = [(11, NEW), (12, NEW), (21, NEW), (31, None)]
+    for mark in (BETWEEN, None):
+        lines = staged(spark, "order_line", mark, **changes)
+        assert content(lines, "order_line_id", "modified_at") == expected
+
+
 def test_order_line_shares_and_orphans(spark):
     rows = content(staged(spark, "order_line"), "order_line_id", "tax_amount", "freight")
     assert rows == [
