@@ -377,7 +377,8 @@ def _library() -> dict[str, str]:
     ctes["fact"] = _resolved("stg_order_line", every)
     ctes["dim_date"] = _calendar(_ALL_DATES)
     ctes["changed_line"] = _latest_line(
-        "(SELECT * FROM raw_line_b WHERE line_mark > (SELECT max(modified_at) FROM stg_order_line_a)"
+        "(SELECT * FROM raw_line_b"
+        " WHERE line_mark > (SELECT max(modified_at) FROM stg_order_line_a)"
         " OR header_mark > (SELECT max(modified_at) FROM stg_order_line_a)) c"
     )
     ctes["fact_one"] = _resolved(
@@ -475,10 +476,9 @@ def _shaping_statements() -> dict[str, str]:
     empty = "line_number ship_date due_date product_id employee_id territory_id"
     empty += " special_offer_id ship_method_id quantity unit_price_discount"
     kinds = _kinds("stg.order_line")
+    sql_types = {"m": "DOUBLE", "d": "VARCHAR"}
     nothing = ", ".join(
-        f"CAST(NULL AS {'DOUBLE' if kinds[c] == 'm' else 'VARCHAR' if kinds[c] == 'd' else 'BIGINT'})"
-        f" AS {c}"
-        for c in empty.split()
+        f"CAST(NULL AS {sql_types.get(kinds[c], 'BIGINT')}) AS {c}" for c in empty.split()
     )
     return {
         "schema_rename_guarded": _some("customer_id:b customer_name:s", "stg_customer"),
@@ -578,7 +578,8 @@ def _key_statements() -> dict[str, str]:
             SELECT count(*) AS rows, strftime(max(modified_at), '%Y-%m-%d %H:%M:%S') AS watermark
             FROM stg_order_line""",
         "date_range": _some(
-            "first_day:d last_day:d", f"(SELECT lo AS first_day, hi AS last_day FROM ({_ALL_DATES}) x) y"),
+            "first_day:d last_day:d",
+            f"(SELECT lo AS first_day, hi AS last_day FROM ({_ALL_DATES}) x) y"),
         "validate_row_counts": f"""
             SELECT 'dw.fact_sales' AS table_name, count(*) AS rows FROM stg_order_line
             UNION ALL {counts}""",
@@ -734,8 +735,15 @@ def _kpi_statements() -> dict[str, str]:
 
 
 def _quality_statements() -> dict[str, str]:
-    lines = f"""({_resolved('(SELECT d.order_line_id, d.product_id, d.employee_id, d.ship_method_id, d.quantity, d.unit_price, d.unit_price_discount, d.ship_date, h.order_date, h.due_date, h.customer_id, h.territory_id, h.special_offer_id FROM src_detail d JOIN src_header h ON h.order_id = d.order_id)', {})})"""
-    days = "SELECT date_key FROM dim_date WHERE full_date BETWEEN (SELECT min(order_date) FROM src_header) AND (SELECT max(order_date) FROM src_header)"
+    joined = """(SELECT d.order_line_id, d.product_id, d.employee_id, d.ship_method_id,
+                        d.quantity, d.unit_price, d.unit_price_discount, d.ship_date,
+                        h.order_date, h.due_date, h.customer_id, h.territory_id,
+                        h.special_offer_id
+                 FROM src_detail d JOIN src_header h ON h.order_id = d.order_id)"""
+    lines = f"({_resolved(joined, {})})"
+    days = """SELECT date_key FROM dim_date
+              WHERE full_date BETWEEN (SELECT min(order_date) FROM src_header)
+                                  AND (SELECT max(order_date) FROM src_header)"""
     parents = {k: days for k in ("order_date_key", "ship_date_key", "due_date_key")}
     parents |= {
         spec.business_key: f"SELECT {spec.business_key} FROM stg_{spec.name}_a"
@@ -840,7 +848,8 @@ def _pipeline_statements() -> dict[str, str]:
     def loaded(relation: str, day: str, tail: str = "") -> str:
         facts = f"(SELECT *, modified_at AS source_modified_at FROM {relation}) f"
         statement = _show(content, facts, tail)
-        return statement.replace(" FROM (SELECT *", f", '{day} 00:00:00' AS loaded_at FROM (SELECT *", 1)
+        marked = f", '{day} 00:00:00' AS loaded_at FROM (SELECT *"
+        return statement.replace(" FROM (SELECT *", marked, 1)
 
     return {
         "stg_replace": staged,

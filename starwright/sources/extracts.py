@@ -189,13 +189,11 @@ class SourceSpec:
     def staged(self, tables: Tables, since: Moment = OPEN_START) -> DataFrame:
         """Typed rows changed after the watermark, the latest of each business key.
 
-        The named columns decide between copies with the same time, then all others, so the
-        choice is the same in every run.
+        The tie-break columns decide between copies with the same time.  They are few, so
+        that a query over lazy rows still reads only the columns it needs.
         """
         rows = conform_to_schema(self.model(tables, since), self.staging)
-        named = (self.business_key, "modified_at", *self.tie_break)
-        ties = (*self.tie_break, *[c for c in rows.columns if c not in named])
-        return keep_latest(rows, [self.business_key], tie_break=ties)
+        return keep_latest(rows, [self.business_key], tie_break=self.tie_break)
 
 
 _MODELS = {
