@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from starwright.session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "keyed_text", "read_table", "shared_text"]
+__all__ = [
+    "keyed_text", "materialize", "read_table", "scratch_path", "shared_text", "stored",
+]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,3 +26,11 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def shared_text(path: str) -> str:
     """The content of a vocabulary file, which travels with the tasks (a few MB at most)."""
     return Path(path).read_text(encoding="utf-8")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Like ``materialize``, with the stronger codec that packed numbers and texts deserve."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

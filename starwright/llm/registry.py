@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starwright.llm import simhash, token_counts
+from starwright.llm import bpe, simhash, token_counts
 from starwright.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -16,12 +16,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), WORD_BPE, over=2048)
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_dedup": op5_simhash_dedup,
 }
 
