@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starwright.llm import bpe, simhash, token_counts
+from starwright.llm import bpe, decontam, simhash, token_counts
 from starwright.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,10 +24,17 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10
+    )
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
