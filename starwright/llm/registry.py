@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starwright.llm import bpe, decontam, simhash, token_counts
+from starwright.llm import bpe, decontam, rans, simhash, token_counts
 from starwright.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,10 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op6_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.encode_read_back(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10
@@ -34,6 +38,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_rans_files": op6_rans_files,
     "op10_decontamination": op10_decontamination,
 }
 
