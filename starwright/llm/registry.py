@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starwright.llm import bpe, decontam, rans, simhash, token_counts
+from starwright.llm import bpe, decontam, rans, simhash, token_counts, warc
 from starwright.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +28,10 @@ def op6_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.encode_read_back(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
 
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10
@@ -39,6 +43,7 @@ QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_rans_files": op6_rans_files,
+    "op8_warc_round_trip": op8_warc_round_trip,
     "op10_decontamination": op10_decontamination,
 }
 
