@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starwright.llm import bpe, decontam, rans, simhash, token_counts, warc
+from starwright.llm import bpe, decontam, rans, simhash, token_counts, warc, zstd_langid
 from starwright.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def fold(id_col: str, folds: int) -> Column:
+    """CRC-32 class of an id as text; a null id is in class 0."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds, F.lit(0))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), WORD_BPE, over=2048)
 
@@ -32,6 +38,15 @@ def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    learned = zstd_langid.learn(docs.where(~held_out))
+    return zstd_langid.predict(docs, learned).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10
@@ -44,6 +59,7 @@ QUERIES = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_rans_files": op6_rans_files,
     "op8_warc_round_trip": op8_warc_round_trip,
+    "op9_language": op9_language,
     "op10_decontamination": op10_decontamination,
 }
 
