@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwright.llm import bpe, decontam, rans, simhash, token_counts, warc, zstd_langid
+from starwright.llm import (
+    bpe, decontam, knn_quality, rans, simhash, token_counts, warc, zstd_langid,
+)
 from starwright.llm.common import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +36,15 @@ def op6_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.encode_read_back(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    model = knn_quality.fit(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return knn_quality.predict(docs, model, threshold=0.3).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
+
+
 def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"), min_bytes=0)
 
@@ -58,6 +69,7 @@ QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_rans_files": op6_rans_files,
+    "op7_quality": op7_quality,
     "op8_warc_round_trip": op8_warc_round_trip,
     "op9_language": op9_language,
     "op10_decontamination": op10_decontamination,
