@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.llm import (
-    bpe, decontam, knn_quality, rans, simhash, token_counts, warc, zstd_langid,
+    bpe, decontam, knn_quality, rans, rotated_bits, simhash, token_counts, warc, zstd_langid,
 )
 from starwright.llm.common import read_table
 
@@ -24,6 +24,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), WORD_BPE, over=2048)
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotated_bits.nearest(
+        spark, read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, most=10
+    )
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -66,6 +72,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op3_nearest": op3_nearest,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_rans_files": op6_rans_files,
