@@ -27,7 +27,7 @@ from starwright.llm.common import scratch_path, stored
 QUERY_BLOCK, ROW_BLOCK = 8192, 512
 PAIR_BLOCK = 1 << 15
 #: Width of the error bound in standard deviations.
-WIDTH = 2.0
+WIDTH = 2.5
 SEED = 7
 
 
