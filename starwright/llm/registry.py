@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.llm import (
-    bpe, decontam, knn_quality, rans, rotated_bits, simhash, token_counts, warc, zstd_langid,
+    bpe, decontam, knn_quality, pii, rans, rotated_bits, simhash, token_counts, warc, zstd_langid,
 )
 from starwright.llm.common import read_table
 
@@ -20,6 +20,16 @@ def fold(id_col: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds, F.lit(0))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs)).select(
+        "doc_id",
+        *(f"n_{kind}" for kind in pii.BASE_KINDS),
+        F.sha2(F.array_join("base", ","), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), WORD_BPE, over=2048)
 
@@ -71,6 +81,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
     "op3_nearest": op3_nearest,
     "op4_bpe_round_trip": op4_bpe_round_trip,
