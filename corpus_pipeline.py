@@ -1,20 +1,84 @@
-"""Training-data pipeline: stages that each call one operator on what the last one kept."""
+"""Training-data pipeline: five stages, each calling one operator on what the last one kept.
+
+Stages take ``(spark, docs, sf_dir)`` and return a frame; all but the last return the columns of
+``documents``, whatever other columns there are.  Common to all: an empty table gives an empty
+table; a null text is judged as an empty one; rows are known by their ``doc_id``, so repeated
+rows share one fate, and rows without an id are never dropped by a comparison between documents.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starwright.llm import bpe, decontam, knn_quality, pii, simhash
+from starwright.llm.common import lookup_join, materialize, read_table
+from starwright.llm.registry import BYTE_BPE, fold
+
+LEAST_QUALITY = 0.3
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose quality score is below ``LEAST_QUALITY``.
+
+    Labels of the fold that is held out elsewhere are not used.  Without any label the score
+    is 0.5 and all stay.
+    """
+    model = knn_quality.fit(docs, read_table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return docs.where(knn_quality.scorer(model)(F.col("text")) >= LEAST_QUALITY)
+
+
+def _without(docs: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
+    """Rows whose id is not among ``dropped`` (``doc_id``)."""
+    return lookup_join(docs, materialize(dropped.distinct(), label), "doc_id", "left_anti")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
+    others = found.where("doc_id != component_id").select("doc_id")
+    return _without(docs, others, "pipeline-duplicates")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents in which a window of a benchmark item occurs."""
+    found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated").select("doc_id"), "pipeline-contaminated")
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind, as in ``<EMAIL>``; ``n_chars`` follows the text."""
+    masked = docs.withColumn("text", pii.masker(pii.fit(docs))(F.col("text")))
+    if "n_chars" not in docs.columns:
+        return masked
+    kind = docs.schema["n_chars"].dataType
+    return masked.withColumn("n_chars", F.length("text").cast(kind))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document: ``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``."""
+    return bpe.encode_decode(docs, BYTE_BPE, with_ids=True)
+
 
-from starwright.llm.common import materialize
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list = []
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_quality),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("pii", mask_personal_data),
+    ("bpe", tokenize),
+]
 
-#: Learned models and graph components have no SQL form; tests/llm compares with brute force.
+#: Learned models and components of a graph have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
