@@ -1,26 +1,27 @@
 """Byte-level BPE over a distinct-word table.
 
-Documents are packed into *chunks* of bounded size.  A chunk keeps its distinct words and, per
-document, the places of its words among them.  The words of all chunks are shuffled by word,
-so each distinct word is encoded once; its ids go back to the chunks that hold it, by place.
-Common words thus travel once per chunk instead of once per occurrence, and no row carries a
-whole document.  Decoding joins ids with the vocabulary's pieces by id, on the distinct words
-of a chunk, and puts the pieces together by place.
+Documents are packed into *chunks* of bounded size.  A chunk keeps its distinct words, dealt
+into buckets by their CRC-32, and, per document, the places of its words among them.  The words
+of all chunks are shuffled by bucket, so each distinct word is encoded once; its ids go back to
+the chunks that hold it, by place.  Common words thus travel once per chunk instead of once per
+occurrence.  The chunks are written as a table bucketed by chunk, so they stay where they are
+while the ids come to them.  Decoding joins ids with the vocabulary's pieces by id, on the
+distinct words of a chunk, and puts the pieces together by place.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.llm.common import keyed_text, shared_text, stored
+from starwright.llm.common import keyed_text, partitions, shared_text, stored_by
 from starwright.llm.words import (
     BYTE_PIECES, PLAIN, Ragged, batches_of, byte_letters, texts_of, word_encoder,
     words_with_spaces,
@@ -28,7 +29,6 @@ from starwright.llm.words import (
 
 BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
 CHUNK_WORDS, CHUNK_DISTINCT = 6_000_000, 400_000
-ENCODE_ROWS = 50_000
 
 
 def _cut(word: str) -> list[str]:
@@ -63,8 +63,8 @@ class _Chunk:
     def full(self) -> bool:
         return self.total >= CHUNK_WORDS or len(self.place) >= CHUNK_DISTINCT
 
-    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
-        """The chunk, its words sorted (they compress well) and frequent ones in low places."""
+    def row(self, number: int, buckets: int, schema: pa.Schema) -> pa.RecordBatch:
+        """The chunk, with low places for frequent words, and sorted words in each bucket."""
         from zstandard import ZstdCompressor
 
         words = np.array([*self.place, None], dtype=object)[:-1]
@@ -73,19 +73,22 @@ class _Chunk:
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words), dtype=np.uint32)
         stream = ZstdCompressor(level=3).compress(_short(rank[old]))
+        dealt: dict[int, list[int]] = {}
+        for i in sorted(range(len(words)), key=words.__getitem__):
+            dealt.setdefault(zlib.crc32(words[i].encode()) % buckets, []).append(i)
+        parts = [
+            {"bucket": k, "words": words[own].tolist(), "places": rank[own].tolist()}
+            for k, own in dealt.items()
+        ]
         ids = pa.concat_arrays(self.ids)
-        alphabet = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([number], pa.int64()),
-                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                pa.array([np.concatenate(self.sizes)], pa.list_(pa.int64())),
-                pa.array([stream], pa.binary()),
-                pa.array([words[alphabet].tolist()], pa.list_(pa.string())),
-                pa.array([rank[alphabet].astype(np.int32)], pa.list_(pa.int32())),
-            ],
-            schema=schema,
-        )
+        columns = [
+            pa.array([number], pa.int64()),
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            pa.array([np.concatenate(self.sizes)], pa.list_(pa.int64())),
+            pa.array([stream], pa.binary()),
+            pa.array([parts], schema.field("parts").type),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def _short(places: np.ndarray) -> bytes:
@@ -102,69 +105,86 @@ def _long(data: bytes) -> np.ndarray:
     return places
 
 
-def chunks_of(docs: DataFrame, label: str) -> DataFrame:
-    """``chunk, doc_ids, doc_words, stream, words, places``, written once.
+def chunks_of(docs: DataFrame, buckets: int, label: str) -> DataFrame:
+    """``chunk, doc_ids, doc_words, stream, parts``, written once, bucketed by chunk.
 
     A chunk's number is its task's range plus its turn.  The table is written before anything
     is joined with it, so a repeated task cannot number words in another way.
     """
-    id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([
         T.StructField("chunk", T.LongType()),
-        T.StructField("doc_ids", T.ArrayType(id_type)),
+        T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)),
         T.StructField("doc_words", T.ArrayType(T.LongType())),
         T.StructField("stream", T.BinaryType()),
-        T.StructField("words", T.ArrayType(T.StringType())),
-        T.StructField("places", T.ArrayType(T.IntegerType())),
+        T.StructField("parts", T.ArrayType(T.StructType([
+            T.StructField("bucket", T.IntegerType()),
+            T.StructField("words", T.ArrayType(T.StringType())),
+            T.StructField("places", T.ArrayType(T.IntegerType())),
+        ]))),
     ])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        part = pa.struct([
+            ("bucket", pa.int32()), ("words", pa.list_(pa.string())),
+            ("places", pa.list_(pa.int32())),
+        ])
         number, chunk = TaskContext.get().partitionId() << 32, _Chunk()
         for batch in batches_of(batches, BATCH_ROWS, BATCH_BYTES):
             fields = pa.schema([
                 ("chunk", pa.int64()), ("doc_ids", pa.list_(batch.schema.field(0).type)),
                 ("doc_words", pa.list_(pa.int64())), ("stream", pa.binary()),
-                ("words", pa.list_(pa.string())), ("places", pa.list_(pa.int32())),
+                ("parts", pa.list_(part)),
             ])
             chunk.add(batch.column(0), texts_of(batch.column(1)))
             if chunk.full():
-                yield chunk.row(number, fields)
+                yield chunk.row(number, buckets, fields)
                 number, chunk = number + 1, _Chunk()
         if chunk.ids:
-            yield chunk.row(number, fields)
+            yield chunk.row(number, buckets, fields)
 
-    return stored(docs.mapInArrow(pack, schema), label)
+    return stored_by(docs.mapInArrow(pack, schema), "chunk", buckets, label)
 
 
-def encode_distinct(words: DataFrame, vocabulary: str) -> DataFrame:
-    """Ids of every distinct word: ``chunk, place, word`` becomes ``chunk, place, ids``.
+def encode_distinct(parts: DataFrame, vocabulary: str) -> DataFrame:
+    """Ids of every distinct word: ``chunk, bucket, words, places`` becomes ``chunk, places, ids``.
 
-    Equal words lie next to each other after one shuffle and a sort inside its partitions, so
-    each is encoded once for all its places.  Ids are packed in four bytes each.
+    All words of a bucket come to one task, which keeps the ids of that bucket only.  ``ids``
+    are packed in four bytes each and go with ``sizes``, their number for each place.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_encoder(vocabulary, BYTE_PIECES, lower=False, most=1)
-        last: tuple[str | None, bytes] = (None, b"")
-        for batch in batches_of(batches, ENCODE_ROWS, BATCH_BYTES):
-            coded = batch.column(2).dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            known = 1 if distinct[0] == last[0] else 0
-            ids = [last[1]] * known + [
-                np.array(row, "<u4").tobytes() for row in coder(distinct[known:])
-            ]
-            last = (distinct[-1], ids[-1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1),
-                    pa.array(ids, pa.binary()).take(coded.indices),
-                ],
-                names=["chunk", "place", "ids"],
-            )
+        known: dict[str, list[int]] = {}
+        current = None
+        for batch in batches_of(batches, 64, BATCH_BYTES):
+            for i, bucket in enumerate(batch.column(1).to_pylist()):
+                if bucket != current:
+                    known, current = {}, bucket
+                words = batch.column(2)[i].as_py()
+                new = [word for word in words if word not in known]
+                known.update(zip(new, coder(new)))
+                rows = [known[word] for word in words]
+                ids = np.fromiter((n for row in rows for n in row), "<u4")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(i, 1), batch.column(3).slice(i, 1),
+                        pa.array([np.fromiter(map(len, rows), np.int32)], pa.list_(pa.int32())),
+                        pa.array([_packed(ids)], pa.binary()),
+                    ],
+                    names=["chunk", "places", "sizes", "ids"],
+                )
+
+    dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(
+        encode, "chunk long, places array<int>, sizes array<int>, ids binary"
+    )
 
-    spread = words.repartition("word").sortWithinPartitions("word")
-    return spread.mapInArrow(encode, "chunk long, place int, ids binary")
+
+def _packed(ids: np.ndarray) -> bytes:
+    from zstandard import ZstdCompressor
+
+    return ZstdCompressor(level=1).compress(ids.tobytes())
 
 
 def pieces_of(vocabulary: str) -> list[bytes]:
@@ -195,11 +215,9 @@ def encode_decode(
     vocabulary = shared_text(path)
     pieces = pieces_of(vocabulary)
     frame = keyed_text(docs, id_col, text_col)
-    chunks = chunks_of(frame, "bpe-chunks")
-    words = chunks.select("chunk", F.explode(F.arrays_zip("places", "words")).alias("w")).select(
-        "chunk", F.col("w.places").alias("place"), F.col("w.words").alias("word")
-    )
-    encoded = encode_distinct(words, vocabulary)
+    buckets = partitions(docs.sparkSession)
+    chunks = chunks_of(frame, buckets, "bpe-chunks")
+    encoded = encode_distinct(chunks.select("chunk", F.inline("parts")), vocabulary)
     fields = [
         T.StructField("doc_id", frame.schema["doc_id"].dataType),
         T.StructField("n_tokens", T.LongType()),
@@ -215,16 +233,20 @@ def encode_decode(
     def assemble(packed: pa.Table, found: pa.Table) -> pa.Table:
         from zstandard import ZstdDecompressor
 
-        found = found.take(pc.sort_indices(found["place"]))
-        ids = [np.frombuffer(x.as_buffer(), "<u4") for x in found["ids"].combine_chunks()]
+        unpack = ZstdDecompressor()
+        parts = []
+        for places, sizes, packed_ids in zip(found["places"], found["sizes"], found["ids"]):
+            ids = np.frombuffer(unpack.decompress(packed_ids.as_py()), "<u4")
+            cuts = np.cumsum(sizes.values.to_numpy())[:-1]
+            parts += zip(places.values.to_pylist(), np.split(ids, cuts))
+        ids = [row for _, row in sorted(parts, key=lambda part: part[0])]
         numbers = [",".join(map(str, row.tolist())) for row in ids]
         # The join of ids with pieces, once per distinct word.
         spelled = [b"".join([pieces[i] for i in row.tolist()]) for row in ids]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
         doc_ids = packed["doc_ids"].combine_chunks().values
         sizes = packed["doc_words"][0].values.to_numpy()
-        stream = ZstdDecompressor().decompress(packed["stream"][0].as_py())
-        places, at, rows = _long(stream), 0, []
+        places, at, rows = _long(unpack.decompress(packed["stream"][0].as_py())), 0, []
         for size in sizes.tolist():
             mine = places[at : at + size]
             listed = mine.tolist()

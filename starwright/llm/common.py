@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from starwright.session import materialize, scratch_path
 
 __all__ = [
-    "keyed_text", "materialize", "read_table", "scratch_path", "shared_text", "stored",
+    "keyed_text", "lookup_join", "materialize", "partitions", "read_table", "scratch_path",
+    "shared_text", "spread", "stored", "stored_by",
 ]
 
 
@@ -34,3 +35,39 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_by(df: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
+    """Like ``stored``, bucketed by a column, so that a join on it leaves these rows in place.
+
+    Buckets belong to a table of the catalog; its files lie with the other scratch tables.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    writer = df.write.option("compression", "zstd").option("path", path)
+    writer.bucketBy(buckets, column).saveAsTable(name)
+    return spark.table(name)
+
+
+#: A written table of at most so many rows of a few numbers (some 50 MB) may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def lookup_join(large: DataFrame, written: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join with a written table: broadcast if its counted rows are few, else merged.
+
+    The hint also keeps Spark from sending out ``large`` where it underrates an explode.
+    """
+    if written.count() <= BROADCAST_ROWS:
+        return large.join(F.broadcast(written), on, how)
+    return large.join(written.hint("merge"), on, how)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly before each becomes many; a small file would be a single task."""
+    return df.repartition(partitions(df.sparkSession))
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
