@@ -77,7 +77,7 @@ def centre_of(vectors: DataFrame, dims: int) -> np.ndarray:
     sums = vectors.select("vector").mapInArrow(add, "total array<double>, n long")
     rows = (
         sums.select(F.posexplode("total").alias("i", "x"), "n")
-        .groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
+        .groupBy("i").agg(F.try_divide(F.sum("x"), F.sum("n")).alias("x")).collect()
     )
     mean = np.zeros(dims)
     for row in rows:
