@@ -11,7 +11,7 @@ For the even part of the radius every fingerprint emits its ball of that half ra
 bit (radius 3: one fingerprint moves two bits, the other one) would need balls of radius two,
 2,081 values each.  They are emitted only where they can matter: of two fingerprints within
 three bits, one *half* of the bits differs in at most one bit, so a group of half-values that
-holds two components is looked for first, by minima and maxima that combine map-side.  And of
+holds two unconnected ones is looked for first, by minima and maxima that combine map-side.  And of
 three differing bits two lie in the same half, so pairs of flips inside a half suffice.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.llm.common import keyed_text, materialize
+from starwright.llm.common import keyed_text, lookup_join, materialize, spread
 from starwright.llm.components import smallest_reachable
 from starwright.llm.words import batches_of, texts_of
 
@@ -109,7 +109,7 @@ def _stars(met: DataFrame, max_bits: int, label: str) -> DataFrame:
         label,
     )
     return (
-        met.join(shared, "middle")
+        lookup_join(met, shared, "middle")
         .where(_distance(F.col("fingerprint"), F.col("hub")).between(1, max_bits))
         .select(F.col("fingerprint").alias("src"), F.col("hub").alias("dst"))
         .distinct()
@@ -117,7 +117,7 @@ def _stars(met: DataFrame, max_bits: int, label: str) -> DataFrame:
 
 
 def _emit(prints: DataFrame, flips: list[tuple[int, ...]], near: bool) -> DataFrame:
-    return prints.select("fingerprint", F.explode(_flips(flips)).alias("flip")).select(
+    return spread(prints).select("fingerprint", F.explode(_flips(flips)).alias("flip")).select(
         F.col("fingerprint").bitwiseXOR(F.col("flip")).alias("middle"),
         "fingerprint",
         F.lit(near).alias("near"),
@@ -129,10 +129,27 @@ def links_even(prints: DataFrame, max_bits: int) -> DataFrame:
     return _stars(_emit(prints, _ball(max_bits // 2), True), max_bits, "simhash-even-middles")
 
 
+def hubs_of(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """``fingerprint, hub``: the smallest fingerprint two links away, or the fingerprint itself.
+
+    Fingerprints with one hub are connected, so they need no further link; that is all that
+    the search for odd distances asks, and it spares the whole components at this point.
+    """
+    first = links.groupBy("src").agg(F.min("dst").alias("hub"))
+    second = first.select(F.col("src").alias("hub"), F.col("hub").alias("next"))
+    far = first.join(second, "hub", "left").select(
+        F.col("src").alias("fingerprint"), F.coalesce(F.least("hub", "next"), "hub").alias("hub")
+    )
+    return prints.join(far, "fingerprint", "left").select(
+        "fingerprint", F.least("fingerprint", "hub").alias("hub")
+    )
+
+
 def suspects(labelled: DataFrame, half_radius: int) -> DataFrame:
-    """Fingerprints that share a half-value, up to ``half_radius`` flips, with another component.
+    """Fingerprints of which a half is within ``half_radius`` of that of another hub's.
 
-    ``labelled``: ``fingerprint, component``.  Groups keep a minimum and a maximum only.
+    ``labelled``: ``fingerprint, hub``.  One of two such fingerprints is the *centre*, the
+    other one emits the centre's half among its variants.  A group keeps extremes only.
     """
     flips = [b for b in _ball(half_radius) if all(p < HALF for p in b)]
     low = F.col("fingerprint").bitwiseAND(F.lit((1 << HALF) - 1))
@@ -140,18 +157,28 @@ def suspects(labelled: DataFrame, half_radius: int) -> DataFrame:
     # One long per half-value: the half's number is bit 32.
     halves = F.array(low, high.bitwiseOR(F.lit(1 << HALF)))
     keyed = (
-        labelled.select("fingerprint", "component", F.explode(halves).alias("half"))
-        .select("fingerprint", "component", "half", F.explode(_flips(flips)).alias("flip"))
-        .select("fingerprint", "component", F.col("half").bitwiseXOR(F.col("flip")).alias("key"))
+        spread(labelled)
+        .select("fingerprint", "hub", F.explode(halves).alias("half"))
+        .select("fingerprint", "hub", "half", F.explode(_flips(flips)).alias("flip"))
+        .select(
+            "fingerprint",
+            "hub",
+            F.col("half").bitwiseXOR(F.col("flip")).alias("key"),
+            (F.col("flip") == 0).alias("centre"),
+        )
     )
     mixed = materialize(
         keyed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where(F.col("low") != F.col("high"))
+        .agg(
+            F.min("hub").alias("low"),
+            F.max("hub").alias("high"),
+            F.bool_or("centre").alias("centred"),
+        )
+        .where((F.col("low") != F.col("high")) & F.col("centred"))
         .select("key"),
         "simhash-mixed",
     )
-    return keyed.join(mixed, "key", "left_semi").select("fingerprint").distinct()
+    return lookup_join(keyed, mixed, "key", "left_semi").select("fingerprint").distinct()
 
 
 def links_odd(prints: DataFrame, max_bits: int) -> DataFrame:
@@ -185,14 +212,11 @@ def near_duplicates(
     )
     alone = prints.select("fingerprint")
     links = materialize(links_even(alone, max_bits), "simhash-links")
-    labels = smallest_reachable(links, "simhash-even")
     if max_bits % 2:
-        labelled = alone.join(labels, alone.fingerprint == labels.node, "left").select(
-            "fingerprint", F.coalesce("component", "fingerprint").alias("component")
-        )
+        labelled = hubs_of(alone, links)
         found = materialize(suspects(labelled, max_bits // 2), "simhash-suspects")
-        known = labels.select(F.col("node").alias("src"), F.col("component").alias("dst"))
-        labels = smallest_reachable(known.unionAll(links_odd(found, max_bits)), "simhash-odd")
+        links = links.unionAll(links_odd(found, max_bits))
+    labels = smallest_reachable(links, "simhash-components")
     joined = prints.join(labels, prints.fingerprint == labels.node, "left").select(
         "fingerprint", "first_doc", F.coalesce("component", "fingerprint").alias("component")
     )
