@@ -247,7 +247,7 @@ def _unknown(spec: DimensionSpec, validity: bool) -> str:
 
 
 def _loaded(spec: DimensionSpec, staged: str, day: str) -> str:
-    """A dimension after one load."""
+    """A dimension after one load; ``day`` is the start of first versions."""
     columns = ", ".join(spec.attributes)
     validity = ""
     if spec.scd_type == 2:
@@ -290,8 +290,11 @@ def _classes(spec: DimensionSpec, before: str, staged: str, day: str) -> str:
               ON d.{bk} = s.{bk}"""
 
 
-def _versioned(spec: DimensionSpec, before: str, classes: str, day: str) -> str:
+def _versioned(
+    spec: DimensionSpec, before: str, classes: str, day: str, first_from: str | None = None
+) -> str:
     """A type 2 dimension after another load."""
+    begins = f"CASE WHEN action = 'NEW' THEN DATE '{first_from or day}' ELSE DATE '{day}' END"
     bk, key = spec.business_key, spec.key
     same = "c.action = 'SAME_DAY' AND d.is_current"
     gone = "c.action = 'CHANGED' AND d.is_current"
@@ -305,7 +308,7 @@ def _versioned(spec: DimensionSpec, before: str, classes: str, day: str) -> str:
             FROM {before} d LEFT JOIN {classes} c ON c.{bk} = d.{bk}
             UNION ALL
             SELECT (SELECT max({key}) FROM {before}) + row_number() OVER (ORDER BY {bk}), {bk},
-                   {columns}, DATE '{day}', {OPEN}, TRUE, new_hash
+                   {columns}, {begins}, {OPEN}, TRUE, new_hash
             FROM {classes} WHERE action IN ('NEW', 'CHANGED')"""
 
 
@@ -370,9 +373,11 @@ def _library() -> dict[str, str]:
     ctes["same_customer"] = _versioned(customer, "one_customer", "cls_same", DAY_ONE)
     ctes["cls_back"] = _classes(customer, "two_customer", "stg_customer", DAY_THREE)
     ctes["back_customer"] = _versioned(customer, "two_customer", "cls_back", DAY_THREE)
-    ctes["early_product"] = _loaded(product, "stg_product_a", "1997-01-01")
+    ctes["early_product"] = _loaded(product, "stg_product_a", "1900-01-01")
     ctes["cls_late"] = _classes(product, "early_product", "stg_product_b", "1999-01-01")
-    ctes["late_product"] = _versioned(product, "early_product", "cls_late", "1999-01-01")
+    ctes["late_product"] = _versioned(
+        product, "early_product", "cls_late", "1999-01-01", "1900-01-01"
+    )
     every = {spec.name: f"dim_{spec.name}" for spec in DIMENSIONS}
     ctes["fact"] = _resolved("stg_order_line", every)
     ctes["dim_date"] = _calendar(_ALL_DATES)
@@ -614,6 +619,9 @@ def _merge_statements() -> dict[str, str]:
         "scd1_upsert": _table("dw.dim_territory", "two_territory"),
         "scd2_classify": """
             SELECT customer_id, old_key AS customer_key, action FROM cls_customer""",
+        "scd2_classify_one_current": """
+            SELECT customer_id, old_key + 1000000000 AS customer_key, action
+            FROM cls_customer""",
         "scd2_merge": _table("dw.dim_customer", "back_customer"),
         "scd2_new": customers_of("NEW"),
         "scd2_unchanged": customers_of("UNCHANGED"),
@@ -772,7 +780,8 @@ def _quality_statements() -> dict[str, str]:
         "dq_scd2_intervals": f"""
             WITH claimed AS (
                 SELECT DISTINCT user_id, CAST(ts AS DATE) AS valid_from,
-                       CASE WHEN event_type = 'error' THEN {OPEN}
+                       CASE event_type WHEN 'error' THEN {OPEN}
+                            WHEN 'signup' THEN CAST(ts AS DATE)
                             ELSE CAST(ts AS DATE) + 1 END AS valid_to,
                        event_type IN ('error', 'signup') AS is_current FROM events),
             checked AS (
@@ -783,6 +792,9 @@ def _quality_statements() -> dict[str, str]:
                 FROM claimed)
             SELECT rule, count(*) AS versions, count(DISTINCT user_id) AS users
             FROM (SELECT user_id, 'overlap' AS rule FROM checked WHERE following < valid_to
+                  UNION ALL
+                  SELECT user_id, 'ends before it begins' FROM checked
+                  WHERE valid_from >= valid_to
                   UNION ALL
                   SELECT user_id, 'several current' FROM checked WHERE is_current AND currents > 1
                   UNION ALL

@@ -55,8 +55,14 @@ from starwright.plans.star import load_dimension, load_fact, load_star, merge_di
 from starwright.plans.star import seeded_dimension
 from starwright.schemas import OPEN_START, empty_frame, schema
 from starwright.session import materialize, scratch_path
-from starwright.sources.extracts import SOURCES, customers, first_address, mark_column
-from starwright.sources.extracts import order_lines
+from starwright.sources.extracts import (
+    SOURCES,
+    Window,
+    customers,
+    first_address,
+    mark_column,
+    order_lines,
+)
 from starwright.sources.fixture import FIRST, PLAIN, SECOND, SourceTables, given_table
 from starwright.sources.readers import select_as
 from starwright.sources.store import TableStore
@@ -97,13 +103,16 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def _merged_twice(
-    spark: SparkSession, directory: str, name: str, first_day: str, second_day: str
+    spark: SparkSession, directory: str, name: str, first_day: str, second_day: str,
+    first_from: str | None = None,
 ) -> DataFrame:
     """A dimension after a load of the first and one of the second source state."""
     spec = BY_NAME[name]
-    before = load_dimension(spark, SourceTables(spark, directory, FIRST), name, first_day)
+    before = load_dimension(
+        spark, SourceTables(spark, directory, FIRST), name, first_day, first_from
+    )
     staged = SOURCES[name].staged(SourceTables(spark, directory, SECOND))
-    return merge_dimension(before, staged, spec, second_day)
+    return merge_dimension(before, staged, spec, second_day, first_from)
 
 
 def _lines(spark: SparkSession, directory: str, snapshot: str = PLAIN) -> DataFrame:
@@ -127,7 +136,7 @@ _register_sources()
 
 @query("schema_rename_guarded")
 def _(spark, directory):
-    old = customers(SourceTables(spark, directory), OPEN_START).select(
+    old = customers(SourceTables(spark, directory)).select(
         "customer_id", F.col("customer_name").alias("person_name")
     )
     renamed = rename_guarded(old, "person_name", "customer_name")
@@ -203,7 +212,7 @@ def _(spark, directory):
 @query("incremental_filter_multi")
 def _(spark, directory):
     tables = SourceTables(spark, directory)
-    return order_lines(tables, "2000-06-01 00:00:00").select(
+    return order_lines(tables, Window("2000-06-01 00:00:00")).select(
         "order_line_id", "product_id", "employee_id", "modified_at"
     )
 
@@ -328,7 +337,7 @@ def _(spark, directory):
 
 @query("lookup_scd2_asof")
 def _(spark, directory):
-    dim = _merged_twice(spark, directory, "product", EARLY, LATE)
+    dim = _merged_twice(spark, directory, "product", EARLY, LATE, OPEN_START)
     return resolve_fact(_lines(spark, directory), {"product": dim}, as_of=True).select(
         "order_line_id", "order_date", "product_key", "standard_cost"
     )
@@ -440,6 +449,18 @@ def _(spark, directory):
     return _classified(spark, directory, DAY_TWO).select("customer_id", "customer_key", "action")
 
 
+@query("scd2_classify_one_current")
+def _(spark, directory):
+    """A damaged dimension, in which every key has two current versions."""
+    spec = BY_NAME["customer"]
+    before = load_dimension(spark, SourceTables(spark, directory, FIRST), spec.name, DAY_ONE)
+    again = before.withColumn(spec.key, F.col(spec.key) + 1_000_000_000)
+    staged = SOURCES[spec.name].staged(SourceTables(spark, directory, SECOND))
+    return scd2_classify(
+        before.unionByName(again), staged, spec.business_key, spec.key, spec.attributes, DAY_TWO
+    ).select("customer_id", "customer_key", "action")
+
+
 @query("scd2_merge")
 def _(spark, directory):
     """Three loads: a first one, a change, and the change taken back."""
@@ -651,8 +672,8 @@ def _(spark, directory):
         given_table(spark, directory, "events"),
         user_id="user_id",
         valid_from="CAST(ts AS DATE)",
-        valid_to="CASE WHEN event_type = 'error' THEN DATE '9999-12-31'"
-        " ELSE date_add(CAST(ts AS DATE), 1) END",
+        valid_to="CASE event_type WHEN 'error' THEN DATE '9999-12-31'"
+        " WHEN 'signup' THEN CAST(ts AS DATE) ELSE date_add(CAST(ts AS DATE), 1) END",
         is_current="event_type IN ('error', 'signup')",
     ).distinct()
     return quality.interval_violations(claimed, "user_id").groupBy("rule").agg(

@@ -92,8 +92,8 @@ def type_violations(df: DataFrame, table: str) -> DataFrame:
 def interval_violations(dim: DataFrame, business_key: str) -> DataFrame:
     """Versions that break the type 2 rules, with the rule each one breaks.
 
-    A key may have one current version, versions must not overlap, and a version is current
-    exactly when its end is open.
+    A key may have one current version, versions must not overlap, each ends after it
+    begins, and a version is current exactly when its end is open.
     """
     by_start = Window.partitionBy(business_key).orderBy("valid_from", "valid_to")
     by_key = Window.partitionBy(business_key)
@@ -101,6 +101,7 @@ def interval_violations(dim: DataFrame, business_key: str) -> DataFrame:
         business_key,
         "valid_from",
         (F.lead("valid_from").over(by_start) < F.col("valid_to")).alias("_overlap"),
+        (F.col("valid_from") >= F.col("valid_to")).alias("_inverted"),
         (F.col("is_current") & (F.count_if("is_current").over(by_key) > 1)).alias("_many"),
         (
             F.col("is_current") != (F.col("valid_to") == F.lit(OPEN_END).cast("date"))
@@ -109,6 +110,7 @@ def interval_violations(dim: DataFrame, business_key: str) -> DataFrame:
     broken = F.array_compact(
         F.array(
             F.when(F.col("_overlap"), "overlap"),
+            F.when(F.col("_inverted"), "ends before it begins"),
             F.when(F.col("_many"), "several current"),
             F.when(F.col("_open"), "current but closed, or open but not current"),
         )

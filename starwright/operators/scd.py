@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,25 +61,28 @@ def scd2_classify(
 ) -> DataFrame:
     """Each staged row with the ``action`` its business key needs.
 
-    A seeded row has no hash, so hashes are compared null-safely.
+    A seeded row has no hash, so hashes are compared null-safely.  Should a key have several
+    current versions, the one with the highest surrogate key counts, so that no staged row
+    is multiplied.  ``previous_from`` is the start of the version compared with.
     """
-    current = members_used(dim.where("is_current"), staged, business_key).select(
+    versions = members_used(dim.where("is_current"), staged, business_key)
+    current = pick_first(versions, [business_key], [F.col(key).desc()]).select(
         F.col(business_key).alias("_bk"),
         F.col(key),
         F.col("row_hash").alias("_old_hash"),
-        F.col("valid_from").alias("_old_from"),
+        F.col("valid_from").alias("previous_from"),
     )
     action = (
         F.when(F.col("_bk").isNull(), NEW)
         .when(F.col("row_hash").eqNullSafe(F.col("_old_hash")), UNCHANGED)
-        .when(F.col("_old_from") == _as_date(load_date), SAME_DAY)
+        .when(F.col("previous_from") == _as_date(load_date), SAME_DAY)
         .otherwise(CHANGED)
     )
     hashed = with_hash(staged.select(business_key, *attributes), attributes, strict)
     return (
         hashed.join(current, F.col(business_key) == F.col("_bk"), "left")
         .withColumn("action", action)
-        .drop("_bk", "_old_hash", "_old_from")
+        .drop("_bk", "_old_hash")
     )
 
 
@@ -94,7 +98,8 @@ def scd2_changes(
     """The rows of a batch that alter the dimension, written as a scratch table.
 
     ``new_key`` numbers the rows that open a version.  Same-day rows sort last, so they
-    leave no gap in those numbers.
+    leave no gap in those numbers.  A version cannot end before it begins, so a load date
+    before the start of a version that would end is refused.
     """
     delta = (
         scd2_classify(dim, staged, business_key, key, attributes, load_date, strict)
@@ -102,6 +107,9 @@ def scd2_changes(
         .withColumn("_in_place", F.col("action") == SAME_DAY)
     )
     written = stage_in_order(delta, ["_in_place", business_key], "scd2-changes")
+    latest = written.agg(F.max("previous_from")).first()[0]
+    if latest is not None and latest > date.fromisoformat(load_date):
+        raise ValueError(f"load date {load_date} is before a version that begins on {latest}")
     return dense_numbers(written, "new_key", last_key(dim, key)).drop("_in_place")
 
 
@@ -112,9 +120,14 @@ def scd2_apply(
     key: str,
     attributes: Sequence[str],
     load_date: str,
+    first_from: str | None = None,
 ) -> DataFrame:
-    """Current versions after a batch, together with those the batch has closed."""
+    """Current versions after a batch, together with those the batch has closed.
+
+    The first version of a member begins on ``first_from``, by default the load date.
+    """
     today = _as_date(load_date)
+    begins = F.when(F.col("action") == NEW, _as_date(first_from or load_date)).otherwise(today)
     tracked = [*attributes, "row_hash"]
     touched = changes.where(F.col("action").isin(SAME_DAY, CHANGED)).select(
         F.col(key).alias("_key"), "action", *[F.col(c).alias(f"_{c}") for c in tracked]
@@ -134,7 +147,7 @@ def scd2_apply(
         F.col("new_key").alias(key),
         business_key,
         *attributes,
-        today.alias("valid_from"),
+        begins.alias("valid_from"),
         F.lit(OPEN_END).cast("date").alias("valid_to"),
         F.lit(True).alias("is_current"),
         "row_hash",
@@ -150,11 +163,12 @@ def scd2_merge(
     attributes: Sequence[str],
     load_date: str,
     strict: bool = False,
+    first_from: str | None = None,
 ) -> DataFrame:
     """All versions after a batch; closed history passes through untouched."""
     changes = scd2_changes(dim, staged, business_key, key, attributes, load_date, strict)
     current = scd2_apply(
-        dim.where("is_current"), changes, business_key, key, attributes, load_date
+        dim.where("is_current"), changes, business_key, key, attributes, load_date, first_from
     )
     return dim.where("NOT is_current").unionByName(current.select(*dim.columns))
 

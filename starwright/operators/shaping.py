@@ -34,13 +34,20 @@ def rename_guarded(df: DataFrame, old: str, new: str) -> DataFrame:
     return df
 
 
-def is_changed_since(marks: Sequence[Column], watermark: Column) -> Column:
-    """True when any modification time lies strictly after the watermark."""
-    return reduce(or_, [mark > watermark for mark in marks])
+def is_changed_since(
+    marks: Sequence[Column], watermark: Column, until: Column | None = None
+) -> Column:
+    """True when any modification time lies strictly after the watermark, up to ``until``."""
+    late = [mark > watermark for mark in marks]
+    if until is not None:
+        late = [after & (mark <= until) for after, mark in zip(late, marks)]
+    return reduce(or_, late)
 
 
-def changed_since(df: DataFrame, marks: Sequence[str], watermark: Column) -> DataFrame:
-    return df.where(is_changed_since([F.col(m) for m in marks], watermark))
+def changed_since(
+    df: DataFrame, marks: Sequence[str], watermark: Column, until: Column | None = None
+) -> DataFrame:
+    return df.where(is_changed_since([F.col(m) for m in marks], watermark, until))
 
 
 def next_watermark(df: DataFrame, mark: str = "modified_at") -> DataFrame:
@@ -48,6 +55,10 @@ def next_watermark(df: DataFrame, mark: str = "modified_at") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.max(mark).alias("watermark"))
 
 
+def rows_without(df: DataFrame, column: str) -> int:
+    return df.where(F.col(column).isNull()).count()
+
+
 def date_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: first and last day found in any of ``columns``, NULLs skipped."""
     days = [F.col(c).cast("date") for c in columns]

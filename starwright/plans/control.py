@@ -23,10 +23,14 @@ def now() -> datetime:
 
 
 class Control:
-    """Control tables of one store.  Rows are appended; readers take the latest."""
+    """Control tables of one store.  Rows are appended; readers take the latest.
+
+    Marks are read once and followed while this object moves them.
+    """
 
     def __init__(self, store: TableStore):
         self.store = store
+        self._marks: dict[str, datetime] | None = None
 
     # --- watermarks -----------------------------------------------------------------
 
@@ -46,15 +50,35 @@ class Control:
         origin = datetime.fromisoformat(OPEN_START)
         if full_load:
             return origin
-        row = self.watermarks().where(F.col("source_name") == source).first()
-        if row is None:
+        known = self.marks()
+        if source not in known:
             self.store.append("ctrl.watermark", [(source, origin, None, None, None, None)])
-            return origin
-        return max(origin, row.last_extracted_at - (lookback or timedelta()))
+            known[source] = origin
+        return max(origin, known[source] - (lookback or timedelta()))
+
+    def marks(self) -> dict[str, datetime]:
+        """The highest mark of each source; rows without a mark do not count."""
+        if self._marks is None:
+            highest = (
+                self.store.read_log("ctrl.watermark")
+                .groupBy("source_name").agg(F.max("last_extracted_at").alias("mark"))
+                .where(F.col("mark").isNotNull())
+            )
+            self._marks = {row.source_name: row.mark for row in highest.collect()}
+        return self._marks
+
+    def advance(
+        self, source: str, mark: datetime | None, started: datetime, rows: int
+    ) -> datetime:
+        """Move a mark forward, after the load it belongs to has been published.
 
-    def advance(self, source: str, mark: datetime, started: datetime, rows: int) -> None:
-        """Move a mark forward, after the load it belongs to has been published."""
-        self.store.append("ctrl.watermark", [(source, mark, started, now(), SUCCESS, rows)])
+        A mark never moves back, and a batch of rows without times leaves it where it is.
+        """
+        old = self.marks().get(source, datetime.fromisoformat(OPEN_START))
+        reached = old if mark is None else max(old, mark)
+        self.store.append("ctrl.watermark", [(source, reached, started, now(), SUCCESS, rows)])
+        self.marks()[source] = reached
+        return reached
 
     # --- step log -------------------------------------------------------------------
 
@@ -74,4 +98,6 @@ class Control:
         except Exception as error:
             self.log(name, outcome["started"], ERROR, 0, str(error))
             raise
-        self.log(name, outcome["started"], SUCCESS, outcome["rows"])
+        self.log(
+            name, outcome["started"], SUCCESS, outcome["rows"], outcome.get("message", "")
+        )

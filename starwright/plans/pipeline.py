@@ -16,7 +16,7 @@ from starwright.operators.fact import existing_keys, fact_upsert, resolve_fact
 from starwright.operators.joins import members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
 from starwright.operators.scd import scd1_upsert, scd2_apply, scd2_changes
-from starwright.operators.shaping import date_range, next_watermark
+from starwright.operators.shaping import date_range, next_watermark, rows_without
 from starwright.plans.control import Control, now
 from starwright.plans.model import (
     DATE_ROLES,
@@ -25,6 +25,7 @@ from starwright.plans.model import (
     FACT_TABLE,
     DimensionSpec,
 )
+from starwright.schemas import OPEN_START
 from starwright.session import materialize, together
 from starwright.sources.extracts import SOURCES, Tables
 from starwright.sources.store import TableStore
@@ -73,26 +74,34 @@ def seed_dimensions(store: TableStore, dimensions: Sequence[DimensionSpec]) -> N
 
 
 def extract(
-    store: TableStore, control: Control, tables: Tables, name: str,
+    store: TableStore, control: Control, tables: Tables, name: str, until: datetime,
     full_load: bool = False, lookback: timedelta | None = None,
 ) -> Batch:
-    """Replace the staging table of one source by its rows past the watermark.
+    """Replace the staging table of one source by its rows past the watermark, up to ``until``.
 
     An empty batch leaves an empty staging table.  The new mark is read back from the
-    written table, one column of it, so that retried tasks cannot distort it.
+    written table, one column of it, so that retried tasks cannot distort it.  It does not
+    pass ``until``: what changed later has not been read for certain.
     """
     source = SOURCES[name]
     with control.step(f"extract_{name}") as outcome:
-        staged = source.staged(tables, control.watermark(name, full_load, lookback))
+        since = control.watermark(name, full_load, lookback)
+        staged = source.staged(tables, since, until)
         if source.staging == FACT_STAGING:
             staged = stamp_rows(staged)
         store.replace(source.staging, staged)
         summary = next_watermark(store.read(source.staging)).first()
         outcome["rows"] = summary.rows
-        return Batch(summary.rows, summary.watermark, outcome["started"])
+        untimed = summary.rows and rows_without(store.read(source.staging), "modified_at")
+        if untimed:
+            outcome["message"] = f"{untimed} rows without a modification time"
+        mark = summary.watermark and min(summary.watermark, until)
+        return Batch(summary.rows, mark, outcome["started"])
 
 
-def load_dimension(store: TableStore, spec: DimensionSpec, load_date: str) -> int:
+def load_dimension(
+    store: TableStore, spec: DimensionSpec, load_date: str, first_from: str | None = None
+) -> int:
     """Merge the staged rows of one dimension; gives the number of rows applied.
 
     A type 2 merge reads and rewrites current versions only; versions it closes go to a new
@@ -107,7 +116,7 @@ def load_dimension(store: TableStore, spec: DimensionSpec, load_date: str) -> in
     changes = scd2_changes(dim, staged, *keyed, load_date)
     applied = changes.count()
     if applied:
-        merged = scd2_apply(dim, changes, *keyed, load_date)
+        merged = scd2_apply(dim, changes, *keyed, load_date, first_from)
         closed = f"closed-{store.version(spec.table) + 1}"
         part = F.when(F.col("is_current"), CURRENT).otherwise(closed)
         store.replace_parts(spec.table, merged, part, [CURRENT])
@@ -184,9 +193,13 @@ def run(
     dimensions: Sequence[DimensionSpec] = DIMENSIONS,
     with_fact: bool = True,
     as_of: bool = False,
+    until: datetime | None = None,
 ) -> LoadReport:
     """One load of the warehouse.
 
+    It reads rows modified up to ``until``, in the clock of the source; the default is the
+    time at which the load begins.
+
     Data is published before its watermark moves: a run that dies in between reads the same
     rows again, and the merges absorb them.  A full load ignores the marks, but does not
     empty the warehouse.
@@ -200,7 +213,7 @@ def run(
         sources = [*(["order_line"] if with_fact else []), *by_name]
 
         def stage(name: str) -> Batch:
-            return extract(store, control, tables, name, full_load, lookback)
+            return extract(store, control, tables, name, until or started, full_load, lookback)
 
         batches = together(stage, sources)
         report.staged = {name: batch.rows for name, batch in batches.items()}
@@ -214,7 +227,9 @@ def run(
                         store, dimensions, batch.rows, loaded_at or started, as_of
                     )
                 else:
-                    applied = load_dimension(store, by_name[name], load_date)
+                    # As of the sale, a member was there from the start.
+                    first_from = OPEN_START if as_of else None
+                    applied = load_dimension(store, by_name[name], load_date, first_from)
                 outcome["rows"] = applied
                 control.advance(name, batch.watermark, batch.started, batch.rows)
             return applied

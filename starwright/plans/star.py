@@ -22,7 +22,8 @@ def seeded_dimension(spark, spec: DimensionSpec) -> DataFrame:
 
 
 def merge_dimension(
-    dim: DataFrame, staged: DataFrame, spec: DimensionSpec, load_date: str
+    dim: DataFrame, staged: DataFrame, spec: DimensionSpec, load_date: str,
+    first_from: str | None = None,
 ) -> DataFrame:
     """The dimension after one batch, by its history type.
 
@@ -30,15 +31,22 @@ def merge_dimension(
     """
     staged = materialize(staged, f"staged-{spec.name}")
     if spec.scd_type == 2:
-        return scd2_merge(dim, staged, spec.business_key, spec.key, spec.attributes, load_date)
+        return scd2_merge(
+            dim, staged, spec.business_key, spec.key, spec.attributes, load_date,
+            first_from=first_from,
+        )
     return scd1_upsert(dim, staged, spec.business_key, spec.key, spec.attributes)
 
 
-def load_dimension(spark, tables: Tables, name: str, load_date: str) -> DataFrame:
+def load_dimension(
+    spark, tables: Tables, name: str, load_date: str, first_from: str | None = None
+) -> DataFrame:
     """A dimension loaded from scratch and written, so that its size is known."""
     spec = BY_NAME[name]
     staged = SOURCES[name].staged(tables)
-    merged = merge_dimension(seeded_dimension(spark, spec), staged, spec, load_date)
+    merged = merge_dimension(
+        seeded_dimension(spark, spec), staged, spec, load_date, first_from
+    )
     return materialize(merged, f"dim-{name}")
 
 

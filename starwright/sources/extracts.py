@@ -1,7 +1,11 @@
 """The seven source models: from normalised order-processing tables to staging rows.
 
-Each model takes the source tables by role and a watermark, and returns a frame.  A filter
-on the root table is applied before the joins, so it reaches the scan.
+Each model takes the source tables by role and a window of modification times, and returns a
+frame.  A filter on the root table is applied before the joins, so it reaches the scan.
+
+The window is open at the mark of the last load and closed at a time chosen before anything is
+read.  A row that changes while a load reads it has a later time than that, so it is left to
+the next load, whichever of its states this one saw.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from starwright.functions.scalars import allocate_share, full_name, later_of
 from starwright.operators.dedup import keep_latest, lowest_per_key
 from starwright.operators.joins import left_join_sparse
-from starwright.operators.shaping import changed_since, conform_to_schema, is_changed_since
+from starwright.operators.shaping import conform_to_schema, is_changed_since
 from starwright.plans.model import DIMENSIONS, FACT_STAGING, LINE_TIE_BREAK, NATURAL_KEY
 from starwright.schemas import OPEN_START
 from starwright.session import materialize
@@ -34,6 +38,21 @@ def mark_column(moment: Moment) -> Column:
     return F.lit(str(moment)).cast("timestamp_ntz")
 
 
+@dataclass(frozen=True)
+class Window:
+    """Modification times after ``since``, up to ``until`` if it is given."""
+
+    since: Moment = OPEN_START
+    until: Moment | None = None
+
+    def has(self, *marks: Column) -> Column:
+        end = None if self.until is None else mark_column(self.until)
+        return is_changed_since(marks, mark_column(self.since), end)
+
+    def changed(self, df: DataFrame) -> DataFrame:
+        return df.where(self.has(F.col("modified_at")))
+
+
 def first_address(entity_address: DataFrame) -> DataFrame:
     """Lowest address of each entity.
 
@@ -42,7 +61,7 @@ def first_address(entity_address: DataFrame) -> DataFrame:
     return lowest_per_key(entity_address, "entity_id", "address_id")
 
 
-def customers(tables: Tables, since: Moment) -> DataFrame:
+def customers(tables: Tables, window: Window = Window()) -> DataFrame:
     """Customer with name, type and first address; stores without a person have none."""
     person = tables["person"].select(
         F.col("entity_id").alias("person_id"),
@@ -60,7 +79,7 @@ def customers(tables: Tables, since: Moment) -> DataFrame:
     )
     is_store = F.col("store_id").isNotNull()
     return (
-        changed_since(tables["customer"], ["modified_at"], mark_column(since))
+        window.changed(tables["customer"])
         .join(person, "person_id", "left")
         .join(store, "store_id", "left")
         .transform(left_join_sparse, address_of, "person_id", "customer_id")
@@ -81,12 +100,12 @@ def customers(tables: Tables, since: Moment) -> DataFrame:
     )
 
 
-def products(tables: Tables, since: Moment) -> DataFrame:
+def products(tables: Tables, window: Window = Window()) -> DataFrame:
     """Product with its subcategory and category flattened in."""
     category = tables["product_category"]
     subcategory = tables["product_subcategory"].join(category, "category_id", "left")
     return (
-        changed_since(tables["product"], ["modified_at"], mark_column(since))
+        window.changed(tables["product"])
         .join(
             subcategory.select("subcategory_id", "subcategory_name", "category_name"),
             "subcategory_id",
@@ -96,13 +115,13 @@ def products(tables: Tables, since: Moment) -> DataFrame:
     )
 
 
-def salespeople(tables: Tables, since: Moment) -> DataFrame:
+def salespeople(tables: Tables, window: Window = Window()) -> DataFrame:
     """Salesperson, changed when either the sales or the employee row changed."""
     seller, employee = tables["sales_person"].alias("s"), tables["employee"].alias("e")
     marks = [F.col("s.modified_at"), F.col("e.modified_at")]
     return (
         seller.join(employee, F.col("s.entity_id") == F.col("e.entity_id"))
-        .where(is_changed_since(marks, mark_column(since)))
+        .where(window.has(*marks))
         .join(tables["person"].alias("p"), F.col("s.entity_id") == F.col("p.entity_id"))
         .select(
             F.col("s.entity_id").alias("employee_id"),
@@ -113,39 +132,38 @@ def salespeople(tables: Tables, since: Moment) -> DataFrame:
     )
 
 
-def territories(tables: Tables, since: Moment) -> DataFrame:
-    return changed_since(tables["territory"], ["modified_at"], mark_column(since))
+def territories(tables: Tables, window: Window = Window()) -> DataFrame:
+    return window.changed(tables["territory"])
 
 
-def promotions(tables: Tables, since: Moment) -> DataFrame:
-    return changed_since(tables["special_offer"], ["modified_at"], mark_column(since))
+def promotions(tables: Tables, window: Window = Window()) -> DataFrame:
+    return window.changed(tables["special_offer"])
 
 
-def ship_methods(tables: Tables, since: Moment) -> DataFrame:
-    return changed_since(tables["ship_method"], ["modified_at"], mark_column(since))
+def ship_methods(tables: Tables, window: Window = Window()) -> DataFrame:
+    return window.changed(tables["ship_method"])
 
 
-def _changed_lines(detail: DataFrame, header: DataFrame, since: Moment) -> DataFrame:
-    """Lines joined to their headers, where either row changed after the mark.
+def _changed_lines(detail: DataFrame, header: DataFrame, window: Window) -> DataFrame:
+    """Lines joined to their headers, where either row changed inside the window.
 
-    The condition spans both tables, so it cannot be pushed below one join.  A load from the
-    origin joins everything and filters.  An incremental one writes the two small sets of
-    changed rows, whose filters do reach the scans, and joins each with the other table: a
-    small set is broadcast, and neither large table is shuffled.
+    The condition spans both tables, so it cannot be pushed below one join.  Instead the lines
+    that changed meet all headers, and all other lines meet the headers that changed.  Both
+    filters reach the scans; the changed rows are written, so their true size lets a small
+    batch be broadcast, and neither large table is shuffled for it.  A line is in one branch
+    only, whenever it is read: beyond the window it waits for the next load.
     """
-    mark = mark_column(since)
-    marks = [F.col("line_modified_at"), F.col("header_modified_at")]
-    if str(since)[:10] == OPEN_START:
-        return detail.join(header, "order_id").where(is_changed_since(marks, mark))
-    new_lines = materialize(detail.where(marks[0] > mark), "changed-lines")
-    new_headers = materialize(header.where(marks[1] > mark), "changed-headers")
-    older_line = ~F.coalesce(marks[0] > mark, F.lit(False))
+    line, head = F.col("line_modified_at"), F.col("header_modified_at")
+    # A line without a time, or from before the window, can only come with its header.
+    settled = F.coalesce(line <= mark_column(window.since), F.lit(True))
+    new_lines = materialize(detail.where(window.has(line)), "changed-lines")
+    new_headers = materialize(header.where(window.has(head)), "changed-headers")
     return new_lines.join(header, "order_id").unionByName(
-        detail.where(older_line).join(new_headers, "order_id")
+        detail.where(settled).join(new_headers, "order_id")
     )
 
 
-def order_lines(tables: Tables, since: Moment) -> DataFrame:
+def order_lines(tables: Tables, window: Window = Window()) -> DataFrame:
     """Order line with its header; tax and freight are shared out by line total.
 
     A descriptive column may live on the line or on the header.
@@ -156,7 +174,7 @@ def order_lines(tables: Tables, since: Moment) -> DataFrame:
     def share(amount: str) -> Column:
         return allocate_share(F.col(amount), F.col("line_total"), F.col("subtotal"))
 
-    return _changed_lines(detail, header, since).select(
+    return _changed_lines(detail, header, window).select(
         "order_line_id",
         "order_number",
         "line_number",
@@ -183,16 +201,18 @@ class SourceSpec:
 
     staging: str
     business_key: str
-    model: Callable[[Tables, Moment], DataFrame]
+    model: Callable[[Tables, Window], DataFrame]
     tie_break: tuple[str, ...] = ()
 
-    def staged(self, tables: Tables, since: Moment = OPEN_START) -> DataFrame:
+    def staged(
+        self, tables: Tables, since: Moment = OPEN_START, until: Moment | None = None
+    ) -> DataFrame:
         """Typed rows changed after the watermark, the latest of each business key.
 
         The tie-break columns decide between copies with the same time.  They are few, so
         that a query over lazy rows still reads only the columns it needs.
         """
-        rows = conform_to_schema(self.model(tables, since), self.staging)
+        rows = conform_to_schema(self.model(tables, Window(since, until)), self.staging)
         return keep_latest(rows, [self.business_key], tie_break=self.tie_break)
 
 

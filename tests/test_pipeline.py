@@ -154,6 +154,44 @@ def test_marks_and_lookback(spark, store):
     ]
 
 
+def test_a_batch_without_times_leaves_the_mark(spark, store):
+    load(spark, store)
+    before = Control(store).marks()["order_line"]
+    detail = [row[:-1] + (NEW,) for row in ROWS["order_detail"]]
+    header = [row[:-1] + (None,) for row in ROWS["order_header"]]
+    untimed = load(spark, store, SECOND_DAY, {"order_detail": detail, "order_header": header})
+    assert untimed.staged["order_line"] == 4
+    assert Control(store).marks()["order_line"] == before
+    messages = dict(content(Control(store).latest_steps().limit(20), "step", "message"))
+    assert "4 rows without a modification time" in messages.values()
+    again = load(spark, store, SECOND_DAY, {"order_detail": detail})
+    assert again.staged["order_line"] == 4
+    assert Control(store).marks()["order_line"] == NEW
+
+
+def test_a_mark_never_moves_back(store):
+    control = Control(store)
+    control.watermark("customer")
+    control.advance("customer", NEW, FIRST_DAY, 1)
+    assert control.advance("customer", FIRST_DAY, FIRST_DAY, 1) == NEW
+    assert control.advance("customer", None, FIRST_DAY, 1) == NEW
+    assert Control(store).marks() == {"customer": NEW}
+
+
+def test_rows_that_change_while_they_are_read_come_with_the_next_load(spark, store):
+    until = datetime(2024, 1, 15)
+    late = datetime(2024, 1, 16)
+    # During the first load line 12 gets another quantity, after the load has begun.
+    moved = [row[:5] + (9,) + row[6:-1] + (late,) if row[1] == 12 else row
+             for row in ROWS["order_detail"]]
+    load(spark, store, changes={"order_detail": moved}, until=until)
+    assert 12 not in dict(content(store.read(FACT_TABLE), "order_line_id", "quantity"))
+    assert Control(store).marks()["order_line"] <= until
+    load(spark, store, SECOND_DAY, {"order_detail": moved})
+    assert dict(content(store.read(FACT_TABLE), "order_line_id", "quantity"))[12] == 9
+    assert Control(store).marks()["order_line"] == late
+
+
 def test_versions_in_force_instead_of_current(spark, store):
     load(spark, store, datetime(2024, 1, 4))
     changed = [row[:6] + (Decimal("9.0000"),) + row[7:-1] + (NEW,) for row in ROWS["product"]]

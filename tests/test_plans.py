@@ -12,7 +12,7 @@ from starwright.operators.joins import left_join_sparse
 from starwright.operators.lookup import lookup_current
 from starwright.plans import kpis
 from starwright.plans.star import load_fact
-from starwright.sources.extracts import SOURCES, mark_column, order_lines
+from starwright.sources.extracts import SOURCES, Window, mark_column, order_lines
 from starwright.sources.fixture import SourceTables
 from tests.conftest import SMALL
 from tests.tiny import content
@@ -67,7 +67,7 @@ def test_a_small_batch_shuffles_neither_large_table(spark, conf):
     # Between the sizes of the changed rows and of the source tables.
     conf("spark.sql.autoBroadcastJoinThreshold", "15KB")
     source = SourceTables(spark, SMALL)
-    plan = physical(order_lines(source, "2001-10-15"))
+    plan = physical(order_lines(source, Window("2001-10-15")))
     assert plan.count("BroadcastHashJoin") == 2
     assert "Exchange hashpartitioning" not in plan
 
