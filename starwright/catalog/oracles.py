@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import re
 
-from starwright.functions.calendar import DAY_NAMES, MONTH_NAMES
 from starwright.plans.model import BY_NAME, DIMENSIONS, DimensionSpec
 from starwright.schemas import DECLARATIONS
 
 DAY_ONE, DAY_TWO, DAY_THREE = "2024-01-01", "2024-02-01", "2024-03-01"
 OPEN = "DATE '9999-12-31'"
+# Fixed values, written out again so that an error in the package does not pass unseen.
+DAY_NAMES = ("Segunda-feira", "Terça-feira", "Quarta-feira", "Quinta-feira", "Sexta-feira",
+             "Sábado", "Domingo")
+MONTH_NAMES = ("Janeiro", "Fevereiro", "Março", "Abril", "Maio", "Junho", "Julho", "Agosto",
+               "Setembro", "Outubro", "Novembro", "Dezembro")
 STATES = {"": "plain", "_a": "first", "_b": "second"}
 
 
@@ -178,25 +182,27 @@ def _sources(s: str) -> dict[str, str]:
             FROM orders
             {so_far('o_orderkey')}""",
         "stg_customer": f"""
-            SELECT customer_id, customer_name, store_name, customer_type, city, state_province,
-                   country_region, postal_code, modified_at
-            FROM (SELECT c.customer_id,
-                         coalesce(p.first_name || ' ' || p.last_name, t.store_name,
-                                  'Cliente desconhecido') AS customer_name,
-                         t.store_name,
-                         CASE WHEN c.store_id IS NOT NULL THEN 'Store' ELSE 'Individual' END
-                             AS customer_type,
-                         a.city, n_name AS state_province, r_name AS country_region,
-                         a.postal_code, c.modified_at,
-                         row_number() OVER (PARTITION BY c.customer_id
-                                            ORDER BY a.address_id NULLS LAST) AS pick
-                  FROM src_customer{s} c
-                  LEFT JOIN src_person{s} p ON p.entity_id = c.person_id
-                  LEFT JOIN src_store{s} t ON t.entity_id = c.store_id
-                  LEFT JOIN src_address{s} a ON a.entity_id = c.person_id
-                  LEFT JOIN nation ON n_nationkey = a.state_id
-                  LEFT JOIN region ON r_regionkey = n_regionkey) x
-            WHERE pick = 1""",
+            WITH lowest AS (
+                SELECT entity_id, min(address_id) AS address_id FROM src_address{s}
+                GROUP BY entity_id),
+            named AS (
+                SELECT customer_id, person_id, store_id, src_customer{s}.modified_at,
+                       first_name || ' ' || last_name AS person_name, store_name
+                FROM src_customer{s}
+                LEFT JOIN src_person{s} AS who ON who.entity_id = person_id
+                LEFT JOIN src_store{s} AS shop ON shop.entity_id = store_id)
+            SELECT customer_id,
+                   CASE WHEN person_name IS NOT NULL THEN person_name
+                        WHEN store_name IS NOT NULL THEN store_name
+                        ELSE 'Cliente desconhecido' END AS customer_name,
+                   store_name, if(store_id IS NULL, 'Individual', 'Store') AS customer_type,
+                   place.city, n_name AS state_province, r_name AS country_region,
+                   place.postal_code, named.modified_at
+            FROM named
+            LEFT JOIN lowest ON lowest.entity_id = person_id
+            LEFT JOIN src_address{s} AS place ON place.address_id = lowest.address_id
+            LEFT JOIN nation ON n_nationkey = place.state_id
+            LEFT JOIN region ON r_regionkey = n_regionkey""",
         "stg_product": f"SELECT * FROM src_product{s}",
         "stg_salesperson": f"""
             SELECT sp.entity_id AS employee_id, p.first_name || ' ' || p.last_name AS full_name,
@@ -576,7 +582,7 @@ def _lookup_statements() -> dict[str, str]:
 def _key_statements() -> dict[str, str]:
     counts = " UNION ALL ".join(
         f"SELECT 'dw.dim_{n}' AS table_name, count(*) AS rows FROM dim_{n}"
-        for n in ("customer", "product", "salesperson")
+        for n in BY_NAME
     )
     return {
         "next_watermark": """
@@ -587,6 +593,7 @@ def _key_statements() -> dict[str, str]:
             f"(SELECT lo AS first_day, hi AS last_day FROM ({_ALL_DATES}) x) y"),
         "validate_row_counts": f"""
             SELECT 'dw.fact_sales' AS table_name, count(*) AS rows FROM stg_order_line
+            UNION ALL SELECT 'dw.dim_date', count(*) FROM dim_date
             UNION ALL {counts}""",
         "first_address_per_customer": """
             SELECT customer_id, address_id
@@ -632,21 +639,31 @@ def _merge_statements() -> dict[str, str]:
                    strftime(valid_to, '%Y-%m-%d') AS valid_to, valid_to = {OPEN} AS is_current
             FROM versions""",
         "fact_upsert": _some(
-            "order_line_id:b order_date_key:b customer_key:b quantity:b line_total:m loaded_at:s"
-            " kept_key:s",
-            f"""(SELECT order_line_id, {_key_of('order_date')} AS order_date_key,
-                        -1 AS customer_key, quantity, line_total,
-                        '{DAY_TWO} 00:00:00' AS loaded_at,
-                        order_line_id IN (SELECT order_line_id FROM stg_order_line_a) AS kept_key
-                 FROM changed_line
+            "order_line_id:b order_date_key:b customer_key:b product_key:b salesperson_key:b"
+            " territory_key:b promotion_key:b ship_method_key:b standard_cost:m quantity:b"
+            " line_total:m loaded_at:s key_is_positive:s key_copies:b kept_key:s"
+            " above_old_keys:s",
+            f"""(SELECT *, '{DAY_TWO} 00:00:00' AS loaded_at, TRUE AS key_is_positive,
+                        1 AS key_copies,
+                        order_line_id IN (SELECT order_line_id FROM stg_order_line_a) AS kept_key,
+                        order_line_id NOT IN (SELECT order_line_id FROM stg_order_line_a)
+                            AS above_old_keys
+                 FROM fact_two
                  UNION ALL
-                 SELECT order_line_id, {_key_of('order_date')}, -1, quantity, line_total,
-                        '{DAY_ONE} 00:00:00', TRUE
-                 FROM stg_order_line_a
+                 SELECT *, '{DAY_ONE} 00:00:00', TRUE, 1, TRUE, FALSE FROM fact_one
                  WHERE order_line_id NOT IN (SELECT order_line_id FROM changed_line)) f"""),
     }
 
 
+def _keyed_fact(relation: str, day: str, tail: str = "") -> str:
+    """Stored fact rows: the key is shown by what holds of it whatever the order of rows."""
+    kinds = {c: k for c, k in _kinds("dw.fact_sales").items() if c not in ("sale_key", "loaded_at")}
+    kinds |= {"loaded_at": "s", "key_is_positive": "s", "key_copies": "b"}
+    return _show(kinds, f"""(SELECT *, modified_at AS source_modified_at,
+                                    '{day} 00:00:00' AS loaded_at, TRUE AS key_is_positive,
+                                    1 AS key_copies FROM {relation}) f""", tail)
+
+
 def _star_statements() -> dict[str, str]:
     present = "SELECT min(order_date) AS lo, max(order_date) AS hi FROM stg_order_line"
     calendar = _kinds("dw.dim_date")
@@ -662,10 +679,7 @@ def _star_statements() -> dict[str, str]:
             FROM (SELECT *, full_date BETWEEN (SELECT lo FROM ({present}) a)
                                          AND (SELECT hi FROM ({present}) b) AS old
                   FROM dim_date) x""",
-        "fact_sales": _table(
-            "dw.fact_sales",
-            "(SELECT *, modified_at AS source_modified_at FROM fact) f",
-            without=("sale_key", "loaded_at")),
+        "fact_sales": _keyed_fact("fact", DAY_ONE),
     }
     for spec in DIMENSIONS:
         prefix = "two" if spec.scd_type == 2 else "dim"
@@ -815,17 +829,19 @@ def _quality_statements() -> dict[str, str]:
     }
 
 
-_SMALL = ("salesperson", "territory", "promotion", "ship_method")
-
-
 def _changed(name: str) -> str:
-    """Rows of a small dimension that a second extract picks up."""
+    """Rows that a second extract picks up."""
+    if name == "order_line":
+        return "changed_line"
     return (f"(SELECT * FROM stg_{name}_b WHERE modified_at >"
             f" (SELECT max(modified_at) FROM stg_{name}_a))")
 
 
 def _pipeline_statements() -> dict[str, str]:
-    keys = {n: BY_NAME[n].business_key for n in _SMALL}
+    keys = {"customer": "customer_id", "product": "product_id", "salesperson": "employee_id",
+            "territory": "territory_id", "promotion": "special_offer_id",
+            "ship_method": "ship_method_id", "order_line": "order_line_id"}
+    versioned = ("customer", "product", "salesperson")
     staged = " UNION ALL ".join(
         f"SELECT '{n}' AS source_name, {k} AS business_key,"
         f" strftime(modified_at, '%Y-%m-%d %H:%M:%S') AS modified_at FROM {_changed(n)} c"
@@ -834,35 +850,29 @@ def _pipeline_statements() -> dict[str, str]:
 
     def steps(n: str) -> str:
         # The second load of an unchanged source extracts nothing and loads nothing.
-        applied = "(SELECT count(*) FROM cls_{0} WHERE action <> 'UNCHANGED')".format(n) \
-            if BY_NAME[n].scd_type == 2 else f"(SELECT count(*) FROM {_changed(n)} c)"
+        step = "load_fact_sales" if n == "order_line" else f"load_dim_{n}"
+        applied = f"(SELECT count(*) FROM {_changed(n)} c)"
+        if n in versioned:
+            applied = f"(SELECT count(*) FROM cls_{n} WHERE action <> 'UNCHANGED')"
         return f"""
             SELECT 'extract_{n}' AS step, (SELECT count(*) FROM stg_{n}_a) AS rows_affected
             UNION ALL SELECT 'extract_{n}', (SELECT count(*) FROM {_changed(n)} c)
-            UNION ALL SELECT 'load_dim_{n}', (SELECT count(*) FROM stg_{n}_a)
-            UNION ALL SELECT 'load_dim_{n}', {applied}
+            UNION ALL SELECT '{step}', (SELECT count(*) FROM stg_{n}_a)
+            UNION ALL SELECT '{step}', {applied}
                       WHERE (SELECT count(*) FROM {_changed(n)} c) > 0"""
 
-    log = " UNION ALL ".join(steps(n) for n in _SMALL)
+    log = " UNION ALL ".join(steps(n) for n in keys)
     marks = " UNION ALL ".join(
         f"""SELECT '{n}' AS source_name,
                    greatest((SELECT max(modified_at) FROM stg_{n}_a),
-                            (SELECT max(modified_at) FROM stg_{n}_b)) AS mark,
+                            (SELECT max(modified_at) FROM {_changed(n)} e)) AS mark,
                    CASE WHEN (SELECT count(*) FROM {_changed(n)} c) > 0
                         THEN (SELECT count(*) FROM {_changed(n)} d)
                         ELSE (SELECT count(*) FROM stg_{n}_a) END AS rows_processed"""
-        for n in _SMALL
+        for n in keys
     )
     shown_mark = "strftime(mark, '%Y-%m-%d %H:%M:%S') AS last_extracted_at"
-    content = {c: k for c, k in _kinds("dw.fact_sales").items()
-               if c not in ("sale_key", "loaded_at")}
-
-    def loaded(relation: str, day: str, tail: str = "") -> str:
-        facts = f"(SELECT *, modified_at AS source_modified_at FROM {relation}) f"
-        statement = _show(content, facts, tail)
-        marked = f", '{day} 00:00:00' AS loaded_at FROM (SELECT *"
-        return statement.replace(" FROM (SELECT *", marked, 1)
-
+    first_mark = "(SELECT max(modified_at) FROM stg_order_line_a)"
     return {
         "stg_replace": staged,
         "control_log_latest": f"""
@@ -874,14 +884,20 @@ def _pipeline_statements() -> dict[str, str]:
             FROM ({log}) x GROUP BY step""",
         "watermark_read": f"""
             SELECT source_name, {shown_mark} FROM ({marks}) x
-            UNION ALL SELECT 'order_line', '1900-01-01 00:00:00'""",
+            UNION ALL SELECT 'returns', '1900-01-01 00:00:00'""",
         "watermark_upsert": f"""
             SELECT source_name, {shown_mark}, 'SUCCESS' AS status, rows_processed
             FROM ({marks}) x""",
-        "pipeline_two_batches": loaded("fact_two", DAY_TWO) + " UNION ALL " + loaded(
+        "watermark_null_mark": f"""
+            SELECT load_date, strftime(mark, '%Y-%m-%d %H:%M:%S') AS mark
+            FROM (SELECT '{DAY_ONE}' AS load_date, {first_mark} AS mark
+                  UNION ALL SELECT '{DAY_TWO}', {first_mark}
+                  UNION ALL SELECT '{DAY_THREE}',
+                                   (SELECT max(modified_at) FROM changed_line)) m""",
+        "pipeline_two_batches": _keyed_fact("fact_two", DAY_TWO) + " UNION ALL " + _keyed_fact(
             "fact_one", DAY_ONE,
             "WHERE order_line_id NOT IN (SELECT order_line_id FROM changed_line)"),
-        "pipeline_full_reload": loaded("fact", DAY_TWO),
+        "pipeline_full_reload": _keyed_fact("fact", DAY_TWO),
     }
 
 

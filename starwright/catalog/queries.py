@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from starwright.functions.calendar import fiscal_quarter, fiscal_year
 from starwright.functions.scalars import (
-    MONEY,
     date_key,
     date_or_null,
     later_of,
@@ -23,7 +22,6 @@ from starwright.operators.calendar import calendar_for, insert_missing_days
 from starwright.operators.dedup import keep_latest
 from starwright.operators.fact import existing_keys, fact_upsert, resolve_fact
 from starwright.operators.keys import (
-    UNKNOWN_KEY,
     dense_numbers,
     last_key,
     number_in_order,
@@ -48,13 +46,12 @@ from starwright.plans.model import (
     FACT_KEY,
     FACT_TABLE,
     NATURAL_KEY,
-    DimensionSpec,
 )
-from starwright.plans.pipeline import run
+from starwright.plans.pipeline import CALENDAR, run
 from starwright.plans.star import load_dimension, load_fact, load_star, merge_dimension
 from starwright.plans.star import seeded_dimension
 from starwright.schemas import OPEN_START, empty_frame, schema
-from starwright.session import materialize, scratch_path
+from starwright.session import materialize, scratch_path, together
 from starwright.sources.extracts import (
     SOURCES,
     Window,
@@ -69,7 +66,7 @@ from starwright.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DAY_ONE, DAY_TWO = "2024-01-01", "2024-02-01"
+DAY_ONE, DAY_TWO, DAY_THREE = "2024-01-01", "2024-02-01", "2024-03-01"
 # Load days inside the span of the order dates, for point-in-time lookups.
 EARLY, LATE = "1997-01-01", "1999-01-01"
 
@@ -367,16 +364,6 @@ def _(spark, directory):
     return date_range(_lines(spark, directory), list(DATE_ROLES))
 
 
-@query("validate_row_counts")
-def _(spark, directory):
-    tables = SourceTables(spark, directory)
-    counted = ("customer", "product", "salesperson")
-    dims = {
-        BY_NAME[n].table: load_dimension(spark, tables, n, DAY_ONE) for n in counted
-    }
-    return quality.row_counts({FACT_TABLE: load_fact(tables, {}), **dims})
-
-
 @query("first_address_per_customer")
 def _(spark, directory):
     tables = SourceTables(spark, directory)
@@ -510,36 +497,56 @@ def _(spark, directory):
     return _replayed(given_table(spark, directory, "events"))
 
 
+def _upserted(
+    fact: DataFrame, staged: DataFrame, dims: dict[str, DataFrame], day: str
+) -> DataFrame:
+    """The fact after a batch, with all lookups, written."""
+    written = materialize(stamp_rows(staged), "staged-lines")
+    incoming = resolve_fact(dense_numbers(written, "row_number", 0), dims)
+    known = materialize(existing_keys(fact, written), "known-keys")
+    start = last_key(fact, FACT_KEY)
+    merged = fact_upsert(fact, incoming, mark_column(day), start=start, known=known)
+    return materialize(merged, "fact")
+
+
+def _key_properties(fact: DataFrame) -> DataFrame:
+    """What holds of fact keys whatever their order: each is positive and occurs once."""
+    copies = fact.groupBy(FACT_KEY).agg(F.count(F.lit(1)).alias("key_copies"))
+    return fact.join(copies, FACT_KEY).withColumn("key_is_positive", F.col(FACT_KEY) > 0)
+
+
 @query("fact_upsert")
 def _(spark, directory):
-    unknown = {spec.key: F.lit(UNKNOWN_KEY).cast("long") for spec in DIMENSIONS}
-    no_cost = {"standard_cost": F.lit(0).cast(MONEY)}
+    """Two loads, each with the versions current at its time."""
+    before, after = (SourceTables(spark, directory, s) for s in (FIRST, SECOND))
 
-    def upsert(fact: DataFrame, staged: DataFrame, day: str) -> DataFrame:
-        written = materialize(stamp_rows(staged), "staged-lines")
-        numbered = dense_numbers(written, "row_number", 0)
-        incoming = resolve_fact(numbered, {}).withColumns(unknown | no_cost)
-        known = materialize(existing_keys(fact, written), "known-keys")
-        start = last_key(fact, FACT_KEY)
-        merged = fact_upsert(fact, incoming, mark_column(day), start=start, known=known)
-        return materialize(merged, "fact")
+    def first_load(name: str) -> DataFrame:
+        return load_dimension(spark, before, name, DAY_ONE)
 
-    first = upsert(
-        empty_frame(spark, schema(FACT_TABLE)), _lines(spark, directory, FIRST), DAY_ONE
-    )
-    changed = SOURCES["order_line"].staged(
-        SourceTables(spark, directory, SECOND), DAY_ONE
-    )
-    second = upsert(first, changed, DAY_TWO)
+    def second_load(name: str) -> DataFrame:
+        merged = merge_dimension(one[name], SOURCES[name].staged(after), BY_NAME[name], DAY_TWO)
+        return materialize(merged, f"dim-{name}")
+
+    one = together(first_load, list(BY_NAME))
+    two = together(second_load, list(BY_NAME))
+    nothing = empty_frame(spark, schema(FACT_TABLE))
+    first = _upserted(nothing, _lines(spark, directory, FIRST), one, DAY_ONE)
+    changed = SOURCES["order_line"].staged(after, DAY_ONE)
+    second = _upserted(first, changed, two, DAY_TWO)
     kept = first.select(NATURAL_KEY, F.col(FACT_KEY).alias("old_key"))
-    return second.join(kept, NATURAL_KEY, "left").select(
+    highest = F.lit(last_key(first, FACT_KEY))
+    return _key_properties(second).join(kept, NATURAL_KEY, "left").select(
         NATURAL_KEY,
         "order_date_key",
-        "customer_key",
+        *[spec.key for spec in DIMENSIONS],
+        "standard_cost",
         "quantity",
         "line_total",
         "loaded_at",
+        "key_is_positive",
+        "key_copies",
         F.col(FACT_KEY).eqNullSafe(F.col("old_key")).alias("kept_key"),
+        (F.col(FACT_KEY) > highest).alias("above_old_keys"),
     )
 
 
@@ -568,8 +575,10 @@ def _(spark, directory):
 @query("fact_sales")
 def _(spark, directory):
     tables = SourceTables(spark, directory)
-    fact, _ = load_star(spark, tables, BY_NAME, DAY_ONE)
-    return fact.select([c for c in schema(FACT_TABLE).names if c in fact.columns])
+    dims = together(lambda n: load_dimension(spark, tables, n, DAY_ONE), list(BY_NAME))
+    nothing = empty_frame(spark, schema(FACT_TABLE))
+    fact = _upserted(nothing, _lines(spark, directory), dims, DAY_ONE)
+    return _key_properties(fact).drop(FACT_KEY)
 
 
 # --- indicators -----------------------------------------------------------------------
@@ -696,15 +705,10 @@ def _(spark, directory):
 
 # --- the load as a whole --------------------------------------------------------------
 
-_SMALL = tuple(BY_NAME[n] for n in ("salesperson", "territory", "promotion", "ship_method"))
-
-
 def _loaded(
     spark: SparkSession,
     directory: str,
     loads: list[tuple[str, str, bool]],
-    dimensions: tuple[DimensionSpec, ...] = DIMENSIONS,
-    with_fact: bool = True,
 ) -> TableStore:
     """A stored warehouse after some loads of (source state, load date, full load)."""
     store = TableStore(spark, scratch_path(spark, "warehouse"))
@@ -712,7 +716,6 @@ def _loaded(
         run(
             spark, SourceTables(spark, directory, snapshot), store, day,
             datetime.fromisoformat(day), full_load=full_load,
-            dimensions=dimensions, with_fact=with_fact,
         )
     return store
 
@@ -721,19 +724,19 @@ _TWO_BATCHES = [(FIRST, DAY_ONE, False), (SECOND, DAY_TWO, False)]
 
 
 def _control(spark: SparkSession, directory: str) -> Control:
-    return Control(_loaded(spark, directory, _TWO_BATCHES, _SMALL, with_fact=False))
+    return Control(_loaded(spark, directory, _TWO_BATCHES))
 
 
 @query("stg_replace")
 def _(spark, directory):
-    store = _loaded(spark, directory, _TWO_BATCHES, _SMALL, with_fact=False)
+    store = _loaded(spark, directory, _TWO_BATCHES)
     parts = [
-        store.read(spec.staging).select(
-            F.lit(spec.name).alias("source_name"),
-            F.col(spec.business_key).alias("business_key"),
+        store.read(source.staging).select(
+            F.lit(name).alias("source_name"),
+            F.col(source.business_key).alias("business_key"),
             "modified_at",
         )
-        for spec in _SMALL
+        for name, source in SOURCES.items()
     ]
     result = parts[0]
     for part in parts[1:]:
@@ -762,7 +765,7 @@ def _(spark, directory):
 @query("watermark_read")
 def _(spark, directory):
     control = _control(spark, directory)
-    control.watermark("order_line")
+    control.watermark("returns")
     return control.watermarks().select("source_name", "last_extracted_at")
 
 
@@ -773,8 +776,37 @@ def _(spark, directory):
     )
 
 
+@query("watermark_null_mark")
+def _(spark, directory):
+    """Marks after a load, one whose changed lines have no time, and one with times again."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    marks = []
+
+    def load(tables: Mapping[str, DataFrame], day: str) -> None:
+        run(spark, tables, store, day, datetime.fromisoformat(day))
+        mark = Control(store).marks()["order_line"]
+        marks.append(spark.range(1).select(F.lit(day).alias("load_date"),
+                                           mark_column(mark).alias("mark")))
+
+    load(SourceTables(spark, directory, FIRST), DAY_ONE)
+    changed = SourceTables(spark, directory, SECOND)
+    untimed = changed["order_header"].withColumn(
+        "modified_at", F.lit(None).cast("timestamp_ntz")
+    )
+    load(dict(changed) | {"order_header": untimed}, DAY_TWO)
+    load(changed, DAY_THREE)
+    return marks[0].union(marks[1]).union(marks[2])
+
+
+@query("validate_row_counts")
+def _(spark, directory):
+    store = _loaded(spark, directory, [(PLAIN, DAY_ONE, False)])
+    names = (FACT_TABLE, *(spec.table for spec in DIMENSIONS), CALENDAR)
+    return quality.row_counts({name: store.read(name) for name in names})
+
+
 def _fact_content(store: TableStore) -> DataFrame:
-    return store.read(FACT_TABLE).drop(FACT_KEY)
+    return _key_properties(store.read(FACT_TABLE)).drop(FACT_KEY)
 
 
 @query("pipeline_two_batches")
