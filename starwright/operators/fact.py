@@ -61,7 +61,10 @@ def resolve_fact(
 
 
 def existing_keys(fact: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Natural key, surrogate key and order date of the fact rows a batch will overwrite."""
+    """Natural key, surrogate key and order date of the rows a batch will overwrite.
+
+    ``fact`` may be the fact itself, or the index of its keys.
+    """
     return fact.select(NATURAL_KEY, FACT_KEY, "order_date_key").join(
         incoming.select(NATURAL_KEY), NATURAL_KEY, "left_semi"
     )
@@ -93,6 +96,20 @@ def fact_upsert(
     return untouched.select(columns).unionByName(written.select(columns))
 
 
+def index_upsert(index: DataFrame, keys: DataFrame, known: DataFrame, start: int) -> DataFrame:
+    """The index of fact keys after a batch, by the same rule as ``fact_upsert``.
+
+    ``keys``: natural key, row number and order date of the batch.
+    """
+    old = known.select(NATURAL_KEY, F.col(FACT_KEY).alias("_key"))
+    written = keys.join(old, NATURAL_KEY, "left").withColumn(
+        FACT_KEY, F.coalesce("_key", F.lit(start) + F.col("row_number")).cast("long")
+    )
+    untouched = index.join(known.select(NATURAL_KEY), NATURAL_KEY, "left_anti")
+    columns = (NATURAL_KEY, FACT_KEY, "order_date_key")
+    return untouched.select(*columns).unionByName(written.select(*columns))
+
+
 def sales_measures(fact: DataFrame, keys: Sequence[str], **measures: Column) -> DataFrame:
     """Pre-aggregate a fact by surrogate keys, so that joins see one row per key."""
     return fact.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])

@@ -16,6 +16,7 @@ class DimensionSpec:
     scd_type: int
     unknown: dict[str, str] = field(default_factory=dict)
     fact_attributes: dict[str, str] = field(default_factory=dict)
+    many_members: bool = False
 
     @property
     def table(self) -> str:
@@ -34,6 +35,7 @@ DIMENSIONS: tuple[DimensionSpec, ...] = (
          "postal_code"),
         scd_type=2,
         unknown={"customer_name": "Desconhecido", "customer_type": "N/A"},
+        many_members=True,
     ),
     DimensionSpec(
         "product", "product_key", "product_id",
@@ -42,6 +44,7 @@ DIMENSIONS: tuple[DimensionSpec, ...] = (
         scd_type=2,
         unknown={"product_name": "Desconhecido"},
         fact_attributes={"standard_cost": "standard_cost"},
+        many_members=True,
     ),
     DimensionSpec(
         "salesperson", "salesperson_key", "employee_id",
@@ -74,6 +77,9 @@ BY_NAME: dict[str, DimensionSpec] = {spec.name: spec for spec in DIMENSIONS}
 
 FACT_TABLE = "dw.fact_sales"
 FACT_STAGING = "stg.order_line"
+# Keys of the fact by ranges of the natural key, so that a batch reads few of them.
+FACT_KEYS_TABLE = "dw.fact_sales_keys"
+KEY_RANGE = 1 << 22
 FACT_KEY = "sale_key"
 NATURAL_KEY = "order_line_id"
 

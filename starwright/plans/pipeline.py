@@ -4,33 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starwright.functions.scalars import date_key, month_of_key
 from starwright.operators.calendar import calendar_between, missing_days
-from starwright.operators.fact import existing_keys, fact_upsert, resolve_fact
+from starwright.operators.fact import existing_keys, fact_upsert, index_upsert, resolve_fact
 from starwright.operators.joins import members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
 from starwright.operators.scd import scd1_upsert, scd2_apply, scd2_changes
 from starwright.operators.shaping import date_range, next_watermark, rows_without
+from starwright.plans.constraints import assert_constraints
 from starwright.plans.control import Control, now
 from starwright.plans.model import (
     DATE_ROLES,
     DIMENSIONS,
+    FACT_KEYS_TABLE,
     FACT_STAGING,
     FACT_TABLE,
+    KEY_RANGE,
+    NATURAL_KEY,
     DimensionSpec,
 )
-from starwright.schemas import OPEN_START
+from starwright.schemas import OPEN_START, schema
 from starwright.session import materialize, together
 from starwright.sources.extracts import SOURCES, Tables
 from starwright.sources.store import TableStore
 
 CALENDAR = "dw.dim_date"
+# The default range of the calendar.
+CALENDAR_START, CALENDAR_END = "2005-01-01", "2030-12-31"
+MOST_DAYS = 200 * 366
 CURRENT = "current"
 _STAMP = T.StructType([T.StructField("row_stamp", T.LongType())])
 
@@ -123,17 +130,53 @@ def load_dimension(
     return applied
 
 
-def extend_calendar(store: TableStore, staged: DataFrame) -> int:
-    """Insert the days the staged dates span; gives the number of days checked."""
-    span = date_range(staged, list(DATE_ROLES)).first()
-    if span.first_day is None:
-        return 0
-    needed = calendar_between(store.spark, str(span.first_day), str(span.last_day))
+def load_calendar(
+    store: TableStore, first_day: str = CALENDAR_START, last_day: str = CALENDAR_END,
+    **labels: Sequence[str],
+) -> int:
+    """Insert the missing days of a range; gives the number of days in it.
+
+    ``labels`` may name ``day_names`` and ``month_names``.  A range of more than
+    ``MOST_DAYS`` days is refused: it comes from a date that cannot be right.
+    """
+    days = (date.fromisoformat(last_day) - date.fromisoformat(first_day)).days + 1
+    if days > MOST_DAYS:
+        raise ValueError(f"a calendar from {first_day} to {last_day} is too long")
+    needed = calendar_between(store.spark, first_day, last_day, **labels)
     calendar = store.read(CALENDAR)
     missing = missing_days(calendar, needed)
     if not missing.isEmpty():
         store.replace(CALENDAR, calendar.unionByName(missing))
-    return (span.last_day - span.first_day).days + 1
+    return days
+
+
+def extend_calendar(store: TableStore, staged: DataFrame, **labels: Sequence[str]) -> int:
+    """Insert the days the staged dates span; gives the number of days checked."""
+    span = date_range(staged, list(DATE_ROLES)).first()
+    if span.first_day is None:
+        return 0
+    return load_calendar(store, str(span.first_day), str(span.last_day), **labels)
+
+
+def key_range() -> Column:
+    """The part of the key index that a natural key belongs to."""
+    return F.floor(F.col(NATURAL_KEY) / F.lit(KEY_RANGE)).cast("string")
+
+
+def key_index(store: TableStore, ranges: list[str]) -> DataFrame:
+    """Keys of the fact rows in the given ranges; built once for a fact that has no index."""
+    if store.live_parts(FACT_TABLE) and not store.live_parts(FACT_KEYS_TABLE):
+        stored = store.read(FACT_TABLE).select(schema(FACT_KEYS_TABLE).names)
+        store.replace_parts(FACT_KEYS_TABLE, stored, key_range(), [])
+    return store.read(FACT_KEYS_TABLE, ranges)
+
+
+def members_of(dim: DataFrame, staged: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """Rows of a dimension that a batch of lines may need.
+
+    Only where a dimension has many members does it pay to look which ones a batch uses.
+    """
+    return members_used(dim, staged, spec.business_key) if spec.many_members else dim
 
 
 def load_fact(
@@ -142,21 +185,24 @@ def load_fact(
     rows: int,
     loaded_at: datetime,
     as_of: bool = False,
+    **labels: Sequence[str],
 ) -> int:
     """Upsert the ``rows`` staged order lines, rewriting only the order months they touch.
 
-    A line may move to another month, so the month of its old row counts as touched too;
-    finding old rows reads three narrow columns of the fact.  As with a sequence in an
-    upsert, rows that turn out to exist use up a number as well.
+    A line may move to another month, so the month of its old row counts as touched too.  Old
+    rows are found in a narrow index of keys, of which only the ranges that the batch falls
+    into are read and rewritten; it becomes current in one commit with the fact.  As with a
+    sequence in an upsert, rows that turn out to exist use up a number as well.
     """
     staged = store.read(FACT_STAGING)
-    extend_calendar(store, staged)
+    undated = rows_without(staged, "order_date")
+    if undated:
+        raise ValueError(f"{undated} order lines have no order date")
+    extend_calendar(store, staged, **labels)
     # Lines take current versions, so a load without ``as_of`` leaves closed history alone.
     dims = {
-        spec.name: members_used(
-            store.read(spec.table, None if as_of else _current_part(spec)),
-            staged,
-            spec.business_key,
+        spec.name: members_of(
+            store.read(spec.table, None if as_of else _current_part(spec)), staged, spec
         )
         for spec in dimensions
     }
@@ -164,7 +210,9 @@ def load_fact(
         store.read(FACT_STAGING, extra=_STAMP), "row_number", 0
     )
     incoming = resolve_fact(numbered, dims, as_of)
-    known = materialize(existing_keys(store.read(FACT_TABLE), staged), "known-keys")
+    ranges = sorted(r.part for r in staged.select(key_range().alias("part")).distinct().collect())
+    index = key_index(store, ranges)
+    known = materialize(existing_keys(index, staged), "known-keys")
     month = month_of_key(F.col("order_date_key"))
     touched = known.select("order_date_key").union(
         staged.select(date_key(F.col("order_date")).alias("order_date_key"))
@@ -178,7 +226,14 @@ def load_fact(
         start=start,
         known=known,
     )
-    store.replace_parts(FACT_TABLE, merged, month.cast("string"), months, start + rows)
+    keys = numbered.select(
+        NATURAL_KEY, "row_number", date_key(F.col("order_date")).alias("order_date_key")
+    )
+    indexed = index_upsert(index, keys, known, start)
+    store.publish(
+        store.write_parts(FACT_TABLE, merged, month.cast("string"), months, start + rows)
+        + store.write_parts(FACT_KEYS_TABLE, indexed, key_range(), ranges)
+    )
     return rows
 
 
@@ -194,9 +249,14 @@ def run(
     with_fact: bool = True,
     as_of: bool = False,
     until: datetime | None = None,
+    check: bool = False,
+    **labels: Sequence[str],
 ) -> LoadReport:
     """One load of the warehouse.
 
+    ``check`` ends it with all constraints of the model, as a step that fails if one is
+    broken.  ``labels`` are those of new calendar days.
+
     It reads rows modified up to ``until``, in the clock of the source; the default is the
     time at which the load begins.
 
@@ -207,6 +267,7 @@ def run(
     control, report = Control(store), LoadReport()
     started = now()
     try:
+        store.tidy()
         seed_dimensions(store, dimensions)
         by_name = {spec.name: spec for spec in dimensions}
         # The longest extract starts first.
@@ -224,7 +285,7 @@ def run(
             with control.step(step) as outcome:
                 if name == "order_line":
                     applied = load_fact(
-                        store, dimensions, batch.rows, loaded_at or started, as_of
+                        store, dimensions, batch.rows, loaded_at or started, as_of, **labels
                     )
                 else:
                     # As of the sale, a member was there from the start.
@@ -238,6 +299,9 @@ def run(
         report.applied = together(load, [n for n in filled if n in by_name])
         if "order_line" in filled:
             report.applied["order_line"] = load("order_line")
+        if check:
+            with control.step("check_constraints") as outcome:
+                outcome["rows"] = assert_constraints(store)
     except Exception as error:
         control.log("run", started, "ERROR", 0, str(error))
         raise

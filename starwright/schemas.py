@@ -101,6 +101,9 @@ DECLARATIONS: dict[str, str] = {
         freight DECIMAL(14,4) NOT NULL, source_modified_at TIMESTAMP_NTZ NOT NULL,
         loaded_at TIMESTAMP_NTZ NOT NULL
     """,
+    "dw.fact_sales_keys": """
+        order_line_id BIGINT NOT NULL, sale_key BIGINT NOT NULL, order_date_key INT NOT NULL
+    """,
     "ctrl.watermark": """
         source_name VARCHAR(100) NOT NULL, last_extracted_at TIMESTAMP_NTZ NOT NULL,
         started_at TIMESTAMP_NTZ, finished_at TIMESTAMP_NTZ, status VARCHAR(20),

@@ -48,16 +48,39 @@ def work_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of this machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    app_id = spark.conf.get("spark.app.id", "local")
     if shared:
-        return f"{shared.rstrip('/')}/starwright"
+        return f"{shared.rstrip('/')}/starwright/{app_id}"
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app_id = spark.conf.get("spark.app.id", "local")
     if app_id not in _LOCAL_DIRS:
         _LOCAL_DIRS[app_id] = tempfile.mkdtemp(prefix="starwright-")
     return _LOCAL_DIRS[app_id]
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; none if it does not exist."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(folder)]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, folder = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove the scratch tables of this application; frames that read them end with it."""
+    delete(spark, work_dir(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

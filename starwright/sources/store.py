@@ -4,22 +4,34 @@ A table consists of parts; each part is a folder of one version.  A publication
 folders and then appends the list of replaced parts to a small log, in one Spark commit, so
 a reader sees either the old or the new state and a path is never overwritten while a plan
 reads it.  Only the parts a batch touches are rewritten.
+
+Logs are folders of generations.  Appending adds a small file; ``tidy``, at the start of a load,
+turns many small files into the one file of a new generation and removes folders that no
+longer belong to a table's current state.  A reader that opened the store before the last load
+should open it again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from threading import Lock
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from starwright.operators.dedup import pick_first
 from starwright.schemas import empty_frame, schema
+from starwright.session import delete, names_in
 
 WHOLE = "whole"
-LOGS = ("ctrl.publication", "ctrl.watermark", "ctrl.step_log")
+PUBLICATION, WATERMARK, STEPS = "ctrl.publication", "ctrl.watermark", "ctrl.step_log"
+LOGS = (PUBLICATION, WATERMARK, STEPS)
+#: A log of more files is compacted at the start of a load.
+MOST_LOG_FILES = 64
 
 
 class TableStore:
@@ -27,15 +39,19 @@ class TableStore:
 
     The publication log, one row per replaced part, is read when the store is opened and
     followed while it writes; ``refresh`` picks up what another load has published.  Threads
-    of that load may publish different tables at the same time.
+    of that load may publish different tables at the same time.  Two loads never write to one
+    folder, and the one that finds that another has published meanwhile is refused.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.run_id = uuid.uuid4().hex[:8]
         self._appending = {log: Lock() for log in LOGS}
+        self._generation: dict[str, int] = {}
         for log in LOGS:
-            self._frame([], log).write.mode("ignore").parquet(self._path(log))
+            if not self._finished(log):
+                self._frame([], log).write.mode("overwrite").parquet(self._path(log, "g0"))
         self.refresh()
 
     def _path(self, *names: str) -> str:
@@ -49,21 +65,76 @@ class TableStore:
 
     # --- append-only control tables -------------------------------------------------
 
+    def _finished(self, log: str) -> list[int]:
+        """Generations of a log whose first write was committed."""
+        found = [int(name[1:]) for name in names_in(self.spark, self._path(log))]
+        return sorted(
+            g for g in found if "_SUCCESS" in names_in(self.spark, self._path(log, f"g{g}"))
+        )
+
+    def _log_path(self, log: str) -> str:
+        return self._path(log, f"g{self._generation[log]}")
+
+    def log_files(self, log: str) -> int:
+        names = names_in(self.spark, self._log_path(log))
+        return sum(name.startswith("part-") for name in names)
+
     def append(self, log: str, rows: list[tuple]) -> None:
         """Add a few control rows; the commit of the write makes them visible at once."""
         with self._appending[log]:
-            self._frame(rows, log).write.mode("append").parquet(self._path(log))
+            if log == PUBLICATION and self.log_files(log) != self._seen:
+                raise RuntimeError("another load has published to this store; run again")
+            self._frame(rows, log).coalesce(1).write.mode("append").parquet(self._log_path(log))
+            if log == PUBLICATION:
+                self._seen = self.log_files(log)
 
     def read_log(self, log: str) -> DataFrame:
-        return self.spark.read.schema(schema(log)).parquet(self._path(log))
+        return self.spark.read.schema(schema(log)).parquet(self._log_path(log))
+
+    def tidy(self) -> None:
+        """Compact the logs and remove folders that are no part of a current table.
+
+        Of publications the last of each part is kept, of marks the highest of each source;
+        the step log keeps all its rows.
+        """
+        for log in LOGS:
+            if self.log_files(log) > MOST_LOG_FILES:
+                self._compact(log)
+        live = {path for parts in self._live.values() for path in parts.values()}
+        for table in self._live:
+            for version in names_in(self.spark, self._path(table)):
+                folder = self._path(table, version)
+                inside = [n for n in names_in(self.spark, folder) if n.startswith("part=")]
+                stale = [f"{folder}/{n}" for n in inside if f"{folder}/{n}" not in live]
+                if folder not in live and len(stale) == len(inside):
+                    stale = [folder]
+                for path in stale:
+                    delete(self.spark, path)
+
+    def _compact(self, log: str) -> None:
+        rows = self.read_log(log)
+        if log == PUBLICATION:
+            rows = pick_first(rows, ["table_name", "part"], [F.col("version").desc()])
+        elif log == WATERMARK:
+            order = [F.col("last_extracted_at").desc_nulls_last(), F.col("finished_at").desc()]
+            rows = pick_first(rows, ["source_name"], order)
+        generation = self._generation[log]
+        rows.coalesce(1).write.mode("overwrite").parquet(self._path(log, f"g{generation + 1}"))
+        for old in self._finished(log):
+            if old < generation:
+                delete(self.spark, self._path(log, f"g{old}"))
+        self._generation[log] = generation + 1
+        self._seen = self.log_files(PUBLICATION)
 
     # --- tables ---------------------------------------------------------------------
 
     def refresh(self) -> None:
+        self._generation = {log: self._finished(log)[-1] for log in LOGS}
+        self._seen = self.log_files(PUBLICATION)
         self._live: dict[str, dict[str, str]] = {}
         self._versions: dict[str, int] = {}
         self._last_keys: dict[str, int] = {}
-        for row in self.read_log("ctrl.publication").orderBy("version").collect():
+        for row in self.read_log(PUBLICATION).orderBy("version").collect():
             self._follow(*row)
 
     def _follow(
@@ -77,8 +148,9 @@ class TableStore:
         if path is not None:
             parts[part] = path
 
-    def _publish(self, rows: list[tuple]) -> None:
-        self.append("ctrl.publication", rows)
+    def publish(self, rows: list[tuple]) -> None:
+        """Make written parts current, of one table or of several, in one commit."""
+        self.append(PUBLICATION, rows)
         for row in rows:
             self._follow(*row)
 
@@ -107,10 +179,13 @@ class TableStore:
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Publish ``df`` as the whole content of a table without parts."""
-        version = self.version(table) + 1
-        path = self._path(table, f"v{version}")
+        version, path = self._next(table)
         df.write.mode("overwrite").parquet(path)
-        self._publish([(table, WHOLE, version, path, None)])
+        self.publish([(table, WHOLE, version, path, None)])
+
+    def _next(self, table: str) -> tuple[int, str]:
+        version = self.version(table) + 1
+        return version, self._path(table, f"v{version}-{self.run_id}")
 
     def replace_parts(
         self,
@@ -120,22 +195,33 @@ class TableStore:
         replaced: Iterable[str],
         last_key: int | None = None,
     ) -> None:
-        """Publish new versions of the ``replaced`` parts; other parts stay as they are.
+        """Publish new versions of the ``replaced`` parts; other parts stay as they are."""
+        self.publish(self.write_parts(table, df, part, replaced, last_key))
+
+    def write_parts(
+        self,
+        table: str,
+        df: DataFrame,
+        part: Column,
+        replaced: Iterable[str],
+        last_key: int | None = None,
+    ) -> list[tuple]:
+        """Write new versions of the ``replaced`` parts; gives what ``publish`` takes.
 
         Rows are rebalanced by part, so adaptive execution splits large parts over tasks and
         joins small ones instead of writing a file per task and part.
         """
-        version = self.version(table) + 1
-        path = self._path(table, f"v{version}")
+        version, path = self._next(table)
         rows = df.withColumn("part", part)
         self.spark.sql("SELECT /*+ REBALANCE(part) */ * FROM {rows}", rows=rows).write.mode(
             "overwrite"
         ).partitionBy("part").parquet(path)
-        written = self.spark.read.schema(rows.schema).parquet(path)
-        present = {r.part for r in written.select("part").distinct().collect()}
-        self._publish(
-            [
-                (table, p, version, f"{path}/part={p}" if p in present else None, last_key)
-                for p in sorted(set(replaced) | present)
-            ]
-        )
+        present = {
+            name.removeprefix("part=")
+            for name in names_in(self.spark, path)
+            if name.startswith("part=")
+        }
+        return [
+            (table, p, version, f"{path}/part={p}" if p in present else None, last_key)
+            for p in sorted(set(replaced) | present)
+        ]
