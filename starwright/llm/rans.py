@@ -25,12 +25,14 @@ from pyspark.sql import types as T
 
 from starwright.llm.common import keyed_text, materialize, scratch_path, shared_text, stored
 from starwright.llm.words import (
-    WORD_PIECES, Ragged, batches_of, sums_between, texts_of, word_encoder, words_between_spaces,
+    WORD_PIECES, Ragged, batches_of, coded_words, collector_off, lowered_pieces,
+    piece_encoder, sums_between, texts_of, word_encoder,
 )
 
-BATCH_ROWS, BATCH_BYTES = 8192, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 10_000, 48 << 20
+KEPT_PIECES = 500_000
 SCALE_BITS = 20
-LANES, BLOCK = 2048, 1 << 18
+LANES, BLOCK = 4096, 1 << 20
 SEGMENT_TOKENS = 8_000_000
 LOW = np.uint64(1 << 31)
 WORD_BITS, WORD_MASK = np.uint64(32), np.uint64(0xFFFFFFFF)
@@ -153,12 +155,21 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, kind: str) -> DataF
     ])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_encoder(vocabulary, WORD_PIECES, lower=True)
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(vocabulary)
+        ids_of_pieces = piece_encoder(tokenizer, KEPT_PIECES)
+        ids_of_words = word_encoder(vocabulary, WORD_PIECES, lower=True)
         for batch in batches_of(batches, BATCH_ROWS, BATCH_BYTES):
-            split = words_between_spaces(texts_of(batch.column(1)))
-            ids = Ragged(coder(split.words), np.uint32)
-            flat = ids.take(split.codes)
-            ends = np.cumsum(sums_between(ids.sizes[split.codes], split.bounds))
+            bounds, codes, words = coded_words(texts_of(batch.column(1)))
+            # Distinct words are cut in Arrow; Python sees each distinct piece once.
+            counts, places, pieces, whole = lowered_pieces(words)
+            with collector_off():
+                ids = Ragged(ids_of_pieces(pieces) + ids_of_words(whole), np.uint32)
+            in_words = np.concatenate([[0], np.cumsum(counts)])
+            of_word = Ragged.of(ids.take(places), sums_between(ids.sizes[places], in_words))
+            flat = of_word.take(codes)
+            ends = np.cumsum(sums_between(of_word.sizes[codes], bounds))
             flat = np.insert(flat, ends, end_id).astype(kind)
             bounds = flat.itemsize * np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
             packed = pa.LargeBinaryArray.from_buffers(
@@ -177,8 +188,11 @@ def token_counts(ids: DataFrame, size: int, kind: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(size, np.int64)
         for batch in batches:
-            parts = [np.frombuffer(data.as_buffer(), kind) for data in batch.column(0)]
-            seen += np.bincount(np.concatenate([*parts, []]).astype(np.int64), minlength=size)
+            column = batch.column(0).cast(pa.large_binary())
+            bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset :]
+            flat = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+            ids = flat[bounds[0] : bounds[len(column)]].view(kind)
+            seen += np.bincount(ids, minlength=size)
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found), pa.array(seen[found])], names=["id", "n"]
@@ -236,7 +250,7 @@ def write_files(
 ) -> None:
     """Encode all documents with the tokenizer file at ``path``; write them by ascending id.
 
-    Null ids come first; equal ids are ordered by their packed tokens.  Null texts are the end id.
+    Null ids come first; equal ids are ordered by a hash of their tokens.  Null texts are the end id.
     """
     from tokenizers import Tokenizer
 
@@ -258,8 +272,11 @@ def write_files(
             yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["frame"])
 
     (
-        ids.repartitionByRange(segments, "doc_id", "ids")
-        .sortWithinPartitions("doc_id", "ids")
+        # Bounds are drawn from ids and hashes; tokens would be much to sample.
+        ids.withColumn("tie", F.xxhash64("ids"))
+        .repartitionByRange(segments, "doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie", "ids")
+        .select("doc_id", "ids")
         .mapInArrow(encode, "frame binary")
         # The sink writes the bytes of a string as they are.
         .select(F.col("frame").cast("string").alias("value"))

@@ -6,8 +6,10 @@ steps run in Arrow, so Python sees each distinct word of a batch once.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -24,6 +26,11 @@ BYTE_PIECES = re.compile(
 )
 WORD_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
+# Words that Arrow may cut: plain ones, without contractions, added tokens and the one letter
+# that Arrow lowers to another text than the tokenizers do.
+_CUTTABLE = "^[\x01-\x1b -&(-;=-\x84\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027]*$"
+_RUNS = r"(\p{L}+|\p{N}|[^\p{L}\p{N}]+)"
+
 _RUN = f"[{SPACES}][{SPACES}]"
 _SPACED = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 _MARK = "\x1f"
@@ -44,19 +51,22 @@ def texts_of(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def _coded(lists: pa.Array) -> Split:
+def _coded(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Bounds, codes and distinct values of lists."""
     bounds = np.asarray(lists.offsets, dtype=np.int64)
     values = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-    return Split(
-        bounds - bounds[0],
-        np.asarray(values.indices, dtype=np.int32),
-        values.dictionary.to_pylist(),
-    )
+    return bounds - bounds[0], np.asarray(values.indices, dtype=np.int32), values.dictionary
+
+
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words between ASCII white space, as in ``Split``, but with the words still in Arrow."""
+    return _coded(pc.ascii_split_whitespace(texts))
 
 
 def words_between_spaces(texts: pa.Array) -> Split:
     """Words between ASCII white space; runs of it leave empty words, which mean nothing."""
-    return _coded(pc.ascii_split_whitespace(texts))
+    bounds, codes, words = coded_words(texts)
+    return Split(bounds, codes, words.to_pylist())
 
 
 def words_with_spaces(texts: pa.Array) -> Split:
@@ -69,7 +79,8 @@ def words_with_spaces(texts: pa.Array) -> Split:
     marked = pc.replace_substring(
         pc.replace_substring(pc.if_else(simple, texts, ""), " ", f"{_MARK} "), "\n", f"{_MARK}\n"
     )
-    fast = _coded(pc.split_pattern(marked, _MARK))
+    bounds, codes, words = _coded(pc.split_pattern(marked, _MARK))
+    fast = Split(bounds, codes, words.to_pylist())
     rest = np.flatnonzero(~np.asarray(simple, dtype=bool))
     if not len(rest):
         return fast
@@ -84,6 +95,16 @@ def words_with_spaces(texts: pa.Array) -> Split:
     return Split(bounds, np.concatenate(parts), list(place))
 
 
+@contextmanager
+def collector_off() -> Iterator[None]:
+    """Many short lists, none in a cycle: searching them for cycles would cost more than they."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 class Ragged:
     """Rows of numbers of different lengths, stored end to end."""
 
@@ -94,6 +115,13 @@ class Ragged:
             (x for row in rows for x in row), dtype, int(self.starts[-1])
         )
 
+    @classmethod
+    def of(cls, flat: np.ndarray, sizes: np.ndarray) -> Ragged:
+        ragged = cls.__new__(cls)
+        ragged.flat, ragged.sizes = flat, sizes
+        ragged.starts = np.concatenate([[0], np.cumsum(sizes)])
+        return ragged
+
     def take(self, places: np.ndarray) -> np.ndarray:
         """The rows at ``places`` end to end."""
         sizes = self.sizes[places]
@@ -119,6 +147,34 @@ def batches_of(
             yield batch.slice(start, step)
 
 
+def lowered_pieces(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
+    """Sizes and codes of words, distinct pieces, and words that stay whole.
+
+    Pieces are runs of letters, digits, and runs of other signs, in lower case.  A word that
+    Arrow cannot cut as the tokenizers do is whole; its code counts on after the pieces.
+    """
+    cuttable = pc.match_substring_regex(words, _CUTTABLE)
+    texts = pc.utf8_lower(pc.if_else(cuttable, words, ""))
+    # Most words are letters only, for which the pattern would be slow.
+    mixed = pc.invert(pc.utf8_is_alpha(texts))
+    cut = pc.replace_substring_regex(
+        texts.filter(mixed), pattern=_RUNS, replacement=f"\\1{_MARK}"
+    )
+    none, mark = (pa.scalar(x, texts.type) for x in ("", _MARK))
+    ended = pc.binary_join_element_wise(texts, none, mark)
+    marked = pc.replace_with_mask(ended, mixed, cut)
+    bounds, codes, pieces = _coded(pc.split_pattern(marked, _MARK))
+    # A mark follows each piece, so an empty piece ends every word.
+    sizes = np.diff(bounds) - 1
+    codes = np.delete(codes, bounds[1:] - 1)
+    whole = np.flatnonzero(~np.asarray(cuttable, dtype=bool))
+    codes = np.insert(
+        codes, np.cumsum(sizes)[whole], len(pieces) + np.arange(len(whole), dtype=np.int32)
+    )
+    sizes[whole] = 1
+    return sizes, codes, pieces.to_pylist(), words.take(pa.array(whole)).to_pylist()
+
+
 def memo(encode: Callable[[list[str]], list], most: int) -> Callable[[list[str]], list]:
     """``encode`` with a memory of at most ``most`` words besides those of one call."""
     known: dict[str, object] = {}
@@ -170,6 +226,17 @@ def piece_finder(tokenizer, pattern: re.Pattern, lower: bool) -> Callable[[str],
     return find
 
 
+def piece_encoder(tokenizer, most: int) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of pieces (texts of one pre-token), remembering ``most`` of them."""
+    spell, merge = spelling(), tokenizer.model.tokenize
+
+    def encode(pieces: list[str]) -> list[list[int]]:
+        spelled = [p if p.isascii() and p.isprintable() else spell(p) for p in pieces]
+        return [[token.id for token in merge(p)] for p in spelled]
+
+    return memo(encode, most)
+
+
 def word_encoder(
     vocabulary: str, pattern: re.Pattern, lower: bool, most: int = 300_000
 ) -> Callable[[list[str]], list[list[int]]]:

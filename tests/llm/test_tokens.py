@@ -101,7 +101,7 @@ def test_chunks_are_not_shuffled(odd):
     assert plan.count("Exchange") == 2, plan
 
 
-@pytest.mark.parametrize("size", [1, 5, 2047, 2048, 2049, 70_000])
+@pytest.mark.parametrize("size", [1, 5, 4095, 4096, 4097, 70_000])
 def test_blocks_decode_to_what_was_coded(size):
     rng = np.random.default_rng(size)
     ids = (rng.zipf(1.2, size) % 40_000).astype(np.uint32)
