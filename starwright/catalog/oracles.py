@@ -829,6 +829,60 @@ def _quality_statements() -> dict[str, str]:
     }
 
 
+def _constraint_statements() -> dict[str, str]:
+    """Reports over a clean star name every constraint with no violation."""
+    keys = {"dw.dim_date": ["date_key"], "dw.dim_customer": ["customer_key"],
+            "dw.dim_product": ["product_key"], "dw.dim_salesperson": ["salesperson_key"],
+            "dw.dim_territory": ["territory_key"], "dw.dim_promotion": ["promotion_key"],
+            "dw.dim_ship_method": ["ship_method_key"],
+            "dw.fact_sales": ["sale_key", "order_line_id"]}
+    references = ["order_date_key", "ship_date_key", "due_date_key", "customer_key",
+                  "product_key", "salesperson_key", "territory_key", "promotion_key",
+                  "ship_method_key"]
+    validity = "valid_from valid_to is_current"
+    required = {
+        "dw.dim_date": "date_key full_date day_of_month day_name day_of_week month_number"
+        " month_name quarter year is_weekend fiscal_year fiscal_quarter",
+        "dw.dim_customer": f"customer_key customer_id {validity}",
+        "dw.dim_product": f"product_key product_id {validity}",
+        "dw.dim_salesperson": f"salesperson_key employee_id {validity}",
+        "dw.dim_territory": "territory_key territory_id",
+        "dw.dim_promotion": "promotion_key special_offer_id",
+        "dw.dim_ship_method": "ship_method_key ship_method_id",
+        "dw.fact_sales": "sale_key order_date_key customer_key product_key salesperson_key"
+        " territory_key promotion_key ship_method_key order_number line_number order_line_id"
+        " quantity unit_price unit_price_discount discount_amount line_total standard_cost"
+        " tax_amount freight source_modified_at loaded_at",
+    }
+
+    def clean(rule: str, table: str, column: str) -> str:
+        return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{column}' AS \"column\","
+                " 0 AS violations")
+
+    used = "SELECT territory_key FROM dim_territory WHERE territory_key % 5 <> 0"
+    return {
+        "dq_unique_star": " UNION ALL ".join(
+            clean("unique", t, c) for t, columns in keys.items() for c in columns),
+        "dq_referential_star": " UNION ALL ".join(
+            clean("reference", "dw.fact_sales", c) for c in references),
+        "dq_not_null_star": " UNION ALL ".join(
+            clean("not null", t, c) for t, columns in required.items() for c in columns.split()),
+        "dq_star_after_damage": f"""
+            SELECT 'reference' AS rule, 'dw.fact_sales' AS table_name,
+                   'territory_key' AS "column", count(*) AS violations
+            FROM fact WHERE territory_key NOT IN ({used})
+            UNION ALL SELECT 'unique', 'dw.dim_promotion', 'promotion_key', 2
+            UNION ALL SELECT 'not null', 'dw.dim_ship_method', 'ship_method_id', count(*)
+            FROM dim_ship_method WHERE ship_method_key <= 0""",
+        "pipeline_crash_before_mark": _keyed_fact("fact", DAY_ONE),
+        "step_log_error": """
+            SELECT 'extract_territory' AS step, 'SUCCESS' AS status,
+                   (SELECT count(*) FROM nation) AS rows_affected, '' AS message
+            UNION ALL SELECT 'load_dim_territory', 'ERROR', 0, 'lost the driver'
+            UNION ALL SELECT 'run', 'ERROR', 0, 'lost the driver'""",
+    }
+
+
 def _changed(name: str) -> str:
     """Rows that a second extract picks up."""
     if name == "order_line":
@@ -913,6 +967,7 @@ def oracle_sql() -> dict[str, str]:
         **_star_statements(),
         **_kpi_statements(),
         **_quality_statements(),
+        **_constraint_statements(),
         **_pipeline_statements(),
     }
 

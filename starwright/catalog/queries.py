@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +38,7 @@ from starwright.operators.shaping import (
     next_watermark,
     rename_guarded,
 )
-from starwright.plans import kpis
+from starwright.plans import constraints, kpis, pipeline
 from starwright.plans.control import Control
 from starwright.plans.model import (
     BY_NAME,
@@ -703,6 +704,32 @@ def _(spark, directory):
     return quality.type_violations(raw, "dw.dim_promotion")
 
 
+def _broken(violations: Callable[[TableStore], DataFrame]) -> Query:
+    """A constraint report over a stored warehouse after two loads."""
+    def report(spark, directory):
+        return violations(_loaded(spark, directory, _TWO_BATCHES))
+
+    return report
+
+
+query("dq_unique_star")(_broken(constraints.unique_violations))
+query("dq_referential_star")(_broken(constraints.reference_violations))
+query("dq_not_null_star")(_broken(constraints.required_violations))
+
+
+@query("dq_star_after_damage")
+def _(spark, directory):
+    """All constraints, in a warehouse that lost a dimension's members and copied a part."""
+    store = _loaded(spark, directory, [(PLAIN, DAY_ONE, False)])
+    territory = store.read("dw.dim_territory")
+    store.replace("dw.dim_territory", territory.where("territory_key % 5 <> 0"))
+    store.replace("dw.dim_promotion", store.read("dw.dim_promotion").unionByName(
+        store.read("dw.dim_promotion").where("promotion_key = 2")))
+    store.replace("dw.dim_ship_method", store.read("dw.dim_ship_method").withColumn(
+        "ship_method_id", F.expr("CASE WHEN ship_method_key > 0 THEN ship_method_id END")))
+    return constraints.all_violations(store).where("violations > 0")
+
+
 # --- the load as a whole --------------------------------------------------------------
 
 def _loaded(
@@ -798,6 +825,44 @@ def _(spark, directory):
     return marks[0].union(marks[1]).union(marks[2])
 
 
+@contextmanager
+def _failing(owner: object, name: str) -> Iterator[None]:
+    """A step that dies, as if the driver were lost there."""
+    kept = getattr(owner, name)
+
+    def fail(*_, **__):
+        raise RuntimeError("lost the driver")
+
+    setattr(owner, name, fail)
+    try:
+        yield
+    except RuntimeError:
+        pass
+    finally:
+        setattr(owner, name, kept)
+
+
+@query("pipeline_crash_before_mark")
+def _(spark, directory):
+    """A load that dies after publishing and before its marks move, then the same load again."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    tables, moment = SourceTables(spark, directory), datetime.fromisoformat(DAY_ONE)
+    with _failing(Control, "advance"):
+        run(spark, tables, store, DAY_ONE, moment)
+    run(spark, tables, TableStore(spark, store.root), DAY_ONE, moment)
+    return _fact_content(TableStore(spark, store.root))
+
+
+@query("step_log_error")
+def _(spark, directory):
+    """What the step log keeps of a load that fails while it merges dimensions."""
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    tables = SourceTables(spark, directory)
+    with _failing(pipeline, "load_dimension"):
+        run(spark, tables, store, DAY_ONE, dimensions=(BY_NAME["territory"],), with_fact=False)
+    return Control(store).latest_steps().select("step", "status", "rows_affected", "message")
+
+
 @query("validate_row_counts")
 def _(spark, directory):
     store = _loaded(spark, directory, [(PLAIN, DAY_ONE, False)])

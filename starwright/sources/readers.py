@@ -7,6 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: Roles that grow with the business; a single task would read them row by row.
+LARGE_ROLES = ("order_header", "order_detail")
+PARTITIONING = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"}
+
 
 def parquet_table(
     spark: SparkSession, directory: str, name: str, columns: T.StructType | str | None = None
@@ -24,11 +28,16 @@ def jdbc_tables(
 ) -> dict[str, DataFrame]:
     """Source tables of a relational database, one projection query per role.
 
-    ``options`` holds url, driver and credentials.  ``partitioning`` may name
+    ``options`` holds url, driver and credentials.  ``partitioning`` names
     ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` per role, so a
-    large table is read by many tasks; filters reach the database by themselves.
+    large table is read by many tasks; filters reach the database by themselves.  The roles in
+    ``LARGE_ROLES`` must have it.
     """
     split = partitioning or {}
+    for role in LARGE_ROLES:
+        missing = PARTITIONING - set(split.get(role, ()))
+        if role in queries and missing:
+            raise ValueError(f"{role} needs partitioning: {', '.join(sorted(missing))}")
     return {
         role: spark.read.format("jdbc")
         .options(**options, dbtable=f"({query}) {role}", **split.get(role, {}))

@@ -4,12 +4,22 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import starwright.__main__ as command
 from starwright.operators import quality
 from starwright.plans import kpis, pipeline
 from starwright.plans.control import Control
-from starwright.plans.model import BY_NAME, DATE_ROLES, DIMENSIONS, FACT_TABLE
+from starwright.plans.model import (
+    BY_NAME,
+    DATE_ROLES,
+    DIMENSIONS,
+    FACT_KEYS_TABLE,
+    FACT_TABLE,
+)
 from starwright.plans.pipeline import run
 from starwright.plans.star import load_star
+from starwright.session import names_in
+from starwright.sources import store as store_module
+from starwright.sources.readers import jdbc_tables
 from starwright.sources.store import TableStore
 from tests.tiny import NEW, ROWS, content, tables
 
@@ -206,3 +216,121 @@ def test_failed_step_is_logged_and_raised(spark, store, monkeypatch):
         load(spark, store, dimensions=(BY_NAME["territory"],), with_fact=False)
     steps = content(Control(store).latest_steps(), "step", "status")
     assert steps == [("extract_territory", "ERROR"), ("run", "ERROR")]
+
+
+def test_a_small_batch_reads_few_key_ranges(spark, store, monkeypatch):
+    monkeypatch.setattr(pipeline, "KEY_RANGE", 10)
+    load(spark, store)
+    assert sorted(store.live_parts(FACT_KEYS_TABLE)) == ["1", "2", "3"]
+    asked = []
+    read = TableStore.read
+
+    def noted(self, table, parts=None, extra=None):
+        asked.append((table, None if parts is None else sorted(parts)))
+        return read(self, table, parts, extra)
+
+    monkeypatch.setattr(TableStore, "read", noted)
+    before = dict(store.live_parts(FACT_KEYS_TABLE))
+    changed = [row[:-1] + (NEW,) if row[1] == 31 else row for row in ROWS["order_detail"]]
+    load(spark, store, SECOND_DAY, {"order_detail": changed})
+    assert (FACT_KEYS_TABLE, ["3"]) in asked
+    # The fact itself is read in the months of the batch only.
+    assert [parts for table, parts in asked if table == FACT_TABLE] == [["202403"]]
+    after = store.live_parts(FACT_KEYS_TABLE)
+    assert [p for p in before if before[p] != after[p]] == ["3"]
+
+
+def test_a_fact_without_an_index_gets_one(spark, store):
+    load(spark, store)
+    keys = dict(content(store.read(FACT_TABLE), "order_line_id", "sale_key"))
+    gone = [(FACT_KEYS_TABLE, part, 99, None, None) for part in store.live_parts(FACT_KEYS_TABLE)]
+    store.publish(gone)
+    load(spark, store, SECOND_DAY, full_load=True)
+    assert dict(content(store.read(FACT_TABLE), "order_line_id", "sale_key")) == keys
+    assert dict(content(store.read(FACT_KEYS_TABLE), "order_line_id", "sale_key")) == keys
+
+
+def test_files_stay_level_over_many_loads(spark, store, monkeypatch):
+    monkeypatch.setattr(store_module, "MOST_LOG_FILES", 12)
+    options = {"dimensions": (BY_NAME["territory"],), "with_fact": False}
+    counts = []
+    for i in range(10):
+        day = datetime(2024, 2, 1 + i)
+        load(spark, store, day, {"territory": [(1, f"North {i}", "PT", "Europe", day)]}, **options)
+        folders = names_in(spark, f"{store.root}/dw.dim_territory")
+        counts.append((sum(store.log_files(log) for log in store_module.LOGS), len(folders)))
+    assert max(files for files, _ in counts) <= 3 * 12 + 12
+    assert {folders for _, folders in counts[1:]} == {2}
+    reopened = TableStore(spark, store.root)
+    assert Control(reopened).marks() == {"territory": datetime(2024, 2, 10)}
+    assert content(reopened.read("dw.dim_territory"), "territory_name")[-1] == ("North 9",)
+    assert content(Control(reopened).latest_steps().where("step = 'load_dim_territory'"),
+                   "status") == [("SUCCESS",)] * 10
+
+
+def test_a_second_writer_is_refused(spark, store):
+    other = TableStore(spark, store.root)
+    territory = {"dimensions": (BY_NAME["territory"],), "with_fact": False}
+    load(spark, store, **territory)
+    with pytest.raises(RuntimeError, match="another load"):
+        load(spark, other, **territory)
+    other.refresh()
+    load(spark, other, SECOND_DAY, full_load=True, **territory)
+
+
+def test_broken_constraints_fail_the_load(spark, store):
+    header = [row[:9] + (None,) + row[10:] if row[0] == 1 else row for row in ROWS["order_header"]]
+    with pytest.raises(ValueError, match="not null dw.fact_sales.tax_amount"):
+        load(spark, store, changes={"order_header": header}, check=True)
+    steps = dict(content(Control(store).latest_steps(), "step", "status"))
+    assert steps["check_constraints"] == "ERROR" and steps["load_fact_sales"] == "SUCCESS"
+
+
+def test_lines_without_an_order_date_are_refused(spark, store):
+    header = [row[:2] + (None,) + row[3:] if row[0] == 1 else row for row in ROWS["order_header"]]
+    with pytest.raises(ValueError, match="2 order lines have no order date"):
+        load(spark, store, changes={"order_header": header})
+    assert not store.live_parts(FACT_TABLE)
+
+
+def test_load_dates_go_forward(spark, store):
+    load(spark, store, SECOND_DAY)
+    changed = [row[:1] + ("Other name",) + row[2:-1] + (NEW,) for row in ROWS["product"]]
+    with pytest.raises(ValueError, match="begins on 2024-01-21"):
+        load(spark, store, FIRST_DAY, {"product": changed}, full_load=True)
+    steps = dict(content(Control(store).latest_steps(), "step", "status"))
+    assert "ERROR" in steps.values()
+
+
+def test_a_calendar_has_bounds(store):
+    assert pipeline.load_calendar(store) == 9496
+    assert store.read("dw.dim_date").count() == 9496
+    with pytest.raises(ValueError, match="too long"):
+        pipeline.load_calendar(store, "2024-01-01", "9999-12-31")
+    assert pipeline.load_calendar(store, day_names=tuple("abcdefg")) == 9496
+
+
+def test_the_command_line(spark, tmp_path):
+    folder, root = tmp_path / "tables", str(tmp_path / "warehouse")
+    for role, df in tables(spark).items():
+        df.write.parquet(f"{folder}/{role}.parquet")
+    arguments = ["--store", root, "--tables", str(folder), "--load-date", "2024-01-21",
+                 "--calendar", "2024-01-01", "2024-12-31"]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("starwright.__main__.remove_scratch", lambda spark: None)
+        assert command.main(arguments, spark) == 0
+        assert command.main([*arguments, "--full-load", "--lookback-days", "3"], spark) == 0
+    store = TableStore(spark, root)
+    assert store.read(FACT_TABLE).count() == 4
+    assert store.read("dw.dim_date").count() == 366
+    with pytest.raises(SystemExit):
+        command.main(["--store", root], spark)
+
+
+def test_large_roles_of_a_database_need_partitioning(spark):
+    queries = {"order_detail": "SELECT 1", "territory": "SELECT 1"}
+    with pytest.raises(ValueError, match="order_detail needs partitioning"):
+        jdbc_tables(spark, {"url": "jdbc:none"}, queries)
+    with pytest.raises(ValueError, match="numPartitions"):
+        jdbc_tables(spark, {"url": "jdbc:none"}, queries, {"order_detail": {
+            "partitionColumn": "id", "lowerBound": "0", "upperBound": "9"}})
