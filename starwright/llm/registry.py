@@ -10,6 +10,9 @@ from starwright.llm import (
     bpe, decontam, knn_quality, pii, rans, rotated_bits, simhash, token_counts, warc, zstd_langid,
 )
 from starwright.llm.common import read_table
+from starwright.llm.oracles import ORACLES
+
+__all__ = ["BYTE_BPE", "ORACLES", "QUERIES", "WORD_BPE", "fold"]
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,7 +80,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10
-    )
+    ).drop("spans", "items", "near_items")
 
 
 QUERIES = {
@@ -92,5 +95,3 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_decontamination": op10_decontamination,
 }
-
-ORACLES: dict[str, str] = {}

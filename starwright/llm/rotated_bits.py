@@ -173,7 +173,8 @@ class Best:
         """Compare the given pairs exactly and keep the best of each query."""
         for start in range(0, len(rows), PAIR_BLOCK):
             r, q = rows[start : start + PAIR_BLOCK], queries[start : start + PAIR_BLOCK]
-            exact = np.sqrt(((vectors[r] - self.vectors[q]) ** 2).sum(axis=1))
+            # Added in the order of the components, so that every engine gets the same bits.
+            exact = np.sqrt(np.cumsum((vectors[r] - self.vectors[q]) ** 2, axis=1)[:, -1])
             touched, local = np.unique(q, return_inverse=True)
             owner = np.concatenate([np.repeat(np.arange(len(touched)), self.most), local])
             score = np.concatenate([self.scores[touched].ravel(), exact])
