@@ -148,10 +148,10 @@ def chunks_of(docs: DataFrame, buckets: int, label: str) -> DataFrame:
 
 
 def encode_distinct(parts: DataFrame, vocabulary: str) -> DataFrame:
-    """Ids of every distinct word: ``chunk, bucket, words, places`` becomes ``chunk, places, ids``.
+    """Ids of every distinct word: ``chunk, bucket, words`` becomes ``chunk, bucket, sizes, ids``.
 
-    All words of a bucket come to one task, which keeps the ids of that bucket only.  ``ids``
-    are packed in four bytes each and go with ``sizes``, their number for each place.
+    All words of a bucket come to one task, which keeps the ids of that bucket only.  Both
+    results are packed: ``sizes`` has the number of ids of each word, in the words' order.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_encoder(vocabulary, BYTE_PIECES, lower=False, most=1)
@@ -165,26 +165,45 @@ def encode_distinct(parts: DataFrame, vocabulary: str) -> DataFrame:
                 new = [word for word in words if word not in known]
                 known.update(zip(new, coder(new)))
                 rows = [known[word] for word in words]
+                sizes = np.fromiter(map(len, rows), "<u4", len(rows))
                 ids = np.fromiter((n for row in rows for n in row), "<u4")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(i, 1), batch.column(3).slice(i, 1),
-                        pa.array([np.fromiter(map(len, rows), np.int32)], pa.list_(pa.int32())),
+                        batch.column(0).slice(i, 1), batch.column(1).slice(i, 1),
+                        pa.array([_packed(sizes)], pa.binary()),
                         pa.array([_packed(ids)], pa.binary()),
                     ],
-                    names=["chunk", "places", "sizes", "ids"],
+                    names=["chunk", "bucket", "sizes", "ids"],
                 )
 
     dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(
-        encode, "chunk long, places array<int>, sizes array<int>, ids binary"
-    )
+    return dealt.mapInArrow(encode, "chunk long, bucket int, sizes binary, ids binary")
 
 
-def _packed(ids: np.ndarray) -> bytes:
+def _packed(numbers: np.ndarray) -> bytes:
     from zstandard import ZstdCompressor
 
-    return ZstdCompressor(level=1).compress(ids.tobytes())
+    return ZstdCompressor(level=1).compress(numbers.tobytes())
+
+
+def _words_by_place(
+    buckets: list[int], places: list[np.ndarray], found: pa.Table
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a chunk's words end to end, and start and size of each word by its place."""
+    from zstandard import ZstdDecompressor
+
+    unpack = ZstdDecompressor()
+
+    def column(name: str, row: int) -> np.ndarray:
+        return np.frombuffer(unpack.decompress(found[name][row].as_py()), "<u4")
+
+    row_of = {bucket: row for row, bucket in enumerate(found["bucket"].to_pylist())}
+    rows = [row_of[bucket] for bucket in buckets]
+    none = np.empty(0, np.uint32)
+    sizes = np.concatenate([none, *(column("sizes", row) for row in rows)]).astype(np.int64)
+    flat = np.concatenate([none, *(column("ids", row) for row in rows)])
+    by_place = np.argsort(np.concatenate([none, *places]), kind="stable")
+    return flat, (np.cumsum(sizes) - sizes)[by_place], sizes[by_place]
 
 
 def pieces_of(vocabulary: str) -> list[bytes]:
@@ -217,7 +236,12 @@ def encode_decode(
     frame = keyed_text(docs, id_col, text_col)
     buckets = partitions(docs.sparkSession)
     chunks = chunks_of(frame, buckets, "bpe-chunks")
-    encoded = encode_distinct(chunks.select("chunk", F.inline("parts")), vocabulary)
+    encoded = encode_distinct(
+        chunks.select("chunk", F.explode("parts").alias("part")).select(
+            "chunk", "part.bucket", "part.words"
+        ),
+        vocabulary,
+    )
     fields = [
         T.StructField("doc_id", frame.schema["doc_id"].dataType),
         T.StructField("n_tokens", T.LongType()),
@@ -233,31 +257,29 @@ def encode_decode(
     def assemble(packed: pa.Table, found: pa.Table) -> pa.Table:
         from zstandard import ZstdDecompressor
 
-        unpack = ZstdDecompressor()
-        parts = []
-        for places, sizes, packed_ids in zip(found["places"], found["sizes"], found["ids"]):
-            ids = np.frombuffer(unpack.decompress(packed_ids.as_py()), "<u4")
-            cuts = np.cumsum(sizes.values.to_numpy())[:-1]
-            parts += zip(places.values.to_pylist(), np.split(ids, cuts))
-        ids = [row for _, row in sorted(parts, key=lambda part: part[0])]
-        numbers = [",".join(map(str, row.tolist())) for row in ids]
+        buckets = packed["buckets"][0].as_py()
+        places = [x.values.to_numpy() for x in packed["places"][0]]
+        flat, starts, counts = _words_by_place(buckets, places, found)
+        bounds = list(zip(starts.tolist(), (starts + counts).tolist()))
+        listed = flat.tolist()
+        numbers = [",".join(map(str, listed[a:b])) for a, b in bounds]
         # The join of ids with pieces, once per distinct word.
-        spelled = [b"".join([pieces[i] for i in row.tolist()]) for row in ids]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        spelled = [b"".join([pieces[i] for i in listed[a:b]]) for a, b in bounds]
         doc_ids = packed["doc_ids"].combine_chunks().values
         sizes = packed["doc_words"][0].values.to_numpy()
-        places, at, rows = _long(unpack.decompress(packed["stream"][0].as_py())), 0, []
+        stream = _long(ZstdDecompressor().decompress(packed["stream"][0].as_py()))
+        at, rows = 0, []
         for size in sizes.tolist():
-            mine = places[at : at + size]
-            listed = mine.tolist()
-            text = b"".join([spelled[i] for i in listed]).decode("utf-8", "replace")
+            mine = stream[at : at + size]
+            own = mine.tolist()
+            text = b"".join([spelled[i] for i in own]).decode("utf-8", "replace")
             row = [
                 int(counts[mine].sum()),
-                hashlib.sha256(",".join([numbers[i] for i in listed]).encode()).hexdigest(),
+                hashlib.sha256(",".join([numbers[i] for i in own]).encode()).hexdigest(),
                 hashlib.sha256(text.encode()).hexdigest(),
             ]
             if with_ids:
-                row.append(np.concatenate([ids[i] for i in listed]) if listed else [])
+                row.append([n for i in own for n in listed[slice(*bounds[i])]])
             if with_text:
                 row.append(text)
             rows.append(row)
@@ -268,7 +290,10 @@ def encode_decode(
         return pa.table([doc_ids, *columns], names=schema.names)
 
     return (
-        chunks.select("chunk", "doc_ids", "doc_words", "stream")
+        chunks.select(
+            "chunk", "doc_ids", "doc_words", "stream",
+            F.col("parts.bucket").alias("buckets"), F.col("parts.places").alias("places"),
+        )
         .groupBy("chunk")
         .cogroup(encoded.groupBy("chunk"))
         .applyInArrow(assemble, schema)
