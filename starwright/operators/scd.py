@@ -94,9 +94,13 @@ def scd2_changes(
     attributes: Sequence[str],
     load_date: str,
     strict: bool = False,
+    start: int | None = None,
 ) -> DataFrame:
     """The rows of a batch that alter the dimension, written as a scratch table.
 
+    ``start`` is the highest surrogate key in use; it must be given if ``dim`` holds only the
+    members that the batch touches.
+
     ``new_key`` numbers the rows that open a version.  Same-day rows sort last, so they
     leave no gap in those numbers.  A version cannot end before it begins, so a load date
     before the start of a version that would end is refused.
@@ -110,7 +114,8 @@ def scd2_changes(
     latest = written.agg(F.max("previous_from")).first()[0]
     if latest is not None and latest > date.fromisoformat(load_date):
         raise ValueError(f"load date {load_date} is before a version that begins on {latest}")
-    return dense_numbers(written, "new_key", last_key(dim, key)).drop("_in_place")
+    used = last_key(dim, key) if start is None else start
+    return dense_numbers(written, "new_key", used).drop("_in_place")
 
 
 def scd2_apply(

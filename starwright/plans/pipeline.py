@@ -15,7 +15,7 @@ from starwright.operators.calendar import calendar_between, missing_days
 from starwright.operators.fact import existing_keys, fact_upsert, index_upsert, resolve_fact
 from starwright.operators.joins import members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
-from starwright.operators.scd import scd1_upsert, scd2_apply, scd2_changes
+from starwright.operators.scd import CHANGED, NEW, scd1_upsert, scd2_apply, scd2_changes
 from starwright.operators.shaping import date_range, next_watermark, rows_without
 from starwright.plans.constraints import assert_constraints
 from starwright.plans.control import Control, now
@@ -26,6 +26,7 @@ from starwright.plans.model import (
     FACT_STAGING,
     FACT_TABLE,
     KEY_RANGE,
+    MEMBER_RANGE,
     NATURAL_KEY,
     DimensionSpec,
 )
@@ -59,8 +60,17 @@ class LoadReport:
     applied: dict[str, int] = field(default_factory=dict)
 
 
-def _current_part(spec: DimensionSpec) -> list[str] | None:
-    return [CURRENT] if spec.scd_type == 2 else None
+def _current_parts(store: TableStore, spec: DimensionSpec) -> list[str] | None:
+    """The parts with current versions; None, for all, of a table without history."""
+    if spec.scd_type == 1:
+        return None
+    return [part for part in store.live_parts(spec.table) if part.startswith(CURRENT)]
+
+
+def member_range(business_key: str) -> Column:
+    """The part of a type 2 dimension that a member's current version belongs to."""
+    number = F.floor(F.col(business_key) / F.lit(MEMBER_RANGE)).cast("string")
+    return F.concat(F.lit(f"{CURRENT}-"), number)
 
 
 def seed_dimensions(store: TableStore, dimensions: Sequence[DimensionSpec]) -> None:
@@ -73,7 +83,7 @@ def seed_dimensions(store: TableStore, dimensions: Sequence[DimensionSpec]) -> N
             store.read(spec.table), spec.table, spec.key, spec.business_key, spec.unknown
         )
         if spec.scd_type == 2:
-            store.replace_parts(spec.table, seeded, F.lit(CURRENT), [CURRENT])
+            store.replace_parts(spec.table, seeded, member_range(spec.business_key), [], 0)
         else:
             store.replace(spec.table, seeded)
 
@@ -111,23 +121,28 @@ def load_dimension(
 ) -> int:
     """Merge the staged rows of one dimension; gives the number of rows applied.
 
-    A type 2 merge reads and rewrites current versions only; versions it closes go to a new
-    part, and older history is not touched.
+    A type 2 merge reads and rewrites current versions only, and of these the ranges of
+    members that the batch falls into; versions it closes go to a new part, and older history
+    is not touched.
     """
     staged = store.read(spec.staging)
-    dim = store.read(spec.table, _current_part(spec))
     keyed = (spec.business_key, spec.key, spec.attributes)
     if spec.scd_type == 1:
-        store.replace(spec.table, scd1_upsert(dim, staged, *keyed))
+        store.replace(spec.table, scd1_upsert(store.read(spec.table), staged, *keyed))
         return staged.count()
-    changes = scd2_changes(dim, staged, *keyed, load_date)
-    applied = changes.count()
-    if applied:
+    part = member_range(spec.business_key)
+    touched = [r.part for r in staged.select(part.alias("part")).distinct().collect()]
+    dim = store.read(spec.table, touched)
+    start = store.last_key(spec.table)
+    changes = scd2_changes(dim, staged, *keyed, load_date, start=start)
+    opened = F.when(F.col("action").isin(NEW, CHANGED), F.col("new_key"))
+    summary = changes.agg(F.count(F.lit(1)).alias("rows"), F.max(opened).alias("last_key")).first()
+    if summary.rows:
         merged = scd2_apply(dim, changes, *keyed, load_date, first_from)
         closed = f"closed-{store.version(spec.table) + 1}"
-        part = F.when(F.col("is_current"), CURRENT).otherwise(closed)
-        store.replace_parts(spec.table, merged, part, [CURRENT])
-    return applied
+        part = F.when(F.col("is_current"), part).otherwise(closed)
+        store.replace_parts(spec.table, merged, part, touched, summary.last_key or start)
+    return summary.rows
 
 
 def load_calendar(
@@ -202,7 +217,7 @@ def load_fact(
     # Lines take current versions, so a load without ``as_of`` leaves closed history alone.
     dims = {
         spec.name: members_of(
-            store.read(spec.table, None if as_of else _current_part(spec)), staged, spec
+            store.read(spec.table, None if as_of else _current_parts(store, spec)), staged, spec
         )
         for spec in dimensions
     }

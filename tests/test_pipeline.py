@@ -88,7 +88,9 @@ def test_life_of_a_warehouse(spark, store):
     assert content(store.read("dw.dim_territory"), "territory_key", "territory_name") == [
         (-1, "Desconhecido"), (1, "Far North"),
     ]
-    assert sorted(store.live_parts("dw.dim_customer")) == ["closed-3", "current"]
+    assert sorted(store.live_parts("dw.dim_customer")) == [
+        "closed-3", "current--1", "current-0",
+    ]
     assert_clean(store)
 
 
@@ -334,3 +336,19 @@ def test_large_roles_of_a_database_need_partitioning(spark):
     with pytest.raises(ValueError, match="numPartitions"):
         jdbc_tables(spark, {"url": "jdbc:none"}, queries, {"order_detail": {
             "partitionColumn": "id", "lowerBound": "0", "upperBound": "9"}})
+
+
+def test_a_batch_rewrites_the_members_it_falls_into(spark, store, monkeypatch):
+    monkeypatch.setattr(pipeline, "MEMBER_RANGE", 2)
+    options = {"dimensions": (BY_NAME["customer"],), "with_fact": False}
+    load(spark, store, **options)
+    before = dict(store.live_parts("dw.dim_customer"))
+    assert sorted(before) == ["current--1", "current-0", "current-1", "current-2"]
+    customer = [(4, None, 201, NEW) if row[0] == 4 else row for row in ROWS["customer"]]
+    store_rows = [row if row[0] != 201 else (201, "Renamed") for row in ROWS["store"]]
+    load(spark, store, SECOND_DAY, {"customer": customer, "store": store_rows}, **options)
+    after = store.live_parts("dw.dim_customer")
+    assert [p for p in before if after[p] != before[p]] == ["current-2"]
+    rows = content(store.read("dw.dim_customer").where("customer_id = 4"), "customer_key",
+                   "is_current")
+    assert rows == [(4, False), (5, True)]
