@@ -29,8 +29,8 @@ from starwright.llm.words import (
     piece_encoder, sums_between, texts_of, word_encoder,
 )
 
-BATCH_ROWS, BATCH_BYTES = 10_000, 48 << 20
-KEPT_PIECES = 500_000
+BATCH_ROWS, BATCH_BYTES = 5000, 20 << 20
+KEPT_PIECES = 400_000
 SCALE_BITS = 20
 LANES, BLOCK = 4096, 1 << 20
 SEGMENT_TOKENS = 8_000_000
