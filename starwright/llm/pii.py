@@ -68,7 +68,7 @@ _KEY_STARTS = ("AKIA", "ghp_", "sk-", "xox", "eyJ", "AIza")
 _GIVEN = frozenset(
     "James John Robert Michael William David Richard Joseph Thomas Charles Mary Patricia"
     " Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Hans Peter Klaus Anna Maria"
-    " Jean Pierre Marie Claude Carlos Juan Carmen Ana".split()
+    " Jean Pierre Marie Luc Carlos Juan Carmen Ana".split()
 )
 _TITLES = frozenset("Mr Mrs Ms Dr Prof Herr Frau Monsieur Madame Sr Sra".split())
 _WORDS_BEFORE = {
