@@ -28,7 +28,7 @@ from starwright.llm.words import (
 )
 
 BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
-CHUNK_WORDS, CHUNK_DISTINCT = 6_000_000, 400_000
+CHUNK_WORDS, CHUNK_DISTINCT = 2_400_000, 400_000
 
 
 def _cut(word: str) -> list[str]:
@@ -77,7 +77,7 @@ class _Chunk:
         for i in sorted(range(len(words)), key=words.__getitem__):
             dealt.setdefault(zlib.crc32(words[i].encode()) % buckets, []).append(i)
         parts = [
-            {"bucket": k, "words": words[own].tolist(), "places": rank[own].tolist()}
+            {"bucket": k, **_packed_words(words[own].tolist()), "places": rank[own].tolist()}
             for k, own in dealt.items()
         ]
         ids = pa.concat_arrays(self.ids)
@@ -118,7 +118,8 @@ def chunks_of(docs: DataFrame, buckets: int, label: str) -> DataFrame:
         T.StructField("stream", T.BinaryType()),
         T.StructField("parts", T.ArrayType(T.StructType([
             T.StructField("bucket", T.IntegerType()),
-            T.StructField("words", T.ArrayType(T.StringType())),
+            T.StructField("words", T.BinaryType()),
+            T.StructField("lengths", T.BinaryType()),
             T.StructField("places", T.ArrayType(T.IntegerType())),
         ]))),
     ])
@@ -127,7 +128,7 @@ def chunks_of(docs: DataFrame, buckets: int, label: str) -> DataFrame:
         from pyspark import TaskContext
 
         part = pa.struct([
-            ("bucket", pa.int32()), ("words", pa.list_(pa.string())),
+            ("bucket", pa.int32()), ("words", pa.binary()), ("lengths", pa.binary()),
             ("places", pa.list_(pa.int32())),
         ])
         number, chunk = TaskContext.get().partitionId() << 32, _Chunk()
@@ -148,10 +149,11 @@ def chunks_of(docs: DataFrame, buckets: int, label: str) -> DataFrame:
 
 
 def encode_distinct(parts: DataFrame, vocabulary: str) -> DataFrame:
-    """Ids of every distinct word: ``chunk, bucket, words`` becomes ``chunk, bucket, sizes, ids``.
+    """Ids of every distinct word, for ``chunk, bucket, words, lengths``.
 
-    All words of a bucket come to one task, which keeps the ids of that bucket only.  Both
-    results are packed: ``sizes`` has the number of ids of each word, in the words' order.
+    Gives ``chunk, bucket, sizes, ids``, both packed; ``sizes`` has the number of ids of each
+    word, in the words' order.  All words of a bucket come to one task, which keeps the ids of
+    that bucket only.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_encoder(vocabulary, BYTE_PIECES, lower=False, most=1)
@@ -161,7 +163,7 @@ def encode_distinct(parts: DataFrame, vocabulary: str) -> DataFrame:
             for i, bucket in enumerate(batch.column(1).to_pylist()):
                 if bucket != current:
                     known, current = {}, bucket
-                words = batch.column(2)[i].as_py()
+                words = _unpacked_words(batch.column(2)[i].as_py(), batch.column(3)[i].as_py())
                 new = [word for word in words if word not in known]
                 known.update(zip(new, coder(new)))
                 rows = [known[word] for word in words]
@@ -186,6 +188,24 @@ def _packed(numbers: np.ndarray) -> bytes:
     return ZstdCompressor(level=1).compress(numbers.tobytes())
 
 
+def _packed_words(words: list[str]) -> dict[str, bytes]:
+    """Words end to end, and their lengths: half of what a shuffle of strings would move."""
+    from zstandard import ZstdCompressor
+
+    lengths = np.fromiter(map(len, words), "<u4", len(words))
+    text = ZstdCompressor(level=3).compress("".join(words).encode())
+    return {"words": text, "lengths": _packed(lengths)}
+
+
+def _unpacked_words(words: bytes, lengths: bytes) -> list[str]:
+    from zstandard import ZstdDecompressor
+
+    unpack = ZstdDecompressor()
+    text = unpack.decompress(words).decode()
+    ends = np.cumsum(np.frombuffer(unpack.decompress(lengths), "<u4")).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def _words_by_place(
     buckets: list[int], places: list[np.ndarray], found: pa.Table
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,7 +258,7 @@ def encode_decode(
     chunks = chunks_of(frame, buckets, "bpe-chunks")
     encoded = encode_distinct(
         chunks.select("chunk", F.explode("parts").alias("part")).select(
-            "chunk", "part.bucket", "part.words"
+            "chunk", "part.bucket", "part.words", "part.lengths"
         ),
         vocabulary,
     )
@@ -260,11 +280,10 @@ def encode_decode(
         buckets = packed["buckets"][0].as_py()
         places = [x.values.to_numpy() for x in packed["places"][0]]
         flat, starts, counts = _words_by_place(buckets, places, found)
-        bounds = list(zip(starts.tolist(), (starts + counts).tolist()))
-        listed = flat.tolist()
-        numbers = [",".join(map(str, listed[a:b])) for a, b in bounds]
+        listed, starts, ends = flat.tolist(), starts.tolist(), (starts + counts).tolist()
+        numbers = [",".join(map(str, listed[a:b])) for a, b in zip(starts, ends)]
         # The join of ids with pieces, once per distinct word.
-        spelled = [b"".join([pieces[i] for i in listed[a:b]]) for a, b in bounds]
+        spelled = [b"".join([pieces[i] for i in listed[a:b]]) for a, b in zip(starts, ends)]
         doc_ids = packed["doc_ids"].combine_chunks().values
         sizes = packed["doc_words"][0].values.to_numpy()
         stream = _long(ZstdDecompressor().decompress(packed["stream"][0].as_py()))
@@ -279,7 +298,7 @@ def encode_decode(
                 hashlib.sha256(text.encode()).hexdigest(),
             ]
             if with_ids:
-                row.append([n for i in own for n in listed[slice(*bounds[i])]])
+                row.append([n for i in own for n in listed[starts[i] : ends[i]]])
             if with_text:
                 row.append(text)
             rows.append(row)
