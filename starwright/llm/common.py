@@ -11,7 +11,7 @@ from starwright.session import materialize, scratch_path
 
 __all__ = [
     "keyed_text", "lookup_join", "materialize", "partitions", "read_table", "scratch_path",
-    "shared_text", "spread", "stored", "stored_by",
+    "shared_text", "small_batches", "spread", "stored", "stored_by",
 ]
 
 
@@ -19,8 +19,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch between Spark and Python; a task buffers one or two on each side.
+ARROW_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes; Spark's default is 64 MB, on both sides of each task.
+
+    A session setting, as the batches are cut when a query runs; a smaller one stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    current = int(spark.conf.get(name).rstrip("b"))
+    if current <= 0 or current > ARROW_BYTES:
+        spark.conf.set(name, f"{ARROW_BYTES}b")
+
+
 def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and the text alone, so that no other column of the input can clash."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 

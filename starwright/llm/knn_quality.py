@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starwright.llm.common import materialize
+from starwright.llm.common import materialize, small_batches
 from starwright.llm.words import texts_of, words_between_spaces
 
 #: Bound of the learning sample, half of it for each label, and sizes of the model.
@@ -149,6 +149,7 @@ def fit(
     and term counts of the sample reach the driver.  Rows without id, text or label teach
     nothing; without labels the score is 0.5.
     """
+    small_batches(docs.sparkSession)
     texts = docs.where(learn_from & F.col(text_col).isNotNull())
     hashed = texts.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"))
     known = labels.where(F.col(label_col).isNotNull()).select(

@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.llm.common import keyed_text
+from starwright.llm.common import keyed_text, small_batches
 from starwright.llm.words import batches_of, texts_of
 
-BATCH_ROWS, BATCH_BYTES = 4096, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
 
 #: Kinds in the order of reports: those of the base patterns, then those the method adds.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -329,6 +329,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
             names=["pattern", "n"],
         )
 
+    small_batches(docs.sparkSession)
     rows = (
         docs.select(F.col(text_col).alias("text"))
         .mapInArrow(count, "pattern array<int>, n long")

@@ -31,7 +31,7 @@ from starwright.llm.components import smallest_reachable
 from starwright.llm.words import batches_of, texts_of
 
 BITS, HALF, SEED = 64, 32, 42
-BATCH_ROWS, BATCH_BYTES, PIECE = 4096, 32 << 20, 1 << 18
+BATCH_ROWS, BATCH_BYTES, PIECE = 2048, 8 << 20, 1 << 18
 
 
 def fingerprint_of(words: list[bytes], shingle: int) -> int:

@@ -22,7 +22,7 @@ from starwright.llm.words import (
     words_between_spaces,
 )
 
-BATCH_ROWS, BATCH_BYTES, KEPT_WORDS = 8192, 32 << 20, 300_000
+BATCH_ROWS, BATCH_BYTES, KEPT_WORDS = 5000, 20 << 20, 300_000
 
 
 def whole_tokens(vocabulary: str) -> frozenset[str]:

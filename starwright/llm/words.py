@@ -140,11 +140,28 @@ def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def batches_of(
     batches: Iterator[pa.RecordBatch], rows: int, size: int
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most ``rows`` rows and, but for single rows, ``size`` bytes."""
+    """Batches of about ``rows`` rows or ``size`` bytes, whichever is less; cut or put together.
+
+    Spark sends small batches, so that neither side buffers much; a dictionary of distinct
+    words pays with larger ones.  A single row may be larger.
+    """
+    held: list[pa.RecordBatch] = []
+    count = weight = 0
     for batch in batches:
         step = max(1, min(rows, int(batch.num_rows * size / max(1, batch.nbytes))))
         for start in range(0, batch.num_rows, step):
-            yield batch.slice(start, step)
+            part = batch.slice(start, step)
+            if held and (count + part.num_rows > rows or weight + part.nbytes > size):
+                yield _joined(held)
+                held, count, weight = [], 0, 0
+            held.append(part)
+            count, weight = count + part.num_rows, weight + part.nbytes
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)
 
 
 def lowered_pieces(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from starwright.llm.common import keyed_text, materialize
 from starwright.llm.words import batches_of, texts_of
 
-BATCH_ROWS, BATCH_BYTES = 4096, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
 #: Bound of the learning sample: texts per language, and bytes of each and of a dictionary.
 SAMPLE_TEXTS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 2_000, 96_000
 #: Languages that can be told apart; the most frequent ones, if there are more.
