@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.llm.common import keyed_text, partitions, shared_text, stored_by
+from starwright.llm.common import (
+    keyed_text, partitions, shared_text, stored_by, whole_batches,
+)
 from starwright.llm.words import (
     BYTE_PIECES, PLAIN, Ragged, batches_of, byte_letters, texts_of, word_encoder,
     words_with_spaces,
@@ -168,7 +171,7 @@ def encode_distinct(parts: DataFrame, vocabulary: str) -> DataFrame:
                 known.update(zip(new, coder(new)))
                 rows = [known[word] for word in words]
                 sizes = np.fromiter(map(len, rows), "<u4", len(rows))
-                ids = np.fromiter((n for row in rows for n in row), "<u4")
+                ids = np.fromiter(chain.from_iterable(rows), "<u4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, 1), batch.column(1).slice(i, 1),
@@ -254,6 +257,7 @@ def encode_decode(
     vocabulary = shared_text(path)
     pieces = pieces_of(vocabulary)
     frame = keyed_text(docs, id_col, text_col)
+    whole_batches(docs.sparkSession)
     buckets = partitions(docs.sparkSession)
     chunks = chunks_of(frame, buckets, "bpe-chunks")
     encoded = encode_distinct(

@@ -11,7 +11,7 @@ from starwright.session import materialize, scratch_path
 
 __all__ = [
     "keyed_text", "lookup_join", "materialize", "partitions", "read_table", "scratch_path",
-    "shared_text", "small_batches", "spread", "stored", "stored_by",
+    "shared_text", "small_batches", "spread", "stored", "stored_by", "whole_batches",
 ]
 
 
@@ -21,6 +21,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Bytes of an Arrow batch between Spark and Python; a task buffers one or two on each side.
 ARROW_BYTES = 8 << 20
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -28,10 +29,14 @@ def small_batches(spark: SparkSession) -> None:
 
     A session setting, as the batches are cut when a query runs; a smaller one stays.
     """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    current = int(spark.conf.get(name).rstrip("b"))
+    current = int(spark.conf.get(ARROW_LIMIT).rstrip("b"))
     if current <= 0 or current > ARROW_BYTES:
-        spark.conf.set(name, f"{ARROW_BYTES}b")
+        spark.conf.set(ARROW_LIMIT, f"{ARROW_BYTES}b")
+
+
+def whole_batches(spark: SparkSession) -> None:
+    """Back to Spark's default, for groups whose few rows are large: cut small, they cost more."""
+    spark.conf.set(ARROW_LIMIT, f"{64 << 20}b")
 
 
 def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,6 +10,7 @@ import gc
 import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -111,9 +112,7 @@ class Ragged:
     def __init__(self, rows: list, dtype) -> None:
         self.sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.flat = np.fromiter(
-            (x for row in rows for x in row), dtype, int(self.starts[-1])
-        )
+        self.flat = np.fromiter(chain.from_iterable(rows), dtype, int(self.starts[-1]))
 
     @classmethod
     def of(cls, flat: np.ndarray, sizes: np.ndarray) -> Ragged:
