@@ -3,8 +3,8 @@
 Each language has a raw-content zstandard dictionary, made of some of its texts.  A text is
 reduced to lower-case words, as the dictionaries are, and cut into blocks; every block is
 compressed with every dictionary, and the language with the smallest total wins.  A narrow
-margin to the second is a rejection.  Dictionaries are bounded, so they travel with the tasks;
-texts are read once and nothing is shuffled.
+margin to the second is a rejection.  Dictionaries are bounded together, so they travel with the
+tasks, which open some of them at a time; texts are read once and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +20,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.llm.common import keyed_text, materialize
+from starwright.llm.common import keyed_text, lookup_join, materialize
 from starwright.llm.words import batches_of, texts_of
 
 BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
 #: Bound of the learning sample: texts per language, and bytes of each and of a dictionary.
 SAMPLE_TEXTS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 2_000, 96_000
-#: Languages that can be told apart; the most frequent ones, if there are more.
-MOST_LANGUAGES = 200
+#: Bytes of all dictionaries; with more languages than fit at their full size, each is smaller.
+ALL_BYTES = 64 << 20
+#: Least bytes that a text of the sample gives; small dictionaries are made of fewer texts.
+LEAST_SHARE = 240
+#: Dictionaries that a task holds open at once, and sizes (documents by languages) it keeps.
+OPEN_LANGUAGES, MOST_SIZES = 200, 1 << 22
 BLOCK_BYTES, LEVEL = 2048, 3
 # Matches from three bytes on, found greedily: words are short.
 MATCH, STRATEGY = 3, 3
@@ -42,47 +47,61 @@ def reduced(text: str) -> bytes:
 def learn(
     docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
 ) -> dict[str, bytes]:
-    """A dictionary per language, the most frequent first, from a sample of distinct texts.
+    """A dictionary for every language, the most frequent first, from a sample of distinct texts.
 
     The sample is taken by the hash of the text, so copies count once and no id matters.  At
-    most ``MOST_LANGUAGES * SAMPLE_TEXTS`` pieces of ``SAMPLE_BYTES`` reach the driver.  Rows
-    without language or text teach nothing.
+    most ``ALL_BYTES`` reach the driver, as each text is cut to its share of the dictionary
+    before.  Rows without language or text teach nothing.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         F.col("lang").isNotNull() & (F.length("text") > 0)
     )
+    langs = [
+        row.lang
+        for row in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    ]
+    size = max(1, min(DICTIONARY_BYTES, ALL_BYTES // max(1, len(langs))))
+    texts = min(SAMPLE_TEXTS, max(1, size // LEAST_SHARE))
     hashed = rows.select("lang", F.xxhash64("text").alias("h"))
     # Distinct before ranking: a group of copies, however large, is one candidate.
     ranked = Window.partitionBy("lang").orderBy("h")
-    common = [
-        row.lang
-        for row in rows.groupBy("lang").count()
-        .orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    ]
     chosen = materialize(
-        hashed.where(F.col("lang").isin(common)).distinct()
+        hashed.distinct()
         .withColumn("n", F.row_number().over(ranked))
-        .where(F.col("n") <= SAMPLE_TEXTS)
-        .select("lang", "h"),
+        .where(F.col("n") <= texts)
+        .select("lang", "h", F.count("*").over(Window.partitionBy("lang")).alias("n")),
         "langid-sample",
     )
+    piece = F.substring("text", 1, SAMPLE_BYTES)
     found = (
-        rows.withColumn("h", F.xxhash64("text"))
-        .join(F.broadcast(chosen), ["lang", "h"], "left_semi")
-        .select("lang", "h", F.substring("text", 1, SAMPLE_BYTES).alias("piece"))
-        .groupBy("lang", "h").agg(F.min("piece").alias("piece"))
+        lookup_join(
+            rows.select("lang", F.xxhash64("text").alias("h"), piece.alias("piece")),
+            chosen, ["lang", "h"],
+        )
+        .groupBy("lang", "h").agg(F.min("piece").alias("piece"), F.first("n").alias("n"))
+        .mapInArrow(partial(_shares, size=size), "lang string, h long, share binary")
         .orderBy("lang", "h")
     )
-    pieces: dict[str, list[bytes]] = {}
+    shares: dict[str, list[bytes]] = {}
     for row in found.collect():
-        pieces.setdefault(row.lang, []).append(reduced(row.piece))
-    return {lang: _blend(pieces[lang]) for lang in common}
-
-
-def _blend(texts: list[bytes]) -> bytes:
-    """An equal share of each text."""
-    share = max(1, DICTIONARY_BYTES // len(texts))
-    return b"\n".join(text[:share] for text in texts)[:DICTIONARY_BYTES]
+        shares.setdefault(row.lang, []).append(bytes(row.share))
+    return {lang: b"\n".join(shares[lang])[:size] for lang in langs}
+
+
+def _shares(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """An equal share of each of the ``n`` texts of a language: ``lang, h, share``."""
+    for batch in batches:
+        shares = [
+            reduced(text.as_py())[: max(1, size // n.as_py())]
+            for text, n in zip(batch.column("piece"), batch.column("n"))
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("lang").cast(pa.string()), batch.column("h"),
+                pa.array(shares, pa.binary()),
+            ],
+            names=["lang", "h", "share"],
+        )
 
 
 def has_letter(text: str) -> bool:
@@ -117,18 +136,35 @@ def predict(
             LEVEL, min_match=MATCH, strategy=STRATEGY, write_content_size=False,
             write_dict_id=False,
         )
-        coders = []
-        for lang in langs:
-            raw = zstd.ZstdCompressionDict(dictionaries[lang], zstd.DICT_TYPE_RAWCONTENT)
-            raw.precompute_compress(compression_params=settings)
-            coders.append(zstd.ZstdCompressor(dict_data=raw, compression_params=settings))
-
-        def decide(text: str) -> tuple[str, float, bool]:
-            if not langs or not has_letter(text):
-                return "und", 0.0, True
-            data = reduced(text)
-            blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
-            sizes = np.array([sum(len(c.compress(b)) for b in blocks) for c in coders])
+        groups = [langs[i : i + OPEN_LANGUAGES] for i in range(0, len(langs), OPEN_LANGUAGES)]
+
+        def opened(group: list[str]) -> list[zstd.ZstdCompressor]:
+            coders = []
+            for lang in group:
+                raw = zstd.ZstdCompressionDict(dictionaries[lang], zstd.DICT_TYPE_RAWCONTENT)
+                raw.precompute_compress(compression_params=settings)
+                coders.append(zstd.ZstdCompressor(dict_data=raw, compression_params=settings))
+            return coders
+
+        # One group stays open; several are opened in turn for each batch.
+        kept = opened(groups[0]) if len(groups) == 1 else None
+
+        def sizes_of(texts: list[bytes]) -> np.ndarray:
+            """Compressed size of each text (down) with each dictionary (across)."""
+            blocks = [
+                [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
+                for data in texts
+            ]
+            parts = [np.zeros((len(texts), 0), np.int64)]
+            for group in groups:
+                coders = kept or opened(group)
+                parts.append(np.array(
+                    [[sum(len(c.compress(b)) for b in cut) for c in coders] for cut in blocks],
+                    np.int64,
+                ).reshape(len(texts), len(group)))
+            return np.concatenate(parts, axis=1)
+
+        def decide(sizes: np.ndarray) -> tuple[str, float, bool]:
             order = np.argsort(sizes, kind="stable")
             best = int(sizes[order[0]])
             # Bits saved against the others, as weights of a distribution over languages.
@@ -136,8 +172,12 @@ def predict(
             margin = (int(sizes[order[1]]) - best) / best if len(langs) > 1 else 1.0
             return langs[order[0]], float(1 / weights.sum()), margin < min_margin
 
-        for batch in batches_of(batches, BATCH_ROWS, BATCH_BYTES):
-            found = [decide(text.as_py()) for text in texts_of(batch.column(1))]
+        most_rows = max(1, min(BATCH_ROWS, MOST_SIZES // max(1, len(langs))))
+        for batch in batches_of(batches, most_rows, BATCH_BYTES):
+            texts = [text.as_py() for text in texts_of(batch.column(1))]
+            judged = [bool(langs) and has_letter(text) for text in texts]
+            sizes = iter(sizes_of([reduced(t) for t, ok in zip(texts, judged) if ok]))
+            found = [decide(next(sizes)) if ok else ("und", 0.0, True) for ok in judged]
             kinds = (pa.string(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*found), kinds))],

@@ -171,6 +171,25 @@ def test_copies_do_not_fill_a_dictionary(spark, monkeypatch):
     assert zstd_langid.learn(docs)["xx"].count(b"the very same text") == 1
 
 
+def test_rare_languages_have_labels_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(zstd_langid, "ALL_BYTES", 300 * 1_000)
+    rng = random.Random(3)
+    rows = []
+    for n in range(300):
+        words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(12)]
+        # The first languages have more texts, the others are rare.
+        for i in range(3 if n < 200 else 2):
+            rows.append((len(rows), " ".join(rng.choices(words, k=40)), f"l{n:03}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    learned = zstd_langid.learn(docs)
+    assert len(learned) == 300 and all(0 < len(data) <= 1_000 for data in learned.values())
+    found = {row.doc_id: tuple(row) for row in zstd_langid.predict(docs, learned).collect()}
+    assert all(found[i][1] == lang for i, _, lang in rows)
+    monkeypatch.setattr(zstd_langid, "OPEN_LANGUAGES", 400)
+    whole = {row.doc_id: tuple(row) for row in zstd_langid.predict(docs, learned).collect()}
+    assert whole == found
+
+
 def test_folds_follow_the_crc_of_the_id(spark):
     ids = spark.range(200).withColumnRenamed("id", "doc_id")
     rows = ids.select("doc_id", registry.fold("doc_id", 5).alias("fold")).collect()
