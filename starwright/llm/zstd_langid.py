@@ -24,7 +24,8 @@ from starwright.llm.common import keyed_text, lookup_join, materialize
 from starwright.llm.words import batches_of, texts_of
 
 BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
-#: Bound of the learning sample: texts per language, and bytes of each and of a dictionary.
+#: Bound of the learning sample: texts per language, and bytes of each and of a dictionary.  Texts
+#: share a dictionary equally, so each of 400 gives 240 bytes, and each of 48 or fewer 2,000.
 SAMPLE_TEXTS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 2_000, 96_000
 #: Bytes of all dictionaries; with more languages than fit at their full size, each is smaller.
 ALL_BYTES = 64 << 20
@@ -49,8 +50,9 @@ def learn(
 ) -> dict[str, bytes]:
     """A dictionary for every language, the most frequent first, from a sample of distinct texts.
 
-    The sample is taken by the hash of the text, so copies count once and no id matters.  At
-    most ``ALL_BYTES`` reach the driver, as each text is cut to its share of the dictionary
+    The sample is taken by the hash of the text, so copies count once and no id matters.  Each
+    text gives an equal share of the dictionary, 2,000 characters at most, from a place that
+    its hash chooses: 240 bytes, if a language has ``SAMPLE_TEXTS`` or more texts.  At most ``ALL_BYTES`` reach the driver, as each text is cut to its share of the dictionary
     before.  Rows without language or text teach nothing.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
@@ -72,7 +74,15 @@ def learn(
         .select("lang", "h", F.count("*").over(Window.partitionBy("lang")).alias("n")),
         "langid-sample",
     )
-    piece = F.substring("text", 1, SAMPLE_BYTES)
+    # Openings are often the same.  A text that is no longer than the least share is taken whole;
+    # a longer one from a place anywhere, and on from its opening if a larger share asks for it.
+    places = F.greatest(F.length("text") - size // texts, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64("text"), places.cast("long")).cast("int") + 1
+    piece = F.concat_ws(
+        "\n",
+        F.substring("text", start, F.lit(SAMPLE_BYTES)),
+        F.substring("text", F.lit(1), F.least(start - 1, F.lit(SAMPLE_BYTES))),
+    ).substr(1, SAMPLE_BYTES)
     found = (
         lookup_join(
             rows.select("lang", F.xxhash64("text").alias("h"), piece.alias("piece")),

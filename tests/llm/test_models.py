@@ -171,6 +171,17 @@ def test_copies_do_not_fill_a_dictionary(spark, monkeypatch):
     assert zstd_langid.learn(docs)["xx"].count(b"the very same text") == 1
 
 
+def test_dictionaries_hold_more_than_openings(spark, monkeypatch):
+    monkeypatch.setattr(zstd_langid, "DICTIONARY_BYTES", 4_800)
+    rng = random.Random(4)
+    bodies = [["".join(rng.choices("abcdefgh", k=8)) for _ in range(400)] for _ in range(30)]
+    rows = [(i, "the same licence line " * 20 + " ".join(b), "xx") for i, b in enumerate(bodies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    data = zstd_langid.learn(docs)["xx"].decode()
+    assert len(data) > 2_000 and data.count("licence") < 60
+    assert sum(any(f" {word} " in data for word in body) for body in bodies) >= 15
+
+
 def test_rare_languages_have_labels_of_their_own(spark, monkeypatch):
     monkeypatch.setattr(zstd_langid, "ALL_BYTES", 300 * 1_000)
     rng = random.Random(3)
