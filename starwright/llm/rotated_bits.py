@@ -29,6 +29,8 @@ PAIR_BLOCK = 1 << 15
 #: Width of the error bound in standard deviations.
 WIDTH = 2.5
 SEED = 7
+#: Lengths between which all squares and sums of them fit in 32-bit numbers.
+SHORT, LONG = 1e-15, 1e15
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, dims: int) -> DataFrame:
@@ -114,17 +116,28 @@ class Coder:
         self, bits: np.ndarray, length: np.ndarray, fit: np.ndarray,
         turned: np.ndarray, query_length: np.ndarray,
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Smallest and largest squared distance of each row (down) to each query (across)."""
+        """Smallest and largest squared distance of each row (down) to each query (across).
+
+        A range that cannot be told, as squares overflow, is all that a distance can be.
+        """
+        # Squares of much longer or shorter vectors are no 32-bit numbers.
+        used = np.concatenate([length, query_length])
+        usual = ((used == 0) | ((used > SHORT) & (used < LONG))).all()
+        kind = np.float32 if usual else np.float64
         signs = np.unpackbits(bits, axis=1).astype(np.float32) * 2 - 1
         estimate = (signs @ turned.T) / (np.sqrt(self.width) * fit).astype(np.float32)[:, None]
         spread = np.sqrt(np.maximum(0, 1 - fit**2)) / (fit * np.sqrt(max(1, self.width - 1)))
         # The last term covers the rounding of 32-bit numbers.
         error = (WIDTH * spread + 1e-5).astype(np.float32)[:, None]
-        both = (2 * length).astype(np.float32)[:, None] * query_length.astype(np.float32)
-        squares = (length**2)[:, None] + query_length**2
-        middle, reach = squares.astype(np.float32) - both * estimate, both * error
-        reach = reach + squares.astype(np.float32) * np.float32(1e-6)
-        return np.maximum(middle - reach, 0), middle + reach
+        both = (2 * length).astype(kind)[:, None] * query_length.astype(kind)
+        squares = ((length**2)[:, None] + query_length**2).astype(kind)
+        middle, reach = squares - both * estimate, both * error
+        reach = reach + squares * kind(1e-6)
+        low, high = np.maximum(middle - reach, 0), middle + reach
+        if not usual:
+            unknown = ~(np.isfinite(low) & np.isfinite(high))
+            low[unknown], high[unknown] = 0, np.inf
+        return low, high
 
 
 def build_index(vectors: DataFrame, coder: Coder, dims: int) -> DataFrame:
@@ -165,7 +178,8 @@ class Best:
             # one more, as a query's own row does not count.
             k = min(self.most, len(low) - 1)
             limit = np.minimum(limit, np.partition(high, k, axis=0)[k])
-        limit = limit.astype(np.float32) * np.float32(1 + 1e-6)
+        # In 64 bits: the square of a small distance is no 32-bit number.
+        limit = limit * (1 + 1e-6)
         tie = (low <= limit) & (ids[:, None] < self.found[:, -1])
         return np.nonzero(((low < limit) | tie) & (ids[:, None] != self.queries))
 
@@ -206,7 +220,8 @@ def scan(index: DataFrame, coder: Coder, ids: np.ndarray, vectors: np.ndarray, m
                 )
                 rows, queries = best.candidates(low, high, numbers)
                 best.add(rows, queries, numbers, _matrix(batch.column("vector"), dims))
-        real = np.isfinite(best.scores)
+        # A distance may be infinite in double precision; places without a row are not shown.
+        real = np.isfinite(best.scores) | (best.found != np.iinfo(np.int64).max)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.repeat(ids, most)[real.ravel()]),

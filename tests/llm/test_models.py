@@ -87,6 +87,30 @@ def test_search_without_usable_vectors(spark):
         assert rotated_bits.nearest(spark, rows, F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("scale, far", [(1.0, 1e30), (1e-30, 1.0), (1e25, 1e38)])
+def test_neighbours_beside_very_long_and_short_vectors(spark, monkeypatch, scale, far):
+    monkeypatch.setattr(rotated_bits, "ROW_BLOCK", 37)
+    rng = np.random.default_rng(5)
+    rows = [
+        (i, (scale * rng.standard_normal(8)).astype(np.float32).tolist()) for i in range(300)
+    ]
+    for others in ([], [(1000, [far, *rows[0][1][1:]])]):
+        frame = spark.createDataFrame(rows + others, "vec_id long, embedding array<float>")
+        found = rotated_bits.nearest(spark, frame, F.col("vec_id") % 50 == 0, most=5)
+        got = sorted(map(tuple, found.collect()))
+        asked = [i for i, _ in rows + others if i % 50 == 0]
+        want = sorted(plain_nearest(rows + others, asked, 5))
+        assert len(got) == len(want)
+        assert len({r[:3] for r in got} & {r[:3] for r in want}) > 0.9 * len(want)
+
+
+def test_distances_beyond_double_precision(spark):
+    rows = [(i, [1e300 * (i - 2), 1.0]) for i in range(5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = rotated_bits.nearest(spark, frame, F.col("vec_id") == 0, most=3).collect()
+    assert sorted((row.rank, row.vec_id) for row in found) == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_quality_of_held_out_documents(spark):
     found = registry.op7_quality(spark, MEDIUM)
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
