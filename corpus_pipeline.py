@@ -2,19 +2,20 @@
 
 Stages take ``(spark, docs, sf_dir)`` and return a frame; all but the last return the columns of
 ``documents``, whatever other columns there are.  Common to all: an empty table gives an empty
-table; a null text is judged as an empty one; rows are known by their ``doc_id``, so repeated
-rows share one fate, and rows without an id are never dropped by a comparison between documents.
+table; a null text is judged as an empty one; every row is judged by itself, whether it shares
+its ``doc_id`` with others or has none; but rows without an id are never dropped by a comparison
+between documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.llm import bpe, decontam, knn_quality, pii, simhash
-from starwright.llm.common import lookup_join, materialize, read_table
+from starwright.llm.common import lookup_join, materialize, read_table, stored
 from starwright.llm.registry import BYTE_BPE, fold
 
 LEAST_QUALITY = 0.3
@@ -30,22 +31,46 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs.where(knn_quality.scorer(model)(F.col("text")) >= LEAST_QUALITY)
 
 
-def _without(docs: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
-    """Rows whose id is not among ``dropped`` (``doc_id``)."""
-    return lookup_join(docs, materialize(dropped.distinct(), label), "doc_id", "left_anti")
+def _numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The rows, written with a number of their own each, and the name of its column."""
+    number = "row_number"
+    while number in (name.lower() for name in docs.columns):
+        number += "_"
+    return stored(docs.withColumn(number, F.monotonically_increasing_id()), label), number
+
+
+def _without(
+    rows: DataFrame, number: str, dropped: Column, found: DataFrame, label: str
+) -> DataFrame:
+    """Rows whose number is not among ``dropped``, a column of ``found``; without the numbers."""
+    numbers = materialize(found.select(dropped.alias(number)), label)
+    return lookup_join(rows, numbers, number, "left_anti").drop(number)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    others = found.where("doc_id != component_id").select("doc_id")
-    return _without(docs, others, "pipeline-duplicates")
+    """Of each group of near-duplicates one document with the smallest id stays.
+
+    Of rows that share this id the first one stays.  Rows without an id stay, too.
+    """
+    rows, number = _numbered(docs, "pipeline-duplicates-rows")
+    # In the order of these keys, rows without an id come last.
+    key = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("name"),
+        F.col(number).alias("number"),
+    )
+    keyed = rows.select(key.alias("key"), "text")
+    found = simhash.near_duplicates(keyed, shingle=3, max_bits=3, id_col="key")
+    others = found.where("doc_id != component_id and not doc_id.unnamed")
+    return _without(rows, number, F.col("doc_id.number"), others, "pipeline-duplicates")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a window of a benchmark item occurs."""
-    found = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id"), "pipeline-contaminated")
+    rows, number = _numbered(docs, "pipeline-contaminated-rows")
+    found = decontam.decontaminate(rows, read_table(spark, sf_dir, "benchmark"), id_col=number)
+    return _without(
+        rows, number, F.col("doc_id"), found.where("contaminated"), "pipeline-contaminated"
+    )
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
