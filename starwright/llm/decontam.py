@@ -18,11 +18,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.llm.common import keyed_text, stored
+from starwright.llm.common import keyed_text, scratch_path, stored
 from starwright.llm.words import batches_of, texts_of
 
 BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
@@ -48,21 +49,26 @@ class Slice(NamedTuple):
 
 
 def slices_of(items: Iterator[tuple], width: int, limit: int) -> Iterator[Slice]:
-    """Cut items (id, text) into slices whose windows have about ``limit`` bytes, or one item."""
+    """Cut items (id, text) into slices whose windows have at most ``limit`` bytes, or one window.
+
+    A long item is cut as well, and is then in several slices.
+    """
     part, size = Slice({}, {}, []), 0
     for name, text in items:
-        words = words_of(text)
-        if not words:
-            continue
-        cost = min(width, len(words)) * sum(map(len, words))
-        if part.names and size + cost > limit:
-            yield part
-            part, size = Slice({}, {}, []), 0
-        size += cost
-        numbers = [part.terms.setdefault(word, len(part.terms)) for word in words]
-        for start in range(max(1, len(numbers) - width + 1)):
-            part.windows[len(part.names), tuple(numbers[start : start + width])] = None
-        part.names.append("" if name is None else str(name))
+        words, named = words_of(text), False
+        wide = min(width, len(words))
+        for start in range(len(words) - wide + 1 if words else 0):
+            window = words[start : start + wide]
+            cost = sum(map(len, window))
+            if part.windows and size + cost > limit:
+                yield part
+                part, size, named = Slice({}, {}, []), 0, False
+            if not named:
+                part.names.append("" if name is None else str(name))
+                named = True
+            size += cost
+            numbers = tuple(part.terms.setdefault(word, len(part.terms)) for word in window)
+            part.windows[len(part.names) - 1, numbers] = None
     yield part
 
 
@@ -195,8 +201,10 @@ def _look(block: dict, windows: list, names: list[str], place: dict, slack: int,
     return sizes, spans, exact, close
 
 
-def search(index: DataFrame, part: Slice, slack: int, rarest: int) -> DataFrame:
-    """Matches of a slice, a row per document.
+def search(
+    index: DataFrame, part: Slice, slack: int, rarest: int
+) -> tuple[DataFrame, Broadcast]:
+    """Matches of a slice, a row per document, and the broadcast that they are found with.
 
     ``doc_id, row, n_words``, ``spans`` (exact matches: first word and the word after the
     last), ``items`` (found exactly), ``near_items`` (found exactly or close by).
@@ -237,12 +245,13 @@ def search(index: DataFrame, part: Slice, slack: int, rarest: int) -> DataFrame:
                 )
 
     schema_of_block = ("starts", "sizes", "terms", "postings")
-    return (
+    found = (
         index.drop("counts")
         .mapInArrow(look, schema)
         .withColumn("spans", F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end")))
         .drop("starts", "ends")
     )
+    return found, shipped
 
 
 def covered(spans: Column) -> Column:
@@ -277,36 +286,42 @@ def decontaminate(
         "doc_id", F.monotonically_increasing_id().alias("row"), "text"
     )
     asked = benchmark.select(F.col(item_col).alias("name"), F.col(item_text_col).alias("text"))
-    parts = [
-        part
-        for part in slices_of(
-            ((r.name, r.text) for r in asked.toLocalIterator()), width, slice_bytes
-        )
-    ]
-    if len(parts) > 1:
+    parts = slices_of(((r.name, r.text) for r in asked.toLocalIterator()), width, slice_bytes)
+
+    def found_with(part: Slice) -> tuple[DataFrame, Broadcast]:
+        index = build_index(frame, list(part.terms), width + slack, "decontam-index")
+        return search(index, part, slack, rarest)
+
+    first = next(parts)
+    part = next(parts, None)
+    if part is None:
+        rows = found_with(first)[0]
+    else:
         # Every search must see the same row numbers.
         frame = stored(frame, "decontam-rows")
-    found = [
-        search(
-            build_index(frame, list(part.terms), width + slack, "decontam-index"),
-            part, slack, rarest,
-        )
-        for part in parts
-    ]
-    if len(found) > 1:
-        together = found[0]
-        for other in found[1:]:
-            together = together.unionAll(other)
-        rows = together.groupBy("row").agg(
-            F.first("doc_id").alias("doc_id"),
-            F.max("n_words").alias("n_words"),
-            *(
-                F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
-                for name in ("spans", "items", "near_items")
-            ),
+        folder = scratch_path(docs.sparkSession, "decontam-found")
+        together, shipped = found_with(first)
+        together.write.parquet(f"{folder}/slice-0")
+        shipped.unpersist()
+        number = 1
+        # What a slice finds is written before the next one is made on the driver.
+        while part is not None:
+            found, shipped = found_with(part)
+            found.where(F.size("near_items") > 0).write.parquet(f"{folder}/slice-{number}")
+            shipped.unpersist()
+            part, number = next(parts, None), number + 1
+        rows = (
+            docs.sparkSession.read.schema(together.schema)
+            .option("recursiveFileLookup", "true").parquet(folder)
+            .groupBy("row").agg(
+                F.first("doc_id").alias("doc_id"),
+                F.max("n_words").alias("n_words"),
+                *(
+                    F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
+                    for name in ("spans", "items", "near_items")
+                ),
+            )
         )
-    else:
-        rows = found[0]
     return rows.select(
         "doc_id",
         "n_words",

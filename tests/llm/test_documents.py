@@ -149,6 +149,22 @@ def test_proximity_finds_what_a_phrase_misses(spark):
     assert found == {1: (["7"], ["7"]), 2: ([], ["7"]), 3: ([], [])}
 
 
+def test_a_long_item_is_cut_into_slices(spark):
+    rng = random.Random(8)
+    words = [f"w{i:03}" for i in range(200)]
+    parts = list(decontam.slices_of(iter([(1, " ".join(words)), (2, "a b")]), 4, 300))
+    assert len(parts) > 5
+    assert all(sum(4 * len(key) for _, key in p.windows) <= 300 for p in parts)
+    assert sum(len(p.windows) for p in parts) == 198
+    docs = [(i, " ".join(words[k : k + 9])) for i, k in enumerate(rng.sample(range(200), 40))]
+    items = [(1, " ".join(words)), (2, "w007 w008")]
+    found = decontam.decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"), width=4, slice_bytes=300,
+    )
+    assert in_order(found.select(*RESULT).collect()) == in_order(plain_matches(docs, items, 4))
+
+
 def test_decontamination_of_empty_tables(spark, odd, empty):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert decontam.decontaminate(empty, nothing).count() == 0
