@@ -83,6 +83,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("spans", "items", "near_items")
 
 
+def op10_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity matches: number and digest of the items found exactly or close by."""
+    return decontam.decontaminate(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), width=10
+    ).select(
+        "doc_id",
+        F.size("near_items").cast("long").alias("n_near"),
+        F.sha2(F.array_join("near_items", ","), 256).alias("near_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
@@ -94,4 +105,5 @@ QUERIES = {
     "op8_warc_round_trip": op8_warc_round_trip,
     "op9_language": op9_language,
     "op10_decontamination": op10_decontamination,
+    "op10_proximity": op10_proximity,
 }

@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from starwright.llm import decontam, pii, simhash
+from starwright.llm import decontam, pii, registry, simhash
 from starwright.llm.components import smallest_reachable
 from tests.llm.conftest import framed
 
@@ -165,6 +166,40 @@ def test_a_long_item_is_cut_into_slices(spark):
     assert in_order(found.select(*RESULT).collect()) == in_order(plain_matches(docs, items, 4))
 
 
+def plain_near(docs, items, width, slack, rarest):
+    often = Counter(word for _, text in docs for word in plain_words(text))
+    for i, text in docs:
+        places, found = defaultdict(list), set()
+        for at, word in enumerate(plain_words(text)):
+            places[word].append(at)
+        for name, item in items:
+            words = plain_words(item)
+            for k in range(max(1, len(words) - width + 1) if words else 0):
+                window = words[k : k + width]
+                if not all(often[word] for word in window):
+                    continue
+                order = sorted(enumerate(window), key=lambda p: (often[p[1]], p[0]))[:rarest]
+                if any(
+                    all(any(abs(p - at + order[0][0] - o) <= slack for p in places[w])
+                        for o, w in order[1:])
+                    for at in places[order[0][1]]
+                ):
+                    found.add("" if name is None else str(name))
+        yield i, len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+
+
+def test_the_proximity_query_equals_brute_force(spark, passages, monkeypatch):
+    docs, items = passages
+    given = {
+        "documents": framed(spark, docs), "benchmark": framed(spark, items, "item_id long, text string"),
+    }
+    monkeypatch.setattr(registry, "read_table", lambda _, __, name: given[name])
+    found = registry.QUERIES["op10_proximity"](spark, "")
+    want = list(plain_near(docs, items, 10, 3, 3))
+    assert in_order(found.collect()) == in_order(want)
+    assert sum(n for _, n, _ in want) > sum(r[3] for r in plain_matches(docs, items, 10))
+
+
 def test_decontamination_of_empty_tables(spark, odd, empty):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert decontam.decontaminate(empty, nothing).count() == 0
