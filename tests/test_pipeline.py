@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import starwright.__main__ as command
+from starwright.catalog.queries import QUERIES
 from starwright.operators import quality
 from starwright.plans import kpis, pipeline
 from starwright.plans.control import Control
@@ -21,6 +22,7 @@ from starwright.session import names_in
 from starwright.sources import store as store_module
 from starwright.sources.readers import jdbc_tables
 from starwright.sources.store import TableStore
+from tests.conftest import SMALL
 from tests.tiny import NEW, ROWS, content, tables
 
 FIRST_DAY, SECOND_DAY = datetime(2024, 1, 11), datetime(2024, 1, 21)
@@ -352,3 +354,19 @@ def test_a_batch_rewrites_the_members_it_falls_into(spark, store, monkeypatch):
     rows = content(store.read("dw.dim_customer").where("customer_id = 4"), "customer_key",
                    "is_current")
     assert rows == [(4, False), (5, True)]
+
+
+def test_the_failing_load_of_the_step_log_query_has_all_sources(spark, monkeypatch):
+    logs, latest = [], Control.latest_steps
+
+    def noted(control):
+        logs.append({row.step: row for row in latest(control).collect()})
+        return latest(control)
+
+    monkeypatch.setattr(Control, "latest_steps", noted)
+    assert QUERIES["step_log_error"](spark, SMALL).count() == 3
+    (steps,) = logs
+    names = {spec.name for spec in DIMENSIONS}
+    assert {f"extract_{name}" for name in (*names, "order_line")} <= set(steps)
+    assert steps["extract_order_line"].rows_affected > 1_000
+    assert {n for n in names if steps[f"load_dim_{n}"].status == "ERROR"} == {"territory"}
