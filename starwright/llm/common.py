@@ -75,7 +75,9 @@ def stored_by(df: DataFrame, column: str, buckets: int, label: str) -> DataFrame
 BROADCAST_ROWS = 500_000
 
 
-def lookup_join(large: DataFrame, written: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def lookup_join(
+    large: DataFrame, written: DataFrame, on: str | list[str], how: str = "inner"
+) -> DataFrame:
     """Join with a written table: broadcast if its counted rows are few, else merged.
 
     The hint also keeps Spark from sending out ``large`` where it underrates an explode.

@@ -88,8 +88,94 @@ SELECT docs.doc_id, CAST(len(words) AS BIGINT) AS n_words,
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def _field(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _leaf(text: str) -> str:
+    fields = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text)))
+    return f"sha256({fields})"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS UBIGINT))"
+    bit = "xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)"
+    bits = "[" + ", ".join(["0::UBIGINT"] * 8) + "]"
+    byte = f"list_reduce(list_prepend(xor(crc, code), {bits}), lambda x, y: {bit})"
+    return (
+        f"xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, {codes}),"
+        f" lambda crc, code: {byte}))"
+    )
+
+
+def _levels(name: str, leaves: str, tree: str) -> str:
+    """A tree level by level, until one node is left, and the siblings of each node."""
+    return f"""
+{name}(tree, lvl, place, node, n) AS (
+    SELECT {tree}, 0, place, node, n FROM {leaves}
+    UNION ALL
+    SELECT tree, lvl + 1, place // 8, sha256(string_agg(node, '' ORDER BY place)), (n + 7) // 8
+    FROM {name} WHERE n > 1 GROUP BY tree, lvl, place // 8, n),
+{name}_runs AS (
+    SELECT tree, lvl, place // 8 AS run, list(node ORDER BY place) AS nodes FROM {name}
+    WHERE n > 1 GROUP BY tree, lvl, place // 8),
+{name}_siblings AS (
+    SELECT a.tree, a.lvl, a.place,
+           array_to_string(nodes[1 : CAST(a.place % 8 AS INTEGER)], '') AS before,
+           array_to_string(nodes[CAST(a.place % 8 AS INTEGER) + 2 :], '') AS after
+    FROM {name} a JOIN {name}_runs r
+      ON r.tree = a.tree AND r.lvl = a.lvl AND r.run = a.place // 8 WHERE a.n > 1)"""
+
+
+def _climb(name: str, start: str, levels: str) -> str:
+    """Nodes folded with their siblings up to the root of ``levels``."""
+    return f"""
+{name}(item, tree, lvl, place, node, proof) AS (
+    SELECT item, tree, 0, place, node, proof FROM {start}
+    UNION ALL
+    SELECT c.item, c.tree, c.lvl + 1, c.place // 8, sha256(before || c.node || after),
+           c.proof || before || after
+    FROM {name} c JOIN {levels}_siblings s
+      ON s.tree = c.tree AND s.lvl = c.lvl AND s.place = c.place),
+{name}_top AS (
+    SELECT item, arg_max(node, lvl) AS node, arg_max(proof, lvl) AS proof
+    FROM {name} GROUP BY item)"""
+
+
+MANIFEST = f"""
+WITH RECURSIVE hashed AS (
+    SELECT doc_id, lang, {_leaf('text')} AS node,
+           CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0
+                THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")}
+                ELSE {_leaf('text')} END AS claimed
+    FROM documents),
+leaves AS (
+    SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, node) - 1 AS place,
+           row_number() OVER (ORDER BY lang NULLS FIRST, doc_id NULLS FIRST, node) AS item,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM hashed),
+{_levels('grown', 'leaves', 'tree')},
+subroots AS (
+    SELECT tree AS place, node, count(*) OVER () AS n FROM grown WHERE n = 1),
+{_levels('crown', 'subroots', '0')},
+claims AS (SELECT item, tree, place, claimed AS node, '' AS proof FROM leaves),
+{_climb('inner_climb', 'claims', 'grown')},
+entering AS (
+    SELECT t.item, 0 AS tree, l.tree AS place, t.node, t.proof
+    FROM inner_climb_top t JOIN leaves l ON l.item = t.item),
+{_climb('outer_climb', 'entering', 'crown')}
+SELECT l.doc_id, l.node AS leaf, s.node AS subroot, r.node AS root,
+       sha256(t.proof) AS proof_sha256, t.node AS folded_root, t.node = r.node AS verified
+FROM leaves l JOIN subroots s ON s.place = l.tree JOIN outer_climb_top t ON t.item = l.item,
+     (SELECT node FROM crown WHERE n = 1) r
+"""
+
 ORACLES = {
     "op3_nearest": NEAREST,
     "op8_warc_round_trip": PAGES,
     "op10_decontamination": PASSAGES,
+    "op11_merkle_manifest": MANIFEST,
 }

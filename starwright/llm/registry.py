@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.llm import (
-    bpe, decontam, knn_quality, pii, rans, rotated_bits, simhash, token_counts, warc, zstd_langid,
+    bpe, decontam, knn_quality, merkle, pii, rans, rotated_bits, simhash, token_counts, warc, zstd_langid,
 )
 from starwright.llm.common import read_table
-from starwright.llm.oracles import ORACLES
+from starwright.llm.oracles import LOWER, ORACLES, UPPER
 
 __all__ = ["BYTE_BPE", "ORACLES", "QUERIES", "WORD_BPE", "fold"]
 
@@ -94,6 +94,16 @@ def op10_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, verified against a copy with texts lower-cased in a third."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.when(tampered, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    manifest = merkle.build(read_table(spark, sf_dir, "documents"), claims={"text": lowered})
+    return merkle.verify(manifest.proofs()).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
@@ -106,4 +116,5 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_decontamination": op10_decontamination,
     "op10_proximity": op10_proximity,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
