@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.llm import (
-    bpe, decontam, knn_quality, merkle, pii, rans, rotated_bits, simhash, token_counts, warc, zstd_langid,
+    bpe, decontam, knn_quality, merkle, periodic, pii, rans, rotated_bits, simhash, token_counts,
+    warc, zstd_langid,
 )
 from starwright.llm.common import read_table
 from starwright.llm.oracles import LOWER, ORACLES, UPPER
@@ -104,6 +107,30 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_period(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """The contract's rule: a tenth of all documents repeat from a place on."""
+    if doc_id is None:
+        return None
+    rest, digit = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if digit:
+        return None
+    at = rest % n
+    return at, 1 + (n - at) // (3 + rest % 8)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    listed = F.transform("runs", lambda run: F.concat(
+        run["start"].cast("string"), F.lit(","), run["length"].cast("string"), F.lit(","),
+        run["period"].cast("string"), F.lit("\n"),
+    ))
+    return periodic.periodic_runs(docs, rewrite=planted_period).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_token_counts": op2_token_counts,
@@ -117,4 +144,5 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op10_proximity": op10_proximity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
