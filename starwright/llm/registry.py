@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starwright.llm import (
-    bpe, decontam, knn_quality, merkle, periodic, pii, rans, rotated_bits, simhash, token_counts,
-    warc, zstd_langid,
+    bpe, decontam, knn_quality, merkle, packing, periodic, pii, rans, rotated_bits, simhash,
+    token_counts, warc, zstd_langid,
 )
 from starwright.llm.common import read_table
 from starwright.llm.oracles import LOWER, ORACLES, UPPER
@@ -107,6 +107,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        read_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, limits=packing.Limits(1024)
+    )
+
+
 def planted_period(doc_id: int | None, n: int) -> tuple[int, int] | None:
     """The contract's rule: a tenth of all documents repeat from a place on."""
     if doc_id is None:
@@ -144,5 +150,6 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op10_proximity": op10_proximity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_best_fit_packing": op12_best_fit_packing,
     "op13_periodic_runs": op13_periodic_runs,
 }
