@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starwright.llm.common import (
-    keyed_text, partitions, shared_text, stored_by, whole_batches,
+    keyed_text, partitions, shared_text, stored_by,
 )
 from starwright.llm.words import (
     BYTE_PIECES, PLAIN, Ragged, batches_of, byte_letters, texts_of, word_encoder,
@@ -252,12 +252,12 @@ def encode_decode(
     ``path`` is a byte-level ``tokenizers`` file; ids are those of its library without added
     special tokens, where special strings inside a text count as their tokens.  ``with_ids``
     adds the ids (array of int), ``with_text`` the decoded text.  A null text counts as empty.
-    Repeated rows and null ids stay rows of their own.  Other columns are left out.
+    Repeated rows and null ids stay rows of their own; an empty table gives no row; a text
+    longer than a chunk is a chunk of its own.  Other columns are left out.
     """
     vocabulary = shared_text(path)
     pieces = pieces_of(vocabulary)
     frame = keyed_text(docs, id_col, text_col)
-    whole_batches(docs.sparkSession)
     buckets = partitions(docs.sparkSession)
     chunks = chunks_of(frame, buckets, "bpe-chunks")
     encoded = encode_distinct(

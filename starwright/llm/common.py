@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starwright.session import materialize, scratch_path
 
 __all__ = [
-    "keyed_text", "lookup_join", "materialize", "partitions", "read_table", "scratch_path",
-    "shared_text", "small_batches", "spread", "stored", "stored_by", "whole_batches",
+    "first_by_hash", "keyed_text", "lookup_join", "materialize", "partitions", "read_table", "scratch_path",
+    "shared_text", "spread", "stored", "stored_by",
 ]
 
 
@@ -19,29 +19,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bytes of an Arrow batch between Spark and Python; a task buffers one or two on each side.
-ARROW_BYTES = 8 << 20
-ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes; Spark's default is 64 MB, on both sides of each task.
-
-    A session setting, as the batches are cut when a query runs; a smaller one stays.
-    """
-    current = int(spark.conf.get(ARROW_LIMIT).rstrip("b"))
-    if current <= 0 or current > ARROW_BYTES:
-        spark.conf.set(ARROW_LIMIT, f"{ARROW_BYTES}b")
-
-
-def whole_batches(spark: SparkSession) -> None:
-    """Back to Spark's default, for groups whose few rows are large: cut small, they cost more."""
-    spark.conf.set(ARROW_LIMIT, f"{64 << 20}b")
-
-
 def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and the text alone, so that no other column of the input can clash."""
-    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
@@ -61,14 +40,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def stored_by(df: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
     """Like ``stored``, bucketed by a column, so that a join on it leaves these rows in place.
 
-    Buckets belong to a table of the catalog; its files lie with the other scratch tables.
+    Buckets belong to a table of the catalog.  The frame keeps what it has read of it, so its
+    name goes at once; its files lie, and end, with the other scratch tables.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     writer = df.write.option("compression", "zstd").option("path", path)
     writer.bucketBy(buckets, column).saveAsTable(name)
-    return spark.table(name)
+    frame = spark.table(name)
+    frame.schema  # noqa: B018 - resolved while the name is known
+    spark.sql(f"DROP TABLE {name}")
+    return frame
 
 
 #: A written table of at most so many rows of a few numbers (some 50 MB) may be broadcast.
@@ -87,6 +70,22 @@ def lookup_join(
     return large.join(written.hint("merge"), on, how)
 
 
+#: Groups in which the rows of one key are ranked before they meet.
+HASH_GROUPS = 256
+
+
+def first_by_hash(rows: DataFrame, key: str, order: str, most: int) -> DataFrame:
+    """The ``most`` rows of each key that come first by ``order``, a hash.
+
+    Ranked in groups by hash first, so what meets in a task for one key is bounded by
+    ``most * HASH_GROUPS`` rows, however many tasks and rows there are.
+    """
+    for parts in ([key, F.pmod(F.xxhash64(order), F.lit(HASH_GROUPS))], [key]):
+        place = F.row_number().over(Window.partitionBy(*parts).orderBy(order))
+        rows = rows.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+    return rows
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out evenly before each becomes many; a small file would be a single task."""
     return df.repartition(partitions(df.sparkSession))

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starwright.llm.common import materialize, small_batches
+from starwright.llm.common import first_by_hash, materialize
 from starwright.llm.words import texts_of, words_between_spaces
 
 #: Bound of the learning sample, half of it for each label, and sizes of the model.
@@ -28,7 +28,6 @@ TRIGRAMS, SHAPES = 1024, 512
 TRIGRAM_SHARE = 0.25
 NEIGHBOURS, SHARPNESS = 16, 8
 BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
-SHAPE_LENGTH = 8
 
 _LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
 
@@ -39,7 +38,7 @@ def _letters(run: re.Match) -> str:
 
 
 def shape_of(word: str) -> str:
-    return _DIGITS.sub("0", _LETTERS.sub(_letters, word))[:SHAPE_LENGTH]
+    return _DIGITS.sub("0", _LETTERS.sub(_letters, word))
 
 
 def _shape_counts(texts: pa.Array) -> np.ndarray:
@@ -149,17 +148,14 @@ def fit(
     and term counts of the sample reach the driver.  Rows without id, text or label teach
     nothing; without labels the score is 0.5.
     """
-    small_batches(docs.sparkSession)
     texts = docs.where(learn_from & F.col(text_col).isNotNull())
     hashed = texts.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"))
     known = labels.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), (F.col(label_col) > 0).cast("int").alias("label")
     )
     candidates = hashed.join(known, "doc_id").groupBy("h", "label").count()
-    ranked = Window.partitionBy("label").orderBy("h")
     chosen = materialize(
-        candidates.withColumn("n", F.row_number().over(ranked))
-        .where(F.col("n") <= SAMPLE // 2).select("h", "label"),
+        first_by_hash(candidates.select("h", "label"), "label", "h", SAMPLE // 2),
         "quality-sample",
     )
     share = candidates.agg(F.sum(F.col("label") * F.col("count")) / F.sum("count")).first()[0]
@@ -214,7 +210,8 @@ def predict(
 ) -> DataFrame:
     """One row per document: ``doc_id, score, predicted`` (1 if the score reaches the threshold).
 
-    Repeated rows and null ids stay rows of their own.  Other columns are left out.
+    Repeated rows and null ids stay rows of their own; an empty table gives no row; terms are
+    counted over whole texts, whatever their length.  Other columns are left out.
     """
     scored = docs.select(
         F.col(id_col).alias("doc_id"), scorer(model)(F.col(text_col)).alias("score")

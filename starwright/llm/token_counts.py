@@ -54,7 +54,8 @@ def count_tokens(
 
     ``path`` is a ``tokenizers`` file that splits words at white space and ends them with a
     suffix.  A null text counts as empty: no byte, no token.  Repeated rows and null ids stay
-    rows of their own.  Other columns of ``docs`` are left out.
+    rows of their own; an empty table gives no row; texts are counted whole, whatever their
+    length.  Other columns of ``docs`` are left out.
     """
     vocabulary = shared_text(path)
     whole = whole_tokens(vocabulary)

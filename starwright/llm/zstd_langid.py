@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starwright.llm.common import keyed_text, lookup_join, materialize
+from starwright.llm.common import first_by_hash, keyed_text, lookup_join, materialize
 from starwright.llm.words import batches_of, texts_of
 
 BATCH_ROWS, BATCH_BYTES = 2048, 8 << 20
@@ -66,11 +66,8 @@ def learn(
     texts = min(SAMPLE_TEXTS, max(1, size // LEAST_SHARE))
     hashed = rows.select("lang", F.xxhash64("text").alias("h"))
     # Distinct before ranking: a group of copies, however large, is one candidate.
-    ranked = Window.partitionBy("lang").orderBy("h")
     chosen = materialize(
-        hashed.distinct()
-        .withColumn("n", F.row_number().over(ranked))
-        .where(F.col("n") <= texts)
+        first_by_hash(hashed.distinct(), "lang", "h", texts)
         .select("lang", "h", F.count("*").over(Window.partitionBy("lang")).alias("n")),
         "langid-sample",
     )
@@ -128,7 +125,8 @@ def predict(
     ``und`` if the text is null, has no letter, or no language was learned.  ``score`` is the
     share of that language among all by size; ``rejected`` tells that the second smallest
     size is within ``min_margin`` of the smallest, or that there is no language.  Repeated
-    rows and null ids stay rows of their own.  Other columns of ``docs`` are left out.
+    rows and null ids stay rows of their own; an empty table gives no row; long texts are
+    compressed whole, in blocks of ``BLOCK_BYTES``.  Other columns of ``docs`` are left out.
     """
     frame = keyed_text(docs, id_col, text_col)
     langs = list(dictionaries)

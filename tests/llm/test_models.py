@@ -168,6 +168,61 @@ def test_language_of_held_out_documents(spark):
     assert np.mean([row.lang_pred == row.lang for row in sure]) > 0.97
 
 
+def test_languages_equal_a_plain_loop(spark, odd, odd_rows, tmp_path):
+    """Every text with every dictionary; the smallest size wins."""
+    import math
+
+    import zstandard as zstd
+
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    learned = zstd_langid.learn(docs)
+    settings = zstd.ZstdCompressionParameters.from_level(
+        zstd_langid.LEVEL, min_match=zstd_langid.MATCH, strategy=zstd_langid.STRATEGY,
+        write_content_size=False, write_dict_id=False,
+    )
+    rows = odd_rows + [tuple(r) for r in docs.select("doc_id", "text").limit(200).collect()]
+    want = []
+    for doc_id, text in rows:
+        if not any(map(str.isalpha, text or "")):
+            want.append((doc_id, "und", 0.0, True))
+            continue
+        data, sizes = zstd_langid.reduced(text), []
+        for content in learned.values():
+            raw = zstd.ZstdCompressionDict(content, zstd.DICT_TYPE_RAWCONTENT)
+            coder = zstd.ZstdCompressor(dict_data=raw, compression_params=settings)
+            step = zstd_langid.BLOCK_BYTES
+            sizes.append(sum(
+                len(coder.compress(data[i : i + step])) for i in range(0, len(data), step)
+            ))
+        best, second = sorted(sizes)[:2]
+        shares = [2.0 ** -min(8 * (size - best) / math.sqrt(best), 60 / math.sqrt(best)) for size in sizes]
+        want.append((
+            doc_id, list(learned)[sizes.index(best)], round(1 / sum(shares), 9),
+            (second - best) / best < 0.01,
+        ))
+    found = zstd_langid.predict(framed(spark, rows), learned).collect()
+    got = [(r.doc_id, r.lang_pred, round(r.score, 9), r.rejected) for r in found]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_samples_meet_in_parts(spark, monkeypatch):
+    """No task ranks all rows of a key before they are few."""
+    from starwright.llm import common
+
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise("rare").alias("key"),
+        F.xxhash64("id").alias("h"),
+    )
+    found = common.first_by_hash(rows, "key", "h", 20)
+    every = {}
+    for row in rows.collect():
+        every.setdefault(row.key, []).append(row.h)
+    want = {(key, h) for key, hashes in every.items() for h in sorted(hashes)[:20]}
+    assert set(map(tuple, found.collect())) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2
+
+
 def test_languages_of_odd_texts(spark, odd, odd_rows, empty):
     rows = [(i, text, "xx" if i % 2 else "yy") for i, text in odd_rows if i is not None]
     docs = framed(spark, rows + [(900, "no language", None)], "doc_id long, text string, lang string")

@@ -87,6 +87,19 @@ def test_bpe_returns_ids_and_text(odd, odd_rows, byte_tokenizer):
     )
 
 
+@pytest.mark.parametrize("limit", ["32m", "2000000b", "1g"])
+def test_the_session_keeps_its_arrow_setting(spark, conf, odd, odd_rows, limit):
+    """Frames built before others run as if alone, whatever is set; no table stays behind."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf(name, limit)
+    tables = [t.name for t in spark.catalog.listTables()]
+    encoded = bpe.encode_decode(odd, BYTE)
+    counted = token_counts.count_tokens(odd, WORD)
+    assert counted.count() == encoded.count() == len(odd_rows)
+    assert spark.conf.get(name) == limit
+    assert [t.name for t in spark.catalog.listTables()] == tables
+
+
 def test_bpe_of_an_empty_table(empty):
     assert bpe.encode_decode(empty, BYTE).count() == 0
 
