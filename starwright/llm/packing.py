@@ -29,11 +29,11 @@ from pyspark.sql import types as T
 
 from starwright.llm.common import keyed_text, lookup_join, materialize, shared_text, stored
 from starwright.llm.words import (
-    BYTE_PIECES, Ragged, batches_of, collector_off, sums_between, texts_of, word_encoder,
-    words_with_spaces,
+    BYTE_PIECES, Ragged, batches_of, collector_off, spaced_piece_encoder, spaced_pieces,
+    sums_between, texts_of, word_encoder, words_with_spaces,
 )
 
-BATCH_ROWS, BATCH_BYTES = 4000, 8 << 20
+BATCH_ROWS, BATCH_BYTES, KEPT_PIECES = 5000, 16 << 20, 400_000
 
 
 @dataclass(frozen=True)
@@ -154,14 +154,20 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
+        from tokenizers import Tokenizer
 
         task = TaskContext.get().partitionId()
-        coder = word_encoder(vocabulary, BYTE_PIECES, lower=False)
+        ids_of_pieces = spaced_piece_encoder(Tokenizer.from_str(vocabulary), KEPT_PIECES)
+        ids_of_words = word_encoder(vocabulary, BYTE_PIECES, lower=False)
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches_of(batches, BATCH_ROWS, BATCH_BYTES):
             split = words_with_spaces(texts_of(batch.column(1)))
+            # Distinct words are cut in Arrow; Python sees each distinct piece once.
+            counts, places, parts, whole = spaced_pieces(pa.array(split.words, pa.large_string()))
             with collector_off():
-                words = Ragged(coder(split.words), np.uint32)
+                ids = Ragged(ids_of_pieces(parts) + ids_of_words(whole), np.uint32)
+            in_words = np.concatenate([[0], np.cumsum(counts)])
+            words = Ragged.of(ids.take(places), sums_between(ids.sizes[places], in_words))
             flat = words.take(split.codes)
             ends = np.cumsum(sums_between(words.sizes[split.codes], split.bounds))
             flat = np.ascontiguousarray(np.insert(flat, ends, end_id), dtype="<u4")

@@ -191,6 +191,90 @@ def lowered_pieces(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str],
     return sizes, codes, pieces.to_pylist(), words.take(pa.array(whole)).to_pylist()
 
 
+# Words of plain signs after at most one blank or line feed, without contractions and added
+# tokens; a word that the pattern of byte-level tokenizers cuts as ``_SPACED_RUNS`` does.
+_SPACED_CUTTABLE = (
+    "^[ \n]?[!-&(-;=-\x84\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u2027]+$"
+)
+_SPACED_RUNS = r"(\n| ?(?:\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+))"
+
+
+def _short_letters(words: pa.Array) -> np.ndarray:
+    """Words that are, after at most blanks, letters below U+0240 only; a few others may miss it."""
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset :][: len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    # Lead bytes of other signs; the letters among those that 0xC2 leads take the longer way.
+    other = (data >= 0xC9) | (data == 0xC2)
+    before = np.concatenate([[0], np.cumsum(other)])
+    letters = pc.utf8_is_alpha(pc.utf8_ltrim(words, characters=" "))
+    return np.asarray(letters, dtype=bool) & (before[at[1:]] == before[at[:-1]])
+
+
+# Signs that are a piece of their own where they end a word of letters.
+_ENDING = pa.array(list('!"#$%&()*+,-./:;=>?@[]^_`{|}~'), pa.large_string())
+
+
+def _marked_letters(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of letters, or of letters and one sign, with a mark after each piece; and which."""
+    none, mark = (pa.scalar(x, words.type) for x in ("", _MARK))
+    stem, last = pc.utf8_slice_codeunits(words, 0, -1), pc.utf8_slice_codeunits(words, -1)
+    ended = _short_letters(stem) & np.asarray(pc.is_in(last, _ENDING), dtype=bool)
+    marked = pc.if_else(
+        pa.array(ended),
+        pc.binary_join_element_wise(stem, last, none, mark),
+        pc.binary_join_element_wise(words, none, mark),
+    )
+    return marked, ended | _short_letters(words)
+
+
+def spaced_pieces(words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
+    """Like ``lowered_pieces``, for words with the blank before them and in their own case.
+
+    ``words`` is an array of large strings.
+    """
+    none, mark = (pa.scalar(x, words.type) for x in ("", _MARK))
+    # Most words are letters after a blank or a line feed, and need no pattern.
+    line = pc.starts_with(words, "\n")
+    core = pc.if_else(line, pc.utf8_slice_codeunits(words, 1), words)
+    marked, known = _marked_letters(core)
+    marked = pc.if_else(
+        line, pc.binary_join_element_wise(pa.scalar("\n", words.type), marked, mark), marked
+    )
+    blank = pc.if_else(line, pc.starts_with(core, " "), pc.starts_with(core, "  "))
+    known &= ~np.asarray(blank, dtype=bool)
+    rest = words.filter(pa.array(~known))
+    cuttable = pc.match_substring_regex(rest, _SPACED_CUTTABLE)
+    cut = pc.replace_substring_regex(
+        pc.if_else(cuttable, rest, ""), pattern=_SPACED_RUNS, replacement=f"\\1{_MARK}"
+    )
+    marked = pc.replace_with_mask(marked, pa.array(~known), cut)
+    bounds, codes, pieces = _coded(pc.split_pattern(marked, _MARK))
+    # A mark follows each piece, so an empty piece ends every word.
+    sizes = np.diff(bounds) - 1
+    codes = np.delete(codes, bounds[1:] - 1)
+    whole = np.flatnonzero(~known)[~np.asarray(cuttable, dtype=bool)]
+    codes = np.insert(
+        codes, np.cumsum(sizes)[whole], len(pieces) + np.arange(len(whole), dtype=np.int32)
+    )
+    sizes[whole] = 1
+    return sizes, codes, pieces.to_pylist(), words.take(pa.array(whole)).to_pylist()
+
+
+def spell_all(pieces: list[str]) -> list[str]:
+    """Letters of the UTF-8 bytes of pieces without the zero byte, all in one step."""
+    letters = np.array([ord(letter) for letter in byte_letters()], "<u2")
+    data = np.frombuffer("\0".join(pieces).encode(), np.uint8)
+    return letters[data].tobytes().decode("utf-16-le").split(chr(letters[0])) if pieces else []
+
+
+def spaced_piece_encoder(tokenizer, most: int) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of pieces of ``spaced_pieces``, remembering ``most`` of them."""
+    merge = tokenizer.model.tokenize
+    return memo(
+        lambda pieces: [[token.id for token in merge(p)] for p in spell_all(pieces)], most
+    )
+
+
 def memo(encode: Callable[[list[str]], list], most: int) -> Callable[[list[str]], list]:
     """``encode`` with a memory of at most ``most`` words besides those of one call."""
     known: dict[str, object] = {}

@@ -124,3 +124,23 @@ def test_an_empty_table_has_no_pieces(empty):
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     ]
     assert found.count() == 0
+
+
+def test_pieces_cut_in_arrow_are_those_of_the_library(odd_rows):
+    import pyarrow as pa
+
+    from starwright.llm import words
+
+    tokenizer = Tokenizer.from_file(BYTE)
+    texts = [text or "" for _, text in odd_rows if len(text or "") < 10_000] + [
+        "\nWas it\n\nhere, ", "  two  blanks", " \xb5m, x\xb2 caf\xe9. na\xefve; 3rd no. 7!", "\x1c a\x85b",
+        "it's 'quoted' <b> a_b --", "ɐipa ǅx", "á e", "(see)", ", ,", "\n ,x", "\n x",
+    ]
+    split = words.words_with_spaces(words.texts_of(pa.array(texts)))
+    counts, places, pieces, whole = words.spaced_pieces(pa.array(split.words, pa.large_string()))
+    ids = words.spaced_piece_encoder(tokenizer, 10)(pieces)
+    ids += words.word_encoder(tokenizer.to_str(), words.BYTE_PIECES, lower=False)(whole)
+    ends = np.cumsum(counts)
+    for word, start, end in zip(split.words, ends - counts, ends):
+        got = [i for place in places[start:end] for i in ids[place]]
+        assert got == tokenizer.encode(word, add_special_tokens=False).ids, word
