@@ -836,6 +836,15 @@ def _constraint_statements() -> dict[str, str]:
             "dw.dim_territory": ["territory_key"], "dw.dim_promotion": ["promotion_key"],
             "dw.dim_ship_method": ["ship_method_key"],
             "dw.fact_sales": ["sale_key", "order_line_id"]}
+    for table, column in (
+        ("dw.dim_customer", "customer_id, valid_from"), ("dw.dim_product", "product_id, valid_from"),
+        ("dw.dim_salesperson", "employee_id, valid_from"), ("dw.dim_territory", "territory_id"),
+        ("dw.dim_promotion", "special_offer_id"), ("dw.dim_ship_method", "ship_method_id"),
+    ):
+        keys[table].append(column)
+    keys |= {"dw.fact_sales_keys": ["order_line_id"], "ctrl.watermark": ["source_name"]}
+    rules = ["overlap", "ends before it begins", "several current",
+             "current but closed, or open but not current"]
     references = ["order_date_key", "ship_date_key", "due_date_key", "customer_key",
                   "product_key", "salesperson_key", "territory_key", "promotion_key",
                   "ship_method_key"]
@@ -863,6 +872,20 @@ def _constraint_statements() -> dict[str, str]:
     return {
         "dq_unique_star": " UNION ALL ".join(
             clean("unique", t, c) for t, columns in keys.items() for c in columns),
+        "dq_validity_star": " UNION ALL ".join(
+            clean("validity", f"dw.dim_{n}", rule)
+            for n in ("customer", "product", "salesperson") for rule in rules),
+        "dq_business_key_damage": """
+            SELECT 'unique' AS rule, 'dw.dim_customer' AS table_name,
+                   'customer_id, valid_from' AS "column", 2 * count(*) AS violations
+            FROM stg_customer WHERE customer_id % 10 = 0
+            UNION ALL SELECT 'validity', 'dw.dim_customer', 'several current', 2 * count(*)
+            FROM stg_customer WHERE customer_id % 10 = 0
+            UNION ALL SELECT 'validity', 'dw.dim_customer', 'overlap', count(*)
+            FROM stg_customer WHERE customer_id % 10 = 0
+            UNION ALL SELECT 'unique', 'dw.dim_promotion', 'special_offer_id', 2 * count(*)
+            FROM stg_promotion WHERE special_offer_id % 10 = 0
+            UNION ALL SELECT 'unique', 'ctrl.watermark', 'source_name', 2""",
         "dq_referential_star": " UNION ALL ".join(
             clean("reference", "dw.fact_sales", c) for c in references),
         "dq_not_null_star": " UNION ALL ".join(
@@ -872,6 +895,7 @@ def _constraint_statements() -> dict[str, str]:
                    'territory_key' AS "column", count(*) AS violations
             FROM fact WHERE territory_key NOT IN ({used})
             UNION ALL SELECT 'unique', 'dw.dim_promotion', 'promotion_key', 2
+            UNION ALL SELECT 'unique', 'dw.dim_promotion', 'special_offer_id', 2
             UNION ALL SELECT 'not null', 'dw.dim_ship_method', 'ship_method_id', count(*)
             FROM dim_ship_method WHERE ship_method_key <= 0""",
         "pipeline_crash_before_mark": _keyed_fact("fact", DAY_ONE),
@@ -927,7 +951,16 @@ def _pipeline_statements() -> dict[str, str]:
     )
     shown_mark = "strftime(mark, '%Y-%m-%d %H:%M:%S') AS last_extracted_at"
     first_mark = "(SELECT max(modified_at) FROM stg_order_line_a)"
+    twice = _keyed_fact("fact_two", DAY_TWO) + " UNION ALL " + _keyed_fact(
+        "fact_one", DAY_ONE,
+        "WHERE order_line_id NOT IN (SELECT order_line_id FROM changed_line)")
     return {
+        "pipeline_merge_on_read": f"""
+            SELECT f.*, s.state FROM ({twice}) f,
+                   (SELECT 'delta' AS state UNION ALL SELECT 'folded') s""",
+        "schema_rename_stored": """
+            SELECT customer_id, customer_name, is_current,
+                   strftime(valid_from, '%Y-%m-%d') AS valid_from FROM two_customer""",
         "stg_replace": staged,
         "control_log_latest": f"""
             SELECT 'incremental_load' AS process, step, 'SUCCESS' AS status, rows_affected,
@@ -948,9 +981,7 @@ def _pipeline_statements() -> dict[str, str]:
                   UNION ALL SELECT '{DAY_TWO}', {first_mark}
                   UNION ALL SELECT '{DAY_THREE}',
                                    (SELECT max(modified_at) FROM changed_line)) m""",
-        "pipeline_two_batches": _keyed_fact("fact_two", DAY_TWO) + " UNION ALL " + _keyed_fact(
-            "fact_one", DAY_ONE,
-            "WHERE order_line_id NOT IN (SELECT order_line_id FROM changed_line)"),
+        "pipeline_two_batches": twice,
         "pipeline_full_reload": _keyed_fact("fact", DAY_TWO),
     }
 

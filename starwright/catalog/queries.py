@@ -38,7 +38,7 @@ from starwright.operators.shaping import (
     next_watermark,
     rename_guarded,
 )
-from starwright.plans import constraints, kpis, pipeline
+from starwright.plans import constraints, kpis, layout, pipeline
 from starwright.plans.control import Control
 from starwright.plans.model import (
     BY_NAME,
@@ -63,7 +63,7 @@ from starwright.sources.extracts import (
 )
 from starwright.sources.fixture import FIRST, PLAIN, SECOND, SourceTables, given_table
 from starwright.sources.readers import select_as
-from starwright.sources.store import TableStore
+from starwright.sources.store import WATERMARK, TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -713,6 +713,7 @@ def _broken(violations: Callable[[TableStore], DataFrame]) -> Query:
 
 
 query("dq_unique_star")(_broken(constraints.unique_violations))
+query("dq_validity_star")(_broken(constraints.interval_violations))
 query("dq_referential_star")(_broken(constraints.reference_violations))
 query("dq_not_null_star")(_broken(constraints.required_violations))
 
@@ -730,6 +731,32 @@ def _(spark, directory):
     return constraints.all_violations(store).where("violations > 0")
 
 
+@query("dq_business_key_damage")
+def _(spark, directory):
+    """Twins that a check after a load must find: in two dimensions and among the marks.
+
+    A tenth of the customers get a second current version, a tenth of the promotions a copy
+    under another number, and the customers' mark is written twice.
+    """
+    store = _loaded(spark, directory, [(PLAIN, DAY_ONE, False)])
+    store.note_checked()
+    customer, promotion = BY_NAME["customer"], BY_NAME["promotion"]
+    members = store.read(customer.table)
+    twins = members.where("customer_id > 0 AND customer_id % 10 = 0").withColumn(
+        "customer_key", F.col("customer_key") + F.lit(store.last_key(customer.table))
+    )
+    part = layout.member_range("customer_id")
+    store.replace_parts(customer.table, members.unionByName(twins), part, [])
+    offers = store.read(promotion.table)
+    copies = offers.where("special_offer_id > 0 AND special_offer_id % 10 = 0").withColumn(
+        "promotion_key", F.col("promotion_key") + F.lit(last_key(offers, "promotion_key"))
+    )
+    store.replace(promotion.table, offers.unionByName(copies))
+    mark = Control(store).watermarks().where("source_name = 'customer'").first()
+    store.append(WATERMARK, [tuple(mark)])
+    return constraints.all_violations(store, unchecked=True).where("violations > 0")
+
+
 # --- the load as a whole --------------------------------------------------------------
 
 def _loaded(
@@ -886,6 +913,40 @@ def _(spark, directory):
     return _fact_content(_loaded(spark, directory, _TWO_BATCHES))
 
 
+@query("pipeline_merge_on_read")
+def _(spark, directory):
+    """A second batch kept as a delta: what is read before and after it has been folded."""
+    store = _loaded(spark, directory, _TWO_BATCHES[:1])
+    run(
+        spark, SourceTables(spark, directory, SECOND), store, DAY_TWO,
+        datetime.fromisoformat(DAY_TWO), merge_on_read=True,
+    )
+    kept_apart = _fact_content(store).withColumn("state", F.lit("delta"))
+    pipeline.fold_deltas(store, always=True)
+    return kept_apart.unionByName(_fact_content(store).withColumn("state", F.lit("folded")))
+
+
+@query("schema_rename_stored")
+def _(spark, directory):
+    """A stored dimension of which a first generation has another name for a column.
+
+    It is renamed in the store, loaded again, and read with parts of both generations.
+    """
+    spec = BY_NAME["customer"]
+    alone = {"dimensions": (spec,), "with_fact": False}
+    store = TableStore(spark, scratch_path(spark, "warehouse"))
+    run(spark, SourceTables(spark, directory, FIRST), store, DAY_ONE, **alone)
+    older = store.read(spec.table).withColumnRenamed("customer_name", "person_name")
+    store.replace_parts(spec.table, older, layout.member_range("customer_id"), [])
+    reopened = TableStore(spark, store.root)
+    reopened.rename_column(spec.table, "person_name", "customer_name")
+    run(spark, SourceTables(spark, directory, SECOND), reopened, DAY_TWO, **alone)
+    return TableStore(spark, store.root).read(spec.table).select(
+        "customer_id", "customer_name", "is_current",
+        F.date_format("valid_from", "yyyy-MM-dd").alias("valid_from"),
+    )
+
+
 @query("pipeline_full_reload")
 def _(spark, directory):
     twice = [(PLAIN, DAY_ONE, True), (PLAIN, DAY_TWO, True)]

@@ -43,6 +43,12 @@ def resolve_fact(
 
     def side(name: str) -> DataFrame:
         spec = specs[name]
+        if spec.scd_type == 1:
+            # One row per business key already.
+            return dims[name].select(
+                spec.business_key, spec.key,
+                *[F.col(a).alias(n) for a, n in spec.fact_attributes.items()],
+            )
         return lookup_side(dims[name], spec.business_key, spec.key, spec.fact_attributes)
 
     sides = together(side, [name for name in dims if name not in versioned])
@@ -70,6 +76,22 @@ def existing_keys(fact: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
+def written_rows(
+    incoming: DataFrame, known: DataFrame, number: str = "row_number", start: int = 0
+) -> DataFrame:
+    """``incoming`` with its surrogate keys, and ``_old_date_key`` of the rows it takes the place of.
+
+    A row that exists keeps its key; a new one takes ``start + number``.
+    """
+    old = known.select(
+        F.col(NATURAL_KEY).alias("_id"), F.col(FACT_KEY).alias("_key"),
+        F.col("order_date_key").alias("_old_date_key"),
+    )
+    return incoming.join(old, F.col(NATURAL_KEY) == F.col("_id"), "left").withColumn(
+        FACT_KEY, F.coalesce("_key", F.lit(start) + F.col(number)).cast("long")
+    )
+
+
 def fact_upsert(
     fact: DataFrame,
     incoming: DataFrame,
@@ -86,12 +108,7 @@ def fact_upsert(
     """
     columns = schema(FACT_TABLE).fieldNames()
     known = existing_keys(fact, incoming) if known is None else known
-    old = known.select(F.col(NATURAL_KEY).alias("_id"), F.col(FACT_KEY).alias("_key"))
-    written = (
-        incoming.join(old, F.col(NATURAL_KEY) == F.col("_id"), "left")
-        .withColumn(FACT_KEY, F.coalesce("_key", F.lit(start) + F.col(number)).cast("long"))
-        .withColumn("loaded_at", loaded_at)
-    )
+    written = written_rows(incoming, known, number, start).withColumn("loaded_at", loaded_at)
     untouched = fact.join(known.select(NATURAL_KEY), NATURAL_KEY, "left_anti")
     return untouched.select(columns).unionByName(written.select(columns))
 
@@ -101,10 +118,7 @@ def index_upsert(index: DataFrame, keys: DataFrame, known: DataFrame, start: int
 
     ``keys``: natural key, row number and order date of the batch.
     """
-    old = known.select(NATURAL_KEY, F.col(FACT_KEY).alias("_key"))
-    written = keys.join(old, NATURAL_KEY, "left").withColumn(
-        FACT_KEY, F.coalesce("_key", F.lit(start) + F.col("row_number")).cast("long")
-    )
+    written = written_rows(keys, known, start=start)
     untouched = index.join(known.select(NATURAL_KEY), NATURAL_KEY, "left_anti")
     columns = (NATURAL_KEY, FACT_KEY, "order_date_key")
     return untouched.select(*columns).unionByName(written.select(*columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starwright.operators.shaping import conform_to_schema
@@ -26,19 +26,21 @@ def dense_numbers(
 ) -> DataFrame:
     """Turn the stamps of a *written* frame into consecutive numbers after ``start``.
 
-    Only one count per partition comes to the driver; the numbers themselves are a
-    projection, without a shuffle or a window over all rows.
+    Each task of the write has a block of numbers.  The blocks are a small written table, one row
+    per task, that is joined; so neither the plan nor the driver grows with the partitions, and
+    the numbers come without a shuffle or a window over all rows.
     """
     part = F.shiftright(column, _ROW_BITS)
     position = F.col(column) - F.shiftleft(part, _ROW_BITS)
-    counts = stamped.groupBy(part.alias("part")).agg((F.max(position) + 1).alias("rows"))
-    offsets, used = [], start
-    sizes = {r.part: r.rows for r in counts.collect()}
-    for partition in range(max(sizes, default=-1) + 1):
-        offsets.append(used)
-        used += sizes.get(partition, 0)
-    before = F.element_at(F.lit(offsets or [start]), (part + 1).cast("int"))
-    return stamped.withColumn(number, (before + position + 1).cast("long")).drop(column)
+    counts = stamped.groupBy(part.alias("_block")).agg((F.max(position) + 1).alias("_rows"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = materialize(
+        counts.select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first")),
+        "blocks",
+    )
+    numbered = stamped.withColumn("_block", part).join(F.broadcast(blocks), "_block")
+    value = F.lit(start) + F.col("_first") + position + 1
+    return numbered.withColumn(number, value.cast("long")).drop(column, "_block", "_first")
 
 
 def stage_in_order(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:

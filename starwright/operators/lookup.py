@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starwright.operators.keys import UNKNOWN_KEY
@@ -70,25 +70,38 @@ def lookup_as_of(
 ) -> DataFrame:
     """Add the key of the version in force on ``day``, ``-1`` when there is none.
 
-    Versions are searched once per distinct (business key, day); the wide frame then joins
-    on that pair, so a hot business key spreads over its days.
+    Versions and the distinct asked days of a business key are merged by day, and the last
+    version that has begun is carried forward to the days after it; so the work per key grows
+    with its versions and days, not with their product.  If versions overlap, the one that
+    began last counts, and of those that began together the highest key.  The wide frame then
+    joins on key and day, so a hot business key spreads over its days.
     """
     attributes = dict(attributes or {})
-    versions = dim.select(
-        F.col(business_key).alias("_bk"), "valid_from", "valid_to", key, *attributes
+    versions = dim.where(F.col("valid_from") < F.col("valid_to")).select(
+        F.col(business_key).alias("_bk"),
+        F.col("valid_from").alias("_day"),
+        F.struct("valid_to", key, *attributes).alias("_version"),
+        F.col(key).alias("_order"),
+        F.lit(None).cast(df.schema[day].dataType).alias("_asked"),
     )
-    pairs = df.select(business_key, day).dropna().distinct()
-    in_force = (
-        (F.col(business_key) == F.col("_bk"))
-        & (F.col("valid_from") <= F.col(day))
-        & (F.col(day) < F.col("valid_to"))
+    asked = df.select(business_key, day).dropna().distinct().select(
+        F.col(business_key).alias("_bk"),
+        F.col(day).cast("date").alias("_day"),
+        F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"),
+        # On its first day a version is in force already.
+        F.lit(2**63 - 1).alias("_order"),
+        F.col(day).alias("_asked"),
     )
+    by_day = Window.partitionBy("_bk").orderBy("_day", "_order")
     resolved = (
-        pairs.join(versions, in_force)
-        .groupBy(business_key, day)
-        .agg(
-            F.max(key).alias(key),
-            *[F.max_by(a, key).alias(name) for a, name in attributes.items()],
+        versions.unionByName(asked)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(by_day))
+        .where(F.col("_asked").isNotNull() & (F.col("_day") < F.col("_version.valid_to")))
+        .select(
+            F.col("_bk").alias(business_key),
+            F.col("_asked").alias(day),
+            F.col(f"_version.{key}").alias(key),
+            *[F.col(f"_version.{a}").alias(name) for a, name in attributes.items()],
         )
     )
     side = materialize(resolved, f"as-of-{key}")

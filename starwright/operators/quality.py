@@ -89,6 +89,12 @@ def type_violations(df: DataFrame, table: str) -> DataFrame:
     return _violations(df, rules)
 
 
+INTERVAL_RULES = (
+    "overlap", "ends before it begins", "several current",
+    "current but closed, or open but not current",
+)
+
+
 def interval_violations(dim: DataFrame, business_key: str) -> DataFrame:
     """Versions that break the type 2 rules, with the rule each one breaks.
 
@@ -107,13 +113,9 @@ def interval_violations(dim: DataFrame, business_key: str) -> DataFrame:
             F.col("is_current") != (F.col("valid_to") == F.lit(OPEN_END).cast("date"))
         ).alias("_open"),
     )
+    flags = ("_overlap", "_inverted", "_many", "_open")
     broken = F.array_compact(
-        F.array(
-            F.when(F.col("_overlap"), "overlap"),
-            F.when(F.col("_inverted"), "ends before it begins"),
-            F.when(F.col("_many"), "several current"),
-            F.when(F.col("_open"), "current but closed, or open but not current"),
-        )
+        F.array(*[F.when(F.col(flag), rule) for flag, rule in zip(flags, INTERVAL_RULES)])
     )
     return checked.select(business_key, "valid_from", F.explode(broken).alias("rule"))
 

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from starwright.schemas import default_of, schema
 
 
-def conform_to_schema(df: DataFrame, table: str) -> DataFrame:
-    """Project ``df`` onto the declared columns of ``table``.
+def conform_to_schema(df: DataFrame, table: str, also: Sequence[str] = ()) -> DataFrame:
+    """Project ``df`` onto the declared columns of ``table``, and those in ``also``.
 
     Values are cast (decimals round half up, timestamps lose their time in a DATE column).
     A column that is absent takes its default; a NULL that is present stays NULL.
     """
     return df.selectExpr(
+        *also,
         *[
             f"CAST({f.name if f.name in df.columns else default_of(table, f.name)}"
             f" AS {f.dataType.simpleString()}) AS {f.name}"

@@ -6,27 +6,40 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starwright.functions.scalars import date_key, month_of_key
 from starwright.operators.calendar import calendar_between, missing_days
-from starwright.operators.fact import existing_keys, fact_upsert, index_upsert, resolve_fact
+from starwright.operators.fact import (
+    existing_keys,
+    fact_upsert,
+    index_upsert,
+    resolve_fact,
+    written_rows,
+)
 from starwright.operators.joins import members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
 from starwright.operators.scd import CHANGED, NEW, scd1_upsert, scd2_apply, scd2_changes
 from starwright.operators.shaping import date_range, next_watermark, rows_without
 from starwright.plans.constraints import assert_constraints
 from starwright.plans.control import Control, now
+from starwright.plans.layout import (
+    as_of_parts,
+    CLOSED,
+    closed_piece,
+    current_parts,
+    key_range,
+    member_range,
+    order_month,
+)
 from starwright.plans.model import (
     DATE_ROLES,
     DIMENSIONS,
     FACT_KEYS_TABLE,
     FACT_STAGING,
     FACT_TABLE,
-    KEY_RANGE,
-    MEMBER_RANGE,
     NATURAL_KEY,
     DimensionSpec,
 )
@@ -39,7 +52,12 @@ CALENDAR = "dw.dim_date"
 # The default range of the calendar.
 CALENDAR_START, CALENDAR_END = "2005-01-01", "2030-12-31"
 MOST_DAYS = 200 * 366
-CURRENT = "current"
+#: Pieces of closed versions of one range and year before they are put together.
+MOST_PIECES = 8
+#: A batch goes to a delta if the months it touches are larger than this, and than so many times
+#: the batch; deltas are folded if they are many, or more than a share of their table.
+LEAST_DELTA_BYTES, REWRITE = 32 << 20, 4
+MOST_DELTAS, FOLD_SHARE = 16, 0.05
 _STAMP = T.StructType([T.StructField("row_stamp", T.LongType())])
 
 
@@ -60,17 +78,32 @@ class LoadReport:
     applied: dict[str, int] = field(default_factory=dict)
 
 
-def _current_parts(store: TableStore, spec: DimensionSpec) -> list[str] | None:
-    """The parts with current versions; None, for all, of a table without history."""
-    if spec.scd_type == 1:
-        return None
-    return [part for part in store.live_parts(spec.table) if part.startswith(CURRENT)]
+def merge_history(store: TableStore, spec: DimensionSpec) -> None:
+    """Put the pieces of closed versions of a range and year together, where they are many."""
+    pieces: dict[str, list[str]] = {}
+    for part in store.live_parts(spec.table):
+        if part.startswith(CLOSED):
+            pieces.setdefault(part.rsplit(".", 1)[0], []).append(part)
+    many = [part for group in pieces.values() if len(group) > MOST_PIECES for part in group]
+    if many:
+        piece = closed_piece(spec.business_key, store.version(spec.table) + 1)
+        store.replace_parts(spec.table, store.read(spec.table, many), piece, many)
+
 
+def fold_deltas(store: TableStore, always: bool = False) -> None:
+    """Bring deltas into their parts, once they are many or large."""
+    places = {FACT_TABLE: order_month(), FACT_KEYS_TABLE: key_range()}
+    for table, part in places.items():
+        deltas = store.deltas(table)
+        if not deltas:
+            continue
+        share = store.bytes_of(table, deltas) / max(1, store.bytes_of(table))
+        if always or len(deltas) > MOST_DELTAS or share > FOLD_SHARE:
+            store.publish(store.fold(table, part))
 
-def member_range(business_key: str) -> Column:
-    """The part of a type 2 dimension that a member's current version belongs to."""
-    number = F.floor(F.col(business_key) / F.lit(MEMBER_RANGE)).cast("string")
-    return F.concat(F.lit(f"{CURRENT}-"), number)
+
+def _refuse_missing(staged: DataFrame, table: str, key: str) -> None:
+    raise ValueError(f"{rows_without(staged, key)} rows of {table} have no {key}")
 
 
 def seed_dimensions(store: TableStore, dimensions: Sequence[DimensionSpec]) -> None:
@@ -107,6 +140,9 @@ def extract(
         if source.staging == FACT_STAGING:
             staged = stamp_rows(staged)
         store.replace(source.staging, staged)
+        settled = source.settled(store.read(source.staging))
+        if settled is not None:
+            store.replace(source.staging, stamp_rows(settled))
         summary = next_watermark(store.read(source.staging)).first()
         outcome["rows"] = summary.rows
         untimed = summary.rows and rows_without(store.read(source.staging), "modified_at")
@@ -122,16 +158,24 @@ def load_dimension(
     """Merge the staged rows of one dimension; gives the number of rows applied.
 
     A type 2 merge reads and rewrites current versions only, and of these the ranges of
-    members that the batch falls into; versions it closes go to a new part, and older history
-    is not touched.
+    members that the batch falls into; versions it closes go to a new piece of their range and
+    year, and older history is not touched.  Rows without a business key are refused.
     """
     staged = store.read(spec.staging)
     keyed = (spec.business_key, spec.key, spec.attributes)
     if spec.scd_type == 1:
+        size = staged.agg(
+            F.count(F.lit(1)).alias("rows"), F.count(spec.business_key).alias("named")
+        ).first()
+        if size.named < size.rows:
+            _refuse_missing(staged, spec.staging, spec.business_key)
         store.replace(spec.table, scd1_upsert(store.read(spec.table), staged, *keyed))
-        return staged.count()
+        return size.rows
     part = member_range(spec.business_key)
     touched = [r.part for r in staged.select(part.alias("part")).distinct().collect()]
+    if None in touched:
+        _refuse_missing(staged, spec.staging, spec.business_key)
+    merge_history(store, spec)
     dim = store.read(spec.table, touched)
     start = store.last_key(spec.table)
     changes = scd2_changes(dim, staged, *keyed, load_date, start=start)
@@ -139,7 +183,7 @@ def load_dimension(
     summary = changes.agg(F.count(F.lit(1)).alias("rows"), F.max(opened).alias("last_key")).first()
     if summary.rows:
         merged = scd2_apply(dim, changes, *keyed, load_date, first_from)
-        closed = f"closed-{store.version(spec.table) + 1}"
+        closed = closed_piece(spec.business_key, store.version(spec.table) + 1)
         part = F.when(F.col("is_current"), part).otherwise(closed)
         store.replace_parts(spec.table, merged, part, touched, summary.last_key or start)
     return summary.rows
@@ -173,11 +217,6 @@ def extend_calendar(store: TableStore, staged: DataFrame, **labels: Sequence[str
     return load_calendar(store, str(span.first_day), str(span.last_day), **labels)
 
 
-def key_range() -> Column:
-    """The part of the key index that a natural key belongs to."""
-    return F.floor(F.col(NATURAL_KEY) / F.lit(KEY_RANGE)).cast("string")
-
-
 def key_index(store: TableStore, ranges: list[str]) -> DataFrame:
     """Keys of the fact rows in the given ranges; built once for a fact that has no index."""
     if store.live_parts(FACT_TABLE) and not store.live_parts(FACT_KEYS_TABLE):
@@ -200,14 +239,19 @@ def load_fact(
     rows: int,
     loaded_at: datetime,
     as_of: bool = False,
+    merge_on_read: bool | None = None,
     **labels: Sequence[str],
 ) -> int:
-    """Upsert the ``rows`` staged order lines, rewriting only the order months they touch.
+    """Upsert the ``rows`` staged order lines.
 
     A line may move to another month, so the month of its old row counts as touched too.  Old
     rows are found in a narrow index of keys, of which only the ranges that the batch falls
-    into are read and rewritten; it becomes current in one commit with the fact.  As with a
-    sequence in an upsert, rows that turn out to exist use up a number as well.
+    into are read; it becomes current in one commit with the fact.  As with a sequence in an
+    upsert, rows that turn out to exist use up a number as well.
+
+    A batch that is large against the months it touches rewrites them.  A small, scattered one
+    is written as a delta of the fact and one of the index, and wins at read; so is any batch
+    while there are deltas.  ``merge_on_read`` sets the way, whatever the sizes, but for that.
     """
     staged = store.read(FACT_STAGING)
     undated = rows_without(staged, "order_date")
@@ -215,40 +259,53 @@ def load_fact(
         raise ValueError(f"{undated} order lines have no order date")
     extend_calendar(store, staged, **labels)
     # Lines take current versions, so a load without ``as_of`` leaves closed history alone.
-    dims = {
-        spec.name: members_of(
-            store.read(spec.table, None if as_of else _current_parts(store, spec)), staged, spec
-        )
-        for spec in dimensions
-    }
+    dims = {}
+    for spec in dimensions:
+        parts = as_of_parts(store, spec, staged) if as_of else current_parts(store, spec)
+        dims[spec.name] = members_of(store.read(spec.table, parts), staged, spec)
     numbered = dense_numbers(
         store.read(FACT_STAGING, extra=_STAMP), "row_number", 0
     )
     incoming = resolve_fact(numbered, dims, as_of)
-    ranges = sorted(r.part for r in staged.select(key_range().alias("part")).distinct().collect())
+    ranges = [r.part for r in staged.select(key_range().alias("part")).distinct().collect()]
+    if None in ranges:
+        _refuse_missing(staged, FACT_STAGING, NATURAL_KEY)
+    ranges.sort()
     index = key_index(store, ranges)
     known = materialize(existing_keys(index, staged), "known-keys")
-    month = month_of_key(F.col("order_date_key"))
     touched = known.select("order_date_key").union(
         staged.select(date_key(F.col("order_date")).alias("order_date_key"))
     )
-    months = [str(r.month) for r in touched.select(month.alias("month")).distinct().collect()]
+    months = [r.month for r in touched.select(order_month().alias("month")).distinct().collect()]
     start = store.last_key(FACT_TABLE)
-    merged = fact_upsert(
-        store.read(FACT_TABLE, months),
-        incoming,
-        F.lit(loaded_at).cast("timestamp_ntz"),
-        start=start,
-        known=known,
-    )
+    stamp = F.lit(loaded_at).cast("timestamp_ntz")
     keys = numbered.select(
         NATURAL_KEY, "row_number", date_key(F.col("order_date")).alias("order_date_key")
     )
-    indexed = index_upsert(index, keys, known, start)
-    store.publish(
-        store.write_parts(FACT_TABLE, merged, month.cast("string"), months, start + rows)
-        + store.write_parts(FACT_KEYS_TABLE, indexed, key_range(), ranges)
-    )
+    if merge_on_read is None:
+        large = max(LEAST_DELTA_BYTES, REWRITE * store.bytes_of(FACT_STAGING))
+        merge_on_read = store.bytes_of(FACT_TABLE, months) > large
+    if merge_on_read or store.deltas(FACT_TABLE):
+        old_day = F.col("_old_date_key")
+        written = written_rows(incoming, known, start=start).withColumn("loaded_at", stamp)
+        # Of the index only what a batch adds or moves.
+        moved = written_rows(keys, known, start=start).where(
+            ~F.col("order_date_key").eqNullSafe(old_day)
+        )
+        old_range = F.when(old_day.isNotNull(), key_range())
+        published = store.write_delta(
+            FACT_TABLE, written, order_month(), month_of_key(old_day).cast("string"),
+            start + rows,
+        ) + store.write_delta(FACT_KEYS_TABLE, moved, key_range(), old_range)
+    else:
+        merged = fact_upsert(
+            store.read(FACT_TABLE, months), incoming, stamp, start=start, known=known
+        )
+        indexed = index_upsert(index, keys, known, start)
+        published = store.write_parts(
+            FACT_TABLE, merged, order_month(), months, start + rows
+        ) + store.write_parts(FACT_KEYS_TABLE, indexed, key_range(), ranges)
+    store.publish(published, reads=[spec.table for spec in dimensions])
     return rows
 
 
@@ -265,12 +322,14 @@ def run(
     as_of: bool = False,
     until: datetime | None = None,
     check: bool = False,
+    merge_on_read: bool | None = None,
     **labels: Sequence[str],
 ) -> LoadReport:
     """One load of the warehouse.
 
-    ``check`` ends it with all constraints of the model, as a step that fails if one is
-    broken.  ``labels`` are those of new calendar days.
+    ``check`` ends it with the constraints of the model, in all parts that became current since
+    they were last found to hold, as a step that fails if one is broken.  ``merge_on_read``: see
+    ``load_fact``.  ``labels`` are those of new calendar days.
 
     It reads rows modified up to ``until``, in the clock of the source; the default is the
     time at which the load begins.
@@ -283,6 +342,7 @@ def run(
     started = now()
     try:
         store.tidy()
+        fold_deltas(store)
         seed_dimensions(store, dimensions)
         by_name = {spec.name: spec for spec in dimensions}
         # The longest extract starts first.
@@ -300,7 +360,8 @@ def run(
             with control.step(step) as outcome:
                 if name == "order_line":
                     applied = load_fact(
-                        store, dimensions, batch.rows, loaded_at or started, as_of, **labels
+                        store, dimensions, batch.rows, loaded_at or started, as_of,
+                        merge_on_read, **labels,
                     )
                 else:
                     # As of the sale, a member was there from the start.
@@ -316,7 +377,8 @@ def run(
             report.applied["order_line"] = load("order_line")
         if check:
             with control.step("check_constraints") as outcome:
-                outcome["rows"] = assert_constraints(store)
+                outcome["rows"] = assert_constraints(store, unchecked=True)
+                store.note_checked()
     except Exception as error:
         control.log("run", started, "ERROR", 0, str(error))
         raise

@@ -116,7 +116,7 @@ DECLARATIONS: dict[str, str] = {
     """,
     "ctrl.publication": """
         table_name STRING NOT NULL, part STRING NOT NULL, version BIGINT NOT NULL,
-        path STRING, last_key BIGINT
+        path STRING, last_key BIGINT, file_columns STRING
     """,
 }
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -58,21 +58,22 @@ def work_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app_id]
 
 
-def _folder(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that system knows it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any file system that Spark reads; none if it does not exist."""
-    system, folder = _folder(spark, path)
+    system, folder = file_system(spark, path)
     if not system.exists(folder):
         return []
     return [status.getPath().getName() for status in system.listStatus(folder)]
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    system, folder = _folder(spark, path)
+    system, folder = file_system(spark, path)
     system.delete(folder, True)
 
 
@@ -81,6 +82,15 @@ def remove_scratch(spark: SparkSession) -> None:
     delete(spark, work_dir(spark))
 
 
+def size_of(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes in some folders."""
+    total = 0
+    for path in paths:
+        system, folder = file_system(spark, path)
+        total += system.getContentSummary(folder).getLength()
+    return total
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starwright.functions.scalars import allocate_share, full_name, later_of
+from starwright.operators import quality
 from starwright.operators.dedup import keep_latest, lowest_per_key
 from starwright.operators.joins import left_join_sparse
 from starwright.operators.shaping import conform_to_schema, is_changed_since
@@ -166,7 +167,8 @@ def _changed_lines(detail: DataFrame, header: DataFrame, window: Window) -> Data
 def order_lines(tables: Tables, window: Window = Window()) -> DataFrame:
     """Order line with its header; tax and freight are shared out by line total.
 
-    A descriptive column may live on the line or on the header.
+    A descriptive column may live on the line or on the header.  ``order_id`` is kept for the
+    de-duplication, which finds the lines of an order together already.
     """
     detail = tables["order_detail"].withColumnRenamed("modified_at", "line_modified_at")
     header = tables["order_header"].withColumnRenamed("modified_at", "header_modified_at")
@@ -175,6 +177,7 @@ def order_lines(tables: Tables, window: Window = Window()) -> DataFrame:
         return allocate_share(F.col(amount), F.col("line_total"), F.col("subtotal"))
 
     return _changed_lines(detail, header, window).select(
+        "order_id",
         "order_line_id",
         "order_number",
         "line_number",
@@ -203,6 +206,7 @@ class SourceSpec:
     business_key: str
     model: Callable[[Tables, Window], DataFrame]
     tie_break: tuple[str, ...] = ()
+    lies_by: tuple[str, ...] = ()
 
     def staged(
         self, tables: Tables, since: Moment = OPEN_START, until: Moment | None = None
@@ -211,9 +215,23 @@ class SourceSpec:
 
         The tie-break columns decide between copies with the same time.  They are few, so
         that a query over lazy rows still reads only the columns it needs.
+
+        Rows that the model has shuffled by ``lies_by`` are de-duplicated where they are.  That
+        finds copies which agree in those columns; ``settled`` finds the others.
+        """
+        model = self.model(tables, Window(since, until))
+        rows = conform_to_schema(model, self.staging, self.lies_by)
+        keys = [*self.lies_by, self.business_key]
+        return keep_latest(rows, keys, tie_break=self.tie_break).drop(*self.lies_by)
+
+    def settled(self, written: DataFrame) -> DataFrame | None:
+        """A written batch with one row per business key; None if it has no other copies.
+
+        Only the keys are shuffled to find out.
         """
-        rows = conform_to_schema(self.model(tables, Window(since, until)), self.staging)
-        return keep_latest(rows, [self.business_key], tie_break=self.tie_break)
+        if not self.lies_by or quality.duplicate_keys(written, [self.business_key]).isEmpty():
+            return None
+        return keep_latest(written, [self.business_key], tie_break=self.tie_break)
 
 
 _MODELS = {
@@ -229,4 +247,6 @@ SOURCES: dict[str, SourceSpec] = {
     d.name: SourceSpec(d.staging, d.business_key, _MODELS[d.name], d.attributes)
     for d in DIMENSIONS
 }
-SOURCES["order_line"] = SourceSpec(FACT_STAGING, NATURAL_KEY, order_lines, LINE_TIE_BREAK)
+SOURCES["order_line"] = SourceSpec(
+    FACT_STAGING, NATURAL_KEY, order_lines, LINE_TIE_BREAK, ("order_id",)
+)

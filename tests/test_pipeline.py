@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import starwright.__main__ as command
 from starwright.catalog.queries import QUERIES
 from starwright.operators import quality
-from starwright.plans import kpis, pipeline
+from starwright.plans import kpis, layout, pipeline
 from starwright.plans.control import Control
 from starwright.plans.model import (
     BY_NAME,
@@ -91,7 +91,7 @@ def test_life_of_a_warehouse(spark, store):
         (-1, "Desconhecido"), (1, "Far North"),
     ]
     assert sorted(store.live_parts("dw.dim_customer")) == [
-        "closed-3", "current--1", "current-0",
+        "closed.0.2024.3", "current--1", "current-0",
     ]
     assert_clean(store)
 
@@ -223,7 +223,7 @@ def test_failed_step_is_logged_and_raised(spark, store, monkeypatch):
 
 
 def test_a_small_batch_reads_few_key_ranges(spark, store, monkeypatch):
-    monkeypatch.setattr(pipeline, "KEY_RANGE", 10)
+    monkeypatch.setattr(layout, "KEY_RANGE", 10)
     load(spark, store)
     assert sorted(store.live_parts(FACT_KEYS_TABLE)) == ["1", "2", "3"]
     asked = []
@@ -341,7 +341,7 @@ def test_large_roles_of_a_database_need_partitioning(spark):
 
 
 def test_a_batch_rewrites_the_members_it_falls_into(spark, store, monkeypatch):
-    monkeypatch.setattr(pipeline, "MEMBER_RANGE", 2)
+    monkeypatch.setattr(layout, "MEMBER_RANGE", 2)
     options = {"dimensions": (BY_NAME["customer"],), "with_fact": False}
     load(spark, store, **options)
     before = dict(store.live_parts("dw.dim_customer"))
