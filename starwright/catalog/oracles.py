@@ -884,7 +884,7 @@ def _constraint_statements() -> dict[str, str]:
             UNION ALL SELECT 'validity', 'dw.dim_customer', 'overlap', count(*)
             FROM stg_customer WHERE customer_id % 10 = 0
             UNION ALL SELECT 'unique', 'dw.dim_promotion', 'special_offer_id', 2 * count(*)
-            FROM stg_promotion WHERE special_offer_id % 10 = 0
+            FROM stg_promotion WHERE special_offer_id % 2 = 0
             UNION ALL SELECT 'unique', 'ctrl.watermark', 'source_name', 2""",
         "dq_referential_star": " UNION ALL ".join(
             clean("reference", "dw.fact_sales", c) for c in references),

@@ -735,20 +735,20 @@ def _(spark, directory):
 def _(spark, directory):
     """Twins that a check after a load must find: in two dimensions and among the marks.
 
-    A tenth of the customers get a second current version, a tenth of the promotions a copy
+    A tenth of the customers get a second current version, half of the promotions a copy
     under another number, and the customers' mark is written twice.
     """
     store = _loaded(spark, directory, [(PLAIN, DAY_ONE, False)])
     store.note_checked()
     customer, promotion = BY_NAME["customer"], BY_NAME["promotion"]
     members = store.read(customer.table)
-    twins = members.where("customer_id > 0 AND customer_id % 10 = 0").withColumn(
+    twins = members.where("customer_id >= 0 AND customer_id % 10 = 0").withColumn(
         "customer_key", F.col("customer_key") + F.lit(store.last_key(customer.table))
     )
     part = layout.member_range("customer_id")
     store.replace_parts(customer.table, members.unionByName(twins), part, [])
     offers = store.read(promotion.table)
-    copies = offers.where("special_offer_id > 0 AND special_offer_id % 10 = 0").withColumn(
+    copies = offers.where("special_offer_id > 0 AND special_offer_id % 2 = 0").withColumn(
         "promotion_key", F.col("promotion_key") + F.lit(last_key(offers, "promotion_key"))
     )
     store.replace(promotion.table, offers.unionByName(copies))

@@ -22,7 +22,7 @@ from starwright.operators.fact import (
 from starwright.operators.joins import members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
 from starwright.operators.scd import CHANGED, NEW, scd1_upsert, scd2_apply, scd2_changes
-from starwright.operators.shaping import date_range, next_watermark, rows_without
+from starwright.operators.shaping import next_watermark, rows_without
 from starwright.plans.constraints import assert_constraints
 from starwright.plans.control import Control, now
 from starwright.plans.layout import (
@@ -209,14 +209,6 @@ def load_calendar(
     return days
 
 
-def extend_calendar(store: TableStore, staged: DataFrame, **labels: Sequence[str]) -> int:
-    """Insert the days the staged dates span; gives the number of days checked."""
-    span = date_range(staged, list(DATE_ROLES)).first()
-    if span.first_day is None:
-        return 0
-    return load_calendar(store, str(span.first_day), str(span.last_day), **labels)
-
-
 def key_index(store: TableStore, ranges: list[str]) -> DataFrame:
     """Keys of the fact rows in the given ranges; built once for a fact that has no index."""
     if store.live_parts(FACT_TABLE) and not store.live_parts(FACT_KEYS_TABLE):
@@ -254,10 +246,18 @@ def load_fact(
     while there are deltas.  ``merge_on_read`` sets the way, whatever the sizes, but for that.
     """
     staged = store.read(FACT_STAGING)
-    undated = rows_without(staged, "order_date")
-    if undated:
-        raise ValueError(f"{undated} order lines have no order date")
-    extend_calendar(store, staged, **labels)
+    days = [F.col(day) for day in DATE_ROLES]
+    batch = staged.agg(
+        F.count_if(F.col("order_date").isNull()).alias("undated"),
+        F.count_if(F.col(NATURAL_KEY).isNull()).alias("unnamed"),
+        F.collect_set(key_range()).alias("ranges"),
+        F.min(F.least(*days)).alias("first_day"), F.max(F.greatest(*days)).alias("last_day"),
+    ).first()
+    if batch.undated:
+        raise ValueError(f"{batch.undated} order lines have no order date")
+    if batch.unnamed:
+        _refuse_missing(staged, FACT_STAGING, NATURAL_KEY)
+    ranges = sorted(batch.ranges)
     # Lines take current versions, so a load without ``as_of`` leaves closed history alone.
     dims = {}
     for spec in dimensions:
@@ -266,13 +266,16 @@ def load_fact(
     numbered = dense_numbers(
         store.read(FACT_STAGING, extra=_STAMP), "row_number", 0
     )
-    incoming = resolve_fact(numbered, dims, as_of)
-    ranges = [r.part for r in staged.select(key_range().alias("part")).distinct().collect()]
-    if None in ranges:
-        _refuse_missing(staged, FACT_STAGING, NATURAL_KEY)
-    ranges.sort()
     index = key_index(store, ranges)
-    known = materialize(existing_keys(index, staged), "known-keys")
+    steps = {
+        "calendar": lambda: load_calendar(
+            store, str(batch.first_day), str(batch.last_day), **labels
+        ),
+        "incoming": lambda: resolve_fact(numbered, dims, as_of),
+        "known": lambda: materialize(existing_keys(index, staged), "known-keys"),
+    }
+    done = together(lambda name: steps[name](), list(steps))
+    incoming, known = done["incoming"], done["known"]
     touched = known.select("order_date_key").union(
         staged.select(date_key(F.col("order_date")).alias("order_date_key"))
     )
@@ -293,19 +296,30 @@ def load_fact(
             ~F.col("order_date_key").eqNullSafe(old_day)
         )
         old_range = F.when(old_day.isNotNull(), key_range())
-        published = store.write_delta(
-            FACT_TABLE, written, order_month(), month_of_key(old_day).cast("string"),
-            start + rows,
-        ) + store.write_delta(FACT_KEYS_TABLE, moved, key_range(), old_range)
+        writes = {
+            FACT_TABLE: lambda: store.write_delta(
+                FACT_TABLE, written, order_month(), month_of_key(old_day).cast("string"),
+                start + rows,
+            ),
+            FACT_KEYS_TABLE: lambda: store.write_delta(
+                FACT_KEYS_TABLE, moved, key_range(), old_range
+            ),
+        }
     else:
         merged = fact_upsert(
             store.read(FACT_TABLE, months), incoming, stamp, start=start, known=known
         )
         indexed = index_upsert(index, keys, known, start)
-        published = store.write_parts(
-            FACT_TABLE, merged, order_month(), months, start + rows
-        ) + store.write_parts(FACT_KEYS_TABLE, indexed, key_range(), ranges)
-    store.publish(published, reads=[spec.table for spec in dimensions])
+        writes = {
+            FACT_TABLE: lambda: store.write_parts(
+                FACT_TABLE, merged, order_month(), months, start + rows
+            ),
+            FACT_KEYS_TABLE: lambda: store.write_parts(
+                FACT_KEYS_TABLE, indexed, key_range(), ranges
+            ),
+        }
+    published = together(lambda table: writes[table](), list(writes))
+    store.publish([row for rows_of in published.values() for row in rows_of], reads=[spec.table for spec in dimensions])
     return rows
 
 

@@ -24,7 +24,7 @@ from starwright.operators.joins import left_join_sparse
 from starwright.operators.shaping import conform_to_schema, is_changed_since
 from starwright.plans.model import DIMENSIONS, FACT_STAGING, LINE_TIE_BREAK, NATURAL_KEY
 from starwright.schemas import OPEN_START
-from starwright.session import materialize
+from starwright.session import materialize, together
 
 Tables = Mapping[str, DataFrame]
 Moment = datetime | str
@@ -157,10 +157,10 @@ def _changed_lines(detail: DataFrame, header: DataFrame, window: Window) -> Data
     line, head = F.col("line_modified_at"), F.col("header_modified_at")
     # A line without a time, or from before the window, can only come with its header.
     settled = F.coalesce(line <= mark_column(window.since), F.lit(True))
-    new_lines = materialize(detail.where(window.has(line)), "changed-lines")
-    new_headers = materialize(header.where(window.has(head)), "changed-headers")
-    return new_lines.join(header, "order_id").unionByName(
-        detail.where(settled).join(new_headers, "order_id")
+    changed = {"lines": detail.where(window.has(line)), "headers": header.where(window.has(head))}
+    new = together(lambda name: materialize(changed[name], f"changed-{name}"), list(changed))
+    return new["lines"].join(header, "order_id").unionByName(
+        detail.where(settled).join(new["headers"], "order_id")
     )
 
 

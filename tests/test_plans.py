@@ -9,9 +9,12 @@ from starwright.catalog.queries import QUERIES
 from starwright.operators.calendar import calendar_for
 from starwright.operators.dedup import keep_latest
 from starwright.operators.joins import left_join_sparse
-from starwright.operators.lookup import lookup_current
+from starwright.operators import lookup
+from starwright.operators.keys import dense_numbers, stamp_rows
+from starwright.operators.lookup import lookup_as_of, lookup_current
 from starwright.plans import kpis
 from starwright.plans.star import load_fact
+from starwright.session import materialize
 from starwright.sources.extracts import SOURCES, Window, mark_column, order_lines
 from starwright.sources.fixture import SourceTables
 from tests.conftest import SMALL
@@ -114,3 +117,62 @@ def test_rows_without_a_key_spread_over_tasks(spark, no_broadcast):
     matched = joined.agg(F.count("found"), F.count(F.lit(1)))
     assert content(matched) == [(666667, 1_000_000)]
     assert re.search(r"hashpartitioning\(customer_id#\d+L, _spread#\d+L", physical(joined))
+
+
+def test_order_lines_are_shuffled_once(spark, no_broadcast):
+    """The join leaves lines by order, and copies of a line are found where it left them."""
+    plan = physical(SOURCES["order_line"].staged(SourceTables(spark, SMALL)))
+    assert "Window [row_number" in plan
+    above, joins = plan.split("Union", 1)
+    assert "Exchange" not in above
+    for branch in joins.split("SortMergeJoin")[1:]:
+        assert branch.count("Exchange hashpartitioning(order_id") == 2
+
+
+def test_numbering_has_the_same_plan_for_any_number_of_partitions(spark):
+    def size(partitions):
+        rows = spark.range(0, 2000, 1, partitions).select("id")
+        written = stage_rows(rows)
+        numbered = dense_numbers(written, "number", 5)
+        values = [r.number for r in numbered.collect()]
+        assert sorted(values) == list(range(6, 2006))
+        return len(re.sub(r"#\d+L?|/[^, ]*|\d+", "", physical(numbered)))
+
+    assert size(200) < size(2) * 1.2
+
+
+def stage_rows(rows):
+    return materialize(stamp_rows(rows), "plan-test")
+
+
+def test_versions_in_force_need_no_range_join(spark):
+    versions = spark.createDataFrame(
+        [(1, "2024-01-01", "2024-02-01", 1, "a"), (1, "2024-02-01", "9999-12-31", 2, "b"),
+         (1, "2024-03-01", "2024-03-01", 3, "empty"), (2, "2024-05-01", "2024-06-01", 4, "c")],
+        "bk long, valid_from string, valid_to string, k long, label string",
+    ).selectExpr("bk", "CAST(valid_from AS DATE) valid_from", "CAST(valid_to AS DATE) valid_to",
+                 "k", "label")
+    asked = spark.createDataFrame(
+        [(1, 1, "2023-12-31"), (2, 1, "2024-01-01"), (3, 1, "2024-01-31"), (4, 1, "2024-02-01"),
+         (5, 1, "2024-03-01"), (6, 2, "2024-06-01"), (7, 2, "2024-05-31"), (8, 3, "2024-01-01"),
+         (9, None, "2024-01-01"), (10, 1, None), (11, 1, "2024-02-01")],
+        "id long, bk long, day string",
+    ).selectExpr("id", "bk", "CAST(day AS DATE) day")
+    found = lookup_as_of(asked, versions, "bk", "day", "k", {"label": "found"})
+    assert sorted((r.id, r.k, r.found) for r in found.collect()) == [
+        (1, -1, None), (2, 1, "a"), (3, 1, "a"), (4, 2, "b"), (5, 2, "b"), (6, -1, None),
+        (7, 4, "c"), (8, -1, None), (9, -1, None), (10, -1, None), (11, 2, "b"),
+    ]
+
+
+def test_the_search_for_versions_in_force_is_linear(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(
+        lookup, "materialize", lambda df, label: plans.append(physical(df)) or df
+    )
+    versions = spark.range(5).selectExpr(
+        "id bk", "DATE '2024-01-01' valid_from", "DATE '9999-12-31' valid_to", "id k")
+    asked = spark.range(5).selectExpr("id bk", "DATE '2024-01-01' day")
+    assert lookup_as_of(asked, versions, "bk", "day", "k").count() == 5
+    (plan,) = plans
+    assert "Window" in plan and "Join" not in plan
