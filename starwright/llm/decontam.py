@@ -1,19 +1,22 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 The training documents become an index sharded by document: a row holds a bounded block of
-documents and, for every term that the benchmark uses, the sorted positions of the term in the
-block.  Documents of a block lie end to end with a gap between them, so a position tells the
-document and no phrase crosses two.  Nothing is shuffled to build it.
-
-A search starts from the rarest terms of each window, by their count over the whole corpus.
-The positions of a term, less its offset in the window, are possible starts; the lists are
-intersected from rare to frequent until no start is left or all terms agree (an exact phrase).
-A proximity match asks only the rarest terms to lie within a few words of their places.
+documents and, for every term, the sorted positions of the term in the block.  Documents of a
+block lie end to end with a gap between them, so a position tells the document and no phrase
+crosses two.  Nothing is shuffled to build it, it is written once, and it knows nothing of a
+benchmark, so it serves any number of searches.
+
+A search starts from the rarest terms of each window, by their count over the whole corpus.  A
+block looks only at windows whose rarest term it has.  The positions of a term, less its offset
+in the window, are possible starts; the lists are intersected from rare to frequent until no
+start is left or all terms agree (an exact phrase).  A proximity match asks only the rarest terms
+to lie within a few words of their places.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -27,7 +30,8 @@ from starwright.llm.common import keyed_text, scratch_path, stored
 from starwright.llm.words import batches_of, texts_of
 
 BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
-#: Bytes of benchmark windows that one search ships to the tasks; more take more searches.
+#: Bytes of words in the windows that one search ships to the tasks; a benchmark with more takes
+#: more searches of the one index.
 SLICE_BYTES = 16 << 20
 
 # Fixed values of the contract: ASCII letters and digits, and everything beyond ASCII.
@@ -76,16 +80,17 @@ INDEX_FIELDS = [
     T.StructField("starts", T.BinaryType()),
     T.StructField("sizes", T.BinaryType()),
     T.StructField("terms", T.ArrayType(T.BinaryType())),
-    T.StructField("counts", T.ArrayType(T.LongType())),
-    T.StructField("postings", T.ArrayType(T.BinaryType())),
+    T.StructField("counts", T.BinaryType()),
+    T.StructField("postings", T.BinaryType()),
 ]
 
 
-def build_index(docs: DataFrame, terms: list[bytes], gap: int, label: str) -> DataFrame:
-    """Postings of ``terms`` in all documents (``doc_id, row, text``), a row per block.
+def build_index(docs: DataFrame, gap: int, label: str) -> DataFrame:
+    """Postings of all terms in all documents (``doc_id, row, text``), a row per block.
 
     Columns: ``doc_ids``, ``rows``; ``starts`` and ``sizes`` (place of a document's first word,
-    number of its words); ``terms``, ``counts`` and ``postings`` (sorted places, as steps).
+    number of its words); ``terms``, ``counts`` and ``postings`` (sorted places of one term after
+    the other, each list as steps).
     """
     schema = T.StructType([
         T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)),
@@ -94,23 +99,23 @@ def build_index(docs: DataFrame, terms: list[bytes], gap: int, label: str) -> Da
     ])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, unknown = {word: i for i, word in enumerate(terms)}, len(terms)
         for batch in batches_of(batches, BATCH_ROWS, BATCH_BYTES):
+            number: dict[bytes, int] = {}
             codes, sizes = [], []
             for text in texts_of(batch.column(2)):
                 words = words_of(text.as_py())
                 sizes.append(len(words))
-                codes.append(
-                    np.fromiter((number.get(w, unknown) for w in words), np.int32, len(words))
-                )
+                codes.append(np.fromiter(
+                    (number.setdefault(w, len(number)) for w in words), np.int32, len(words)
+                ))
             codes, sizes = np.concatenate(codes), np.array(sizes, np.int64)
             starts = np.cumsum(sizes + gap) - sizes - gap
             at = np.arange(len(codes)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-            hit = np.flatnonzero(codes < unknown)
-            hit = hit[np.argsort(codes[hit], kind="stable")]
-            present, first = np.unique(codes[hit], return_index=True)
-            lists = np.split(at[hit], first[1:]) if len(present) else []
-            steps = [np.diff(places, prepend=0).astype("<u4").tobytes() for places in lists]
+            counts = np.bincount(codes, minlength=len(number))
+            places = at[np.argsort(codes, kind="stable")]
+            steps = np.diff(places, prepend=0)
+            first = (np.cumsum(counts) - counts)[counts > 0]
+            steps[first] = places[first]
             whole = pa.array([0, batch.num_rows], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -118,9 +123,9 @@ def build_index(docs: DataFrame, terms: list[bytes], gap: int, label: str) -> Da
                     pa.ListArray.from_arrays(whole, batch.column(1)),
                     pa.array([starts.astype("<i8").tobytes()], pa.binary()),
                     pa.array([sizes.astype("<i8").tobytes()], pa.binary()),
-                    pa.array([[terms[i] for i in present]], pa.list_(pa.binary())),
-                    pa.array([[len(places) for places in lists]], pa.list_(pa.int64())),
-                    pa.array([steps], pa.list_(pa.binary())),
+                    pa.array([list(number)], pa.list_(pa.binary())),
+                    pa.array([counts.astype("<u4").tobytes()], pa.binary()),
+                    pa.array([steps.astype("<u4").tobytes()], pa.binary()),
                 ],
                 names=schema.names,
             )
@@ -146,36 +151,63 @@ def matching_starts(lists: list[tuple[int, np.ndarray]], slack: int = 0) -> np.n
     return starts
 
 
-def ordered_windows(index: DataFrame, part: Slice) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Windows that can occur, as item and (offset, term) pairs from rare to frequent.
+Window = tuple[int, list[tuple[int, int]]]
+
+
+def _known_terms(terms: pa.ListScalar, numbers: dict[bytes, int]) -> dict[int, int]:
+    """Numbers of the terms of a slice that a block has, with their place in the block."""
+    found = ((numbers.get(term), i) for i, term in enumerate(terms.as_py()))
+    return {number: i for number, i in found if number is not None}
+
 
-    The counts cover the corpus; as many come back as the slice has terms.
+def ordered_windows(index: DataFrame, terms: Broadcast, part: Slice) -> dict[int, list[Window]]:
+    """Windows that can occur, by their rarest term, each as item and (offset, term) pairs.
+
+    Pairs go from rare to frequent.  The counts cover the corpus; as many come back as the slice
+    has terms.
     """
-    counted = {
-        bytes(row.term): row.n
-        for row in index.select(F.explode(F.arrays_zip("terms", "counts")).alias("t"))
-        .groupBy(F.col("t.terms").alias("term"))
-        .agg(F.sum("t.counts").alias("n"))
-        .collect()
-    }
-    often = [counted.get(name, 0) for name in part.terms]
-    return [
-        (item, sorted(enumerate(terms), key=lambda place: (often[place[1]], place[0])))
-        for item, terms in part.windows
-        if all(often[term] for term in terms)
-    ]
-
-
-def _look(block: dict, windows: list, names: list[str], place: dict, slack: int, rarest: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = terms.value
+        total = np.zeros(len(numbers), np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                known = _known_terms(batch.column("terms")[i], numbers)
+                counts = np.frombuffer(batch.column("counts")[i].as_py(), "<u4")
+                total[list(known)] += counts[list(known.values())]
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found), pa.array(total[found])], names=["term", "n"]
+        )
+
+    often = [0] * len(part.terms)
+    counted = index.select("terms", "counts").mapInArrow(count, "term long, n long")
+    for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
+        often[row.term] = row.n
+    by_rarest: dict[int, list[Window]] = {}
+    for item, window in part.windows:
+        if all(often[term] for term in window):
+            order = sorted(enumerate(window), key=lambda place: (often[place[1]], place[0]))
+            by_rarest.setdefault(order[0][1], []).append((item, order))
+    return by_rarest
+
+
+def _look(
+    block: dict[str, pa.Scalar], windows: dict[int, list[Window]], names: list[str],
+    numbers: dict[bytes, int], slack: int, rarest: int,
+):
     """Per document of a block: number of words, exact spans, exact items, items close by."""
-    starts = np.frombuffer(block["starts"], "<i8")
-    sizes = np.frombuffer(block["sizes"], "<i8")
-    packed = {place[term]: data for term, data in zip(block["terms"], block["postings"])}
+    starts = np.frombuffer(block["starts"].as_py(), "<i8")
+    sizes = np.frombuffer(block["sizes"].as_py(), "<i8")
+    known = _known_terms(block["terms"], numbers)
+    ends = np.cumsum(np.frombuffer(block["counts"].as_py(), "<u4"), dtype=np.int64)
+    postings = np.frombuffer(block["postings"].as_py(), "<u4")
     opened: dict[int, np.ndarray] = {}
 
     def places(term: int) -> np.ndarray:
         if term not in opened:
-            opened[term] = np.cumsum(np.frombuffer(packed[term], "<u4"), dtype=np.int64)
+            at = known[term]
+            steps = postings[ends[at - 1] if at else 0 : ends[at]]
+            opened[term] = np.cumsum(steps, dtype=np.int64)
         return opened[term]
 
     def owner(at: np.ndarray) -> np.ndarray:
@@ -184,14 +216,14 @@ def _look(block: dict, windows: list, names: list[str], place: dict, slack: int,
     spans = [([], []) for _ in sizes]
     exact: list[set[str]] = [set() for _ in sizes]
     close: list[set[str]] = [set() for _ in sizes]
-    for item, order in windows:
-        if any(term not in packed for _, term in order[:rarest]):
+    for item, order in (pair for term in known for pair in windows.get(term, ())):
+        if any(term not in known for _, term in order[:rarest]):
             continue
         head = [(offset, places(term)) for offset, term in order[:rarest]]
         near = matching_starts(head, slack)
         for doc in np.unique(owner(near + head[0][0])):
             close[doc].add(names[item])
-        if not len(near) or any(term not in packed for _, term in order):
+        if not len(near) or any(term not in known for _, term in order):
             continue
         found = matching_starts([(offset, places(term)) for offset, term in order])
         for doc, start in zip(owner(found), found):
@@ -203,16 +235,16 @@ def _look(block: dict, windows: list, names: list[str], place: dict, slack: int,
 
 def search(
     index: DataFrame, part: Slice, slack: int, rarest: int
-) -> tuple[DataFrame, Broadcast]:
-    """Matches of a slice, a row per document, and the broadcast that they are found with.
+) -> tuple[DataFrame, list[Broadcast]]:
+    """Matches of a slice, a row per document, and the broadcasts that they are found with.
 
     ``doc_id, row, n_words``, ``spans`` (exact matches: first word and the word after the
     last), ``items`` (found exactly), ``near_items`` (found exactly or close by).
     """
-    # Bounded by SLICE_BYTES.
-    shipped = index.sparkSession.sparkContext.broadcast(
-        (ordered_windows(index, part), part.names, part.terms)
-    )
+    # Both are bounded by SLICE_BYTES.
+    context = index.sparkSession.sparkContext
+    terms = context.broadcast(part.terms)
+    shipped = context.broadcast((ordered_windows(index, terms, part), part.names))
     id_type = index.schema["doc_ids"].dataType.elementType
     schema = T.StructType([
         T.StructField("doc_id", id_type),
@@ -225,12 +257,13 @@ def search(
     ])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, names, place = shipped.value
+        windows, names = shipped.value
         for batch in batches:
             for i in range(batch.num_rows):
                 block = {name: batch.column(name)[i] for name in batch.schema.names}
-                bare = {name: block[name].as_py() for name in schema_of_block}
-                sizes, spans, exact, close = _look(bare, windows, names, place, slack, rarest)
+                sizes, spans, exact, close = _look(
+                    block, windows, names, terms.value, slack, rarest
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
                         block["doc_ids"].values,
@@ -244,14 +277,12 @@ def search(
                     names=schema.names,
                 )
 
-    schema_of_block = ("starts", "sizes", "terms", "postings")
     found = (
-        index.drop("counts")
-        .mapInArrow(look, schema)
+        index.mapInArrow(look, schema)
         .withColumn("spans", F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end")))
         .drop("starts", "ends")
     )
-    return found, shipped
+    return found, [terms, shipped]
 
 
 def covered(spans: Column) -> Column:
@@ -280,38 +311,33 @@ def decontaminate(
     are items of which the ``rarest`` terms of a window lie within ``slack`` words of their
     places; items found exactly are among them.  A null text has no words; an item without
     words is no window; rows with one item id are one item, a null id is written as the empty
-    text.  Repeated documents stay rows of their own.  Other columns are left out.
+    text.  Repeated documents stay rows of their own; an empty table gives no row, an empty
+    benchmark no hit; texts are indexed whole, whatever their length.  Other columns are left out.
     """
     frame = keyed_text(docs, id_col, text_col).select(
         "doc_id", F.monotonically_increasing_id().alias("row"), "text"
     )
     asked = benchmark.select(F.col(item_col).alias("name"), F.col(item_text_col).alias("text"))
     parts = slices_of(((r.name, r.text) for r in asked.toLocalIterator()), width, slice_bytes)
-
-    def found_with(part: Slice) -> tuple[DataFrame, Broadcast]:
-        index = build_index(frame, list(part.terms), width + slack, "decontam-index")
-        return search(index, part, slack, rarest)
-
+    index = build_index(frame, width + slack, "decontam-index")
     first = next(parts)
     part = next(parts, None)
     if part is None:
-        rows = found_with(first)[0]
+        rows = search(index, first, slack, rarest)[0]
     else:
-        # Every search must see the same row numbers.
-        frame = stored(frame, "decontam-rows")
         folder = scratch_path(docs.sparkSession, "decontam-found")
-        together, shipped = found_with(first)
-        together.write.parquet(f"{folder}/slice-0")
-        shipped.unpersist()
-        number = 1
+        number = 0
         # What a slice finds is written before the next one is made on the driver.
-        while part is not None:
-            found, shipped = found_with(part)
-            found.where(F.size("near_items") > 0).write.parquet(f"{folder}/slice-{number}")
-            shipped.unpersist()
-            part, number = next(parts, None), number + 1
+        for current in chain([first, part], parts):
+            found, shipped = search(index, current, slack, rarest)
+            if number:
+                found = found.where(F.size("near_items") > 0)
+            found.write.parquet(f"{folder}/slice-{number}")
+            for broadcast in shipped:
+                broadcast.unpersist()
+            number += 1
         rows = (
-            docs.sparkSession.read.schema(together.schema)
+            docs.sparkSession.read.schema(found.schema)
             .option("recursiveFileLookup", "true").parquet(folder)
             .groupBy("row").agg(
                 F.first("doc_id").alias("doc_id"),

@@ -128,6 +128,21 @@ def passages(odd_rows):
     return docs, items
 
 
+def test_the_index_is_written_once(spark, passages, monkeypatch):
+    """However many slices a benchmark has; and a block looks only at windows it may have."""
+    docs, items = passages
+    built, looked = [], []
+    build, search = decontam.build_index, decontam.search
+    monkeypatch.setattr(
+        decontam, "build_index", lambda *given: built.append(1) or build(*given)
+    )
+    monkeypatch.setattr(decontam, "search", lambda *given: looked.append(1) or search(*given))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.decontaminate(framed(spark, docs), benchmark, width=4, slice_bytes=300)
+    assert found.count() == len(docs)
+    assert len(built) == 1 and len(looked) > 2
+
+
 @pytest.mark.parametrize("slice_bytes", [1 << 20, 300])
 def test_phrases_equal_brute_force(spark, passages, slice_bytes):
     docs, items = passages
