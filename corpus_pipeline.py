@@ -2,9 +2,8 @@
 
 Stages take ``(spark, docs, sf_dir)`` and return a frame; all but the last return the columns of
 ``documents``, whatever other columns there are.  Common to all: an empty table gives an empty
-table; a null text is judged as an empty one; every row is judged by itself, whether it shares
-its ``doc_id`` with others or has none; but rows without an id are never dropped by a comparison
-between documents.
+table; a null text is judged as an empty one; texts are read whole, whatever their length; every
+row is judged by itself, whether it shares its ``doc_id`` with others or has none.
 """
 
 from __future__ import annotations
@@ -50,7 +49,8 @@ def _without(
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates one document with the smallest id stays.
 
-    Of rows that share this id the first one stays.  Rows without an id stay, too.
+    Of rows that share this id the first one stays, and so it does of rows without an id if no
+    row of their group has one.
     """
     rows, number = _numbered(docs, "pipeline-duplicates-rows")
     # In the order of these keys, rows without an id come last.
@@ -60,7 +60,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     )
     keyed = rows.select(key.alias("key"), "text")
     found = simhash.near_duplicates(keyed, shingle=3, max_bits=3, id_col="key")
-    others = found.where("doc_id != component_id and not doc_id.unnamed")
+    others = found.where("doc_id != component_id")
     return _without(rows, number, F.col("doc_id.number"), others, "pipeline-duplicates")
 
 
