@@ -111,24 +111,28 @@ def test_stages_take_odd_documents(spark, odd_rows, stage):
     assert found.count() > 0
     if stage is not pipeline.tokenize:
         assert found.columns == docs.columns
-    # Documents without an id take part, and none is dropped by comparison with others.
+    # Documents without an id take part; the one without a text is a copy of another such.
     if stage in (pipeline.drop_near_duplicates, pipeline.drop_contaminated):
-        assert found.where("doc_id is null").count() == 2
+        unnamed = 1 if stage is pipeline.drop_near_duplicates else 2
+        assert found.where("doc_id is null").count() == unnamed
     assert stage(spark, docs.where("false"), MEDIUM).count() == 0
 
 
 def test_rows_with_one_id_or_none_are_judged_each_by_itself(spark):
     leak = spark.read.parquet(f"{MEDIUM}/benchmark.parquet").where("length(text) > 80").first().text
     schema = "doc_id long, text string, row_number string"
-    one, two, three = (f"{word} " * 9 + f"number {word} ends" for word in ("ape", "bee", "cow"))
+    one, two, three, four = (
+        f"{word} " * 9 + f"number {word} ends" for word in ("ape", "bee", "cow", "dog")
+    )
     docs = spark.createDataFrame(
         [(1, one, "a"), (1, one, "b"), (2, one, "c"), (2, two, "d"), (3, two, "e"), (4, three, "f"),
-         (None, three, "g")], schema,
+         (None, three, "g"), (None, four, "h"), (None, four, "i")], schema,
     ).repartition(3)
     found = pipeline.drop_near_duplicates(spark, docs, MEDIUM).collect()
     names = sorted(row.row_number for row in found)
     # One of the repeated rows stays; a row is not lost by what another one with its id is.
-    assert names in (["a", "d", "f", "g"], ["b", "d", "f", "g"])
+    # Of copies without an id the first stays, or none beside a row that has one.
+    assert names[1:3] == ["d", "f"] and names[0] in "ab" and names[3] in "hi" and len(names) == 4
     docs = spark.createDataFrame(
         [(1, one, "a"), (1, f"{one} {leak}", "b"), (None, leak, "c"), (None, two, "d"),
          (2, leak, "e"), (3, three, "f"), (3, three, "g")], schema,
