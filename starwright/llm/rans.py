@@ -16,6 +16,7 @@ import io
 import struct
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,89 @@ def read_block(model: Model, body: memoryview) -> tuple[int, np.ndarray]:
     return first, ids
 
 
+class Checkpoint(NamedTuple):
+    """Where a reader can begin: byte of the frame, first token, tokens, and document of the first.
+
+    ``doc`` counts the documents of the segment, ``inside`` the tokens of that document before.
+    """
+
+    segment: int
+    at: int
+    first: int
+    size: int
+    doc: int
+    inside: int
+
+
+def checkpoints(content: memoryview) -> list[Checkpoint]:
+    """Checkpoints of a file, from the heads of its frames; no body is read."""
+    found, at, segment = [], 0, 0
+    while at < len(content):
+        kind, size, _ = struct.unpack_from(_FRAME, content, at)
+        body = at + _FRAME_SIZE
+        if kind == TABLE:
+            segment = struct.unpack_from("<Q", content, body)[0]
+        elif kind == DATA:
+            first, tokens, _, _, doc, inside = struct.unpack_from(_BLOCK, content, body)
+            found.append(Checkpoint(segment, at, first, tokens, doc, inside))
+        at = body + size + 1
+    return found
+
+
+def table_of(content: memoryview, segment: int) -> Model:
+    """The frequency table that the blocks of a segment are coded with."""
+    for kind, body in frames(content):
+        if kind == TABLE and struct.unpack_from("<Q", body)[0] == segment:
+            return Model(np.frombuffer(zlib.decompress(body[8:]), "<u4"))
+    raise ValueError(f"no segment {segment}")
+
+
+def read_from(content: memoryview, model: Model, start: Checkpoint) -> np.ndarray:
+    """The tokens of one block, decoded from its checkpoint alone and checked."""
+    _, body = next(frames(content[start.at :]))
+    return read_block(model, body)[1]
+
+
+def read_tokens(spark: SparkSession, folder: str, first: int, last: int) -> DataFrame:
+    """Tokens ``first`` up to ``last`` of every segment: ``segment, first, doc, inside, ids``.
+
+    Only blocks that hold some of them are decoded, each from its own checkpoint.  A row is a
+    block's share: its first token's number, the document it lies in (counted in the segment) and
+    its place in that document.  A span beyond a segment gives no row.
+    """
+    schema = T.StructType([
+        *(T.StructField(n, T.LongType()) for n in ("segment", "first", "doc", "inside")),
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+    ])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                data, tables = memoryview(content.as_buffer()), {}
+                for start in checkpoints(data):
+                    low, high = max(first, start.first), min(last, start.first + start.size)
+                    if low >= high:
+                        continue
+                    if start.segment not in tables:
+                        tables = {start.segment: table_of(data, start.segment)}
+                    ids = read_from(data, tables[start.segment], start)
+                    ids = ids[low - start.first : high - start.first].astype(np.int32)
+                    # Where the block's first token is asked for, its checkpoint tells the place.
+                    whole = low == start.first
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([start.segment]), pa.array([low]),
+                            pa.array([start.doc if whole else None], pa.int64()),
+                            pa.array([start.inside if whole else None], pa.int64()),
+                            pa.array([ids], pa.list_(pa.int32())),
+                        ],
+                        names=schema.names,
+                    )
+
+    files = spark.read.format("binaryFile").load(folder).select("content")
+    return files.mapInArrow(read, schema)
+
+
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int, kind: str) -> DataFrame:
     """``doc_id, ids``: ids packed as ``kind``, with the end id."""
     schema = T.StructType([

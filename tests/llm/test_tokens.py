@@ -166,5 +166,39 @@ def test_files_give_the_ids(spark, word_tokenizer, tmp_path):
     }
 
 
+def test_a_middle_block_is_read_from_its_checkpoint(
+    spark, odd, odd_rows, word_tokenizer, monkeypatch, tmp_path
+):
+    monkeypatch.setattr(rans, "BLOCK", 1000)
+    monkeypatch.setattr(rans, "SEGMENT_TOKENS", 10**9)
+    folder = str(tmp_path / "files")
+    rans.write_files(odd, WORD, folder, end_id=2)
+    rows = rans.read_files(spark, folder, odd.schema["doc_id"].dataType, True)
+    docs = [row.ids for row in sorted(rows.collect(), key=lambda row: row.place)]
+    every = np.concatenate(docs)
+    starts = np.concatenate([[0], np.cumsum([len(ids) for ids in docs])])
+    (path,) = [p for p in (tmp_path / "files").iterdir() if p.suffix == ".txt"]
+    content = memoryview(path.read_bytes())
+    points = rans.checkpoints(content)
+    assert [p.first for p in points] == list(range(0, len(every), 1000)) and len(points) > 20
+    model = rans.table_of(content, 0)
+    for point in (points[0], points[len(points) // 2], points[-1]):
+        ids = rans.read_from(content, model, point)
+        assert (ids == every[point.first : point.first + point.size]).all()
+        assert starts[point.doc] + point.inside == point.first
+    # Other blocks may be damaged.
+    damaged = bytearray(content)
+    damaged[points[3].at + 60] ^= 1
+    assert len(rans.read_from(memoryview(bytes(damaged)), model, points[4])) == 1000
+    with pytest.raises(ValueError, match="damaged"):
+        rans.read_from(memoryview(bytes(damaged)), model, points[3])
+    parts = sorted(map(tuple, rans.read_tokens(spark, folder, 1500, 3200).collect()))
+    assert [part[1:4] for part in parts][1:] == [
+        (p.first, p.doc, p.inside) for p in points[2:4]
+    ]
+    assert np.concatenate([part[4] for part in parts]).tolist() == every[1500:3200].tolist()
+    assert rans.read_tokens(spark, folder, len(every), len(every) + 9).count() == 0
+
+
 def test_files_of_an_empty_table(empty):
     assert rans.encode_read_back(empty, WORD).count() == 0
