@@ -4,7 +4,7 @@
     python -m starwright --store hdfs:///warehouse/sales --jdbc source.json --full-load
 
 ``--tables`` is a folder with a Parquet table per source role.  ``--jdbc`` is a JSON file with
-``options``, ``queries`` and ``partitioning`` as ``sources.readers.jdbc_tables`` takes them.
+``options``, ``queries``, ``partitioning`` and ``splits`` as ``sources.readers.jdbc_tables`` takes them.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def parser() -> argparse.ArgumentParser:
                          help="read so many days before the marks again")
     options.add_argument("--as-of", action="store_true",
                          help="resolve the version in force on the order date")
-    options.add_argument("--check", action="store_true", help="check all constraints at the end")
+    options.add_argument("--check", action="store_true", help="check at the end what became current since the last check")
     options.add_argument("--calendar", nargs=2, metavar=("FIRST", "LAST"),
                          default=(CALENDAR_START, CALENDAR_END), help="days to have at least")
     return options
@@ -55,15 +55,17 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     spark = spark or SparkSession.builder.appName("starwright").getOrCreate()
     tables = source_tables(spark, options)
     store = TableStore(spark, options.store)
-    load_calendar(store, *options.calendar)
-    report = run(
-        spark, tables, store, options.load_date, full_load=options.full_load,
-        lookback=timedelta(days=options.lookback_days), as_of=options.as_of,
-        check=options.check,
-    )
+    try:
+        load_calendar(store, *options.calendar)
+        report = run(
+            spark, tables, store, options.load_date, full_load=options.full_load,
+            lookback=timedelta(days=options.lookback_days), as_of=options.as_of,
+            check=options.check,
+        )
+    finally:
+        remove_scratch(spark)
     for name, rows in report.staged.items():
         print(f"{name}: staged {rows}, applied {report.applied.get(name, 0)}")
-    remove_scratch(spark)
     return 0
 
 

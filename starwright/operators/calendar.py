@@ -10,16 +10,26 @@ from pyspark.sql import functions as F
 from starwright.functions.calendar import DAY_NAMES, MONTH_NAMES, calendar_columns
 from starwright.operators.shaping import conform_to_schema, date_range
 
+MOST_DAYS = 200 * 366
+
 
 def calendar_over(
     bounds: DataFrame,
     day_names: Sequence[str] = DAY_NAMES,
     month_names: Sequence[str] = MONTH_NAMES,
 ) -> DataFrame:
-    """Calendar rows from ``first_day`` to ``last_day`` of a one-row frame."""
-    days = bounds.where(F.col("first_day").isNotNull()).select(
-        F.explode(F.sequence("first_day", "last_day")).alias("day")
-    )
+    """Calendar rows from ``first_day`` to ``last_day`` of a one-row frame.
+
+    More than ``MOST_DAYS`` days are refused: they come from a date that cannot be right, and
+    joins broadcast calendars.
+    """
+    length = F.datediff("last_day", "first_day") + 1
+    too_long = F.raise_error(F.concat(
+        F.lit("a calendar from "), F.col("first_day").cast("string"), F.lit(" to "),
+        F.col("last_day").cast("string"), F.lit(" is too long"),
+    )).cast("array<date>")
+    every_day = F.when(length > MOST_DAYS, too_long).otherwise(F.sequence("first_day", "last_day"))
+    days = bounds.where(F.col("first_day").isNotNull()).select(F.explode(every_day).alias("day"))
     calendar = days.select(calendar_columns(F.col("day"), day_names, month_names))
     return conform_to_schema(calendar, "dw.dim_date")
 

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Number of ways the rows without a key are spread.
-SPREAD = 1024
-
 
 def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join on a whole-number key that many rows of ``left`` lack.
@@ -17,7 +14,9 @@ def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str
     partition only where both inputs of a join come straight from a shuffle; this join also
     serves a right side that was just aggregated.
     """
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)))
+    # Several values for each task, so that no task gets many by chance.
+    ways = 8 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(ways)))
     salted = left.withColumn("_spread", F.coalesce(spread, F.lit(0).cast("long")))
     # Zero written as a function of the key, or the optimiser folds the column away.
     zero = F.pmod(F.col(key).cast("long"), F.lit(1).cast("long"))

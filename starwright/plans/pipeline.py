@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starwright.functions.scalars import date_key, month_of_key
-from starwright.operators.calendar import calendar_between, missing_days
+from starwright.operators.calendar import MOST_DAYS, calendar_between, missing_days
 from starwright.operators.fact import (
     existing_keys,
     fact_upsert,
@@ -51,7 +51,6 @@ from starwright.sources.store import TableStore
 CALENDAR = "dw.dim_date"
 # The default range of the calendar.
 CALENDAR_START, CALENDAR_END = "2005-01-01", "2030-12-31"
-MOST_DAYS = 200 * 366
 #: Pieces of closed versions of one range and year before they are put together.
 MOST_PIECES = 8
 #: A batch goes to a delta if the months it touches are larger than this, and than so many times

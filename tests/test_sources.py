@@ -1,9 +1,13 @@
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
+
+from starwright.operators.calendar import calendar_for
 from starwright.operators.dedup import keep_latest
 from starwright.schemas import OPEN_START
 from starwright.sources.extracts import SOURCES
+from starwright.sources.readers import Split, bounds_query, jdbc_tables, split_predicates
 from tests.tiny import NEW, OLD, ROWS, content, frame, tables
 
 BETWEEN = datetime(2024, 1, 15)
@@ -75,3 +79,46 @@ def test_latest_copy_of_a_key_wins(spark):
     )
     kept = keep_latest(df, ["k"], tie_break=["v"])
     assert content(kept, "k", "v") == [(1, 3), (2, 1)]
+
+
+@pytest.mark.parametrize("values", [
+    [None, 3, 3, 5, 9, 9, 9, 12], [None], [], [7, 7], list(range(50)),
+    [datetime(2024, 1, 1, 5), None, datetime(2024, 3, 1), datetime(2024, 3, 1, 0, 0, 1)],
+])
+def test_split_predicates_part_all_rows(spark, values):
+    """Every row meets one condition, whatever the shares; those without a value meet one, too."""
+    kind = "timestamp_ntz" if any(isinstance(v, datetime) for v in values) else "bigint"
+    rows = frame(spark, f"id BIGINT, value {kind}", *enumerate(values))
+    for parts in (1, 2, 3, 8):
+        split = Split("value", parts)
+        rows.createOrReplaceTempView("split_source")
+        bounds = spark.sql(bounds_query("SELECT * FROM split_source", "t", split)).collect()
+        assert len(bounds) <= parts
+        predicates = split_predicates("value", [row.bound for row in bounds])
+        assert len(predicates) <= max(1, parts)
+        met = [r.id for p in predicates for r in rows.where(p).select("id").collect()]
+        assert sorted(met) == list(range(len(values)))
+
+
+def test_shares_follow_the_rows_not_the_values(spark):
+    rows = frame(spark, "value BIGINT", *[(v,) for v in [*range(90), *range(10**9, 10**9 + 10)]])
+    rows.createOrReplaceTempView("gaps")
+    query = bounds_query("SELECT value FROM gaps", "t", Split("value", 4))
+    predicates = split_predicates("value", [row.bound for row in spark.sql(query).collect()])
+    assert [rows.where(p).count() for p in predicates] == [25, 25, 25, 25]
+
+
+def test_texts_in_predicates_are_quoted():
+    assert split_predicates("k", ["a", "o'x"]) == ["k < 'o''x' OR k IS NULL", "k >= 'o''x'"]
+
+
+def test_large_roles_may_be_split(spark):
+    queries = {"customer": "SELECT 1"}
+    with pytest.raises(ValueError, match="customer needs partitioning"):
+        jdbc_tables(spark, {"url": "jdbc:none"}, queries)
+
+
+def test_calendars_over_a_stray_date_are_refused(spark):
+    rows = frame(spark, "day DATE", (OLD.date(),), (datetime(9999, 12, 31).date(),))
+    with pytest.raises(Exception, match="is too long"):
+        calendar_for(rows, ["day"]).collect()
