@@ -954,10 +954,24 @@ def _pipeline_statements() -> dict[str, str]:
     twice = _keyed_fact("fact_two", DAY_TWO) + " UNION ALL " + _keyed_fact(
         "fact_one", DAY_ONE,
         "WHERE order_line_id NOT IN (SELECT order_line_id FROM changed_line)")
+    measured = ("SELECT order_line_id, order_number, order_date_key, territory_key,"
+                " salesperson_key, line_total FROM")
+    one = f"{measured} fact_one"
+    both = (f"{measured} fact_two UNION ALL {one}"
+            " WHERE order_line_id NOT IN (SELECT order_line_id FROM changed_line)")
     return {
         "pipeline_merge_on_read": f"""
             SELECT f.*, s.state FROM ({twice}) f,
                    (SELECT 'delta' AS state UNION ALL SELECT 'folded') s""",
+        "order_totals_stored": " UNION ALL ".join(
+            f"""SELECT *, '{state}' AS state, count(*) OVER (PARTITION BY order_number) > 1
+                       AS other_groups
+                FROM (SELECT order_number, CAST(order_date_key AS BIGINT) AS order_date_key,
+                             territory_key, salesperson_key, count(*) AS line_count,
+                             CAST(sum(line_total) AS DOUBLE) AS revenue
+                      FROM ({lines}) l
+                      GROUP BY order_number, order_date_key, territory_key, salesperson_key) g"""
+            for state, lines in (("first", one), ("delta", both), ("folded", both))),
         "schema_rename_stored": """
             SELECT customer_id, customer_name, is_current,
                    strftime(valid_from, '%Y-%m-%d') AS valid_from FROM two_customer""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from starwright.operators.keys import (
     stamp_rows,
 )
 from starwright.operators.lookup import lookup_as_of, lookup_current
+from starwright.operators.orders import order_groups, order_totals
 from starwright.operators.scd import scd2_classify, scd2_merge, scd2_replay
 from starwright.operators.shaping import (
     changed_since,
@@ -47,6 +49,7 @@ from starwright.plans.model import (
     FACT_KEY,
     FACT_TABLE,
     NATURAL_KEY,
+    ORDERS_TABLE,
 )
 from starwright.plans.pipeline import CALENDAR, run
 from starwright.plans.star import load_dimension, load_fact, load_star, merge_dimension
@@ -599,7 +602,6 @@ def _order_and_ship_days(tables: SourceTables) -> DataFrame:
 def _register_calendar_kpis() -> None:
     indicators = {
         "kpi01_revenue_by_month": kpis.revenue_by_month,
-        "kpi02_average_ticket": kpis.average_ticket,
         "kpi03_items_by_quarter": kpis.items_by_quarter,
         "kpi05_discount_rate": kpis.discount_rate,
         "kpi09_mom_growth": kpis.month_over_month_growth,
@@ -619,9 +621,7 @@ _register_calendar_kpis()
 def _register_dimension_kpis() -> None:
     indicators = {
         "kpi04_margin_by_category": (kpis.margin_by_category, "product"),
-        "kpi06_sales_by_territory": (kpis.sales_by_territory, "territory"),
         "kpi07_top_products": (kpis.top_products, "product"),
-        "kpi08_salesperson": (kpis.salesperson_performance, "salesperson"),
     }
     for name, (indicator, dimension) in indicators.items():
 
@@ -636,6 +636,27 @@ def _register_dimension_kpis() -> None:
 _register_dimension_kpis()
 
 
+def _register_order_kpis() -> None:
+    """Indicators with numbers of orders, from written totals by order."""
+    indicators = {
+        "kpi02_average_ticket": (kpis.average_ticket, None),
+        "kpi06_sales_by_territory": (kpis.sales_by_territory, "territory"),
+        "kpi08_salesperson": (kpis.salesperson_performance, "salesperson"),
+    }
+    for name, (indicator, dimension) in indicators.items():
+
+        def computed(spark, directory, indicator=indicator, dimension=dimension):
+            tables = SourceTables(spark, directory)
+            fact, dims = load_star(spark, tables, ["territory", "salesperson"], DAY_ONE)
+            orders = materialize(order_totals(fact), "orders")
+            return indicator(orders, dims[dimension] if dimension else _order_days(tables))
+
+        query(name)(computed)
+
+
+_register_order_kpis()
+
+
 @query("kpi10_lead_time")
 def _(spark, directory):
     tables = SourceTables(spark, directory)
@@ -926,6 +947,33 @@ def _(spark, directory):
     return kept_apart.unionByName(_fact_content(store).withColumn("state", F.lit("folded")))
 
 
+def _order_content(store: TableStore) -> DataFrame:
+    return order_groups(store.read(ORDERS_TABLE)).withColumns(
+        {
+            "order_date_key": F.col("order_date_key").cast("long"),
+            "revenue": F.col("revenue").cast("double"),
+        }
+    )
+
+
+@query("order_totals_stored")
+def _(spark, directory):
+    """Totals by order after a first load, after a second kept as a delta, and after folding it."""
+    store = _loaded(spark, directory, _TWO_BATCHES[:1])
+    states = {"first": materialize(_order_content(store), "orders-first")}
+    run(
+        spark, SourceTables(spark, directory, SECOND), store, DAY_TWO,
+        datetime.fromisoformat(DAY_TWO), merge_on_read=True,
+    )
+    states["delta"] = materialize(_order_content(store), "orders-delta")
+    pipeline.fold_deltas(store, always=True)
+    states["folded"] = _order_content(store)
+    return reduce(
+        DataFrame.unionByName,
+        [rows.withColumn("state", F.lit(state)) for state, rows in states.items()],
+    )
+
+
 @query("schema_rename_stored")
 def _(spark, directory):
     """A stored dimension of which a first generation has another name for a column.

@@ -2,8 +2,9 @@
 
 Sums are first aggregated by surrogate key, with map-side combine, and joined to the
 dimension afterwards: the join sees one row per key instead of one per sale, and a hot key
-collapses before any shuffle.  Distinct order counts need the label of the dimension, so
-they join first; Spark then spreads the distinct step over (label, order).
+collapses before any shuffle.  Numbers of orders come from totals by order
+(``operators.orders``), which a stored warehouse keeps: they are numbers of rows, and only
+orders with several groups of lines are told apart by label.
 NULL placement in sorts follows the usual SQL warehouse: first when descending.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from starwright.functions.scalars import percent, safe_ratio
 from starwright.operators.fact import sales_measures
 from starwright.operators.keys import UNKNOWN_KEY
+from starwright.operators.orders import count_orders, sales_by_key
 
 
 def _calendar(dim_date: DataFrame, *columns: str) -> DataFrame:
@@ -45,15 +47,12 @@ def revenue_by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def average_ticket(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def average_ticket(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    daily = _by_order_date(sales_by_key(orders, "order_date_key"), dim_date, "year")
+    ticket = _average_ticket(F.col("revenue"), F.col("order_count"))
     return (
-        _by_order_date(fact, dim_date, "year")
-        .groupBy("year")
-        .agg(
-            _average_ticket(F.sum("line_total"), F.count_distinct("order_number")).alias(
-                "average_ticket"
-            )
-        )
+        count_orders(daily, ["year"], F.col("orders"))
+        .select("year", ticket.alias("average_ticket"))
         .orderBy("year")
     )
 
@@ -105,17 +104,14 @@ def discount_rate(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def sales_by_territory(fact: DataFrame, dim_territory: DataFrame) -> DataFrame:
+def sales_by_territory(orders: DataFrame, dim_territory: DataFrame) -> DataFrame:
+    labels = ["territory_group", "territory_name"]
+    named = sales_by_key(orders, "territory_key").join(
+        dim_territory.select("territory_key", *labels), "territory_key"
+    )
     return (
-        fact.join(
-            dim_territory.select("territory_key", "territory_group", "territory_name"),
-            "territory_key",
-        )
-        .groupBy("territory_group", "territory_name")
-        .agg(
-            _money(F.sum("line_total")).alias("total_revenue"),
-            F.count_distinct("order_number").alias("order_count"),
-        )
+        count_orders(named, labels, F.col("orders"))
+        .select(*labels, _money(F.col("revenue")).alias("total_revenue"), "order_count")
         .orderBy(F.col("total_revenue").desc_nulls_first())
     )
 
@@ -143,22 +139,17 @@ def top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFr
     )
 
 
-def salesperson_performance(fact: DataFrame, dim_salesperson: DataFrame) -> DataFrame:
-    people = dim_salesperson.select("salesperson_key", "full_name", "job_title")
+def salesperson_performance(orders: DataFrame, dim_salesperson: DataFrame) -> DataFrame:
+    labels = ["full_name", "job_title"]
+    sold = sales_by_key(orders, "salesperson_key").where(F.col("salesperson_key") != UNKNOWN_KEY)
+    named = sold.join(dim_salesperson.select("salesperson_key", *labels), "salesperson_key")
     return (
-        fact.where(F.col("salesperson_key") != UNKNOWN_KEY)
-        .join(people, "salesperson_key")
-        .groupBy("full_name", "job_title")
-        .agg(
-            F.sum("line_total").alias("_total"),
-            F.count_distinct("order_number").alias("order_count"),
-        )
+        count_orders(named, labels, F.col("orders"))
         .select(
-            "full_name",
-            "job_title",
-            _money(F.col("_total")).alias("total_revenue"),
+            *labels,
+            _money(F.col("revenue")).alias("total_revenue"),
             "order_count",
-            _average_ticket(F.col("_total"), F.col("order_count")).alias("average_ticket"),
+            _average_ticket(F.col("revenue"), F.col("order_count")).alias("average_ticket"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_first())
     )

@@ -2,7 +2,8 @@
 
 Type 2 dimensions keep current versions by ranges of the business key (``current-RANGE``), and
 closed ones in pieces by range and by the year in which they end (``closed.RANGE.YEAR.VERSION``).
-The index of fact keys lies in ranges of the natural key, the fact itself in order months.
+The index of fact keys lies in ranges of the natural key, the fact itself in order months, and
+its totals by order in ranges of the order's number.
 """
 
 from __future__ import annotations
@@ -11,10 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starwright.functions.scalars import month_of_key
-from starwright.plans.model import KEY_RANGE, MEMBER_RANGE, NATURAL_KEY, DimensionSpec
+from starwright.plans.model import (
+    KEY_RANGE,
+    MEMBER_RANGE,
+    NATURAL_KEY,
+    ORDER_KEY,
+    ORDER_RANGE,
+    DimensionSpec,
+)
 from starwright.sources.store import TableStore
 
 CURRENT, CLOSED = "current", "closed"
+#: Parts of orders whose name does not end with a number.
+OTHER_RANGES = 64
 
 
 def current_parts(store: TableStore, spec: DimensionSpec) -> list[str] | None:
@@ -80,3 +90,13 @@ def order_month() -> Column:
 def key_range() -> Column:
     """The part of the key index that a natural key belongs to."""
     return F.floor(F.col(NATURAL_KEY) / F.lit(KEY_RANGE)).cast("string")
+
+
+def order_range() -> Column:
+    """The part of the totals by order that an order belongs to.
+
+    Names that end with a number go by its range, others by hash.
+    """
+    number = F.regexp_extract(ORDER_KEY, "([0-9]{1,18})$", 1).try_cast("long")
+    other = F.concat(F.lit("other-"), F.pmod(F.xxhash64(ORDER_KEY), F.lit(OTHER_RANGES)))
+    return F.coalesce(F.floor(number / F.lit(ORDER_RANGE)).cast("string"), other)

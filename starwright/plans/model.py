@@ -80,6 +80,10 @@ FACT_STAGING = "stg.order_line"
 # Keys of the fact by ranges of the natural key, so that a batch reads few of them.
 FACT_KEYS_TABLE = "dw.fact_sales_keys"
 KEY_RANGE = 1 << 22
+# The fact by order, in ranges of the number that an order's name ends with.
+ORDERS_TABLE = "dw.order_totals"
+ORDER_KEY = "order_number"
+ORDER_RANGE = 1 << 22
 # Current versions are kept by ranges of the business key, for the same reason.
 MEMBER_RANGE = 1 << 20
 FACT_KEY = "sale_key"

@@ -21,6 +21,13 @@ from starwright.operators.fact import (
 )
 from starwright.operators.joins import members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
+from starwright.operators.orders import (
+    add_up,
+    changed_orders,
+    line_shares,
+    order_totals,
+    orders_upsert,
+)
 from starwright.operators.scd import CHANGED, NEW, scd1_upsert, scd2_apply, scd2_changes
 from starwright.operators.shaping import next_watermark, rows_without
 from starwright.plans.constraints import assert_constraints
@@ -33,6 +40,7 @@ from starwright.plans.layout import (
     key_range,
     member_range,
     order_month,
+    order_range,
 )
 from starwright.plans.model import (
     DATE_ROLES,
@@ -41,6 +49,8 @@ from starwright.plans.model import (
     FACT_STAGING,
     FACT_TABLE,
     NATURAL_KEY,
+    ORDER_KEY,
+    ORDERS_TABLE,
     DimensionSpec,
 )
 from starwright.schemas import OPEN_START, schema
@@ -91,7 +101,9 @@ def merge_history(store: TableStore, spec: DimensionSpec) -> None:
 
 def fold_deltas(store: TableStore, always: bool = False) -> None:
     """Bring deltas into their parts, once they are many or large."""
-    places = {FACT_TABLE: order_month(), FACT_KEYS_TABLE: key_range()}
+    places = {
+        FACT_TABLE: order_month(), FACT_KEYS_TABLE: key_range(), ORDERS_TABLE: order_range(),
+    }
     for table, part in places.items():
         deltas = store.deltas(table)
         if not deltas:
@@ -216,6 +228,43 @@ def key_index(store: TableStore, ranges: list[str]) -> DataFrame:
     return store.read(FACT_KEYS_TABLE, ranges)
 
 
+def build_orders(store: TableStore) -> None:
+    """Totals by order for a fact that has none."""
+    if store.live_parts(FACT_TABLE) and not store.live_parts(ORDERS_TABLE):
+        totals = order_totals(store.read(FACT_TABLE))
+        store.replace_parts(ORDERS_TABLE, totals, order_range(), [])
+
+
+def write_orders(
+    store: TableStore, fact_rows: list[tuple], known: DataFrame, months: list[str],
+    as_delta: bool,
+) -> list[tuple]:
+    """Write the totals of the orders that a batch concerns; gives what ``publish`` takes.
+
+    The batch's lines are read from what it has written of the fact, the lines they take the
+    place of (``known``) from what is still current.  Their difference is all that the totals
+    need, so no other line of an order is looked for.
+    """
+    new, staged = store.read_written(fact_rows), store.read(FACT_STAGING)
+    if not as_delta and any(month in store.live_parts(FACT_TABLE) for month in months):
+        new = new.join(staged.select(NATURAL_KEY), NATURAL_KEY, "left_semi")
+    old = store.read(FACT_TABLE, months).join(known.select(NATURAL_KEY), NATURAL_KEY, "left_semi")
+    changes = line_shares(new)
+    if store.live_parts(FACT_TABLE):
+        changes = changes.unionByName(line_shares(old, -1))
+    part = order_range()
+    if not store.live_parts(ORDERS_TABLE):
+        return store.write_parts(ORDERS_TABLE, add_up(changes), part, [])
+    changes = materialize(changes, "order-changes")
+    ranges = [r.part for r in changes.select(part.alias("part")).distinct().collect()]
+    orders = store.read(ORDERS_TABLE, ranges)
+    changed = changed_orders(orders, changes)
+    if as_delta:
+        return store.write_delta(ORDERS_TABLE, changed, part, part)
+    changed = materialize(changed, "changed-orders")
+    return store.write_parts(ORDERS_TABLE, orders_upsert(orders, changed), part, ranges)
+
+
 def members_of(dim: DataFrame, staged: DataFrame, spec: DimensionSpec) -> DataFrame:
     """Rows of a dimension that a batch of lines may need.
 
@@ -237,7 +286,7 @@ def load_fact(
 
     A line may move to another month, so the month of its old row counts as touched too.  Old
     rows are found in a narrow index of keys, of which only the ranges that the batch falls
-    into are read; it becomes current in one commit with the fact.  As with a sequence in an
+    into are read; it becomes current in one commit with the fact and its totals by order.  As with a sequence in an
     upsert, rows that turn out to exist use up a number as well.
 
     A batch that is large against the months it touches rewrites them.  A small, scattered one
@@ -249,6 +298,7 @@ def load_fact(
     batch = staged.agg(
         F.count_if(F.col("order_date").isNull()).alias("undated"),
         F.count_if(F.col(NATURAL_KEY).isNull()).alias("unnamed"),
+        F.count_if(F.col(ORDER_KEY).isNull()).alias("without_order"),
         F.collect_set(key_range()).alias("ranges"),
         F.min(F.least(*days)).alias("first_day"), F.max(F.greatest(*days)).alias("last_day"),
     ).first()
@@ -256,6 +306,9 @@ def load_fact(
         raise ValueError(f"{batch.undated} order lines have no order date")
     if batch.unnamed:
         _refuse_missing(staged, FACT_STAGING, NATURAL_KEY)
+    if batch.without_order:
+        _refuse_missing(staged, FACT_STAGING, ORDER_KEY)
+    build_orders(store)
     ranges = sorted(batch.ranges)
     # Lines take current versions, so a load without ``as_of`` leaves closed history alone.
     dims = {}
@@ -287,7 +340,8 @@ def load_fact(
     if merge_on_read is None:
         large = max(LEAST_DELTA_BYTES, REWRITE * store.bytes_of(FACT_STAGING))
         merge_on_read = store.bytes_of(FACT_TABLE, months) > large
-    if merge_on_read or store.deltas(FACT_TABLE):
+    as_delta = merge_on_read or bool(store.deltas(FACT_TABLE))
+    if as_delta:
         old_day = F.col("_old_date_key")
         written = written_rows(incoming, known, start=start).withColumn("loaded_at", stamp)
         # Of the index only what a batch adds or moves.
@@ -318,7 +372,13 @@ def load_fact(
             ),
         }
     published = together(lambda table: writes[table](), list(writes))
-    store.publish([row for rows_of in published.values() for row in rows_of], reads=[spec.table for spec in dimensions])
+    published[ORDERS_TABLE] = write_orders(
+        store, published[FACT_TABLE], known, months, as_delta
+    )
+    store.publish(
+        [row for rows_of in published.values() for row in rows_of],
+        reads=[spec.table for spec in dimensions],
+    )
     return rows
 
 

@@ -104,6 +104,11 @@ DECLARATIONS: dict[str, str] = {
     "dw.fact_sales_keys": """
         order_line_id BIGINT NOT NULL, sale_key BIGINT NOT NULL, order_date_key INT NOT NULL
     """,
+    "dw.order_totals": """
+        order_number VARCHAR(20) NOT NULL,
+        groups ARRAY<STRUCT<order_date_key: INT, territory_key: BIGINT, salesperson_key: BIGINT,
+                            line_count: BIGINT, revenue: DECIMAL(24,4)>> NOT NULL
+    """,
     "ctrl.watermark": """
         source_name VARCHAR(100) NOT NULL, last_extracted_at TIMESTAMP_NTZ NOT NULL,
         started_at TIMESTAMP_NTZ, finished_at TIMESTAMP_NTZ, status VARCHAR(20),

@@ -34,7 +34,13 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from starwright.operators.dedup import pick_first
-from starwright.plans.model import FACT_KEYS_TABLE, FACT_TABLE, NATURAL_KEY
+from starwright.plans.model import (
+    FACT_KEYS_TABLE,
+    FACT_TABLE,
+    NATURAL_KEY,
+    ORDER_KEY,
+    ORDERS_TABLE,
+)
 from starwright.schemas import empty_frame, schema
 from starwright.session import delete, names_in, size_of
 from starwright.sources.commits import CommitLog
@@ -47,7 +53,7 @@ CHECKED = "ctrl.check"
 #: A log of more files is compacted at the start of a load.
 MOST_LOG_FILES = 64
 #: Tables that may have deltas, and the key by which their rows win.
-MERGED = {FACT_TABLE: NATURAL_KEY, FACT_KEYS_TABLE: NATURAL_KEY}
+MERGED = {FACT_TABLE: NATURAL_KEY, FACT_KEYS_TABLE: NATURAL_KEY, ORDERS_TABLE: ORDER_KEY}
 DELTA = "delta-"
 #: Columns of a delta beside those of its table: the part of a row, that of the row it takes the
 #: place of (NULL if there is none), and the version of the delta.
@@ -309,6 +315,15 @@ class TableStore:
             return rows
         return rows.select(*[F.col(old.get(n, n)).alias(n) for n in columns.names])
 
+    def read_written(self, rows: Iterable[tuple]) -> DataFrame:
+        """Rows of one table that have been written and not yet published."""
+        rows = list(rows)
+        paths = [row[3] for row in rows if row[3] is not None]
+        columns = schema(rows[0][0])
+        if not paths:
+            return empty_frame(self.spark, columns)
+        return self.spark.read.schema(columns).parquet(*paths)
+
     def rename_column(self, table: str, old: str, new: str) -> int:
         """Read column ``old`` of stored parts as ``new``; gives the number of parts concerned.
 
