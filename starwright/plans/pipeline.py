@@ -236,21 +236,22 @@ def build_orders(store: TableStore) -> None:
 
 
 def write_orders(
-    store: TableStore, fact_rows: list[tuple], known: DataFrame, months: list[str],
+    store: TableStore, fact_rows: list[tuple], current: DataFrame | None, known: DataFrame,
     as_delta: bool,
 ) -> list[tuple]:
     """Write the totals of the orders that a batch concerns; gives what ``publish`` takes.
 
     The batch's lines are read from what it has written of the fact, the lines they take the
-    place of (``known``) from what is still current.  Their difference is all that the totals
-    need, so no other line of an order is looked for.
+    place of (``known``) from the ``current`` rows of the touched months; None, if they have
+    none.  Their difference is all that the totals need, so no other line of an order is
+    looked for.
     """
     new, staged = store.read_written(fact_rows), store.read(FACT_STAGING)
-    if not as_delta and any(month in store.live_parts(FACT_TABLE) for month in months):
+    if current is not None and not as_delta:
         new = new.join(staged.select(NATURAL_KEY), NATURAL_KEY, "left_semi")
-    old = store.read(FACT_TABLE, months).join(known.select(NATURAL_KEY), NATURAL_KEY, "left_semi")
     changes = line_shares(new)
-    if store.live_parts(FACT_TABLE):
+    if current is not None:
+        old = current.join(known.select(NATURAL_KEY), NATURAL_KEY, "left_semi")
         changes = changes.unionByName(line_shares(old, -1))
     part = order_range()
     if not store.live_parts(ORDERS_TABLE):
@@ -341,6 +342,9 @@ def load_fact(
         large = max(LEAST_DELTA_BYTES, REWRITE * store.bytes_of(FACT_STAGING))
         merge_on_read = store.bytes_of(FACT_TABLE, months) > large
     as_delta = merge_on_read or bool(store.deltas(FACT_TABLE))
+    current = store.read(FACT_TABLE, months)
+    # Deltas may hold rows of any month.
+    present = store.deltas(FACT_TABLE) or set(months) & set(store.live_parts(FACT_TABLE))
     if as_delta:
         old_day = F.col("_old_date_key")
         written = written_rows(incoming, known, start=start).withColumn("loaded_at", stamp)
@@ -359,9 +363,7 @@ def load_fact(
             ),
         }
     else:
-        merged = fact_upsert(
-            store.read(FACT_TABLE, months), incoming, stamp, start=start, known=known
-        )
+        merged = fact_upsert(current, incoming, stamp, start=start, known=known)
         indexed = index_upsert(index, keys, known, start)
         writes = {
             FACT_TABLE: lambda: store.write_parts(
@@ -373,7 +375,7 @@ def load_fact(
         }
     published = together(lambda table: writes[table](), list(writes))
     published[ORDERS_TABLE] = write_orders(
-        store, published[FACT_TABLE], known, months, as_delta
+        store, published[FACT_TABLE], current if present else None, known, as_delta
     )
     store.publish(
         [row for rows_of in published.values() for row in rows_of],
