@@ -3,12 +3,13 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from starwright.operators.fact import fact_upsert, resolve_fact
+from starwright.operators.fact import fact_upsert, moved_marks, placed_upsert, resolve_fact
 from starwright.operators.lookup import lookup_as_of, lookup_current
 from starwright.plans.model import BY_NAME, DIMENSIONS, FACT_TABLE
 from starwright.plans.star import load_dimension, load_fact
 from starwright.schemas import empty_frame, schema
 from starwright.sources.extracts import mark_column
+from tests.test_plans import physical
 from tests.tiny import content, frame, tables
 
 VERSIONS = "product_id BIGINT, product_key BIGINT, standard_cost DECIMAL(12,4), valid_from DATE,"
@@ -92,3 +93,25 @@ def test_as_of_costs_on_the_fact(spark):
         (11, 10, Decimal("2.0000")), (12, 12, Decimal("4.0000")),
         (21, -1, Decimal("0.0000")), (31, 11, Decimal("3.0000")),
     ]
+
+
+KEYS = "order_line_id long, sale_key long, order_date_key int"
+
+
+def test_a_placed_upsert_follows_the_rule_in_one_shuffle(spark, conf):
+    """Rows that stay in their month, move to another one, are new, or are not in the batch."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    old = frame(spark, KEYS, (1, 5, 20240101), (2, 6, 20240102), (3, 7, 20240201))
+    new = frame(spark, KEYS, (1, 11, 20240105), (2, 12, 20240203), (9999, 13, 20240301))
+    known = old.where("order_line_id < 3")
+    month = F.expr("CAST(order_date_key DIV 100 AS STRING)")
+    marks = moved_marks(new, known, month)
+    assert content(marks) == [(2, 6, "202401"), (2, 6, "202402")]
+    want = [
+        (1, 5, 20240105, "202401"), (2, 6, 20240203, "202402"), (3, 7, 20240201, "202402"),
+        (9999, 13, 20240301, "202403"),
+    ]
+    for slices in (1, 3):
+        assert content(placed_upsert(old, new, month, slices, marks)) == want
+    plan = physical(placed_upsert(old, new, month, 3))
+    assert plan.count("Exchange") == 1 and "Join" not in plan

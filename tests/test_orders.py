@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from starwright.operators.orders import (
+    add_up,
     changed_orders,
     line_shares,
     order_groups,
+    orders_after,
     order_totals,
     orders_upsert,
 )
@@ -172,3 +174,17 @@ def test_indicators_count_rows_of_the_stored_totals(spark, store):
     ):
         plan = physical(report)
         assert "distinct" not in plan and "Expand" not in plan and "fact_sales" not in plan
+
+
+def test_totals_lie_by_part_where_they_are_added_up(spark):
+    """The same totals as without parts, and none for an order that has lost its lines."""
+    rows, part = some_lines(4), F.expr("right(order_number, 1)")
+    placed = add_up(line_shares(frame(spark, rows)), part)
+    assert flat(placed.drop("part")) == plain(rows)
+    assert placed.where(F.col("part") != part).isEmpty()
+    gone = rows[0][1]
+    lost = line_shares(frame(spark, [row for row in rows if row[1] == gone]), -1)
+    after = orders_after(placed.drop("part"), lost, part)
+    assert flat(after.drop("part")) == plain([row for row in rows if row[1] != gone])
+    # Two shuffles: of sums by group, and of groups by part.  None is left for the write.
+    assert physical(placed).count("Exchange hashpartitioning") == 2

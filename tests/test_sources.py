@@ -6,7 +6,8 @@ import pytest
 from starwright.operators.calendar import calendar_for
 from starwright.operators.dedup import keep_latest
 from starwright.schemas import OPEN_START
-from starwright.sources.extracts import SOURCES
+from starwright.sources import extracts
+from starwright.sources.extracts import SOURCES, Window, order_lines
 from starwright.sources.readers import Split, bounds_query, jdbc_tables, split_predicates
 from tests.tiny import NEW, OLD, ROWS, content, frame, tables
 
@@ -122,3 +123,15 @@ def test_calendars_over_a_stray_date_are_refused(spark):
     rows = frame(spark, "day DATE", (OLD.date(),), (datetime(9999, 12, 31).date(),))
     with pytest.raises(Exception, match="is too long"):
         calendar_for(rows, ["day"]).collect()
+
+
+def test_nothing_is_written_for_a_window_from_the_start(spark, monkeypatch):
+    labels = []
+    monkeypatch.setattr(
+        extracts, "materialize", lambda df, label: labels.append(label) or df
+    )
+    source = tables(spark)
+    every = content(order_lines(source, Window()), "order_line_id")
+    assert not labels
+    assert content(order_lines(source, Window("1900-01-02")), "order_line_id") == every
+    assert sorted(labels) == ["changed-headers", "changed-lines"]
