@@ -3,6 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from starwright.catalog.queries import _key_properties
 from starwright.operators.fact import fact_upsert, moved_marks, placed_upsert, resolve_fact
 from starwright.operators.lookup import lookup_as_of, lookup_current
 from starwright.plans.model import BY_NAME, DIMENSIONS, FACT_TABLE
@@ -115,3 +116,12 @@ def test_a_placed_upsert_follows_the_rule_in_one_shuffle(spark, conf):
         assert content(placed_upsert(old, new, month, slices, marks)) == want
     plan = physical(placed_upsert(old, new, month, 3))
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_keys_that_occur_again_are_counted(spark):
+    rows = frame(spark, KEYS, (1, 5, 1), (2, 5, 1), (3, 7, 1), (4, None, 1))
+    shown = _key_properties(rows)
+    assert content(shown, "order_line_id", "key_copies", "key_is_positive") == [
+        (1, 2, True), (2, 2, True), (3, 1, True)
+    ]
+    assert "Exchange hashpartitioning" not in physical(shown)
