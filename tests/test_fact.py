@@ -4,12 +4,20 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from starwright.catalog.queries import _key_properties
-from starwright.operators.fact import fact_upsert, moved_marks, placed_upsert, resolve_fact
+from starwright.operators.fact import (
+    fact_upsert,
+    late_keys,
+    lookup_sides,
+    moved_marks,
+    placed_upsert,
+    resolve_fact,
+)
 from starwright.operators.lookup import lookup_as_of, lookup_current
+from starwright.plans.layout import order_month
 from starwright.plans.model import BY_NAME, DIMENSIONS, FACT_TABLE
 from starwright.plans.star import load_dimension, load_fact
 from starwright.schemas import empty_frame, schema
-from starwright.sources.extracts import mark_column
+from starwright.sources.extracts import SOURCES, mark_column
 from tests.test_plans import physical
 from tests.tiny import content, frame, tables
 
@@ -125,3 +133,32 @@ def test_keys_that_occur_again_are_counted(spark):
         (1, 2, True), (2, 2, True), (3, 1, True)
     ]
     assert "Exchange hashpartitioning" not in physical(shown)
+
+
+def test_large_lookups_leave_the_wide_lines_alone(spark, conf):
+    """Their columns come by natural key and order date; then the fact is that of wide lookups."""
+    source = tables(spark)
+    dims = {s.name: load_dimension(spark, source, s.name, "2024-01-01") for s in DIMENSIONS}
+    staged = SOURCES["order_line"].staged(source)
+    lines = staged.withColumns({"sale_key": F.col("order_line_id"),
+                                "loaded_at": mark_column("2024-01-01")})
+    sides = lookup_sides(dims)
+    wide = resolve_fact(lines, dims, sides=sides)
+    apart = {name: sides[name] for name in ("customer", "product")}
+    near = {name: dim for name, dim in dims.items() if name not in apart}
+    empty, month = empty_frame(spark, schema(FACT_TABLE)), order_month()
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    late = late_keys(lines, apart)
+    merged = placed_upsert(
+        empty, resolve_fact(lines, near, sides=sides), month, 3, late=late
+    )
+    assert content(merged.drop("part")) == content(wide.select(schema(FACT_TABLE).names))
+    old = wide.where("order_line_id < 20").withColumns(
+        {"sale_key": F.col("sale_key") + 100, "customer_key": F.lit(9).cast("long")}
+    ).select(schema(FACT_TABLE).names)
+    again = placed_upsert(old, resolve_fact(lines, near, sides=sides), month, 3, late=late)
+    assert content(again, "order_line_id", "sale_key", "customer_key", "standard_cost") == [
+        (i, key + 100 if i < 20 else key, customer, cost)
+        for i, key, customer, cost in content(
+            wide, "order_line_id", "sale_key", "customer_key", "standard_cost")
+    ]

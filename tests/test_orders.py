@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starwright.operators.orders import (
     add_up,
+    add_up_placed,
     changed_orders,
     line_shares,
     order_groups,
@@ -17,6 +18,7 @@ from starwright.operators.orders import (
 )
 from starwright.plans import kpis, layout, pipeline
 from starwright.plans.model import FACT_TABLE, ORDERS_TABLE
+from starwright.schemas import schema
 from starwright.sources.store import TableStore
 from tests.test_pipeline import assert_totals, load
 from tests.test_plans import physical
@@ -188,3 +190,20 @@ def test_totals_lie_by_part_where_they_are_added_up(spark):
     assert flat(after.drop("part")) == plain([row for row in rows if row[1] != gone])
     # Two shuffles: of sums by group, and of groups by part.  None is left for the write.
     assert physical(placed).count("Exchange hashpartitioning") == 2
+
+
+def test_stored_totals_are_shuffled_once(spark):
+    """The same totals in one shuffle; an order with a third of all lines and several groups too."""
+    rows, part = some_lines(6), F.expr("right(order_number, 1)")
+    placed = add_up_placed(line_shares(frame(spark, rows)), part)
+    assert flat(placed.drop("part")) == plain(rows)
+    assert placed.where(F.col("part") != part).isEmpty()
+    assert physical(placed).count("Exchange") == 1
+    after = orders_after(placed.drop("part"), line_shares(frame(spark, rows[:9]), -1), part)
+    assert flat(after.drop("part")) == plain(rows[9:])
+    assert physical(orders_after(frame_of_orders(spark), line_shares(frame(spark, rows)), part)
+                    ).count("Exchange") == 1
+
+
+def frame_of_orders(spark):
+    return spark.createDataFrame([], schema(ORDERS_TABLE))

@@ -100,6 +100,31 @@ def test_life_of_a_warehouse(spark, store):
     assert_totals(store)
 
 
+def test_a_load_without_broadcasts_gives_the_same_warehouse(spark, store, conf, monkeypatch):
+    """A new store, then a batch that replaces and moves lines; no wide line meets a dimension."""
+    other = TableStore(spark, f"{store.root}-other")
+    load(spark, other)
+    load(spark, other, SECOND_DAY, later_changes())
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    wide, resolve = [], pipeline.resolve_fact
+
+    def watched(staged, dims, *given):
+        wide.append(sorted(dims))
+        return resolve(staged, dims, *given)
+
+    monkeypatch.setattr(pipeline, "resolve_fact", watched)
+    load(spark, store)
+    load(spark, store, SECOND_DAY, later_changes())
+    assert wide == [[], [], ["salesperson", "territory"]]
+    for table in (FACT_TABLE, FACT_KEYS_TABLE, ORDERS_TABLE):
+        key = "sale_key"
+        rows = [store.read(table), other.read(table)]
+        rows = [r.drop(key) for r in rows]
+        assert content(rows[0]) == content(rows[1])
+    assert_clean(store)
+    assert_totals(store)
+
+
 def assert_totals(store):
     """Stored totals by order are those of the stored fact; orders without lines are none."""
     kept = store.read(ORDERS_TABLE).where(F.size("groups") > 0)

@@ -129,6 +129,13 @@ def test_order_lines_are_shuffled_once(spark, no_broadcast):
         assert branch.count("Exchange hashpartitioning(order_id") == 2
 
 
+def test_a_first_window_shuffles_headers_alike_in_both_branches(spark, no_broadcast):
+    """Then one shuffle serves both; a filter below one of the joins would tell them apart."""
+    plan = physical(SOURCES["order_line"].staged(SourceTables(spark, SMALL)))
+    pushed = re.findall(r"PushedFilters: \[[^\]]*o_order[^\]]*\]", plan)
+    assert len(pushed) == 2 and pushed[0] == pushed[1]
+
+
 def test_numbering_has_the_same_plan_for_any_number_of_partitions(spark):
     def size(partitions):
         rows = spark.range(0, 2000, 1, partitions).select("id")
