@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starwright.functions.scalars import MONEY, date_key, discount_amount
+from starwright.operators.joins import KeyFilter
 from starwright.operators.lookup import join_side, lookup_as_of, lookup_side
 from starwright.plans.model import (
     BY_NAME,
@@ -23,6 +24,10 @@ from starwright.session import together
 
 #: Natural keys that lie together in a part, as lines of an order do.
 NEIGHBOURS = 4096
+#: What lines of an order have in common.  Side by side it costs little in a compressed shuffle.
+_OF_ORDER = (
+    "order_date_key", "due_date_key", "territory_key", "promotion_key", "loaded_at", "order_number"
+)
 #: What a row is in an upsert: an old one, a mark of one, a new one, columns of a new one.
 _OLD, _MARK, _NEW, _LATE = range(4)
 
@@ -170,6 +175,7 @@ def placed_upsert(
     slices: int,
     marks: DataFrame | None = None,
     late: DataFrame | None = None,
+    replaced: KeyFilter | None = None,
 ) -> DataFrame:
     """``old`` after ``new`` rows took the place of those with their natural key, by part.
 
@@ -180,12 +186,19 @@ def placed_upsert(
     one shuffle, by part and by ``slices`` of it, in which neighbouring keys stay together; they
     find each other where they are written, so no row is shuffled again for a join or for the
     write.  The result has a column ``part``, and its rows lie by it.
+
+    ``replaced`` tells of the natural keys of all old rows that go.  Other old rows lie in their
+    part already, so they are written from where they are read.
     """
     columns = old.columns
+    if replaced is not None:
+        old, kept = replaced.split(old, NATURAL_KEY)
     filled = [] if late is None else [c for c in columns if c not in new.columns]
     present = [c for c in columns if c not in filled]
+    own = [c for c in columns if c not in (NATURAL_KEY, *filled, *_OF_ORDER)]
+    side_by_side = [NATURAL_KEY, *filled, *own, *[c for c in _OF_ORDER if c in columns]]
     rows = [
-        (old.withColumn("part", part), _OLD), (new.select(present).withColumn("part", part), _NEW)
+        (old.select(*side_by_side).withColumn("part", part), _OLD), (new.select(present).withColumn("part", part), _NEW)
     ]
     if marks is not None:
         rows.append((marks, _MARK))
@@ -215,7 +228,10 @@ def placed_upsert(
     late_values = {
         c: F.when(is_new, F.col(f"_late_{c}")).otherwise(F.col(c)) for c in filled
     }
-    return found.withColumns({FACT_KEY: key, **late_values}).select(*columns, "part")
+    upserted = found.withColumns({FACT_KEY: key, **late_values}).select(*columns, "part")
+    if replaced is None:
+        return upserted
+    return upserted.unionByName(kept.withColumn("part", part).select(*columns, "part"))
 
 
 def sales_measures(fact: DataFrame, keys: Sequence[str], **measures: Column) -> DataFrame:

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starwright.session import beyond_broadcast, materialize
+
+#: Bits of a key filter: so many for each key, up to a most of 32 MB; beyond it lets more rows pass.
+BITS_PER_KEY, MOST_BITS = 8, 1 << 28
+#: Bits in a row of a filter, as Spark's bitmap functions make them.
+_ROW_OF_BITS = 1 << 15
+
 
 def left_join_sparse(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join on a whole-number key that many rows of ``left`` lack.
@@ -30,3 +39,52 @@ def members_used(big: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     filtered where it is scanned instead of being shuffled.
     """
     return big.join(batch.select(key).distinct(), key, "left_semi").select(*big.columns)
+
+
+@dataclass(frozen=True)
+class KeyFilter:
+    """Which keys a large written table may have, as a bitmap of their hashes.
+
+    A table that meets it in a join need not be shuffled where the filter tells that a row has no
+    match.  The filter is broadcast, and bounded; keys that share a bit with another one pass as
+    well, so it stands before an exact join, never in its place.
+    """
+
+    bitmap: DataFrame
+    bits: int
+
+    def split(self, df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """Rows whose key may be in the table, and rows whose key is not."""
+        tested = _with_bit(df, key, self.bits).join(F.broadcast(self.bitmap), "_bits_row", "left")
+        byte = F.expr("substring(_bitmap, CAST(_bit DIV 8 AS INT) + 1, 1)")
+        value = F.conv(F.hex(byte), 16, 10).cast("int")
+        mask = F.expr("shiftleft(1, CAST(_bit % 8 AS INT))")
+        is_set = F.coalesce(value.bitwiseAND(mask) != 0, F.lit(False))
+        return (
+            tested.where(is_set).select(*df.columns), tested.where(~is_set).select(*df.columns)
+        )
+
+    def may_match(self, df: DataFrame, key: str) -> DataFrame:
+        return self.split(df, key)[0]
+
+
+def _with_bit(df: DataFrame, key: str, bits: int) -> DataFrame:
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    return df.withColumns({
+        "_bits_row": F.floor(slot / F.lit(_ROW_OF_BITS)), "_bit": F.pmod(slot, F.lit(_ROW_OF_BITS)),
+    })
+
+
+def key_filter(written: DataFrame, key: str) -> KeyFilter:
+    """A filter of the keys of a written table; only its bits are shuffled."""
+    wanted = max(_ROW_OF_BITS, BITS_PER_KEY * written.count())
+    bits = min(MOST_BITS, 1 << (wanted - 1).bit_length())
+    rows = _with_bit(written.select(key), key, bits).groupBy("_bits_row").agg(
+        F.bitmap_construct_agg("_bit").alias("_bitmap")
+    )
+    return KeyFilter(materialize(rows, "key-filter", compression="zstd"), bits)
+
+
+def may_meet(df: DataFrame, written: DataFrame, key: str) -> DataFrame:
+    """``df`` without most rows whose key a written table lacks, if that is too large to broadcast."""
+    return key_filter(written, key).may_match(df, key) if beyond_broadcast(written) else df

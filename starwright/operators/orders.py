@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starwright.operators.joins import KeyFilter
 from starwright.plans.model import ORDER_KEY, ORDERS_TABLE
 from starwright.schemas import schema
 
@@ -107,14 +108,23 @@ def orders_upsert(orders: DataFrame, changed: DataFrame) -> DataFrame:
     return untouched.select(*columns).unionByName(kept.select(*columns))
 
 
-def orders_after(orders: DataFrame, changes: DataFrame, part: Column) -> DataFrame:
+def orders_after(
+    orders: DataFrame, changes: DataFrame, part: Column, concerned: KeyFilter | None = None
+) -> DataFrame:
     """``orders`` after signed shares of lines, by part; orders without lines go.
 
-    All orders are added up anew, by which no row is looked for in another table.
+    Orders are added up anew, by which no row is looked for in another table.  ``concerned`` may
+    tell of the orders of all changes; other orders are then written from where they are read.
     """
+    kept = None
+    if concerned is not None:
+        orders, kept = concerned.split(orders, ORDER_KEY)
     stood = orders.select(ORDER_KEY, F.inline("groups")).select(ORDER_KEY, *GROUP, *_MEASURES)
     shares = stood.unionByName(changes.select(ORDER_KEY, *GROUP, *_MEASURES))
-    return add_up_placed(shares, part).where(F.size("groups") > 0)
+    after = add_up_placed(shares, part)
+    if kept is not None:
+        after = after.unionByName(kept.select(*schema(ORDERS_TABLE).names, part.alias("part")))
+    return after.where(F.size("groups") > 0)
 
 
 def count_orders(groups: DataFrame, labels: list[str], orders: Column) -> DataFrame:

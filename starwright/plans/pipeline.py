@@ -22,7 +22,7 @@ from starwright.operators.fact import (
     resolve_fact,
     written_rows,
 )
-from starwright.operators.joins import members_used
+from starwright.operators.joins import KeyFilter, key_filter, may_meet, members_used
 from starwright.operators.keys import dense_numbers, seed_unknown, stamp_rows
 from starwright.operators.orders import (
     GROUP,
@@ -235,6 +235,13 @@ def key_index(store: TableStore, ranges: list[str]) -> DataFrame:
     return store.read(FACT_KEYS_TABLE, ranges)
 
 
+def known_keys(store: TableStore, index: DataFrame, staged: DataFrame) -> DataFrame:
+    """Keys of the fact rows that a batch takes the place of, as a written table."""
+    if store.live_parts(FACT_KEYS_TABLE):
+        index = may_meet(index, staged, NATURAL_KEY)
+    return materialize(existing_keys(index, staged), "known-keys", compression="zstd")
+
+
 def build_orders(store: TableStore) -> None:
     """Totals by order for a fact that has none."""
     if store.live_parts(FACT_TABLE) and not store.live_parts(ORDERS_TABLE):
@@ -246,16 +253,19 @@ def build_orders(store: TableStore) -> None:
 
 def write_orders(
     store: TableStore, lines: DataFrame, current: DataFrame | None, known: DataFrame,
-    as_delta: bool,
+    as_delta: bool, replaced: KeyFilter | None = None,
 ) -> list[tuple]:
     """Write the totals of the orders that a batch concerns; gives what ``publish`` takes.
 
     ``lines`` are those of the batch, the lines they take the place of (``known``) are read from
-    the ``current`` rows of the touched months; None, if they have none.  Their difference is all
-    that the totals need, so no other line of an order is looked for.
+    the ``current`` rows of the touched months; None, if they have none.  ``replaced`` may pass a
+    filter of their keys.  The difference is all that the totals need, so no other line of an order
+    is looked for.
     """
     changes = line_shares(lines)
     if current is not None:
+        if replaced is not None:
+            current = replaced.may_match(current, NATURAL_KEY)
         old = current.join(known.select(NATURAL_KEY), NATURAL_KEY, "left_semi")
         changes = changes.unionByName(line_shares(old, -1))
     part = order_range()
@@ -268,7 +278,7 @@ def write_orders(
     orders = store.read(ORDERS_TABLE, ranges)
     if as_delta:
         return store.write_delta(ORDERS_TABLE, changed_orders(orders, changes), part, part)
-    totals = orders_after(orders, changes, part)
+    totals = orders_after(orders, changes, part, key_filter(changes, ORDER_KEY))
     return store.write_parts(ORDERS_TABLE, totals, F.col("part"), ranges, placed=True)
 
 
@@ -337,7 +347,7 @@ def load_fact(
             store, str(batch.first_day), str(batch.last_day), **labels
         ),
         "sides": lambda: lookup_sides(dims, as_of),
-        "known": lambda: materialize(existing_keys(index, staged), "known-keys"),
+        "known": lambda: known_keys(store, index, staged),
     }
     done = together(lambda name: steps[name](), list(steps))
     sides, known = done["sides"], done["known"]
@@ -364,6 +374,8 @@ def load_fact(
     near = {name: dim for name, dim in dims.items() if name not in apart}
     incoming = resolve_fact(numbered, near, as_of, sides)
     placed = bool(present or apart)
+    # Old rows that stay are written from where they are read.
+    replaced = key_filter(known, NATURAL_KEY) if present and not as_delta else None
     if as_delta:
         old_day = F.col("_old_date_key")
         written = written_rows(incoming, known, start=start).withColumn("loaded_at", stamp)
@@ -385,14 +397,14 @@ def load_fact(
         fresh_key = (F.lit(start) + F.col("row_number")).cast("long")
         indexed = placed_upsert(
             index, keys.withColumn(FACT_KEY, fresh_key), key_range(),
-            slices_of(store, FACT_KEYS_TABLE, ranges),
+            slices_of(store, FACT_KEYS_TABLE, ranges), replaced=replaced,
         )
         if placed:
             merged = placed_upsert(
                 current, incoming.withColumns({FACT_KEY: fresh_key, "loaded_at": stamp}),
                 order_month(), slices_of(store, FACT_TABLE, months),
                 moved_marks(keys, known, order_month()) if present else None,
-                late_keys(staged, apart) if apart else None,
+                late_keys(staged, apart) if apart else None, replaced,
             )
         else:
             merged = fact_upsert(current, incoming, stamp, start=start, known=known)
@@ -413,7 +425,7 @@ def load_fact(
     else:
         lines = store.read_written(published[FACT_TABLE])
     published[ORDERS_TABLE] = write_orders(
-        store, lines, current if present else None, known, as_delta
+        store, lines, current if present else None, known, as_delta, replaced
     )
     store.publish(
         [row for rows_of in published.values() for row in rows_of],

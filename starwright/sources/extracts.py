@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from starwright.functions.scalars import allocate_share, full_name, later_of
 from starwright.operators import quality
 from starwright.operators.dedup import keep_latest, lowest_per_key
-from starwright.operators.joins import left_join_sparse
+from starwright.operators.joins import left_join_sparse, may_meet
 from starwright.operators.shaping import conform_to_schema, is_changed_since
 from starwright.plans.model import DIMENSIONS, FACT_STAGING, LINE_TIE_BREAK, NATURAL_KEY
 from starwright.schemas import OPEN_START
@@ -156,9 +156,9 @@ def _changed_lines(detail: DataFrame, header: DataFrame, window: Window) -> Data
     The condition spans both tables, so it cannot be pushed below one join.  Instead the lines
     that changed meet all headers, and all other lines meet the headers that changed.  Both
     filters reach the scans; the changed rows are written, so their true size lets a small
-    batch be broadcast, and neither large table is shuffled for it.  A window from the start
-    holds nearly all rows, so nothing is written for it.  A line is in one branch only, whenever
-    it is read: beyond the window it waits for the next load.
+    batch be broadcast, and neither large table is shuffled for it; for a larger one, only rows of
+    its orders are.  A window from the start holds nearly all rows, so nothing is written for it.
+    A line is in one branch only, whenever it is read: beyond the window it waits for the next load.
     """
     line, head = F.col("line_modified_at"), F.col("header_modified_at")
     # A line without a time, or from before the window, can only come with its header.
@@ -172,8 +172,10 @@ def _changed_lines(detail: DataFrame, header: DataFrame, window: Window) -> Data
         )
     changed = {"lines": detail.where(window.has(line)), "headers": header.where(window.has(head))}
     new = together(lambda name: materialize(changed[name], f"changed-{name}"), list(changed))
-    return new["lines"].join(header, "order_id").unionByName(
-        detail.where(settled).join(new["headers"], "order_id")
+    return new["lines"].join(
+        may_meet(header, new["lines"], "order_id"), "order_id"
+    ).unionByName(
+        may_meet(detail.where(settled), new["headers"], "order_id").join(new["headers"], "order_id")
     )
 
 

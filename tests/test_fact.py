@@ -12,6 +12,7 @@ from starwright.operators.fact import (
     placed_upsert,
     resolve_fact,
 )
+from starwright.operators.joins import key_filter, may_meet
 from starwright.operators.lookup import lookup_as_of, lookup_current
 from starwright.plans.layout import order_month
 from starwright.plans.model import BY_NAME, DIMENSIONS, FACT_TABLE
@@ -126,6 +127,42 @@ def test_a_placed_upsert_follows_the_rule_in_one_shuffle(spark, conf):
     assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
+def test_old_rows_that_stay_are_not_shuffled(spark, conf):
+    """The rule is the same; a filter passes all its keys, and few others."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    old = spark.range(1, 5001).selectExpr(
+        "id AS order_line_id", "id + 7 AS sale_key", "CAST(20240101 + id % 3 * 100 AS INT)"
+        " AS order_date_key",
+    )
+    new = frame(spark, KEYS, (3, 9001, 20240301), (4999, 9002, 20240205), (6000, 9003, 20240105))
+    known = old.join(new.select("order_line_id"), "order_line_id", "left_semi")
+    month = F.expr("CAST(order_date_key DIV 100 AS STRING)")
+    marks = moved_marks(new, known, month)
+    replaced = key_filter(known, "order_line_id")
+    maybe, gone = replaced.split(old, "order_line_id")
+    assert known.join(maybe, "order_line_id", "left_anti").isEmpty()
+    assert maybe.count() < 50 and maybe.count() + gone.count() == 5000
+    placed = placed_upsert(old, new, month, 3, marks, replaced=replaced)
+    assert content(placed) == content(placed_upsert(old, new, month, 3, marks))
+    plan = physical(placed_upsert(old, new, month, 3, replaced=replaced))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Union") == 2
+
+
+def test_a_filter_has_every_key_of_its_table(spark, conf, monkeypatch):
+    """Also with more keys than bits, without a key, with texts as keys, and for an empty table."""
+    keys = spark.range(0, 90000, 3).selectExpr("concat('SO', id) AS k").union(
+        spark.sql("SELECT CAST(NULL AS STRING)"))
+    rows = spark.range(90000).selectExpr("concat('SO', id) AS k", "id")
+    for most in (1 << 28, 1 << 15):
+        monkeypatch.setattr("starwright.operators.joins.MOST_BITS", most)
+        maybe, gone = key_filter(keys, "k").split(rows, "k")
+        assert gone.where("id % 3 = 0").isEmpty() and maybe.count() + gone.count() == 90000
+    assert maybe.count() < 70000
+    empty = key_filter(keys.where("k = 'none'"), "k")
+    assert empty.may_match(rows, "k").isEmpty()
+    assert may_meet(rows, keys.limit(0), "k").count() == 90000
+
+
 def test_keys_that_occur_again_are_counted(spark):
     rows = frame(spark, KEYS, (1, 5, 1), (2, 5, 1), (3, 7, 1), (4, None, 1))
     shown = _key_properties(rows)

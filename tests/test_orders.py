@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from starwright.operators.joins import key_filter
 from starwright.operators.orders import (
     add_up,
     add_up_placed,
@@ -19,6 +20,7 @@ from starwright.operators.orders import (
 from starwright.plans import kpis, layout, pipeline
 from starwright.plans.model import FACT_TABLE, ORDERS_TABLE
 from starwright.schemas import schema
+from starwright.session import materialize
 from starwright.sources.store import TableStore
 from tests.test_pipeline import assert_totals, load
 from tests.test_plans import physical
@@ -205,5 +207,17 @@ def test_stored_totals_are_shuffled_once(spark):
                     ).count("Exchange") == 1
 
 
+def test_totals_of_other_orders_are_not_shuffled(spark):
+    rows, part = some_lines(6), F.expr("right(order_number, 1)")
+    orders = add_up_placed(line_shares(frame(spark, rows)), part).drop("part")
+    lost = line_shares(frame(spark, rows[:9]), -1)
+    after = orders_after(orders, lost, part, key_filter(lost, "order_number"))
+    assert flat(after.drop("part")) == plain(rows[9:])
+    assert after.where(F.col("part") != part).isEmpty()
+    stored = materialize(orders, "totals")
+    plan = physical(orders_after(stored, lost, part, key_filter(lost, "order_number")))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Union") == 2
+
+
 def frame_of_orders(spark):
     return spark.createDataFrame([], schema(ORDERS_TABLE))

@@ -75,6 +75,18 @@ def test_a_small_batch_shuffles_neither_large_table(spark, conf):
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_a_large_batch_shuffles_rows_of_its_orders_only(spark, conf):
+    window = Window("2001-10-15")
+    want = sorted(map(tuple, order_lines(SourceTables(spark, SMALL), window).collect()), key=repr)
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lines = order_lines(SourceTables(spark, SMALL), window)
+    plan = physical(lines)
+    # Only the two filters are broadcast.
+    assert plan.count("SortMergeJoin") == 2 and plan.count("BroadcastHashJoin") == 2
+    assert plan.count("Exchange hashpartitioning(order_id") == 4
+    assert sorted(map(tuple, lines.collect()), key=repr) == want and want
+
+
 @pytest.fixture()
 def no_broadcast(conf):
     conf("spark.sql.shuffle.partitions", "16")
