@@ -55,6 +55,15 @@ def _without_gaps(fact: DataFrame, spec: DimensionSpec) -> DataFrame:
     return fact
 
 
+def line_measures() -> dict[str, Column]:
+    """Measures that follow from other columns of a line."""
+    return {
+        "discount_amount": discount_amount(
+            F.col("unit_price"), F.col("quantity"), F.col("unit_price_discount")
+        )
+    }
+
+
 def resolve_fact(
     staged: DataFrame,
     dims: Mapping[str, DataFrame],
@@ -70,9 +79,7 @@ def resolve_fact(
     fact = staged.withColumns(
         {
             **{key: date_key(F.col(day)) for day, key in DATE_ROLES.items()},
-            "discount_amount": discount_amount(
-                F.col("unit_price"), F.col("quantity"), F.col("unit_price_discount")
-            ),
+            **line_measures(),
             "source_modified_at": F.col("modified_at"),
         }
     )
@@ -176,6 +183,7 @@ def placed_upsert(
     marks: DataFrame | None = None,
     late: DataFrame | None = None,
     replaced: KeyFilter | None = None,
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """``old`` after ``new`` rows took the place of those with their natural key, by part.
 
@@ -188,18 +196,23 @@ def placed_upsert(
     write.  The result has a column ``part``, and its rows lie by it.
 
     ``replaced`` tells of the natural keys of all old rows that go.  Other old rows lie in their
-    part already, so they are written from where they are read.
+    part already, so they are written from where they are read.  ``derived`` columns follow from
+    others of a new row; they are computed where it is written, not shuffled with it.
     """
-    columns = old.columns
+    columns, derived = old.columns, dict(derived or {})
+    new = new.drop(*derived)
     if replaced is not None:
         old, kept = replaced.split(old, NATURAL_KEY)
-    filled = [] if late is None else [c for c in columns if c not in new.columns]
+    lacking = [c for c in columns if c not in new.columns and c not in derived]
+    filled = [] if late is None else lacking
     present = [c for c in columns if c not in filled]
+    carried = [c for c in present if c not in derived]
     shared = [c for c in _OF_ORDER if c in present]
     own = [c for c in present if c not in (NATURAL_KEY, *shared)]
     side_by_side = [NATURAL_KEY, *filled, *own, *shared]
     rows = [
-        (old.select(*side_by_side).withColumn("part", part), _OLD), (new.select(present).withColumn("part", part), _NEW)
+        (old.select(*side_by_side).withColumn("part", part), _OLD),
+        (new.select(carried).withColumn("part", part), _NEW),
     ]
     if marks is not None:
         rows.append((marks, _MARK))
@@ -229,7 +242,12 @@ def placed_upsert(
     late_values = {
         c: F.when(is_new, F.col(f"_late_{c}")).otherwise(F.col(c)) for c in filled
     }
-    upserted = found.withColumns({FACT_KEY: key, **late_values}).select(*columns, "part")
+    derived_values = {
+        c: F.when(is_new, value).otherwise(F.col(c)) for c, value in derived.items()
+    }
+    upserted = found.withColumns({FACT_KEY: key, **late_values, **derived_values}).select(
+        *columns, "part"
+    )
     if replaced is None:
         return upserted
     return upserted.unionByName(kept.withColumn("part", part).select(*columns, "part"))

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starwright.session import beyond_broadcast, materialize
 
 #: Bits of a key filter: so many for each key, up to a most of 32 MB; beyond it lets more rows pass.
 BITS_PER_KEY, MOST_BITS = 8, 1 << 28
+#: Bits that a key sets, at most; fewer where keys have few bits each.
+MOST_HASHES = 3
 #: Bits in a row of a filter, as Spark's bitmap functions make them.
 _ROW_OF_BITS = 1 << 15
 
@@ -52,14 +56,15 @@ class KeyFilter:
 
     bitmap: DataFrame
     bits: int
+    hashes: int = 1
 
     def split(self, df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
         """Rows whose key may be in the table, and rows whose key is not."""
-        tested = _with_bit(df, key, self.bits).join(F.broadcast(self.bitmap), "_bits_row", "left")
-        byte = F.expr("substring(_bitmap, CAST(_bit DIV 8 AS INT) + 1, 1)")
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        mask = F.expr("shiftleft(1, CAST(_bit % 8 AS INT))")
-        is_set = F.coalesce(value.bitwiseAND(mask) != 0, F.lit(False))
+        bits = _bits_of(key, self.bits, self.hashes)
+        tested = df.withColumns({"_bits_row": _row_of(key, self.bits), **bits}).join(
+            F.broadcast(self.bitmap), "_bits_row", "left"
+        )
+        is_set = F.coalesce(reduce(and_, [_is_set(bit) for bit in bits]), F.lit(False))
         return (
             tested.where(is_set).select(*df.columns), tested.where(~is_set).select(*df.columns)
         )
@@ -68,21 +73,39 @@ class KeyFilter:
         return self.split(df, key)[0]
 
 
-def _with_bit(df: DataFrame, key: str, bits: int) -> DataFrame:
-    slot = F.pmod(F.xxhash64(key), F.lit(bits))
-    return df.withColumns({
-        "_bits_row": F.floor(slot / F.lit(_ROW_OF_BITS)), "_bit": F.pmod(slot, F.lit(_ROW_OF_BITS)),
-    })
+def _row_of(key: str, bits: int) -> Column:
+    return F.floor(F.pmod(F.xxhash64(key), F.lit(bits)) / F.lit(_ROW_OF_BITS))
+
+
+def _bits_of(key: str, bits: int, hashes: int) -> dict[str, Column]:
+    """The bits of a key, all in its row, so that one lookup finds them."""
+    slots = [F.pmod(F.xxhash64(key), F.lit(bits))]
+    slots += [F.xxhash64(key, F.lit(number)) for number in range(1, hashes)]
+    return {f"_bit{i}": F.pmod(slot, F.lit(_ROW_OF_BITS)) for i, slot in enumerate(slots)}
+
+
+def _is_set(bit: str) -> Column:
+    byte = F.expr(f"substring(_bitmap, CAST({bit} DIV 8 AS INT) + 1, 1)")
+    mask = F.expr(f"shiftleft(1, CAST({bit} % 8 AS INT))")
+    return F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(mask) != 0
 
 
 def key_filter(written: DataFrame, key: str) -> KeyFilter:
     """A filter of the keys of a written table; only its bits are shuffled."""
-    wanted = max(_ROW_OF_BITS, BITS_PER_KEY * written.count())
+    keys = written.count()
+    wanted = max(_ROW_OF_BITS, BITS_PER_KEY * keys)
     bits = min(MOST_BITS, 1 << (wanted - 1).bit_length())
-    rows = _with_bit(written.select(key), key, bits).groupBy("_bits_row").agg(
-        F.bitmap_construct_agg("_bit").alias("_bitmap")
+    # Half of the bits are set at 0.7 times as many hashes as a key has bits; more pass more rows.
+    hashes = max(1, min(MOST_HASHES, 7 * bits // (10 * max(1, keys))))
+    rows = (
+        written.select(
+            _row_of(key, bits).alias("_bits_row"),
+            F.explode(F.array(*_bits_of(key, bits, hashes).values())).alias("_bit"),
+        )
+        .groupBy("_bits_row")
+        .agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
     )
-    return KeyFilter(materialize(rows, "key-filter", compression="zstd"), bits)
+    return KeyFilter(materialize(rows, "key-filter", compression="zstd"), bits, hashes)
 
 
 def may_meet(df: DataFrame, written: DataFrame, key: str) -> DataFrame:

@@ -46,7 +46,7 @@ def dense_numbers(
 def stage_in_order(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     """Write ``df`` range-partitioned and sorted by ``order``, with row stamps."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(stamp_rows(ranged), label)
+    return materialize(stamp_rows(ranged), label, compression="zstd")
 
 
 def number_in_order(

@@ -19,6 +19,8 @@ from starwright.schemas import schema
 GROUP = ("order_date_key", "territory_key", "salesperson_key")
 _MEASURES = ("line_count", "revenue")
 _REVENUE = "decimal(24,4)"
+#: One line's amount; up to 18 digits take a fixed eight bytes of a shuffled row, wider ones more.
+_AMOUNT = "decimal(18,4)"
 #: A part of the totals is made by so many tasks at most.
 SLICES = 64
 
@@ -27,7 +29,7 @@ def line_shares(lines: DataFrame, sign: int = 1) -> DataFrame:
     """What each line adds to its order; with a sign of -1, what it takes away."""
     return lines.select(
         ORDER_KEY, *GROUP, F.lit(sign).cast("long").alias("line_count"),
-        (F.lit(sign) * F.col("line_total")).cast(_REVENUE).alias("revenue"),
+        (F.lit(sign) * F.col("line_total")).cast(_AMOUNT).alias("revenue"),
     )
 
 

@@ -16,6 +16,7 @@ from starwright.operators.fact import (
     existing_keys,
     fact_upsert,
     late_keys,
+    line_measures,
     lookup_sides,
     moved_marks,
     placed_upsert,
@@ -404,7 +405,7 @@ def load_fact(
                 current, incoming.withColumns({FACT_KEY: fresh_key, "loaded_at": stamp}),
                 order_month(), slices_of(store, FACT_TABLE, months),
                 moved_marks(keys, known, order_month()) if present else None,
-                late_keys(staged, apart) if apart else None, replaced,
+                late_keys(staged, apart) if apart else None, replaced, line_measures(),
             )
         else:
             merged = fact_upsert(current, incoming, stamp, start=start, known=known)

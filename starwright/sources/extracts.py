@@ -171,7 +171,10 @@ def _changed_lines(detail: DataFrame, header: DataFrame, window: Window) -> Data
             )
         )
     changed = {"lines": detail.where(window.has(line)), "headers": header.where(window.has(head))}
-    new = together(lambda name: materialize(changed[name], f"changed-{name}"), list(changed))
+    new = together(
+        lambda name: materialize(changed[name], f"changed-{name}", compression="zstd"),
+        list(changed),
+    )
     return new["lines"].join(
         may_meet(header, new["lines"], "order_id"), "order_id"
     ).unionByName(

@@ -163,6 +163,30 @@ def test_a_filter_has_every_key_of_its_table(spark, conf, monkeypatch):
     assert may_meet(rows, keys.limit(0), "k").count() == 90000
 
 
+def test_a_filter_passes_few_other_keys(spark):
+    """A key sets several bits of one row; a table with few bits for each key sets one."""
+    keys = spark.range(0, 10000).select(F.col("id").alias("k"))
+    others = spark.range(20000, 120000).select(F.col("id").alias("k"))
+    found = key_filter(keys, "k")
+    assert found.may_match(others, "k").count() < 3000
+    assert found.may_match(keys, "k").count() == 10000
+
+
+def test_derived_measures_are_not_shuffled(spark):
+    """New rows get them where they are written; an old row keeps what it has."""
+    shape = "order_line_id BIGINT, sale_key BIGINT, order_date_key INT, quantity INT, twice INT"
+    old = frame(spark, shape, (1, 5, 20240105, 3, 7), (2, 6, 20240105, 3, 7))
+    new = frame(spark, shape, (2, 9, 20240105, 4, 0), (3, 10, 20240105, None, 0))
+    month = F.expr("CAST(order_date_key DIV 100 AS STRING)")
+    twice = {"twice": F.col("quantity") * 2}
+    merged = placed_upsert(old, new, month, 2, derived=twice)
+    assert content(merged, "order_line_id", "sale_key", "twice") == [
+        (1, 5, 7), (2, 6, 8), (3, 10, None)
+    ]
+    only_new = placed_upsert(old.where("false"), new, month, 2, derived=twice)
+    assert content(only_new, "order_line_id", "twice") == [(2, 8), (3, None)]
+
+
 def test_keys_that_occur_again_are_counted(spark):
     rows = frame(spark, KEYS, (1, 5, 1), (2, 5, 1), (3, 7, 1), (4, None, 1))
     shown = _key_properties(rows)

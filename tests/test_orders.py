@@ -93,6 +93,17 @@ def test_differences_lead_to_the_same_totals(spark, seed):
     assert result.where(F.col("order_number") == gone).isEmpty()
 
 
+def test_a_line_adds_an_amount_of_fixed_width(spark):
+    """Beyond 18 digits a decimal takes more than twice the bytes of a shuffled row."""
+    rows = spark.sql("""SELECT 'SO1' AS order_number, 20240101 AS order_date_key, 1L AS territory_key,
+        2L AS salesperson_key, CAST(9999999999.9999 AS DECIMAL(14,4)) AS line_total""")
+    for sign in (1, -1):
+        share = line_shares(rows, sign)
+        assert share.schema["revenue"].dataType.precision <= 18
+        assert str(share.first().revenue) == f"{sign * 9999999999.9999:.4f}"
+
+
+
 def test_numbers_of_orders_equal_distinct_counts(spark):
     """Several keys share a label, and orders have several groups."""
     rows = some_lines(9)
