@@ -91,15 +91,35 @@ def order_groups(orders: DataFrame) -> DataFrame:
     return orders.select(ORDER_KEY, several.alias("other_groups"), F.inline("groups"))
 
 
-def changed_orders(orders: DataFrame, changes: DataFrame) -> DataFrame:
+def changed_orders(
+    orders: DataFrame, changes: DataFrame, concerned: KeyFilter | None = None
+) -> DataFrame:
     """The orders that signed shares of lines concern, as they are after them.
 
     An order that has lost all its lines stays as a row without groups, so that it wins over
-    its older state where that is kept elsewhere.
+    its older state where that is kept elsewhere.  ``concerned`` may tell of the orders of all
+    changes.  Orders meet their changes in one shuffle, in which an order's rows go to one task.
     """
-    before = orders.join(changes.select(ORDER_KEY).distinct(), ORDER_KEY, "left_semi")
-    stood = before.select(ORDER_KEY, F.inline("groups")).select(ORDER_KEY, *GROUP, *_MEASURES)
-    return add_up(stood.unionByName(changes.select(ORDER_KEY, *GROUP, *_MEASURES)))
+    if concerned is not None:
+        orders = concerned.may_match(orders, ORDER_KEY)
+    stood = orders.select(ORDER_KEY, F.inline("groups")).select(ORDER_KEY, *GROUP, *_MEASURES)
+    new = changes.select(ORDER_KEY, *GROUP, *_MEASURES).withColumn("_changed", F.lit(True))
+    groups = (
+        stood.withColumn("_changed", F.lit(False))
+        .unionByName(new)
+        .repartition(ORDER_KEY)
+        .groupBy(ORDER_KEY, *GROUP)
+        .agg(
+            F.sum("line_count").alias("line_count"),
+            F.sum("revenue").cast(_REVENUE).alias("revenue"),
+            F.max("_changed").alias("_changed"),
+        )
+    )
+    present = F.when(F.col("line_count") != 0, F.struct(*GROUP, *_MEASURES))
+    rows = groups.groupBy(ORDER_KEY).agg(
+        F.sort_array(F.collect_list(present)).alias("groups"), F.max("_changed").alias("_changed")
+    )
+    return rows.where("_changed").select(*schema(ORDERS_TABLE).names)
 
 
 def orders_upsert(orders: DataFrame, changed: DataFrame) -> DataFrame:

@@ -232,3 +232,17 @@ def test_totals_of_other_orders_are_not_shuffled(spark):
 
 def frame_of_orders(spark):
     return spark.createDataFrame([], schema(ORDERS_TABLE))
+
+
+def test_orders_meet_their_changes_in_one_shuffle(spark, conf):
+    """What a delta of totals holds: the changed orders alone, also where a filter passes others."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = some_lines(7)
+    orders = materialize(order_totals(frame(spark, rows)), "totals")
+    lost = line_shares(frame(spark, rows[:9]), -1)
+    concerned = {row[1] for row in rows[:9]}
+    changed = changed_orders(orders, lost, key_filter(lost, "order_number"))
+    assert {row.order_number for row in changed.collect()} == concerned
+    assert content(changed) == content(changed_orders(orders, lost))
+    assert flat(orders_upsert(orders, changed)) == plain(rows[9:])
+    assert physical(changed_orders(orders, lost)).count("Exchange") == 1
