@@ -1,5 +1,6 @@
 """The table store: commits of several writers, deltas, history pieces, renamed columns."""
 
+import time
 from datetime import datetime
 from decimal import Decimal
 
@@ -8,13 +9,14 @@ from pyspark.sql import functions as F
 
 from starwright.plans import constraints, layout, pipeline
 from starwright.plans.control import Control
-from starwright.plans.model import BY_NAME, FACT_KEYS_TABLE, FACT_TABLE
-from starwright.session import scratch_path, size_of
+from starwright.plans.model import BY_NAME, FACT_KEYS_TABLE, FACT_TABLE, ORDERS_TABLE
+from starwright.session import names_in, release, scratch_path, size_of, work_dir
 from starwright.sources import commits as commits_module
 from starwright.sources import store as store_module
 from starwright.sources.commits import CommitLog
 from starwright.sources.store import WATERMARK, TableStore
 from tests.test_pipeline import FIRST_DAY, SECOND_DAY, load
+from tests.test_plans import physical
 from tests.tiny import NEW, ROWS, content
 
 CUSTOMER, TERRITORY = BY_NAME["customer"], BY_NAME["territory"]
@@ -324,3 +326,61 @@ def test_copies_of_a_line_in_two_orders_are_one_row(spark, store):
          check=True)
     rows = content(store.read(FACT_TABLE).where("order_line_id = 11"), "quantity", "order_number")
     assert rows == [(8, "SO3")]
+
+
+def test_rows_that_no_delta_concerns_stay_where_they_lie(spark, store, monkeypatch, conf):
+    """Read and folded without a broadcast, and without a window over the rows of one delta."""
+    other = TableStore(spark, f"{store.root}-other")
+    monkeypatch.setattr(pipeline, "FOLD_SHARE", 100)
+    days = (datetime(2024, 2, 2), datetime(2024, 2, 3))
+    for threshold, target in (("10m", other), ("-1", store)):
+        conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+        load(spark, target, changes=SOUND)
+        load(spark, target, days[0], moved_orders()[0], merge_on_read=True)
+    plan = physical(store.read(FACT_TABLE))
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert "Exchange hashpartitioning" not in plan.split("FileScan")[0]
+
+    def shown(table):
+        return {t: content(table.read(t)) for t in (FACT_TABLE, FACT_KEYS_TABLE, ORDERS_TABLE)}
+
+    assert shown(store) == shown(other)
+    load(spark, store, days[1], moved_orders()[1], merge_on_read=True)
+    assert len(store.deltas(FACT_TABLE)) == 2
+    expected = shown(store)
+    pipeline.fold_deltas(store, always=True)
+    assert not store.deltas(FACT_TABLE) and shown(store) == expected
+    assert constraints.assert_constraints(store) > 70
+
+
+# --- what a load leaves behind ------------------------------------------------------------
+
+
+def test_a_load_leaves_no_scratch_and_one_state_of_staging(spark, store):
+    load(spark, store)
+    before = set(names_in(spark, work_dir(spark)))
+    load(spark, store, SECOND_DAY, {"order_detail": moved_orders()[0]["order_detail"]})
+    left = set(names_in(spark, work_dir(spark))) - before
+    assert not [name for name in left if not name.startswith(("subcategory", "category"))]
+    for table in ("stg.order_line", "stg.customer"):
+        assert len(names_in(spark, f"{store.root}/{table}")) == 1
+    # A reader that opened the fact before the load can go on.
+    assert len(names_in(spark, f"{store.root}/{FACT_TABLE}")) == 2
+
+
+def test_shuffles_of_frames_that_are_gone_are_removed(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return disk.getAllFiles().size()
+
+    spark.range(100_000).repartition(7, "id").write.format("noop").mode("overwrite").save()
+    made = files()
+    assert made > 0
+    # Spark removes them in the background.
+    for _ in range(40):
+        release(spark)
+        if files() < made:
+            break
+        time.sleep(0.25)
+    assert files() < made
