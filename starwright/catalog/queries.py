@@ -23,6 +23,7 @@ from starwright.operators import quality
 from starwright.operators.calendar import calendar_for, insert_missing_days
 from starwright.operators.dedup import keep_latest
 from starwright.operators.fact import existing_keys, fact_upsert, resolve_fact
+from starwright.operators.joins import may_meet
 from starwright.operators.keys import (
     dense_numbers,
     last_key,
@@ -55,7 +56,13 @@ from starwright.plans.pipeline import CALENDAR, run
 from starwright.plans.star import load_dimension, load_fact, load_star, merge_dimension
 from starwright.plans.star import seeded_dimension
 from starwright.schemas import OPEN_START, empty_frame, schema
-from starwright.session import materialize, scratch_path, together
+from starwright.session import (
+    materialize,
+    passing_scratch,
+    release,
+    scratch_path,
+    together,
+)
 from starwright.sources.extracts import (
     SOURCES,
     Window,
@@ -505,12 +512,21 @@ def _upserted(
     fact: DataFrame, staged: DataFrame, dims: dict[str, DataFrame], day: str
 ) -> DataFrame:
     """The fact after a batch, with all lookups, written."""
-    written = materialize(stamp_rows(staged), "staged-lines", compression="zstd")
-    incoming = resolve_fact(dense_numbers(written, "row_number", 0), dims)
-    known = materialize(existing_keys(fact, written), "known-keys")
-    start = last_key(fact, FACT_KEY)
-    merged = fact_upsert(fact, incoming, mark_column(day), start=start, known=known)
-    return materialize(merged, "fact", compression="zstd")
+    spark = fact.sparkSession
+    with passing_scratch(spark):
+        written = materialize(stamp_rows(staged), "staged-lines", compression="zstd")
+        release(spark)
+        lines = dense_numbers(written, "row_number", 0)
+        incoming = resolve_fact(lines, dims, row="row_number")
+        old = may_meet(fact, written, NATURAL_KEY)
+        known = materialize(existing_keys(old, written), "known-keys", compression="zstd")
+        start = last_key(fact, FACT_KEY)
+        merged = fact_upsert(
+            fact, incoming, mark_column(day), start=start, known=known, lines=lines
+        )
+        fact = materialize(merged, "fact", lasting=True, compression="zstd")
+    release(spark)
+    return fact
 
 
 def _key_properties(fact: DataFrame) -> DataFrame:

@@ -12,12 +12,13 @@ from starwright.operators.fact import (
     placed_upsert,
     resolve_fact,
 )
-from starwright.operators.joins import key_filter, may_meet
+from starwright.operators.joins import exact_keys, key_filter, may_meet
 from starwright.operators.lookup import lookup_as_of, lookup_current
 from starwright.plans.layout import order_month
 from starwright.plans.model import BY_NAME, DIMENSIONS, FACT_TABLE
 from starwright.plans.star import load_dimension, load_fact
 from starwright.schemas import empty_frame, schema
+from starwright.session import materialize
 from starwright.sources.extracts import SOURCES, mark_column
 from tests.test_plans import physical
 from tests.tiny import content, frame, tables
@@ -223,3 +224,65 @@ def test_large_lookups_leave_the_wide_lines_alone(spark, conf):
         for i, key, customer, cost in content(
             wide, "order_line_id", "sale_key", "customer_key", "standard_cost")
     ]
+
+
+def test_a_filter_is_asked_without_making_texts(spark):
+    keys = spark.range(0, 500).select(F.col("id").alias("k"))
+    asked = key_filter(keys, "k").may_match(spark.range(900).select(F.col("id").alias("k")), "k")
+    assert "conv(" not in physical(asked) and "hex(" not in physical(asked)
+
+
+def test_old_rows_that_go_are_not_shuffled(spark, conf):
+    """Marks have their keys; only rows that may go or stay, and new ones, are dealt by part."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    old = materialize(spark.range(1, 5001).selectExpr(
+        "id AS order_line_id", "id + 7 AS sale_key", "CAST(20240101 + id % 3 * 100 AS INT)"
+        " AS order_date_key",
+    ), "old")
+    new = spark.range(2500, 6000).selectExpr(
+        "id AS order_line_id", "id + 90000 AS sale_key", "CAST(20240101 + id % 4 * 100 AS INT)"
+        " AS order_date_key",
+    )
+    known = materialize(old.where("order_line_id >= 2500"), "known")
+    month = F.expr("CAST(order_date_key DIV 100 AS STRING)")
+    replaced = exact_keys(old, known, "order_line_id")
+    sure, unsure, without = replaced.split(old)
+    assert sure.count() > 2000 and sure.where("order_line_id < 2500").isEmpty()
+    assert without.where("order_line_id >= 2500").isEmpty()
+    assert sure.count() + unsure.count() + without.count() == 5000
+    assert content(replaced.matching(old)) == content(known)
+    assert content(replaced.others(old)) == content(old.where("order_line_id < 2500"))
+    marks = moved_marks(new, known, month, every=True)
+    placed = placed_upsert(old, new, month, 3, marks, replaced=replaced)
+    plain = placed_upsert(old, new, month, 3, moved_marks(new, known, month))
+    assert content(placed) == content(plain) and plain.count() == 5999
+
+
+def test_an_upsert_beyond_broadcast_shuffles_wide_lines_once(spark, conf):
+    """Keys of members and old rows come by row number; lines without a key, and copies, too."""
+    source = tables(spark)
+    dims = {s.name: load_dimension(spark, source, s.name, "2024-01-01") for s in DIMENSIONS}
+    staged = SOURCES["order_line"].staged(source)
+    unnamed = staged.where("order_line_id = 21").withColumn(
+        "order_line_id", F.lit(None).cast("long"))
+    lines = staged.unionByName(staged.where("order_line_id = 12")).unionByName(unnamed)
+    lines = materialize(lines.withColumn(
+        "row_number", F.expr("CAST(row_number() OVER (ORDER BY order_line_id) AS LONG)")), "lines")
+    names = schema(FACT_TABLE).names
+    stamp = mark_column("2024-01-02")
+    old = resolve_fact(lines, dims).withColumns(
+        {"sale_key": F.col("row_number") + 100, "loaded_at": mark_column("2024-01-01")}
+    ).where("order_line_id IS NULL OR order_line_id IN (11, 31)").select(names)
+    old = materialize(old, "old-fact")
+    known = materialize(old.where("order_line_id = 11").select(
+        "order_line_id", "sale_key", "order_date_key"), "known")
+    want = content(fact_upsert(old, resolve_fact(lines, dims), stamp, known=known))
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    incoming = resolve_fact(lines, dims, row="row_number")
+    merged = fact_upsert(old, incoming, stamp, known=known, lines=lines)
+    assert content(merged) == want and len(want) == 8
+    wide = [line for line in physical(incoming).split("\n")
+            if "Exchange hashpartitioning" in line]
+    assert sum("(row_number#" in line for line in wide) == 2
+    # Of members that are joined apart, only business keys meet the dimension.
+    assert physical(incoming).count("ship_date#") > 0 and len(wide) == 2 + 2 * len(DIMENSIONS)
